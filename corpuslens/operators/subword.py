@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.operators.wordforms import distinct_words
@@ -122,7 +123,7 @@ def greedy_table(words: DataFrame, pieces: DataFrame) -> DataFrame:
     return joined.select("token", F.when(covered, F.col("w.ids")).otherwise(unknown).alias("pieces"), "cnt")
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _best_path(lengths: pd.Series, matches: pd.Series) -> pd.Series:
     """Most probable cover of each word; NULL if there is none."""
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.functions.stem import porter
 from corpuslens.operators.lookup import lookup, salt_of
@@ -24,7 +25,7 @@ def distinct_words(df: DataFrame, words_col: str = "_words") -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(porter)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -65,3 +67,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship_code(spark: SparkSession, folder: str, *packages: str) -> None:
+    """Send packages to the Python workers, once per application.
+
+    Not needed where the cluster already has them installed.
+    """
+    app = spark.sparkContext.applicationId
+    for package in packages:
+        if (app, package) not in _shipped:
+            base = os.path.join(tempfile.mkdtemp(prefix="corpuslens-code-"), package)
+            spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", folder, package))
+            _shipped.add((app, package))
