@@ -7,7 +7,7 @@ space characters are spelled out.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -139,23 +139,3 @@ def preview(c: Column, width: int = 100) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
-
-
-def ngrams(words: Column, sizes: Sequence[int]) -> Column:
-    """Array of ``(n, gram)`` structs for every unpadded n-gram of one document.
-
-    The words of a gram are joined by one blank; words never contain one.
-    """
-
-    def of_size(n: int) -> Column:
-        if n == 1:
-            return F.transform(words, lambda w: F.struct(F.lit(n).alias("n"), w.alias("gram")))
-        last = F.size(words) - (n - 1)
-        # sequence(1, 0) would count down, so short documents get an explicit empty array
-        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            starts,
-            lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(words, i, n), " ").alias("gram")),
-        )
-
-    return F.flatten(F.array(*[of_size(n) for n in sizes])) if len(sizes) > 1 else of_size(sizes[0])

@@ -20,31 +20,33 @@ from corpuslens.schema import BOS, EOS, require_columns
 from corpuslens.session import checkpointed, materialise
 
 
-def event_array(words: Column, n: int) -> Column:
-    """One ``(n, context, word)`` struct per predicted word of a document.
+def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
+    """``(*keep, n, context, word)``, one row per predicted word.
 
-    The document is padded with ``n - 1`` start marks and one end mark, so there
-    are ``len + 1`` events, also for an empty document.
+    A document is padded with start marks and one end mark, so it has ``len + 1``
+    events per size, also when it is empty. The predicted word is zipped with the
+    words before it once, up to the largest size; contexts are cut from that row.
     """
-    padded = F.concat(F.array_repeat(F.lit(BOS), n - 1), words, F.array(F.lit(EOS)))
-    return F.transform(
-        F.sequence(F.lit(0), F.size(words)),
-        lambda i: F.struct(
-            F.lit(n).alias("n"),
-            F.array_join(F.slice(padded, i + 1, n - 1), " ").alias("context"),
-            F.get(padded, i + (n - 1)).alias("word"),
-        ),
+    require_columns(df, words_col)
+    back = max(sizes) - 1
+    padded = F.concat(F.array_repeat(F.lit(BOS), back), F.col("_w"), F.array(F.lit(EOS)))
+    # b0 is the predicted word, b1 the one before it, and so on
+    shifts = [F.slice("_p", back - j + 1, F.size("_p") - back).alias(f"b{j}") for j in range(back + 1)]
+    rows = (
+        df.select(*keep, text.drop_nulls(F.col(words_col)).alias("_w"))
+        .select(*keep, padded.alias("_p"))
+        .select(*keep, *shifts)
+        # never empty: outer only avoids a second evaluation in an inferred filter
+        .select(*keep, F.explode_outer(F.arrays_zip(*[f"b{j}" for j in range(back + 1)])).alias("e"))
     )
 
+    def entry(n: int) -> list[Column]:
+        context = F.concat_ws(" ", *[f"e.b{j}" for j in range(n - 1, 0, -1)]) if n > 1 else F.lit("")
+        return [F.lit(n).alias("n"), context.alias("context"), F.col("e.b0").alias("word")]
 
-def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
-    """``(*keep, n, context, word)``, one row per predicted word."""
-    require_columns(df, words_col)
-    clean = df.select(*keep, text.drop_nulls(F.col(words_col)).alias("_w"))
-    arrays = [event_array(F.col("_w"), n) for n in sizes]
-    packed = F.flatten(F.array(*arrays)) if len(arrays) > 1 else arrays[0]
-    # never empty: outer only avoids a second evaluation in an inferred filter
-    return clean.select(*keep, F.explode_outer(packed).alias("e")).select(*keep, "e.n", "e.context", "e.word")
+    if len(sizes) == 1:
+        return rows.select(*keep, *entry(sizes[0]))
+    return rows.select(*keep, F.inline(F.array(*[F.struct(*entry(n)) for n in sizes])))
 
 
 def event_counts(df: DataFrame, sizes: Sequence[int], words_col: str = "_words") -> DataFrame:

@@ -83,22 +83,40 @@ def gram_table(
     ``first_seen`` adds ``first_<scope>``, the corpus position of the first occurrence.
     """
     require_columns(df, words_col, hint=NEEDS_WORDS)
-    grams = text.ngrams(text.drop_nulls(F.col(words_col)), sizes)
-    # explode_outer keeps the optimiser from evaluating the token expression a second
+    longest = max(sizes)
+    keep = ["sentiment", *(["doc_id"] if first_seen else [])]
+    # Word i next to words i+1, i+2, ...: one zip and one explode serve every size,
+    # without a lambda per position.
+    whole = df.select(*keep, text.drop_nulls(F.col(words_col)).alias("s0"))
+    shifts = [F.slice("s0", j + 1, F.size("s0")).alias(f"s{j}") for j in range(1, longest)]
+    zipped = F.arrays_zip(*[f"s{j}" for j in range(longest)])
+    # posexplode_outer keeps the optimiser from evaluating the token expression a second
     # time in a "size > 0" filter; the rows it adds for empty documents are dropped here
-    if first_seen:
-        rows = df.select("doc_id", "sentiment", F.posexplode_outer(grams).alias("pos", "g")).withColumn(
-            "at", at_position("doc_id", "pos")
-        )
+    rows = (
+        whole.select(*keep, "s0", *shifts)
+        .select(*keep, F.posexplode_outer(zipped).alias("pos", "w"))
+        .filter("w.s0 IS NOT NULL")
+    )
+
+    def gram(n: int) -> Column:
+        if n == 1:
+            return F.col("w.s0")
+        return F.when(F.col(f"w.s{n - 1}").isNotNull(), F.concat_ws(" ", *[f"w.s{j}" for j in range(n)]))
+
+    if len(sizes) == 1:
+        rows = rows.select(*keep, "pos", F.lit(sizes[0]).alias("n"), gram(sizes[0]).alias("gram"))
     else:
-        rows = df.select("sentiment", F.explode_outer(grams).alias("g"))
-    rows = rows.filter("g IS NOT NULL")
+        entries = F.array(*[F.struct(F.lit(n).alias("n"), gram(n).alias("gram")) for n in sizes])
+        rows = rows.select(*keep, "pos", F.inline(entries))
+    rows = rows.filter("gram IS NOT NULL")
+    if first_seen:
+        rows = rows.withColumn("at", at_position("doc_id", "pos"))
     columns = [F.count_if(F.col("sentiment") == c).alias(c) for c in classes]
     columns.append(F.count(F.lit(1)).alias(OVERALL))
     if first_seen:
         columns += [F.min(F.when(F.col("sentiment") == c, F.col("at"))).alias(f"first_{c}") for c in classes]
         columns.append(F.min("at").alias(f"first_{OVERALL}"))
-    return rows.groupBy("g.n", "g.gram").agg(*columns)
+    return rows.groupBy("n", "gram").agg(*columns)
 
 
 def by_scope(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
