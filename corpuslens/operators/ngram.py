@@ -89,62 +89,69 @@ def fit(df: DataFrame, sizes: Sequence[int] = (2, 3), *, laplace: bool = True, w
     return NGramModel(counts, totals, tuple(sizes), laplace)
 
 
-def _vocabulary_sizes(model: NGramModel) -> Column:
-    """Map of size to number of predicted words, as a one-row subquery."""
-    sizes = model.vocabulary.agg(F.map_from_entries(F.collect_list(F.struct("n", "v"))).alias("m"))
-    return sizes.scalar()
+def _v(model: NGramModel) -> Column:
+    """Number of predicted words as a one-value subquery.
+
+    Every word is predicted once per size, so the smallest size tells it for all.
+    """
+    smallest = model.counts.filter(F.col("n") == min(model.sizes))
+    return smallest.agg(F.count_distinct("word")).scalar()
 
 
 def probabilities(model: NGramModel, wanted: DataFrame) -> DataFrame:
     """Add ``cnt``, ``total`` and ``p`` to distinct ``(n, context, word)`` rows.
 
     Unseen counts are 0. With Laplace smoothing an unseen context gives ``1 / v``,
-    without it 0.
+    without it 0. Both sides of the first join have unique keys; in the second a
+    context may head many rows.
     """
-    spread = salt_of("context", "word")
-    found = lookup(wanted, model.counts, ["n", "context", "word"], spread=spread)
-    found = lookup(found, model.totals, ["n", "context"], spread=spread, weight="total")
+    found = wanted.join(model.counts, ["n", "context", "word"], "left")
+    found = lookup(found, model.totals, ["n", "context"], spread=salt_of("context", "word"), weight="total")
     found = found.withColumn("cnt", F.coalesce("cnt", F.lit(0))).withColumn("total", F.coalesce("total", F.lit(0)))
     if model.laplace:
-        v = F.element_at(_vocabulary_sizes(model), F.col("n"))
-        return found.withColumn("p", (F.col("cnt") + 1).cast("double") / (F.col("total") + v))
+        return found.withColumn("_v", _v(model)).withColumn(
+            "p", (F.col("cnt") + 1).cast("double") / (F.col("total") + F.col("_v"))
+        ).drop("_v")
     return found.withColumn("p", F.coalesce(F.try_divide(F.col("cnt").cast("double"), F.col("total")), F.lit(0.0)))
 
 
 def perplexity(model: NGramModel, df: DataFrame, words_col: str = "_words") -> DataFrame:
-    """``(n, events, perplexity)`` of ``df``, without a join.
+    """``(n, events, perplexity)`` of ``df``.
 
     The log probability of an event splits into a word part and a context part,
-    ``ln(cnt + 1) - ln(total + v)``. Stacking the weights of the scored events on
-    the model counts and summing first by event, then by context, gives both parts,
-    so a context that dominates the corpus is only ever a partial sum.
+    ``ln(cnt + 1) - ln(total + v)``. So the scored events, counted once, meet the
+    counts by event and the totals by context; in both joins the keys are unique on
+    either side, and a context that dominates the corpus is one row. What finds no
+    partner adds ``ln(1)`` and ``ln(v)``, so inner joins are enough.
     """
-    scored = event_counts(df, model.sizes, words_col)
-    stacked = scored.select("n", "context", "word", F.lit(0).cast("bigint").alias("cnt"), F.col("cnt").alias("w")).unionByName(
-        model.counts.select("n", "context", "word", "cnt", F.lit(0).cast("bigint").alias("w"))
-    )
-    by_event = stacked.groupBy("n", "context", "word").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
     plus = 1 if model.laplace else 0
-    # ln(0) is NULL and would vanish from the sum; impossible events are counted on their own
-    by_context = by_event.groupBy("n", "context").agg(
-        F.sum("cnt").alias("total"),
-        F.sum("w").alias("w"),
-        F.sum(F.when(F.col("w") > 0, F.col("w") * F.ln(F.col("cnt") + F.lit(plus)))).alias("word_part"),
-        F.count_if((F.col("w") > 0) & (F.col("cnt") + plus == 0)).alias("impossible"),
+    # written once: three reads follow, and its size then decides between broadcast and shuffle
+    scored = materialise(event_counts(df, model.sizes, words_col).withColumnRenamed("cnt", "w"), "scored-events")
+    contexts = scored.groupBy("n", "context").agg(F.sum("w").alias("w"))
+    by_word = scored.join(model.counts, ["n", "context", "word"]).groupBy("n").agg(
+        F.sum("w").alias("seen"), F.sum(F.col("w") * F.ln(F.col("cnt") + plus)).alias("word_part")
     )
-    by_context = by_context.filter("w > 0")
-    v = F.element_at(_vocabulary_sizes(model), F.col("n")) if model.laplace else F.lit(0)
-    by_context = by_context.withColumn("context_part", F.col("w") * F.ln(F.col("total") + v))
-    by_size = by_context.groupBy("n").agg(
-        F.sum("w").alias("events"),
-        F.sum("impossible").alias("impossible"),
-        (F.sum("word_part") - F.sum("context_part")).alias("ln_p"),
+    met = contexts.join(model.totals, ["n", "context"]).withColumn("_v", _v(model) if model.laplace else F.lit(0))
+    by_context = met.groupBy("n").agg(
+        F.sum("w").alias("met"), F.sum(F.col("w") * F.ln(F.col("total") + F.col("_v"))).alias("context_part")
     )
-    sizes = df.sparkSession.createDataFrame([(n,) for n in model.sizes], "n INT")
-    value = F.when(F.col("impossible") == 0, F.exp(-F.col("ln_p") / F.col("events"))).otherwise(F.lit(float("inf")))
+    everything = scored.groupBy("n").agg(F.sum("w").alias("events"))
     # one row per size also for an empty corpus, which reports infinity
-    return sizes.join(by_size, "n", "left").select(
-        "n", F.coalesce("events", F.lit(0)).alias("events"), value.alias("perplexity")
+    parts = df.sparkSession.createDataFrame([(n,) for n in model.sizes], "n INT")
+    for part in (everything, by_word, by_context):
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    columns = ("events", "seen", "word_part", "met", "context_part")
+    summed = parts.groupBy("n").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+    if model.laplace:
+        unmet = (F.col("events") - F.col("met")) * F.ln("_v")
+        summed = summed.withColumn("_v", _v(model))
+        possible = F.col("events") > 0
+    else:
+        unmet = F.lit(0.0)
+        possible = (F.col("events") > 0) & (F.col("seen") == F.col("events"))
+    mean = F.try_divide(F.col("word_part") - F.col("context_part") - unmet, F.col("events"))
+    return summed.select(
+        "n", "events", F.when(possible, F.exp(-mean)).otherwise(F.lit(float("inf"))).alias("perplexity")
     )
 
 
@@ -167,8 +174,8 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
     """``(n, context, word, p, q)``: ``q`` is ``p ** (1/T)`` renormalised over the seen successors."""
     joined = lookup(model.counts, model.totals, ["n", "context"], spread=salt_of("context", "word"), weight="total")
     if model.laplace:
-        v = F.element_at(_vocabulary_sizes(model), F.col("n"))
-        p = (F.col("cnt") + 1).cast("double") / (F.col("total") + v)
+        joined = joined.withColumn("_v", _v(model))
+        p = (F.col("cnt") + 1).cast("double") / (F.col("total") + F.col("_v"))
     else:
         p = F.col("cnt").cast("double") / F.col("total")
     powered = joined.withColumn("p", p).withColumn("pw", F.pow("p", F.lit(1.0 / temperature)))

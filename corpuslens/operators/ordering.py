@@ -1,111 +1,92 @@
-"""Seeded order statistics and dense ranks without a single-partition window.
-
-Both work on bucket counts: a table bounded by the number of buckets is summed
-up in order, and only the rows of one bucket are ever sorted together.
-"""
+"""Seeded order statistics and dense ranks without a single-partition window."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.seeded import order_key
+from corpuslens.session import materialise
 
-PREFIX_DIGITS = 4  # 65,536 equally likely md5 buckets
-SPLIT_POINTS = 255  # value buckets of an arbitrary order
-
-
-def _running_offsets(counts: DataFrame) -> DataFrame:
-    """``(bucket, cnt)`` to ``(bucket, cnt, lo, total)``; the input has one row per bucket."""
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.select(
-        "bucket",
-        "cnt",
-        (F.sum("cnt").over(upto) - F.col("cnt")).alias("lo"),
-        F.sum("cnt").over(everything).alias("total"),
-    )
+PREFIX_DIGITS = 3  # 4,096 equally likely md5 buckets
+ROW_BITS = 33  # row part of monotonically_increasing_id
 
 
-def seeded_cuts(df: DataFrame, salt: str, ranks: Mapping[str, Column], id_col: str = "doc_id") -> DataFrame:
-    """One row ``(cut, at)`` per named rank: ``at`` is the ``(key, id)`` pair at that
-    zero-based rank of the seeded order. A rank past the end gives no row.
+def seeded_cuts(
+    df: DataFrame, salt: str, ranks: Callable[[int], Mapping[str, int]], id_col: str = "doc_id"
+) -> dict[str, tuple[str, int]]:
+    """The ``(key, id)`` pair at each named zero-based rank of the seeded order.
 
-    ``ranks`` may refer to ``total``, the number of rows. Only ids are read, and
-    only the buckets that hold a cut are sorted.
+    ``ranks`` gets the number of rows and names the ranks wanted; a rank past the
+    end has no entry. Only ids are read. The driver receives one count per md5
+    bucket (at most 4,096) and one row per cut; only the buckets that hold a cut
+    are sorted, each 1/4,096 of the ids.
     """
-    keyed = df.select(F.col(id_col), order_key(salt, F.col(id_col)).alias("key")).withColumn(
+    keyed = df.select(F.col(id_col).alias("id"), order_key(salt, F.col(id_col)).alias("key")).withColumn(
         "bucket", F.substring("key", 1, PREFIX_DIGITS)
     )
-    offsets = _running_offsets(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt")))
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("cut"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()
-    ]))
-    holding = (
-        offsets.select("*", wanted.alias("w"))
-        .select("bucket", "cnt", "lo", "w.cut", "w.rank")
-        .filter("lo <= rank AND rank < lo + cnt")
-    )
-    within = Window.partitionBy("cut").orderBy("key", id_col)
-    return (
-        keyed.join(F.broadcast(holding), "bucket")  # at most one row per named rank
-        .withColumn("at_rank", F.col("lo") + F.row_number().over(within) - 1)
-        .filter("at_rank = rank")
-        .select("cut", F.struct(F.col("key"), F.col(id_col).alias("id")).alias("at"))
+    counts = sorted((r.bucket, r.cnt) for r in keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt")).collect())
+    ends = list(accumulate(cnt for _, cnt in counts))
+    total = ends[-1] if ends else 0
+    wanted = {}
+    for name, rank in ranks(total).items():
+        at = next((i for i, end in enumerate(ends) if 0 <= rank < end), None)
+        if at is not None:
+            wanted[name] = (counts[at][0], rank - (ends[at] - counts[at][1]) + 1)
+    if not wanted:
+        return {}
+    within = Window.partitionBy("bucket").orderBy("key", "id")
+    places = sorted(set(wanted.values()))
+    is_cut = F.lit(False)
+    for bucket, place in places:
+        is_cut = is_cut | ((F.col("bucket") == bucket) & (F.col("place") == place))
+    found = (
+        keyed.filter(F.col("bucket").isin(sorted({b for b, _ in places})))
+        .withColumn("place", F.row_number().over(within))
+        .filter(is_cut)
+        .collect()
     )
+    by_place = {(r.bucket, r.place): (r.key, r.id) for r in found}
+    return {name: by_place[place] for name, place in wanted.items()}
 
 
-def before(cuts: DataFrame, salt: str, id_col: str = "doc_id") -> dict[str, Column]:
-    """Per-row tests "ranks before the cut", by cut name; a cut past the end has no entry.
+def before(cut: tuple[str, int] | None, salt: str, id_col: str = "doc_id") -> Column:
+    """Per-row test "ranks before the cut"; without a cut every row does.
 
-    The cuts (one row per name) are fetched once and become constants, so the test
-    is a plain comparison wherever the frame is used afterwards.
+    The cut is a constant, so the test is one comparison wherever the frame is used.
     """
+    if cut is None:
+        return F.lit(True)
     key = order_key(salt, F.col(id_col))
-    found = {row.cut: row["at"] for row in cuts.collect()}
-    return {
-        name: (key < at.key) | ((key == at.key) & (F.col(id_col) < F.lit(at.id))) for name, at in found.items()
-    }
+    return (key < cut[0]) | ((key == cut[0]) & (F.col(id_col) < F.lit(cut[1])))
+
 
+def dense_rank_rows(df: DataFrame, *order: str, rank_col: str = "rank") -> DataFrame:
+    """Add the zero-based rank of every row by columns that identify it.
 
-def _rank_in_buckets(df: DataFrame, order: Sequence[Column], rank_col: str) -> DataFrame:
-    counts = df.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"))
-    offsets = _running_offsets(counts).select("bucket", "lo")
-    within = Window.partitionBy("bucket").orderBy(*order)
+    A range sort numbers the rows inside each partition; the sorted rows are written
+    once, which freezes the numbering, and each partition is shifted by the rows
+    before it. The offsets are one row per partition of the sort.
+    """
+    number = F.monotonically_increasing_id()
+    frozen = materialise(df.orderBy(*order).withColumn("_number", number), "ranked")
+    part = F.shiftright("_number", ROW_BITS)
+    sizes = frozen.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("rows"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select("_part", (F.sum("rows").over(upto) - F.col("rows")).alias("_offset"))
+    row = F.col("_number").bitwiseAND((1 << ROW_BITS) - 1)
     return (
-        df.withColumn("in_bucket", F.row_number().over(within))
-        .join(F.broadcast(offsets), "bucket")  # at most one row per bucket
-        .withColumn(rank_col, F.col("lo") + F.col("in_bucket") - 1)
-        .drop("bucket", "lo", "in_bucket")
+        frozen.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")  # at most one row per sort partition
+        .withColumn(rank_col, F.col("_offset") + row)
+        .drop("_number", "_part", "_offset")
     )
 
 
 def seeded_rank(df: DataFrame, salt: str, id_col: str = "doc_id", rank_col: str = "rank") -> DataFrame:
     """Add the dense zero-based rank of every row in the seeded order."""
-    keyed = df.withColumn("order_key", order_key(salt, F.col(id_col))).withColumn(
-        "bucket", F.substring("order_key", 1, PREFIX_DIGITS)
-    )
-    return _rank_in_buckets(keyed, [F.col("order_key"), F.col(id_col)], rank_col).drop("order_key")
-
-
-def value_rank(df: DataFrame, order_col: str, rank_col: str = "rank") -> DataFrame:
-    """Add the dense zero-based rank of every row by a distinct numeric column.
-
-    Buckets are cut at approximate percentiles, so their sizes stay even however
-    the values are spread. The cuts (at most 255 numbers) are fetched once, as a
-    range partitioning does, so that every branch of the plan sees the same ones.
-    """
-    shares = [(i + 1) / (SPLIT_POINTS + 1) for i in range(SPLIT_POINTS)]
-    found = df.agg(F.percentile_approx(order_col, shares, F.lit(10_000))).first()[0]
-    points = sorted(set(found or []))
-    kind = df.schema[order_col].dataType
-
-    def side(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(order_col) <= F.lit(points[mid]).cast(kind), side(lo, mid)).otherwise(side(mid + 1, hi))
-
-    return _rank_in_buckets(df.withColumn("bucket", side(0, len(points))), [F.col(order_col)], rank_col)
+    keyed = df.withColumn("_key", order_key(salt, F.col(id_col)))
+    return dense_rank_rows(keyed, "_key", id_col, rank_col=rank_col).drop("_key")

@@ -7,7 +7,7 @@ then classified by one comparison each, without moving.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.seeded import order_key
@@ -17,8 +17,8 @@ from corpuslens.operators.ordering import before, seeded_cuts, seeded_rank
 def sample_reviews(df: DataFrame, n: int, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """``n`` rows without replacement; all rows if there are no more than ``n``."""
     salt = str(seed)
-    inside = before(seeded_cuts(df, salt, {"sample": F.lit(n)}, id_col), salt, id_col)
-    return df.filter(inside["sample"]) if inside else df
+    cuts = seeded_cuts(df, salt, lambda total: {"sample": n}, id_col)
+    return df.filter(before(cuts["sample"], salt, id_col)) if cuts else df
 
 
 def check_ratios(train: float, val: float, test: float) -> None:
@@ -26,11 +26,6 @@ def check_ratios(train: float, val: float, test: float) -> None:
         raise ValueError(f"ratios must sum to 1, got {train} + {val} + {test}")
 
 
-def _share(ratio: float) -> Column:
-    """Truncated share of the row count, in double arithmetic."""
-    return (F.col("total") * F.lit(float(ratio))).cast("bigint")
-
-
 def assign_split(
     df: DataFrame,
     *,
@@ -53,9 +48,10 @@ def assign_split(
         in_train = bucket < F.lit(round(train * 1_000_000))
         in_val = bucket < F.lit(round((train + val) * 1_000_000))
     elif mode == "exact":
-        ends = {"train": _share(train), "val": _share(train) + _share(val)}
-        inside = before(seeded_cuts(df, salt, ends, id_col), salt, id_col)
-        in_train, in_val = (inside.get(name, F.lit(True)) for name in ends)
+        cuts = seeded_cuts(
+            df, salt, lambda total: {"train": int(total * train), "val": int(total * train) + int(total * val)}, id_col
+        )
+        in_train, in_val = (before(cuts.get(name), salt, id_col) for name in ("train", "val"))
     else:
         raise ValueError(f"mode must be 'exact' or 'hash', got {mode!r}")
     return df.withColumn("split", F.when(in_train, "train").when(in_val, "val").otherwise("test"))
@@ -64,9 +60,9 @@ def assign_split(
 def select_test(df: DataFrame, n: int = 100, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Add ``selected``: a seeded choice of at most ``n`` test rows."""
     salt = f"{seed}:selected"
-    test = df.filter("split = 'test'")
-    inside = before(seeded_cuts(test, salt, {"selected": F.lit(n)}, id_col), salt, id_col)
-    return df.withColumn("selected", (F.col("split") == "test") & inside.get("selected", F.lit(True)))
+    cuts = seeded_cuts(df.filter("split = 'test'"), salt, lambda total: {"selected": n}, id_col)
+    chosen = before(cuts.get("selected"), salt, id_col)
+    return df.withColumn("selected", (F.col("split") == "test") & chosen)
 
 
 def take_split(df: DataFrame, keys: DataFrame | None, id_col: str = "doc_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions.labels import encode_label
 from corpuslens.operators.lookup import lookup, salt_of
-from corpuslens.operators.ordering import seeded_rank, value_rank
+from corpuslens.operators.ordering import dense_rank_rows, seeded_rank
 from corpuslens.operators.stats import at_position
 from corpuslens.schema import BOS, EOS, PAD, SPECIAL_IDS, UNK, require_columns
 from corpuslens.session import materialise
@@ -22,8 +22,6 @@ UNK_ID = SPECIAL_IDS[UNK]
 def build_vocabulary(df: DataFrame, min_freq: int = 10, words_col: str = "_words", id_col: str = "doc_id") -> DataFrame:
     """``(token, id, cnt)``: the special tokens, then every token with at least
     ``min_freq`` occurrences, numbered in the order the corpus first shows them.
-
-    The candidates are written once; ranking them needs their count per bucket first.
     """
     require_columns(df, words_col, id_col, hint=NEEDS_WORDS)
     exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token")).filter("token IS NOT NULL")
@@ -32,7 +30,7 @@ def build_vocabulary(df: DataFrame, min_freq: int = 10, words_col: str = "_words
         .agg(F.count(F.lit(1)).alias("cnt"), F.min(at_position(id_col, "pos")).alias("first"))
         .filter((F.col("cnt") >= min_freq) & ~F.col("token").isin(list(SPECIAL_IDS)))
     )
-    ranked = value_rank(materialise(candidates, "vocabulary-candidates"), "first")
+    ranked = dense_rank_rows(candidates, "first")
     specials = df.sparkSession.createDataFrame(
         [(t, i, 0) for t, i in SPECIAL_IDS.items()], "token STRING, id INT, cnt BIGINT"
     )
@@ -135,7 +133,7 @@ def batches(
     """
     lengths = pairs.select(id_col, F.size("input_ids").alias("length"))
     if shuffle_seed is None:
-        ranked = value_rank(lengths, id_col)
+        ranked = dense_rank_rows(lengths, id_col)
     else:
         ranked = seeded_rank(lengths, f"{shuffle_seed}:{epoch}", id_col)
     placed = ranked.select(

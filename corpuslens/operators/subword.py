@@ -76,17 +76,18 @@ def _matches(words: DataFrame, pieces: DataFrame, max_piece: int) -> DataFrame:
     A word meets at most ``max_piece`` pieces per position; frequent pieces are
     resolved by a broadcast in the lookup.
     """
-    spans = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.char_length("token")),
-        lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(max_piece), F.char_length("token") - i + 1)),
-            lambda k: F.struct(
-                i.alias("start"), k.alias("length"),
-                F.concat(F.when(i == 1, "").otherwise(INNER), F.substring(F.col("token"), i, k)).alias("piece"),
-            ),
-        ),
-    ))
-    exploded = words.select("token", F.explode_outer(spans).alias("s")).select("token", "s.*")
+    # spread by word first: with a broadcast lookup the spans of a word never move again
+    parts = words.sparkSession.sparkContext.defaultParallelism
+    starts = F.explode_outer(F.sequence(F.lit(1), F.char_length("token")))
+    sizes = F.explode(F.array(*[F.lit(k) for k in range(1, max_piece + 1)]))
+    mark = F.when(F.col("start") == 1, "").otherwise(INNER)
+    exploded = (
+        words.select("token").repartition(parts, "token")
+        .select("token", starts.alias("start"))
+        .select("token", "start", sizes.alias("length"))
+        .filter(F.col("start") + F.col("length") <= F.char_length("token") + 1)
+        .withColumn("piece", F.concat(mark, F.substring(F.col("token"), F.col("start"), F.col("length"))))
+    )
     found = lookup(exploded, pieces, ["piece"], spread=salt_of("token", "start", "length"))
     return found.filter("id IS NOT NULL")
 
@@ -103,16 +104,15 @@ def greedy_table(words: DataFrame, pieces: DataFrame) -> DataFrame:
     """
     unknown = F.array(F.lit(SPECIAL_PIECES["[UNK]"]))
     short = words.filter(F.char_length("token") <= MAX_WORD_CHARS)
-    longest = (
-        _matches(short, pieces, _piece_limit(pieces))
-        .groupBy("token", "start")
-        .agg(F.max("length").alias("length"), F.max_by("id", "length").alias("id"))
+    # per position the longest piece sorts first, and the walk takes only the first
+    span = F.struct("start", (-F.col("length")).alias("back"), "id")
+    spans = (
+        _matches(short, pieces, _piece_limit(pieces)).groupBy("token").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     )
-    spans = longest.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("start", "length", "id"))).alias("spans"))
 
     def walk(state: Column, span: Column) -> Column:
         taken = F.struct(
-            (state["next"] + span["length"]).alias("next"), F.concat(state["ids"], F.array(span["id"])).alias("ids")
+            (state["next"] - span["back"]).alias("next"), F.concat(state["ids"], F.array(span["id"])).alias("ids")
         )
         return F.when(span["start"] == state["next"], taken).otherwise(state)
 
@@ -124,27 +124,27 @@ def greedy_table(words: DataFrame, pieces: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _best_path(lengths: pd.Series, matches: pd.Series) -> pd.Series:
-    """Most probable cover of each word; NULL if there is none."""
-
-    def solve(length: int, spans: list[dict]) -> list[int] | None:
-        best: list[tuple[float, int, int, int] | None] = [(0.0, 0, 0, 0)] + [None] * length
-        for s in sorted(spans, key=lambda s: (s["start"], s["length"])):
-            before, end = best[s["start"] - 1], s["start"] + s["length"] - 1
-            if before is None:
-                continue
-            score = before[0] + s["logp"]
-            if best[end] is None or (score, s["length"]) > best[end][:2]:
-                best[end] = (score, s["length"], s["id"], s["start"] - 1)
-        if best[length] is None:
+def _best_path(size: pd.Series, starts: pd.Series, lengths: pd.Series, ids: pd.Series, logps: pd.Series) -> pd.Series:
+    """Most probable cover of each word by its spans, sorted by start and length; NULL if there is none."""
+
+    def solve(size, *spans):
+        score = [0.0] + [float("-inf")] * size  # best log probability of a cover up to each position
+        last = [(0, 0)] * (size + 1)  # length and id of the piece that ends there
+        for start, length, piece, logp in zip(*spans):
+            candidate = (score[start - 1] + logp, length)
+            end = start + length - 1
+            if candidate[0] > float("-inf") and candidate > (score[end], last[end][0]):
+                score[end], last[end] = candidate[0], (length, piece)
+        if score[size] == float("-inf"):
             return None
-        path, at = [], length
-        while at:
-            path.append(best[at][2])
-            at = best[at][3]
+        path = []
+        while size:
+            length, piece = last[size]
+            path.append(piece)
+            size -= length
         return path[::-1]
 
-    return pd.Series([solve(n, list(m)) for n, m in zip(lengths, matches)])
+    return pd.Series([solve(*row) for row in zip(size, starts, lengths, ids, logps)])
 
 
 def unigram_table(words: DataFrame, pieces: DataFrame | None) -> DataFrame:
@@ -158,9 +158,10 @@ def unigram_table(words: DataFrame, pieces: DataFrame | None) -> DataFrame:
     spans = (
         _matches(words, pieces, _piece_limit(pieces))
         .groupBy("token")
-        .agg(F.collect_list(F.struct("start", "length", "id", "logp")).alias("spans"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "length", "id", "logp"))).alias("spans"))
     )
-    solved = spans.select("token", _best_path(F.char_length("token"), "spans").alias("path"))
+    arrays = [F.col("spans")[c] for c in ("start", "length", "id", "logp")]
+    solved = spans.select("token", _best_path(F.char_length("token"), *arrays).alias("path"))
     return words.join(solved, "token", "left").select("token", F.coalesce("path", unknown).alias("pieces"), "cnt")
 
 

@@ -133,7 +133,7 @@ PARTS = {
         FROM test_events e LEFT JOIN counts c ON e.n = c.n AND e.context = c.context AND e.word = c.word
         LEFT JOIN totals t ON e.n = t.n AND e.context = t.context JOIN v ON e.n = v.n""",
     "laplace": """
-        SELECT n, sum(w)::BIGINT AS events, round(exp(-sum(w * ln((cnt + 1)::DOUBLE / (total + v))) / sum(w)), 6) AS perplexity
+        SELECT n, sum(w)::BIGINT AS events, round(exp(-sum(w * ln((cnt + 1)::DOUBLE / (total + v))) / sum(w)), 4) AS perplexity
         FROM scored_events GROUP BY n""",
     "vocabulary": f"""
         SELECT * FROM (VALUES ('<PAD>', 0, 0), ('<UNK>', 1, 0), ('<s>', 2, 0), ('</s>', 3, 0)) AS s(token, id, cnt)
@@ -433,7 +433,7 @@ BODIES = {
         SELECT n, context, word, round(CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE cnt::DOUBLE / total END, 12) AS p FROM scored_events""",
     "l07_perplexity_laplace": "SELECT * FROM laplace",
     "l07_perplexity_unsmoothed_train": """
-        SELECT n, sum(cnt)::BIGINT AS events, round(exp(-sum(cnt * ln(cnt::DOUBLE / total)) / sum(cnt)), 6) AS perplexity
+        SELECT n, sum(cnt)::BIGINT AS events, round(exp(-sum(cnt * ln(cnt::DOUBLE / total)) / sum(cnt)), 4) AS perplexity
         FROM (SELECT n, context, word, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY n, context) AS total
               FROM events GROUP BY n, context, word) GROUP BY n""",
     "l10_successors": top(

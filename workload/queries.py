@@ -225,7 +225,7 @@ def s07_ngram_model_persistence(spark, sf):
     path = fresh_path(spark, "model")
     files.save_ngram_model(model, path)
     out = ngram.perplexity(files.load_ngram_model(spark, path), test)
-    return out.select("n", "events", r6("perplexity").alias("perplexity"))
+    return out.select("n", "events", F.round("perplexity", 4).alias("perplexity"))
 
 
 @query
@@ -654,7 +654,7 @@ def l06_unsmoothed_probability(spark, sf):
 @query
 def l07_perplexity_laplace(spark, sf):
     model, test = fitted(spark, sf)
-    return ngram.perplexity(model, test).select("n", "events", r6("perplexity").alias("perplexity"))
+    return ngram.perplexity(model, test).select("n", "events", F.round("perplexity", 4).alias("perplexity"))
 
 
 @query
@@ -662,7 +662,7 @@ def l07_perplexity_unsmoothed_train(spark, sf):
     """Scored on its own training text, where nothing is impossible."""
     df = words(spark, sf)
     out = ngram.perplexity(ngram.fit(df, (2, 3), laplace=False), df)
-    return out.select("n", "events", r6("perplexity").alias("perplexity"))
+    return out.select("n", "events", F.round("perplexity", 4).alias("perplexity"))
 
 
 @query
@@ -675,7 +675,7 @@ def l08_generated_sentences(spark, sf):
 def l09_compare_sizes(spark, sf):
     df = sampling.assign_split(tokenise(turns(spark, sf)).withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn")))
     _, out = compare_sizes(df, (1, 2, 3))
-    return out.select("n", "events", r6("perplexity").alias("perplexity"))
+    return out.select("n", "events", F.round("perplexity", 4).alias("perplexity"))
 
 
 @query
