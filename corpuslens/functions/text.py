@@ -78,18 +78,22 @@ def strip_punctuation(c: Column) -> Column:
     return F.regexp_replace(c, PUNCTUATION, "")
 
 
-def clean(
+def clean(c: Column, **options: object) -> Column:
+    """The whole cleaning chain: line-break tags, case, then ``clean_lowered``."""
+    return clean_lowered(lowercase(remove_breaks(c)), **options)
+
+
+def clean_lowered(
     c: Column,
     *,
     stop_words: Iterable[str] | None = None,
     contractions: bool = True,
     punctuation: bool = False,
 ) -> Column:
-    """The cleaning chain in its fixed order.
+    """The steps after lower-casing, in their fixed order.
 
     ``punctuation=True`` keeps punctuation, as the tokenisers that need it do.
     """
-    c = lowercase(remove_breaks(c))
     if contractions:
         c = expand_contractions(c)
     if stop_words is not None:

@@ -26,11 +26,13 @@ def tokenise(
     cut = text.tokenizer(tokenizer, custom)
     if tokenizer == "word" and custom is None:
         cut = lambda c: text.word_tokens(c, treebank)
-    cleaned = text.clean(
+    cleaned = text.clean_lowered(
         F.col("review"), stop_words=stop_words, contractions=contractions, punctuation=tokenizer != "word"
     )
     return (
-        reviews.withColumn("review", cleaned)
+        # lower-casing is a step of its own: the next one refers to its result three times
+        reviews.withColumn("review", text.lowercase(text.remove_breaks(F.col("review"))))
+        .withColumn("review", cleaned)
         .withColumn("_words", cut(F.col("review")))
         .withColumn("_word_count", F.size("_words"))
         .withColumn("_char_len", F.char_length("review"))

@@ -171,20 +171,18 @@ SUB_DIGITS = 2  # 256 sub-buckets of a context's successors
 
 
 def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
-    """``(n, context, word, p, q)``: ``q`` is ``p ** (1/T)`` renormalised over the seen successors."""
-    joined = lookup(model.counts, model.totals, ["n", "context"], spread=salt_of("context", "word"), weight="total")
-    if model.laplace:
-        joined = joined.withColumn("_v", _v(model))
-        p = (F.col("cnt") + 1).cast("double") / (F.col("total") + F.col("_v"))
-    else:
-        p = F.col("cnt").cast("double") / F.col("total")
-    powered = joined.withColumn("p", p).withColumn("pw", F.pow("p", F.lit(1.0 / temperature)))
-    powered = materialise(powered.select("n", "context", "word", "p", "pw"), "ngram-sharpened")
-    sums = materialise(
-        powered.groupBy("n", "context").agg(F.sum("pw").alias("sum_pw"), F.count(F.lit(1)).alias("cnt")), "ngram-sharpened-sums"
+    """``(n, context, word, cnt, q)``: ``q`` is ``p ** (1/T)`` renormalised over the seen successors.
+
+    The denominator of ``p`` is the same for all successors of a context and cancels.
+    """
+    plus = 1 if model.laplace else 0
+    raised = F.pow((F.col("cnt") + plus).cast("double"), F.lit(1.0 / temperature))
+    sums = model.counts.groupBy("n", "context").agg(F.sum(raised).alias("mass"), F.count(F.lit(1)).alias("successors"))
+    found = lookup(
+        model.counts, materialise(sums, "ngram-masses"), ["n", "context"],
+        spread=salt_of("context", "word"), weight="successors",
     )
-    found = lookup(powered, sums, ["n", "context"], spread=salt_of("context", "word"))
-    return found.select("n", "context", "word", "p", (F.col("pw") / F.col("sum_pw")).alias("q"))
+    return found.select("n", "context", "word", "cnt", (raised / F.col("mass")).alias("q"))
 
 
 @dataclass(frozen=True)

@@ -11,8 +11,8 @@ from corpuslens.functions.text import blank_to_null, words_of
 from corpuslens.operators.ngram import NGramModel
 from corpuslens.schema import EVALUATION, REVIEWS, require_columns
 
-# Texts hold commas, quotes and line breaks: quote everything, double inner quotes,
-# keep outer blanks.
+# Texts hold commas, quotes and line breaks: inner quotes are doubled, outer blanks
+# kept. A quoted empty field is an empty text, an unquoted one is NULL.
 CSV = {
     "header": True,
     "quote": '"',
@@ -23,11 +23,12 @@ CSV = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV, multiLine=True, emptyValue="").csv(path)
+    # a NULL mark no text holds: with the default, an empty text would read as NULL too
+    return spark.read.schema(schema).options(**CSV, multiLine=True, nullValue="\u0000").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**CSV, quoteAll=True, emptyValue="").csv(path)
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEWS) -> DataFrame:
