@@ -55,6 +55,21 @@ def uniform(salt: str, column: str) -> str:
     return f"(('0x' || substr(md5('{salt}:' || {column}), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE)"
 
 
+def grown(me: str, cdf: str, sizes: str) -> str:
+    """Recursive sentence growth: one seeded draw per step from the cumulative weights."""
+    u = "(('0x' || substr(md5('42:' || (step + 1) || ':' || sent_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE)"
+    draw = f"floor({u} * mass)"
+    return f"""
+        SELECT n, doc_id AS sent_id, 0 AS step, CASE n WHEN 2 THEN '<s>' ELSE '<s> <s>' END AS context,
+               []::VARCHAR[] AS words, false AS done
+        FROM test_documents JOIN (SELECT unnest({sizes}) AS n) ON true
+        UNION ALL
+        SELECT g.n, sent_id, step + 1, CASE g.n WHEN 2 THEN c.word ELSE split_part(g.context, ' ', 2) || ' ' || c.word END,
+               CASE WHEN c.word = '</s>' THEN words ELSE list_append(words, c.word) END, c.word = '</s>'
+        FROM {me} g JOIN {cdf} c ON g.n = c.n AND g.context = c.context AND {draw} >= hi - w AND {draw} < hi
+        WHERE NOT done AND step < 10"""
+
+
 # Named parts; each entry may use the ones before it.
 PARTS = {
     "reviews": f"""
@@ -135,6 +150,37 @@ PARTS = {
     "laplace": """
         SELECT n, sum(w)::BIGINT AS events, round(exp(-sum(w * ln((cnt + 1)::DOUBLE / (total + v))) / sum(w)), 4) AS perplexity
         FROM scored_events GROUP BY n""",
+    "mass": """
+        SELECT n, context, word, cnt + 1 AS w, sum(cnt + 1) OVER (PARTITION BY n, context) AS mass,
+               sum(cnt + 1) OVER (PARTITION BY n, context ORDER BY substr(md5(word), 1, 2), word) AS hi
+        FROM counts""",
+    "sharp": """
+        SELECT n, context, word, greatest(1, round(pow((cnt + 1)::DOUBLE / top, 1 / 0.8::DOUBLE) * 1000000000))::BIGINT AS w
+        FROM (SELECT *, max(cnt + 1) OVER (PARTITION BY n, context) AS top FROM counts WHERE n = 2)""",
+    "sharp_mass": """
+        SELECT n, context, word, w, sum(w) OVER (PARTITION BY n, context) AS mass,
+               sum(w) OVER (PARTITION BY n, context ORDER BY substr(md5(word), 1, 2), word) AS hi
+        FROM sharp""",
+    "test_documents": "SELECT doc_id FROM splits WHERE split = 'test'",
+    "grown": grown("grown", "mass", "[2, 3]"),
+    "sharp_grown": grown("sharp_grown", "sharp_mass", "[2]"),
+    "turn_splits": """
+        SELECT doc_id, words, CASE WHEN r < trunc(total * 0.8::DOUBLE) THEN 'train'
+            WHEN r < trunc(total * 0.8::DOUBLE) + trunc(total * 0.1::DOUBLE) THEN 'val' ELSE 'test' END AS split
+        FROM (SELECT conv_id * 1000 + turn AS doc_id, words, count(*) OVER () AS total,
+                     row_number() OVER (ORDER BY md5('42:' || (conv_id * 1000 + turn)), conv_id * 1000 + turn) - 1 AS r FROM turn_words)""",
+    "turn_padded": """
+        SELECT doc_id, split, unnest(list_append(words, '</s>')) AS word, generate_subscripts(list_append(words, '</s>'), 1) AS pos
+        FROM turn_splits""",
+    "turn_lags": """
+        SELECT doc_id, split, word, coalesce(lag(word, 1) OVER w, '<s>') AS back1, coalesce(lag(word, 2) OVER w, '<s>') AS back2
+        FROM turn_padded WINDOW w AS (PARTITION BY doc_id ORDER BY pos)""",
+    "turn_events": """
+        SELECT split, 1 AS n, '' AS context, word FROM turn_lags
+        UNION ALL SELECT split, 2, back1, word FROM turn_lags
+        UNION ALL SELECT split, 3, back2 || ' ' || back1, word FROM turn_lags""",
+    "turn_counts": "SELECT n, context, word, count(*) AS cnt FROM turn_events WHERE split = 'train' GROUP BY n, context, word",
+    "turn_totals": "SELECT n, context, sum(cnt) AS total FROM turn_counts GROUP BY n, context",
     "vocabulary": f"""
         SELECT * FROM (VALUES ('<PAD>', 0, 0), ('<UNK>', 1, 0), ('<s>', 2, 0), ('</s>', 3, 0)) AS s(token, id, cnt)
         UNION ALL
@@ -223,7 +269,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk"}
+RECURSIVE = {"walk", "grown", "sharp_grown"}
 
 # What each part reads directly.
 NEEDS = {
@@ -436,6 +482,13 @@ BODIES = {
         SELECT n, sum(cnt)::BIGINT AS events, round(exp(-sum(cnt * ln(cnt::DOUBLE / total)) / sum(cnt)), 4) AS perplexity
         FROM (SELECT n, context, word, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY n, context) AS total
               FROM events GROUP BY n, context, word) GROUP BY n""",
+    "l08_generated_sentences": """
+        SELECT n, sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM grown WHERE done OR step = 10""",
+    "l09_compare_sizes": """
+        SELECT n, sum(w)::BIGINT AS events, round(exp(-sum(w * ln((coalesce(cnt, 0) + 1)::DOUBLE
+            / (coalesce(total, 0) + (SELECT count(DISTINCT word) FROM turn_counts)))) / sum(w)), 4) AS perplexity
+        FROM (SELECT n, context, word, count(*) AS w FROM turn_events WHERE split = 'test' GROUP BY n, context, word)
+        LEFT JOIN turn_counts USING (n, context, word) LEFT JOIN turn_totals USING (n, context) GROUP BY n""",
     "l10_successors": top(
         "n, context", "(SELECT * FROM counts WHERE n = 2 AND context IN (SELECT context FROM test_events WHERE n = 2))",
         "cnt DESC, word", 3, "n, context, rank::INTEGER AS rank, word, cnt"),
@@ -471,6 +524,8 @@ BODIES = {
         SELECT n, context, word, round(pw / sum(pw) OVER (PARTITION BY n, context), 9) AS q FROM (
             SELECT c.n, c.context, c.word, pow((cnt + 1)::DOUBLE / (total + v), 1 / 0.8::DOUBLE) AS pw
             FROM counts c JOIN totals t ON c.n = t.n AND c.context = t.context JOIN v ON c.n = v.n)""",
+    "v10_temperature_sentences": """
+        SELECT sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM sharp_grown WHERE done OR step = 10""",
     # classification
     "c03_external_predict": """
         SELECT doc_id, CASE WHEN score > 0.5 THEN 1 ELSE 0 END::INTEGER AS prediction, round(score, 6) AS score FROM (
