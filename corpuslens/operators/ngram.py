@@ -189,10 +189,12 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
 class DrawTable:
     """Cumulative integer weights of the seen successors of every context.
 
-    ``steps(n, context, cell, lo, hi, word)``: a draw ``r`` picks the row with
+    ``steps(n, context, cell, lo, hi, word, ...)``: a draw ``r`` picks the row with
     ``lo <= r < hi``. The range of a context is cut into as many equal cells as it
     has successors and a row is listed under each cell it touches, so a uniform
-    draw meets two rows on average, however many successors there are.
+    draw meets two rows on average, however many successors there are. Each row
+    also holds the context its word leads to, with that context's range
+    (``next_context, next_mass, next_successors``), so a walk needs one join a step.
     """
 
     steps: DataFrame
@@ -231,24 +233,36 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
         ),
         "ngram-offsets",
     )
-    contexts = offsets.groupBy("n", "context").agg(
-        F.max("successors").alias("successors"), F.max("context_mass").alias("mass")
+    contexts = materialise(
+        offsets.groupBy("n", "context").agg(F.max("successors").alias("successors"), F.max("context_mass").alias("mass")),
+        "ngram-draw-contexts",
     )
     within = Window.partitionBy("n", "context", "sub").orderBy("word").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    spread = salt_of("context", "word")
     placed = lookup(
-        rows.withColumn("running", F.sum("weight").over(within)),
-        offsets, ["n", "context", "sub"], spread=salt_of("context", "word"),
+        rows.withColumn("running", F.sum("weight").over(within)), offsets, ["n", "context", "sub"], spread=spread
     )
+    if n > 1:
+        following = F.array_join(F.slice(F.concat(F.split("context", " "), F.array("word")), 2, n - 1), " ")
+    else:
+        following = F.lit("")
     placed = placed.select(
         "n", "context", "word", "successors", F.col("context_mass").alias("mass"),
         (F.col("offset") + F.col("running") - F.col("weight")).alias("lo"),
         (F.col("offset") + F.col("running")).alias("hi"),
+        following.alias("next_context"),
     )
+    ahead = contexts.select(
+        "n", F.col("context").alias("next_context"), F.col("successors").alias("next_successors"), F.col("mass").alias("next_mass")
+    )
+    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread, weight="next_mass")
     cells = F.explode(F.sequence(_cell(F.col("lo")), _cell(F.col("hi") - 1)))
-    steps = placed.select("n", "context", cells.alias("cell"), "lo", "hi", "word")
-    return DrawTable(materialise(steps, "ngram-draws"), materialise(contexts, "ngram-draw-contexts"))
+    steps = linked.select(
+        "n", "context", cells.alias("cell"), "lo", "hi", "word", "next_context", "next_successors", "next_mass"
+    )
+    return DrawTable(materialise(steps, "ngram-draws"), contexts)
 
 
 def _cell(at: Column) -> Column:
@@ -261,18 +275,21 @@ def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id"
 
     ``u`` is a uniform number per row. A row whose context was never seen gets NULL.
     """
+    located = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col), weight="mass")
+    return _step(table, located, u).select(*states.columns, "word")
+
+
+def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
+    """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step."""
     mass = F.col("mass")
-    found = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col), weight="mass")
-    located = (
-        found.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1))
-        .withColumn("_cell", _cell(F.col("_r")))
-        .drop("successors", "mass")
+    aimed = located.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1)).withColumn(
+        "_cell", _cell(F.col("_r"))
     )
-    steps = table.steps.select("n", "context", F.col("cell").alias("_cell"), "lo", "hi", "word")
+    steps = table.steps.withColumnRenamed("cell", "_cell").alias("t")
     hit = (F.col("s._r") >= F.col("t.lo")) & (F.col("s._r") < F.col("t.hi"))
     on = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("n", "context", "_cell")]
-    joined = located.alias("s").join(steps.alias("t"), [*on, hit], "left")
-    return joined.select(*[F.col(f"s.{c}") for c in states.columns], F.col("t.word").alias("word"))
+    chosen = [F.col(f"t.{c}") for c in ("word", "next_context", "next_successors", "next_mass")]
+    return aimed.alias("s").join(steps, [*on, hit], "left").select(*[F.col(f"s.{c}") for c in located.columns], *chosen)
 
 
 def generate(
@@ -294,21 +311,21 @@ def generate(
     """
     table = draw_table(model, n, temperature)
     start = " ".join([BOS] * (n - 1))
+    first = table.contexts.filter(F.col("context") == start).first()  # at most one row
+    if first is None:
+        raise ValueError("the model has seen no document")
     state = seeds.select(
         F.col(id_col), F.lit(n).alias("n"), F.lit(start).alias("context"),
+        F.lit(first.successors).alias("successors"), F.lit(first.mass).alias("mass"),
         F.array().cast("array<string>").alias("words"), F.lit(False).alias("done"),
     )
-    if n > 1:
-        shifted = F.array_join(F.slice(F.concat(F.split("context", " "), F.array("word")), 2, n - 1), " ")
-    else:
-        shifted = F.lit("")
     finished = []
     for step in range(1, max_length + 1):
-        drawn = draw(table, state, uniform(f"{seed}:{step}", F.col(id_col)), id_col)
+        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)))
         ends = F.col("done") | F.coalesce(F.col("word") == EOS, F.lit(True))
+        moved = [F.when(ends, F.col(c)).otherwise(F.col(f"next_{c}")).alias(c) for c in ("context", "successors", "mass")]
         state = drawn.select(
-            id_col, "n",
-            F.when(ends, F.col("context")).otherwise(shifted).alias("context"),
+            id_col, "n", *moved,
             F.when(ends, F.col("words")).otherwise(F.concat("words", F.array("word"))).alias("words"),
             ends.alias("done"),
         )

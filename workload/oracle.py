@@ -257,6 +257,26 @@ PARTS = {
     "segmented": """
         SELECT d.token, coalesce(w.ids, [1]) AS ids FROM distinct_words d
         LEFT JOIN walk w ON d.token = w.token AND w.at = len(d.token) + 1""",
+    "unigram_pieces": """
+        SELECT piece, id, round(ln(cnt::DOUBLE / (SELECT sum(cnt) FROM pieces)), 9) AS logp FROM pieces WHERE id >= 4""",
+    "unigram_spans": f"""
+        SELECT token, i + k - 1 AS e, list({{'i': i, 'k': k, 'id': id, 'logp': logp}}) AS spans FROM (
+            SELECT token, i, k, CASE WHEN i = 1 THEN '' ELSE '##' END || substr(token, i, k) AS piece
+            FROM (SELECT token, unnest(range(1, len(token) + 1)) AS i FROM distinct_words),
+                 (SELECT unnest(range(1, {MAX_PIECE + 1})) AS k) WHERE i + k - 1 <= len(token))
+        JOIN unigram_pieces USING (piece) GROUP BY token, e""",
+    "forward": """
+        SELECT token, 0::BIGINT AS e, [0.0::DOUBLE] AS scores, []::BIGINT[] AS ks, []::INTEGER[] AS ids FROM distinct_words
+        UNION ALL
+        SELECT token, e, list_append(scores, best.s), list_append(ks, best.k), list_append(ids, best.id) FROM (
+            SELECT f.token, u.e, scores, ks, ids,
+                   list_sort(list_transform(spans, lambda x: {'s': scores[x.i] + x.logp, 'k': x.k, 'id': x.id}), 'DESC')[1] AS best
+            FROM forward f JOIN unigram_spans u ON f.token = u.token AND u.e = f.e + 1)""",
+    "backward": """
+        SELECT token, e, ks, ids, []::INTEGER[] AS path FROM forward WHERE e = len(token)
+        UNION ALL
+        SELECT token, e - ks[e], ks, ids, list_prepend(ids[e], path) FROM backward WHERE e > 0""",
+    "best_covers": "SELECT token, path AS ids FROM backward WHERE e = 0",
     "review_lengths": f"""
         SELECT 'word' AS tokenizer, len({split_words('review')}) AS length FROM reviews
         UNION ALL SELECT 'word_punct', len(regexp_extract_all(review, {sql_text(text.WORD_OR_PUNCTUATION)}, 1)) FROM reviews""",
@@ -269,7 +289,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk", "grown", "sharp_grown"}
+RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown"}
 
 # What each part reads directly.
 NEEDS = {
@@ -383,6 +403,10 @@ BODIES = {
         SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids, len(ids) AS mask_sum FROM (
             SELECT doc_id, list_concat([2], coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), [])[1:318], [3]) AS ids
             FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN segmented s USING (token) GROUP BY doc_id)""",
+    "t04_unigram_ids": f"""
+        SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (
+            SELECT doc_id, list_concat([2], coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), [])[1:318], [3]) AS ids
+            FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN best_covers s USING (token) GROUP BY doc_id)""",
     "t05_subword_vocabulary": "SELECT piece, id, cnt::BIGINT AS cnt FROM pieces",
     "t06_length_coverage": """
         SELECT tokenizer, threshold, round(avg(CASE WHEN length <= threshold THEN 100.0::DOUBLE ELSE 0 END), 6) AS percent
