@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import text
-from corpuslens.functions.seeded import UNIFORM_DIGITS, uniform
+from corpuslens.functions.seeded import uniform
 from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.schema import BOS, EOS, require_columns
-from corpuslens.session import checkpointed, materialise
+from corpuslens.session import materialise
 
 
 def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
@@ -276,10 +277,10 @@ def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id"
     ``u`` is a uniform number per row. A row whose context was never seen gets NULL.
     """
     located = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col), weight="mass")
-    return _step(table, located, u).select(*states.columns, "word")
+    return _step(table, located, u, "left").select(*states.columns, "word")
 
 
-def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
+def _step(table: DrawTable, located: DataFrame, u: Column, how: str) -> DataFrame:
     """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step."""
     mass = F.col("mass")
     aimed = located.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1)).withColumn(
@@ -289,7 +290,7 @@ def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
     hit = (F.col("s._r") >= F.col("t.lo")) & (F.col("s._r") < F.col("t.hi"))
     on = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("n", "context", "_cell")]
     chosen = [F.col(f"t.{c}") for c in ("word", "next_context", "next_successors", "next_mass")]
-    return aimed.alias("s").join(steps, [*on, hit], "left").select(*[F.col(f"s.{c}") for c in located.columns], *chosen)
+    return aimed.alias("s").join(steps, [*on, hit], how).select(*[F.col(f"s.{c}") for c in located.columns], *chosen)
 
 
 def generate(
@@ -301,40 +302,35 @@ def generate(
     temperature: float = 1.0,
     seed: int = 42,
     id_col: str = "sent_id",
-    checkpoint_every: int = 5,
 ) -> DataFrame:
     """One sentence ``(sent_id, words, sentence)`` per row of ``seeds``, all grown together.
 
-    Each step is one draw for every open sentence. Every few steps a reliable
-    checkpoint cuts the lineage and sets the finished sentences aside; the loop
-    ends early once none is open.
+    Each step is one draw for every open sentence, an inner join because an open
+    sentence always stands in a seen context. The step is written, which cuts the
+    lineage and tells the next join how many sentences are left; finished ones stay
+    behind in the table of their last step, and the loop ends once none is open.
     """
     table = draw_table(model, n, temperature)
     start = " ".join([BOS] * (n - 1))
     first = table.contexts.filter(F.col("context") == start).first()  # at most one row
     if first is None:
         raise ValueError("the model has seen no document")
-    state = seeds.select(
+    begun = seeds.select(
         F.col(id_col), F.lit(n).alias("n"), F.lit(start).alias("context"),
         F.lit(first.successors).alias("successors"), F.lit(first.mass).alias("mass"),
-        F.array().cast("array<string>").alias("words"), F.lit(False).alias("done"),
+        F.array().cast("array<string>").alias("words"),
     )
-    finished = []
+    state, parts = materialise(begun, "sentences"), []
     for step in range(1, max_length + 1):
-        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)))
-        ends = F.col("done") | F.coalesce(F.col("word") == EOS, F.lit(True))
-        moved = [F.when(ends, F.col(c)).otherwise(F.col(f"next_{c}")).alias(c) for c in ("context", "successors", "mass")]
-        state = drawn.select(
-            id_col, "n", *moved,
-            F.when(ends, F.col("words")).otherwise(F.concat("words", F.array("word"))).alias("words"),
-            ends.alias("done"),
-        )
-        if step % checkpoint_every == 0 and step < max_length:
-            state = checkpointed(state)
-            finished.append(state.filter("done"))
-            state = state.filter("NOT done")
-            if state.isEmpty():
-                break
-    for part in finished:
-        state = state.unionByName(part)
-    return state.select(id_col, "words", F.array_join("words", " ").alias("sentence"))
+        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)), "inner")
+        ends = F.col("word") == EOS
+        moved = [F.col(f"next_{c}").alias(c) for c in ("context", "successors", "mass")]
+        grown = F.when(ends, F.col("words")).otherwise(F.concat("words", F.array("word")))
+        state = materialise(drawn.select(id_col, "n", *moved, grown.alias("words"), ends.alias("done")), "sentences")
+        if step == max_length or state.filter("NOT done").isEmpty():
+            parts.append(state)
+            break
+        parts.append(state.filter("done"))
+        state = state.filter("NOT done").drop("done")
+    out = reduce(DataFrame.unionByName, [p.select(id_col, "words") for p in parts])
+    return out.select(id_col, "words", F.array_join("words", " ").alias("sentence"))

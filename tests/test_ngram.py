@@ -127,7 +127,7 @@ def test_generated_sentences_follow_seen_grams(spark, docs, n):
     train = [[rng.choice("abcdef") for _ in range(rng.randrange(1, 6))] for _ in range(30)]
     model = ngram.fit(docs(train), (n,))
     seeds = spark.range(60).withColumnRenamed("id", "sent_id")
-    out = ngram.generate(model, seeds, n, max_length=8, checkpoint_every=3).collect()
+    out = ngram.generate(model, seeds, n, max_length=8).collect()
     assert len(out) == 60 and len({r.sent_id for r in out}) == 60
     seen = set()
     for doc in train:
@@ -138,7 +138,7 @@ def test_generated_sentences_follow_seen_grams(spark, docs, n):
         padded = [BOS] * (n - 1) + list(r.words) + ended
         assert all(tuple(padded[i:i + n]) in seen for i in range(len(padded) - n + 1))
         assert r.sentence == " ".join(r.words)
-    again = ngram.generate(model, seeds, n, max_length=8, checkpoint_every=5).collect()
+    again = ngram.generate(model, seeds, n, max_length=8).collect()
     assert {(r.sent_id, r.sentence) for r in again} == {(r.sent_id, r.sentence) for r in out}
 
 
