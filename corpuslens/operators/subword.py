@@ -173,16 +173,19 @@ def encode(
     max_length: int | None = 512,
     words_col: str = "_words",
     id_col: str = "doc_id",
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_input_ids``, ``_attention_mask`` and ``_word_count`` (ids per document).
 
     Ids are wrapped in the class and separator pieces and cut to ``max_length``
-    including both; nothing is padded.
+    including both; nothing is padded. ``words`` may pass in the distinct words of
+    ``df`` where they are already counted.
     """
     tables = {"wordpiece": greedy_table, "unigram": unigram_table}
     if kind not in tables:
         raise ValueError(f"kind must be one of {', '.join(tables)}, got {kind!r}")
-    words = materialise(distinct_words(df, words_col), "subword-words")
+    if words is None:
+        words = materialise(distinct_words(df, words_col), "subword-words")
     segmented = materialise(tables[kind](words, pieces), "subword-table")
     exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token"))
     found = lookup(exploded, segmented, ["token"], spread=salt_of(id_col, "pos"))

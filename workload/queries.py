@@ -337,14 +337,17 @@ def t02_word_punct_tokens(spark, sf):
     return df.select("doc_id", big("_word_count").alias("n"), F.array_join("_words", " ").alias("words"))
 
 
-def _pieces(df: DataFrame) -> DataFrame:
-    return subword.learn_pieces(df, PIECES, MAX_PIECE)
+def _pieces(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Piece table and distinct words of a corpus."""
+    counted = materialise(wordforms.distinct_words(df), "words")
+    return subword.learn_pieces(df, PIECES, MAX_PIECE, words=counted), counted
 
 
 @query
 def t03_wordpiece_ids(spark, sf):
     df = words(spark, sf)
-    encoded = subword.encode(df, _pieces(df), max_length=320)
+    pieces, counted = _pieces(df)
+    encoded = subword.encode(df, pieces, max_length=320, words=counted)
     return encoded.select(
         "doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"), big(F.aggregate(
             "_attention_mask", F.lit(0), lambda a, x: a + x)).alias("mask_sum")
@@ -355,14 +358,15 @@ def t03_wordpiece_ids(spark, sf):
 def t04_unigram_ids(spark, sf):
     df = words(spark, sf)
     # rounded, so that both engines add the same numbers
-    pieces = subword.with_log_probability(_pieces(df)).withColumn("logp", F.round("logp", 9))
-    encoded = subword.encode(df, pieces, kind="unigram", max_length=320)
+    learned, counted = _pieces(df)
+    pieces = subword.with_log_probability(learned).withColumn("logp", F.round("logp", 9))
+    encoded = subword.encode(df, pieces, kind="unigram", max_length=320, words=counted)
     return encoded.select("doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"))
 
 
 @query
 def t05_subword_vocabulary(spark, sf):
-    return _pieces(words(spark, sf)).select("piece", "id", "cnt")
+    return _pieces(words(spark, sf))[0].select("piece", "id", "cnt")
 
 
 def _raw_lengths(spark: SparkSession, sf: str) -> DataFrame:
@@ -800,9 +804,10 @@ def c01_train_classifier(spark, sf):
 def c02_train_per_tokenisation(spark, sf):
     base = sampling.assign_split(reviews(spark, sf))
     df = tokenise(base).withColumn("_punct", text.word_punct_tokens(F.col("review")))
-    pieces = subword.encode(df, _pieces(df), max_length=320)
+    pieces, counted = _pieces(df)
+    encoded = subword.encode(df, pieces, max_length=320, words=counted)
     both = materialise(
-        pieces.select("doc_id", "sentiment", "split", "_words", "_punct", F.col("_input_ids").cast("array<string>").alias("_pieces")),
+        encoded.select("doc_id", "sentiment", "split", "_words", "_punct", F.col("_input_ids").cast("array<string>").alias("_pieces")),
         "tokenisations",
     )
     columns = {"word": "_words", "word_punct": "_punct", "wordpiece": "_pieces"}
