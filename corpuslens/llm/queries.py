@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import quality, sharding, warc
+from corpuslens.llm import bpe, quality, sharding, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +66,15 @@ def op7_cross_document_lines(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"
     )
+
+
+@query
+def op9_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(documents(spark, sf).select("doc_id", "text"), path).drop("text"), path)
+    return coded.select(
+        "doc_id",
+        bpe.n_ids().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
