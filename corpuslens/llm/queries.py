@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, quality, sharding, warc
+from corpuslens.llm import bpe, jaccard, quality, sharding, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,32 @@ def op9_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_ngram_jaccard_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.classes(documents(spark, sf).select("doc_id", "text"))
+
+
+SQL["op8_ngram_jaccard_classes"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g
+    FROM w
+), n AS (
+    SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+    SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)
+), r AS (
+    SELECT doc_id AS a, doc_id AS b FROM n
+    UNION
+    SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT doc_id, n AS n_shingles, min(b) AS component_id FROM n JOIN r ON r.a = n.doc_id GROUP BY ALL
+"""
