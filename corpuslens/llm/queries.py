@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, jaccard, quality, sharding, warc
+from corpuslens.llm import bpe, jaccard, pii, quality, sharding, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,18 @@ WITH RECURSIVE w AS (
 )
 SELECT doc_id, n AS n_shingles, min(b) AS component_id FROM n JOIN r ON r.a = n.doc_id GROUP BY ALL
 """
+
+
+@query
+def op1_weak_supervision_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.report(documents(spark, sf).select("doc_id", "text"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(F.encode(pii.span_list("base"), "UTF-8"), 256).alias("base_sha256"),
+        pii.span_list("spans").alias("spans"),
+    )
