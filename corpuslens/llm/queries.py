@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, jaccard, pii, quality, sharding, warc
+from corpuslens.llm import bpe, decontamination, jaccard, licenses, pii, quality, sharding, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,14 @@ def op1_weak_supervision_pii(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.encode(pii.span_list("base"), "UTF-8"), 256).alias("base_sha256"),
         pii.span_list("spans").alias("spans"),
     )
+
+
+@query
+def op5_license_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf))
+
+
+@query
+def op6_pigeonhole_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    items = spark.read.schema("item_id BIGINT, text STRING").parquet(f"{sf}/benchmark.parquet")
+    return decontamination.leaks(documents(spark, sf), items)

@@ -67,10 +67,17 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word in order, and the offsets of the rows in that array."""
+    return placed_words(data, offsets, lower)[:2]
+
+
+def placed_words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``hash_words``, and the first byte and size of each word; ``separators`` is a table over bytes."""
     table = LOWERED if lower else BYTES
-    hashes, firsts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    hashes, firsts, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo, hi in _pieces(data, offsets):
-        inside = ~SPACE[data[lo:hi]]
+        inside = ~separators[data[lo:hi]]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         edges = offsets[np.searchsorted(offsets, lo, "right") : np.searchsorted(offsets, hi)] - lo
@@ -85,8 +92,9 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.n
         sums = np.add.reduceat(table[data[lo:hi][letters]] * _place(place), at)
         hashes.append(mix(sums + sizes.astype(np.uint64), 3))
         firsts.append(where + lo)
+        lengths.append(sizes)
     first = np.concatenate(firsts)
-    return np.concatenate(hashes), np.searchsorted(first, offsets)
+    return np.concatenate(hashes), np.searchsorted(first, offsets), first, np.concatenate(lengths)
 
 
 def rows_of(offsets: np.ndarray) -> np.ndarray:
