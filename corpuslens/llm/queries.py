@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, decontamination, jaccard, licenses, pii, quality, sharding, warc
+from corpuslens.llm import bpe, decontamination, jaccard, licenses, pii, quality, sharding, site_style, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,9 @@ def op5_license_windows(spark: SparkSession, sf: str) -> DataFrame:
 def op6_pigeonhole_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     items = spark.read.schema("item_id BIGINT, text STRING").parquet(f"{sf}/benchmark.parquet")
     return decontamination.leaks(documents(spark, sf), items)
+
+
+@query
+def op4_site_style_text(spark: SparkSession, sf: str) -> DataFrame:
+    texts = site_style.main_text(table(spark, sf, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
