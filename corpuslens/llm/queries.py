@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, decontamination, jaccard, licenses, pii, quality, sharding, site_style, warc
+from corpuslens.llm import bpe, decontamination, jaccard, licenses, lm, pii, quality, sharding, site_style, warc
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,8 @@ def op6_pigeonhole_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def op4_site_style_text(spark: SparkSession, sf: str) -> DataFrame:
     texts = site_style.main_text(table(spark, sf, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op10_log_bilinear_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.scores(documents(spark, sf))
