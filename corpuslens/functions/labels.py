@@ -49,3 +49,21 @@ def parse_answer(answer: Column) -> Column:
 def answer_in(body: Column) -> Column:
     """Answer text inside the JSON body of a chat completion."""
     return F.get_json_object(body, "$.choices[0].message.content")
+
+
+def token_loss(scores: Column, target: Column, given: str = "logits") -> Column:
+    """Cross entropy of the target's score (an array of one score per class, zero-based target).
+
+    ``given`` says what the scores are. Raw logits are normalised here. Scores that are
+    given as log probabilities but do not add up to one end the job: taken as they are,
+    they would be a wrong loss.
+    """
+    if given not in ("logits", "log_probabilities"):
+        raise ValueError(f"given must be 'logits' or 'log_probabilities', got {given!r}")
+    top = F.array_max(scores)
+    mass = F.ln(F.aggregate(scores, F.lit(0.0), lambda total, x: total + F.exp(x - top))) + top
+    own = F.get(scores, target)
+    if given == "logits":
+        return mass - own
+    wrong = F.raise_error(F.lit("the scores are no log probabilities: use given='logits' for raw logits"))
+    return F.when(F.abs(mass) <= 1e-6, -own).otherwise(wrong.cast("double"))

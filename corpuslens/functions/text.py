@@ -142,4 +142,5 @@ def preview(c: Column, width: int = 100) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.nullif(F.trim(c), F.lit(""))
+    """NULL for an empty text or one of white space only."""
+    return F.when((c != "") & ~c.rlike(f"^{SPACES}$"), c)

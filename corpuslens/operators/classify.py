@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.labels import argmax, cross_entropy, encode_label
+from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.operators.metrics import evaluate
-from corpuslens.schema import require_columns
+from corpuslens.schema import CLASSES, require_columns
+from corpuslens.session import materialise
 
 
 def train(
@@ -55,18 +58,18 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def score_external(df: DataFrame, load_model: Callable[[], Callable[[pd.Series], list]], text_col: str = "review") -> DataFrame:
-    """Add ``probabilities`` from an external model, loaded once per task.
+    """Add ``probabilities`` from an external model, loaded once per task; only the text goes to Python.
 
     ``load_model()`` returns a function from a batch of texts to class scores.
     """
 
-    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for part in parts:
-            yield part.assign(probabilities=list(model(part[text_col])))
+            yield pd.Series(list(model(part)))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    scored = df.mapInPandas(score, f"{fields}, probabilities array<double>")
+    scored = df.withColumn("probabilities", score(F.col(text_col)))
     return scored.withColumn("prediction", argmax(F.col("probabilities")))
 
 
@@ -82,3 +85,68 @@ def compare_tokenisations(
     for table in tables[1:]:
         out = out.unionByName(table)
     return models, out
+
+
+# ---- closed-form classifier ----------------------------------------------------
+
+
+@dataclass(frozen=True)
+class CountModel:
+    """Smoothed token counts by class: a multinomial model with an exact solution.
+
+    ``tokens(token, positive, negative)``; ``totals`` is one row of documents and tokens
+    per class and the number of different tokens.
+    """
+
+    tokens: DataFrame
+    totals: DataFrame
+    smoothing: float = 1.0
+
+
+def train_counts(df: DataFrame, tokens_col: str = "_words", smoothing: float = 1.0) -> CountModel:
+    """Count tokens by class in one pass; rows without a class are left out."""
+    require_columns(df, tokens_col, "sentiment")
+    known = df.filter(F.col("sentiment").isin(*CLASSES))
+    exploded = known.select("sentiment", F.explode(tokens_col).alias("token"))
+    by_class = [F.count_if(F.col("sentiment") == c).alias(c) for c in CLASSES]
+    tokens = materialise(exploded.groupBy("token").agg(*by_class), "class-tokens")
+    documents = known.agg(*[F.count_if(F.col("sentiment") == c).alias(f"{c}_documents") for c in CLASSES])
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_tokens") for c in CLASSES]
+    totals = documents.crossJoin(tokens.agg(*sums, F.count(F.lit(1)).alias("vocabulary")))  # one row each
+    return CountModel(tokens, materialise(totals, "class-totals"), smoothing)
+
+
+def predict_counts(model: CountModel, df: DataFrame, tokens_col: str = "_words", id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, label, probabilities, prediction, loss, *others)`` without the token column.
+
+    A token adds the log odds of its smoothed counts; one that training has not seen
+    counts as zero in both classes. Tokens are counted per document before the lookup.
+    """
+    t = model.totals.first()  # one row
+    a = model.smoothing
+    room = [t[f"{c}_tokens"] + a * max(t.vocabulary, 1) for c in CLASSES]
+    odds = F.ln((F.coalesce("positive", F.lit(0)) + a) / room[0]) - F.ln((F.coalesce("negative", F.lit(0)) + a) / room[1])
+    prior = F.ln(F.lit((t.positive_documents + a) / (t.negative_documents + a)))
+    counted = df.select(id_col, F.explode(tokens_col).alias("token")).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
+    found = lookup(counted, model.tokens, ["token"], spread=salt_of(id_col))
+    scores = found.groupBy(id_col).agg(F.sum(F.col("n") * odds).alias("_odds"))
+    others = [c for c in df.columns if c not in (id_col, tokens_col)]
+    joined = df.select(id_col, *others).join(scores, id_col, "left")
+    positive = 1 / (1 + F.exp(-(prior + F.coalesce("_odds", F.lit(0.0)))))
+    return (
+        joined.withColumn("label", encode_label(F.col("sentiment")))
+        .withColumn("probabilities", F.array(1 - positive, positive))
+        .withColumn("prediction", argmax(F.col("probabilities")))
+        .withColumn("loss", cross_entropy(F.col("probabilities"), F.col("label")))
+        .drop("_odds")
+    )
+
+
+def compare_count_tokenisations(train_df: DataFrame, eval_df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``(tokenizer, split, samples, accuracy, f1)`` of one count model per token column."""
+    out = None
+    for name, col in columns.items():
+        scored = predict_counts(train_counts(train_df, col), eval_df.select("doc_id", "sentiment", "split", col), col)
+        table = evaluate(scored, ["split"], with_loss=False).withColumn("tokenizer", F.lit(name))
+        out = table if out is None else out.unionByName(table)
+    return out

@@ -77,10 +77,9 @@ def judge(
     if judgments is not None:
         return attach_ratings(df, judgments, "llm_judge")
 
-    def rate(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def rate(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield part.assign(llm_judge=judge_fn(part["review"]))
+            yield judge_fn(part)
 
-    base = df.drop("llm_judge")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInPandas(rate, f"{fields}, llm_judge string")
+    return df.drop("llm_judge").withColumn("llm_judge", rate(F.col("review")))

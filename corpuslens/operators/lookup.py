@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000
-SMALL_ROWS = 50_000
 
 
 def lookup(
@@ -17,31 +17,29 @@ def lookup(
     keys: Sequence[str],
     *,
     spread: Column,
-    weight: str = "cnt",
     hot_rows: int = HOT_ROWS,
-    small_rows: int = SMALL_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``facts LEFT JOIN table USING (keys)``; ``table`` has unique keys and is materialised.
+    """``facts LEFT JOIN table USING (keys)``; ``table`` has unique keys.
 
-    Up to ``small_rows`` rows a plain join is left to the optimiser, which broadcasts
-    by measured size. Beyond that the ``hot_rows`` heaviest keys of ``table`` are
-    broadcast; a row they resolve carries the salt ``spread`` (> 0) through the
-    shuffle, so the remaining keys are the only ones that hash together, and none
-    of those exceeds the share of the ``hot_rows``-th heaviest key.
+    The ``hot_rows`` heaviest keys of the facts are broadcast with what the table holds
+    for them, if anything. A row they resolve, or one with a NULL key, carries the salt
+    ``spread`` (> 0) through the shuffle, so no key that remains exceeds the share of the
+    ``hot_rows``-th heaviest one. The keys are counted in the facts, combined before the
+    shuffle; ``counts(keys, cnt)`` may pass them in where they are known.
     """
     keys = list(keys)
     values = [c for c in table.columns if c not in keys]
-    if table.count() <= small_rows:
-        return facts.join(table, keys, "left")
-
-    hot = table.orderBy(F.desc(weight), *keys).limit(hot_rows)
-    packed = hot.select(*keys, F.struct(*values).alias("_hot"))
-    marked = facts.join(F.broadcast(packed), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(spread)
-    )
+    if counts is None:
+        counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    heavy = counts.orderBy(F.desc("cnt"), *keys).limit(hot_rows).select(*keys)
+    packed = heavy.join(table, keys, "left").select(*keys, F.struct(*values).alias("_hot"), F.lit(True).alias("_seen"))
+    marked = facts.join(F.broadcast(packed), keys, "left")
+    settled = reduce(Column.__or__, [F.col(k).isNull() for k in keys], F.col("_seen").isNotNull())
+    marked = marked.withColumn("_salt", F.when(settled, spread).otherwise(0))
     cold = table.select(*keys, F.struct(*values).alias("_cold"), F.lit(0).alias("_salt"))
     joined = marked.join(cold, [*keys, "_salt"], "left")
-    found = F.coalesce("_hot", "_cold")
+    found = F.when(F.col("_seen"), F.col("_hot")).otherwise(F.col("_cold"))
     return joined.select(*facts.columns, *[found.getField(v).alias(v) for v in values])
 
 

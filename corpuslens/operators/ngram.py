@@ -2,7 +2,7 @@
 
 A model is ``counts(n, context, word, cnt)``, ``totals(n, context, total)`` and the
 number of different predicted words. Several sizes live in one model, keyed by
-``n``. A context is its words joined by one blank.
+``n``. A context is the array of its words, so tokens may hold any character.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_w
     )
 
     def entry(n: int) -> list[Column]:
-        context = F.concat_ws(" ", *[f"e.b{j}" for j in range(n - 1, 0, -1)]) if n > 1 else F.lit("")
+        context = F.array(*[F.col(f"e.b{j}") for j in range(n - 1, 0, -1)]).cast("array<string>")
         return [F.lit(n).alias("n"), context.alias("context"), F.col("e.b0").alias("word")]
 
     if len(sizes) == 1:
@@ -107,7 +107,7 @@ def probabilities(model: NGramModel, wanted: DataFrame) -> DataFrame:
     context may head many rows.
     """
     found = wanted.join(model.counts, ["n", "context", "word"], "left")
-    found = lookup(found, model.totals, ["n", "context"], spread=salt_of("context", "word"), weight="total")
+    found = lookup(found, model.totals, ["n", "context"], spread=salt_of("context", "word"))
     found = found.withColumn("cnt", F.coalesce("cnt", F.lit(0))).withColumn("total", F.coalesce("total", F.lit(0)))
     if model.laplace:
         return found.withColumn("_v", _v(model)).withColumn(
@@ -167,8 +167,10 @@ def successors(model: NGramModel, contexts: DataFrame | None = None, k: int | No
 
 # ---- drawing words -------------------------------------------------------------
 
-WEIGHT_SCALE = 1_000_000_000
-SUB_DIGITS = 2  # 256 sub-buckets of a context's successors
+TOTAL_WEIGHT = 1 << 53  # of one context: exact as a double
+SUB_DIGITS = 2  # 256 sub-buckets of a context's successors at least
+WORDS_PER_SUB = 1 << 12
+CHOSEN = ("word", "next_context", "next_successors", "next_mass")
 
 
 def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
@@ -181,7 +183,7 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
     sums = model.counts.groupBy("n", "context").agg(F.sum(raised).alias("mass"), F.count(F.lit(1)).alias("successors"))
     found = lookup(
         model.counts, materialise(sums, "ngram-masses"), ["n", "context"],
-        spread=salt_of("context", "word"), weight="successors",
+        spread=salt_of("context", "word"),
     )
     return found.select("n", "context", "word", "cnt", (raised / F.col("mass")).alias("q"))
 
@@ -190,38 +192,45 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
 class DrawTable:
     """Cumulative integer weights of the seen successors of every context.
 
-    ``steps(n, context, cell, lo, hi, word, ...)``: a draw ``r`` picks the row with
-    ``lo <= r < hi``. The range of a context is cut into as many equal cells as it
-    has successors and a row is listed under each cell it touches, so a uniform
-    draw meets two rows on average, however many successors there are. Each row
-    also holds the context its word leads to, with that context's range
-    (``next_context, next_mass, next_successors``), so a walk needs one join a step.
+    ``cells(n, context, cell, steps)`` with ``steps`` an array of ``(lo, hi, word, ...)``: a
+    draw ``r`` picks the entry with ``lo <= r < hi``. The range of a context is cut into
+    as many equal cells as it has successors and an entry is listed under each cell it
+    touches, so a uniform draw meets two entries on average, however many successors
+    there are. Each entry also holds the context its word leads to, with that context's
+    range (``next_context, next_mass, next_successors``), so a walk needs one join a step.
     """
 
-    steps: DataFrame
+    cells: DataFrame
     contexts: DataFrame  # (n, context, successors, mass)
 
 
 def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable:
     """Weights are ``cnt + 1`` (or ``cnt`` unsmoothed); other temperatures give
-    weights relative to the largest, in units of a billionth.
+    weights relative to the largest, as finely as a uniform double can tell them
+    apart. A successor below that, 2 ** -53 of its context, cannot be drawn.
 
     Running sums are built per sub-bucket of a context, on top of the sums of the
-    sub-buckets before it: no task sees all successors of a hot context.
+    sub-buckets before it: no task sees all successors of a hot context. Their number
+    follows the number of words.
     """
     plus = 1 if model.laplace else 0
+    digits = SUB_DIGITS
+    words = model.counts.filter(F.col("n") == n).agg(F.approx_count_distinct("word")).first()[0]
+    while 16**digits * WORDS_PER_SUB < words:
+        digits += 1
     rows = model.counts.filter(F.col("n") == n).select(
         "n", "context", "word", (F.col("cnt") + plus).alias("weight"),
-        F.substring(F.md5("word"), 1, SUB_DIGITS).alias("sub"),
+        F.substring(F.md5("word"), 1, digits).alias("sub"),
     )
     if temperature != 1.0:
         top = materialise(
             rows.groupBy("n", "context").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("cnt")), "ngram-top"
         )
         relative = F.pow(F.col("weight") / F.col("top"), F.lit(1.0 / temperature))
+        unit = F.floor(F.lit(TOTAL_WEIGHT) / F.col("cnt"))
         rows = lookup(rows, top, ["n", "context"], spread=salt_of("context", "word")).select(
-            "n", "context", "word", F.greatest(F.lit(1), F.round(relative * WEIGHT_SCALE)).cast("bigint").alias("weight"), "sub"
-        )
+            "n", "context", "word", F.round(relative * unit).cast("bigint").alias("weight"), "sub"
+        ).filter("weight > 0")
     subs = rows.groupBy("n", "context", "sub").agg(F.sum("weight").alias("mass"), F.count(F.lit(1)).alias("cnt"))
     per_context = Window.partitionBy("n", "context")  # at most 256 sub-buckets each
     running = per_context.orderBy("sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -245,10 +254,7 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
     placed = lookup(
         rows.withColumn("running", F.sum("weight").over(within)), offsets, ["n", "context", "sub"], spread=spread
     )
-    if n > 1:
-        following = F.array_join(F.slice(F.concat(F.split("context", " "), F.array("word")), 2, n - 1), " ")
-    else:
-        following = F.lit("")
+    following = F.slice(F.concat("context", F.array("word")), 2, n - 1)
     placed = placed.select(
         "n", "context", "word", "successors", F.col("context_mass").alias("mass"),
         (F.col("offset") + F.col("running") - F.col("weight")).alias("lo"),
@@ -258,12 +264,12 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
     ahead = contexts.select(
         "n", F.col("context").alias("next_context"), F.col("successors").alias("next_successors"), F.col("mass").alias("next_mass")
     )
-    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread, weight="next_mass")
-    cells = F.explode(F.sequence(_cell(F.col("lo")), _cell(F.col("hi") - 1)))
-    steps = linked.select(
-        "n", "context", cells.alias("cell"), "lo", "hi", "word", "next_context", "next_successors", "next_mass"
-    )
-    return DrawTable(materialise(steps, "ngram-draws"), contexts)
+    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread)
+    touched = F.explode(F.sequence(_cell(F.col("lo")), _cell(F.col("hi") - 1)))
+    entry = F.struct("lo", "hi", *CHOSEN)
+    listed = linked.select("n", "context", touched.alias("cell"), entry.alias("step"))
+    cells = listed.groupBy("n", "context", "cell").agg(F.collect_list("step").alias("steps"))
+    return DrawTable(materialise(cells, "ngram-draws"), contexts)
 
 
 def _cell(at: Column) -> Column:
@@ -276,21 +282,26 @@ def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id"
 
     ``u`` is a uniform number per row. A row whose context was never seen gets NULL.
     """
-    located = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col), weight="mass")
+    located = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col))
     return _step(table, located, u, "left").select(*states.columns, "word")
 
 
 def _step(table: DrawTable, located: DataFrame, u: Column, how: str) -> DataFrame:
-    """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step."""
+    """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step.
+
+    Many rows may stand in one cell of one context, so the cells are met by ``lookup``,
+    which spreads the rows of heavy cells. Of the table only the cells aimed at move.
+    """
     mass = F.col("mass")
     aimed = located.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1)).withColumn(
-        "_cell", _cell(F.col("_r"))
+        "cell", _cell(F.col("_r"))
     )
-    steps = table.steps.withColumnRenamed("cell", "_cell").alias("t")
-    hit = (F.col("s._r") >= F.col("t.lo")) & (F.col("s._r") < F.col("t.hi"))
-    on = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("n", "context", "_cell")]
-    chosen = [F.col(f"t.{c}") for c in ("word", "next_context", "next_successors", "next_mass")]
-    return aimed.alias("s").join(steps, [*on, hit], how).select(*[F.col(f"s.{c}") for c in located.columns], *chosen)
+    keys = ["n", "context", "cell"]
+    wanted = table.cells.join(aimed.select(*keys).distinct(), keys, "left_semi")
+    met = lookup(aimed, wanted, keys, spread=salt_of("_r", "mass"))
+    hit = F.get(F.filter("steps", lambda t: (F.col("_r") >= t["lo"]) & (F.col("_r") < t["hi"])), F.lit(0))
+    out = met.withColumn("_hit", hit).select(*located.columns, *[F.col("_hit")[c].alias(c) for c in CHOSEN])
+    return out if how == "left" else out.filter("word IS NOT NULL")
 
 
 def generate(
@@ -302,35 +313,51 @@ def generate(
     temperature: float = 1.0,
     seed: int = 42,
     id_col: str = "sent_id",
+    start_col: str | None = None,
 ) -> DataFrame:
     """One sentence ``(sent_id, words, sentence)`` per row of ``seeds``, all grown together.
 
-    Each step is one draw for every open sentence, an inner join because an open
-    sentence always stands in a seen context. The step is written, which cuts the
-    lineage and tells the next join how many sentences are left; finished ones stay
-    behind in the table of their last step, and the loop ends once none is open.
+    Sentences begin like documents do, or with the token in ``start_col``; the token is
+    then the first word and must have been seen at a document's start for ``n > 2``, or
+    anywhere for ``n = 2``. Each step is one draw for every open sentence. What a step
+    adds is written, ``(sent_id, step, word)`` and the state to go on from; the words
+    are gathered by sentence at the end. As many sentences come out as seeds go in: a
+    sentence without a next word is an error.
     """
     table = draw_table(model, n, temperature)
-    start = " ".join([BOS] * (n - 1))
-    first = table.contexts.filter(F.col("context") == start).first()  # at most one row
-    if first is None:
-        raise ValueError("the model has seen no document")
-    begun = seeds.select(
-        F.col(id_col), F.lit(n).alias("n"), F.lit(start).alias("context"),
-        F.lit(first.successors).alias("successors"), F.lit(first.mass).alias("mass"),
-        F.array().cast("array<string>").alias("words"),
-    )
-    state, parts = materialise(begun, "sentences"), []
-    for step in range(1, max_length + 1):
-        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)), "inner")
-        ends = F.col("word") == EOS
+    begin = F.array_repeat(F.lit(BOS), n - 1).cast("array<string>")
+    if start_col is None:
+        first = table.contexts.filter(F.col("context") == begin).first()  # at most one row
+        if first is None:
+            raise ValueError("the model has seen no document")
+        begun = seeds.select(
+            F.col(id_col), F.lit(n).alias("n"), begin.alias("context"),
+            F.lit(first.successors).alias("successors"), F.lit(first.mass).alias("mass"),
+        )
+        parts = []
+    else:
+        opened = seeds.select(
+            F.col(id_col), F.lit(n).alias("n"),
+            F.slice(F.concat(begin, F.array(start_col)), -(n - 1), n - 1).alias("context") if n > 1 else begin.alias("context"),
+        )
+        begun = lookup(opened, table.contexts, ["n", "context"], spread=salt_of(id_col))
+        parts = [seeds.select(id_col, F.lit(0).alias("step"), F.col(start_col).alias("word"))]
+    state = materialise(begun, "sentences")
+    for step in range(1, max_length + 1 - len(parts)):
+        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)), "left")
         moved = [F.col(f"next_{c}").alias(c) for c in ("context", "successors", "mass")]
-        grown = F.when(ends, F.col("words")).otherwise(F.concat("words", F.array("word")))
-        state = materialise(drawn.select(id_col, "n", *moved, grown.alias("words"), ends.alias("done")), "sentences")
-        if step == max_length or state.filter("NOT done").isEmpty():
-            parts.append(state)
+        state = materialise(drawn.select(id_col, "n", *moved, "word", F.lit(step).alias("step")), "sentences")
+        ends = F.col("word") == EOS
+        seen = state.agg(F.count_if(F.col("word").isNull()).alias("lost"), F.count_if(~ends).alias("open")).first()
+        if seen.lost:
+            raise ValueError(f"{seen.lost} sentences stand in a context without a successor")
+        parts.append(state.filter(~ends).select(id_col, "step", "word"))
+        if not seen.open:
             break
-        parts.append(state.filter("done"))
-        state = state.filter("NOT done").drop("done")
-    out = reduce(DataFrame.unionByName, [p.select(id_col, "words") for p in parts])
-    return out.select(id_col, "words", F.array_join("words", " ").alias("sentence"))
+        state = state.filter(~ends).drop("word", "step")
+    grown = reduce(DataFrame.unionByName, parts).groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct("step", "word"))).alias("entries")
+    )
+    words = F.coalesce(F.transform("entries", lambda e: e["word"]), F.array().cast("array<string>"))
+    out = seeds.select(id_col).join(grown, id_col, "left").select(id_col, words.alias("words"))
+    return out.withColumn("sentence", F.array_join("words", " "))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from corpuslens.functions.seeded import order_key
 from corpuslens.session import materialise
 
-PREFIX_DIGITS = 3  # 4,096 equally likely md5 buckets
+PREFIX_DIGITS = 3  # 4,096 equally likely md5 buckets a level
+KEY_DIGITS = 32
+BUCKET_ROWS = 1 << 20  # ids that one task sorts
 ROW_BITS = 33  # row part of monotonically_increasing_id
 
 
@@ -22,22 +24,37 @@ def seeded_cuts(
 
     ``ranks`` gets the number of rows and names the ranks wanted; a rank past the
     end has no entry. Only ids are read. The driver receives one count per md5
-    bucket (at most 4,096) and one row per cut; only the buckets that hold a cut
-    are sorted, each 1/4,096 of the ids.
+    bucket (at most 4,096 for each cut and level) and one row per cut. A bucket that
+    holds a cut is divided again until it has no more than ``BUCKET_ROWS`` ids; only
+    such buckets are sorted.
     """
-    keyed = df.select(F.col(id_col).alias("id"), order_key(salt, F.col(id_col)).alias("key")).withColumn(
-        "bucket", F.substring("key", 1, PREFIX_DIGITS)
-    )
-    counts = sorted((r.bucket, r.cnt) for r in keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt")).collect())
-    ends = list(accumulate(cnt for _, cnt in counts))
-    total = ends[-1] if ends else 0
-    wanted = {}
-    for name, rank in ranks(total).items():
-        at = next((i for i, end in enumerate(ends) if 0 <= rank < end), None)
-        if at is not None:
-            wanted[name] = (counts[at][0], rank - (ends[at] - counts[at][1]) + 1)
-    if not wanted:
+    keyed = df.select(F.col(id_col).alias("id"), order_key(salt, F.col(id_col)).alias("key"))
+
+    def counted(digits: int, inside: list[str]) -> list[tuple[str, int]]:
+        rows = keyed.filter(F.substring("key", 1, digits - PREFIX_DIGITS).isin(inside)) if inside else keyed
+        found = rows.groupBy(F.substring("key", 1, digits).alias("bucket")).agg(F.count(F.lit(1)).alias("cnt"))
+        return sorted((r.bucket, r.cnt) for r in found.collect())
+
+    def placed(counts: list[tuple[str, int]], rank: int) -> tuple[str, int, int] | None:
+        """Bucket that holds the zero-based rank, the rank within it, and its size."""
+        for (bucket, cnt), end in zip(counts, accumulate(cnt for _, cnt in counts)):
+            if 0 <= rank < end:
+                return bucket, rank - (end - cnt), cnt
+        return None
+
+    digits, counts = PREFIX_DIGITS, counted(PREFIX_DIGITS, [])
+    total = sum(cnt for _, cnt in counts)
+    spots = {name: spot for name, rank in ranks(total).items() if (spot := placed(counts, rank))}
+    if not spots:
         return {}
+    while max(cnt for _, _, cnt in spots.values()) > BUCKET_ROWS and digits < KEY_DIGITS - PREFIX_DIGITS:
+        digits += PREFIX_DIGITS
+        finer = counted(digits, sorted({bucket for bucket, _, _ in spots.values()}))
+        spots = {
+            name: placed([c for c in finer if c[0].startswith(bucket)], rank) for name, (bucket, rank, _) in spots.items()
+        }
+    keyed = keyed.withColumn("bucket", F.substring("key", 1, digits))
+    wanted = {name: (bucket, rank + 1) for name, (bucket, rank, _) in spots.items()}
     within = Window.partitionBy("bucket").orderBy("key", "id")
     places = sorted(set(wanted.values()))
     is_cut = F.lit(False)

@@ -84,10 +84,7 @@ def encode(
     """``(doc_id, ids)``; unknown words become the unknown id, empty documents stay."""
     require_columns(df, words_col, id_col, hint=NEEDS_WORDS)
     exploded = df.select(id_col, F.posexplode_outer(with_boundaries(F.col(words_col), start, end)).alias("pos", "token"))
-    # boundary tokens occur in every document, so they count as the heaviest keys
-    weight = F.when(F.col("id") < len(SPECIAL_IDS), F.lit(1 << 62)).otherwise(F.col("cnt"))
-    table = vocabulary.select("token", "id", weight.alias("weight"))
-    found = lookup(exploded, table, ["token"], spread=salt_of(id_col, "pos"), weight="weight")
+    found = lookup(exploded, vocabulary.select("token", "id"), ["token"], spread=salt_of(id_col, "pos"))
     entry = F.when(
         F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     )  # collect_list skips the NULL of an empty document

@@ -100,8 +100,8 @@ def gram_table(
 
     def gram(n: int) -> Column:
         if n == 1:
-            return F.col("w.s0")
-        return F.when(F.col(f"w.s{n - 1}").isNotNull(), F.concat_ws(" ", *[f"w.s{j}" for j in range(n)]))
+            return F.array("w.s0")
+        return F.when(F.col(f"w.s{n - 1}").isNotNull(), F.array(*[F.col(f"w.s{j}") for j in range(n)]))
 
     if len(sizes) == 1:
         rows = rows.select(*keep, "pos", F.lit(sizes[0]).alias("n"), gram(sizes[0]).alias("gram"))
@@ -119,6 +119,11 @@ def gram_table(
     return rows.groupBy("n", "gram").agg(*columns)
 
 
+def shown(gram: str) -> Column:
+    """A gram as text, for display only: grams of different tokens may read alike."""
+    return F.array_join(gram, " ")
+
+
 def by_scope(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     """Gram table in long form: ``(n, scope, gram, cnt[, first])`` with positive counts."""
     dated = f"first_{OVERALL}" in table.columns
@@ -137,7 +142,7 @@ def by_scope(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
 
 def word_frequency(df: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     """``(scope, token, cnt)``."""
-    return by_scope(gram_table(df, (1,), classes), classes).select("scope", F.col("gram").alias("token"), "cnt")
+    return by_scope(gram_table(df, (1,), classes), classes).select("scope", F.get("gram", F.lit(0)).alias("token"), "cnt")
 
 
 def vocabulary_size(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
@@ -167,7 +172,7 @@ def top_grams(scoped: DataFrame, k: int = 10, ties: str = "alphabetical") -> Dat
 def top_words(df: DataFrame, k: int = 10, classes: Sequence[str] = CLASSES, ties: str = "alphabetical") -> DataFrame:
     """``(scope, rank, token, cnt)``."""
     scoped = by_scope(gram_table(df, (1,), classes, first_seen=ties == "first_seen"), classes)
-    return top_grams(scoped, k, ties).select("scope", "rank", F.col("gram").alias("token"), "cnt")
+    return top_grams(scoped, k, ties).select("scope", "rank", F.get("gram", F.lit(0)).alias("token"), "cnt")
 
 
 def top_ngrams(
@@ -196,7 +201,7 @@ def term_frequency(df: DataFrame, terms: str = "unigram", classes: Sequence[str]
 def class_terms(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     """Term frequencies out of a gram table."""
     total = reduce(lambda a, b: a + b, [F.col(c) for c in classes])
-    return table.filter(total > 0).select(F.col("gram").alias("term"), *classes)
+    return table.filter(total > 0).select(shown("gram").alias("term"), *classes)
 
 
 def log_odds(terms: DataFrame, alpha: float = 0.01, classes: Sequence[str] = CLASSES) -> DataFrame:

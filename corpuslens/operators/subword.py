@@ -17,11 +17,9 @@ from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.operators.wordforms import distinct_words
 from corpuslens.session import materialise
 
-# Special pieces with their ids, the inner mark, the word length past
-# which a word-piece encoder answers with the unknown piece.
+# Special pieces with their ids, the inner mark.
 SPECIAL_PIECES = {"[PAD]": 0, "[UNK]": 1, "[CLS]": 2, "[SEP]": 3}
 INNER = "##"
-MAX_WORD_CHARS = 100
 THRESHOLDS = (256, 320, 384, 448, 512)
 
 
@@ -76,13 +74,11 @@ def _matches(words: DataFrame, pieces: DataFrame, max_piece: int) -> DataFrame:
     A word meets at most ``max_piece`` pieces per position; frequent pieces are
     resolved by a broadcast in the lookup.
     """
-    # spread by word first: with a broadcast lookup the spans of a word never move again
-    parts = words.sparkSession.sparkContext.defaultParallelism
     starts = F.explode_outer(F.sequence(F.lit(1), F.char_length("token")))
     sizes = F.explode(F.array(*[F.lit(k) for k in range(1, max_piece + 1)]))
     mark = F.when(F.col("start") == 1, "").otherwise(INNER)
     exploded = (
-        words.select("token").repartition(parts, "token")
+        words.select("token").repartition("token")
         .select("token", starts.alias("start"))
         .select("token", "start", sizes.alias("length"))
         .filter(F.col("start") + F.col("length") <= F.char_length("token") + 1)
@@ -97,13 +93,14 @@ def _piece_limit(pieces: DataFrame) -> int:
     return ordinary.agg(F.max(F.char_length(F.regexp_replace("piece", f"^{INNER}(?=.)", "")))).first()[0] or 1
 
 
-def greedy_table(words: DataFrame, pieces: DataFrame) -> DataFrame:
+def greedy_table(words: DataFrame, pieces: DataFrame, longest_word: int | None = None) -> DataFrame:
     """``(token, pieces, cnt)``: piece ids by longest match from the left.
 
-    A word that cannot be covered, or is over-long, is the unknown piece.
+    A word that cannot be covered is the unknown piece, and so is one of more than
+    ``longest_word`` characters, if that is given.
     """
     unknown = F.array(F.lit(SPECIAL_PIECES["[UNK]"]))
-    short = words.filter(F.char_length("token") <= MAX_WORD_CHARS)
+    short = words if longest_word is None else words.filter(F.char_length("token") <= longest_word)
     # per position the longest piece sorts first, and the walk takes only the first
     span = F.struct("start", (-F.col("length")).alias("back"), "id")
     spans = (
@@ -165,6 +162,66 @@ def unigram_table(words: DataFrame, pieces: DataFrame | None) -> DataFrame:
     return words.join(solved, "token", "left").select("token", F.coalesce("path", unknown).alias("pieces"), "cnt")
 
 
+# ---- merges learned from the corpus --------------------------------------------
+
+JOINT = "\x01"  # between the two sides of a pair, where both stand in one string
+
+
+def _joined(symbols: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Walk from the left; a symbol is joined to what stands before it if ``pairs`` lists the two."""
+    listed = [f"{a}{JOINT}{b}" for a, b in pairs]
+
+    def step(done: Column, symbol: Column) -> Column:
+        last = F.element_at(done, -1)
+        fits = F.concat(last, F.lit(JOINT), symbol).isin(listed)
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(last, symbol)))
+        return F.when(fits, longer).otherwise(F.concat(done, F.array(symbol)))
+
+    rest = F.slice(symbols, 2, F.greatest(F.size(symbols) - 1, F.lit(0)))
+    return F.when(F.size(symbols) > 1, F.aggregate(rest, F.slice(symbols, 1, 1), step)).otherwise(symbols)
+
+
+def merge_table(words: DataFrame, rounds: int = 8, per_round: int = 64) -> tuple[DataFrame, list[list[tuple[str, str]]]]:
+    """``(token, pieces, cnt)`` with the pieces that merging leaves, and the merges of each round.
+
+    A word starts as its characters. Every round counts adjacent pairs over the distinct
+    words, weighted by their frequency, and merges the ``per_round`` most frequent ones
+    (ties: first pair by text). The driver sees ``per_round`` rows a round.
+    """
+    table = words.select("token", F.split("token", "").alias("pieces"), "cnt")
+    merges = []
+    for number in range(rounds):
+        pairs = F.arrays_zip(
+            F.slice("pieces", 1, F.greatest(F.size("pieces") - 1, F.lit(0))).alias("a"),
+            F.slice("pieces", 2, F.greatest(F.size("pieces") - 1, F.lit(0))).alias("b"),
+        )
+        counted = (
+            table.select(F.explode(pairs).alias("p"), "cnt").groupBy("p.a", "p.b").agg(F.sum("cnt").alias("cnt"))
+        )
+        top = counted.orderBy(F.desc("cnt"), "a", "b").limit(per_round).collect()
+        if not top:
+            break
+        merges.append([(r.a, r.b) for r in top])
+        table = materialise(table.withColumn("pieces", _joined(F.col("pieces"), merges[-1])), f"merged-{number}")
+    return table, merges
+
+
+def merged(words: DataFrame, merges: Sequence[Sequence[tuple[str, str]]]) -> DataFrame:
+    """``(token, pieces, cnt)`` of any words under merges learned before."""
+    pieces = F.split("token", "")
+    for pairs in merges:
+        pieces = _joined(pieces, pairs)
+    return words.select("token", pieces.alias("pieces"), "cnt")
+
+
+def lengths(df: DataFrame, table: DataFrame, words_col: str = "_words", id_col: str = "doc_id", extra: int = 2) -> DataFrame:
+    """``(doc_id, length)``: pieces per whole document by a table ``(token, pieces, cnt)``, and ``extra`` boundary pieces."""
+    sizes = table.select("token", F.size("pieces").alias("size"))
+    exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token"))
+    found = lookup(exploded, sizes, ["token"], spread=salt_of(id_col, "pos"), counts=table.select("token", "cnt"))
+    return found.groupBy(id_col).agg((F.coalesce(F.sum("size"), F.lit(0)) + extra).cast("int").alias("length"))
+
+
 def encode(
     df: DataFrame,
     pieces: DataFrame,
@@ -175,11 +232,12 @@ def encode(
     id_col: str = "doc_id",
     words: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_input_ids``, ``_attention_mask`` and ``_word_count`` (ids per document).
+    """``(doc_id, _input_ids, _attention_mask, _word_count)``, ids per document.
 
     Ids are wrapped in the class and separator pieces and cut to ``max_length``
-    including both; nothing is padded. ``words`` may pass in the distinct words of
-    ``df`` where they are already counted.
+    including both (``None``: whole); nothing is padded. Only ids and words are read and
+    moved; join the result where other columns are wanted. ``words`` may pass in the
+    distinct words of ``df`` where they are already counted.
     """
     tables = {"wordpiece": greedy_table, "unigram": unigram_table}
     if kind not in tables:
@@ -188,16 +246,15 @@ def encode(
         words = materialise(distinct_words(df, words_col), "subword-words")
     segmented = materialise(tables[kind](words, pieces), "subword-table")
     exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token"))
-    found = lookup(exploded, segmented, ["token"], spread=salt_of(id_col, "pos"))
+    table = segmented.select("token", "pieces")
+    found = lookup(exploded, table, ["token"], spread=salt_of(id_col, "pos"), counts=segmented.select("token", "cnt"))
     entry = F.when(F.col("pieces").isNotNull(), F.struct("pos", "pieces"))
     body = F.flatten(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["pieces"]))
     inner = body if max_length is None else F.slice(body, 1, max(max_length - 2, 0))
     ids = F.concat(F.array(F.lit(SPECIAL_PIECES["[CLS]"])), inner, F.array(F.lit(SPECIAL_PIECES["[SEP]"])))
     encoded = found.groupBy(id_col).agg(ids.alias("_input_ids"))
     size = F.size("_input_ids")
-    return df.drop("_word_count").join(encoded, id_col).withColumns(
-        {"_attention_mask": F.array_repeat(F.lit(1), size), "_word_count": size}
-    )
+    return encoded.withColumns({"_attention_mask": F.array_repeat(F.lit(1), size), "_word_count": size})
 
 
 def length_coverage(lengths: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:

@@ -37,15 +37,17 @@ def stem_table(df: DataFrame, words_col: str = "_words") -> DataFrame:
 
 
 def lemma_table(df: DataFrame, lemmas: DataFrame, words_col: str = "_words") -> DataFrame:
-    """``(token, form, cnt)`` for the words of the corpus found in ``lemmas(form, lemma)``."""
+    """``(token, form, cnt)`` of every word of the corpus; ``form`` is NULL if ``lemmas(form, lemma)`` has none."""
     pairs = lemmas.select(F.col("form").alias("token"), F.col("lemma").alias("form"))
-    return materialise(distinct_words(df, words_col).join(pairs, "token").select("token", "form", "cnt"), "lemmas")
+    words = distinct_words(df, words_col)
+    return materialise(words.join(pairs, "token", "left").select("token", "form", "cnt"), "lemmas")
 
 
 def rewrite(df: DataFrame, forms: DataFrame, words_col: str = "_words", id_col: str = "doc_id") -> DataFrame:
     """Replace each word by its form, if it has one, and rebuild text and lengths."""
     exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token"))
-    found = lookup(exploded, forms, ["token"], spread=salt_of(id_col, "pos"))
+    table, counts = forms.select("token", "form"), forms.select("token", "cnt")
+    found = lookup(exploded, table, ["token"], spread=salt_of(id_col, "pos"), counts=counts)
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("form", "token").alias("w")))
     rebuilt = (
         found.groupBy(id_col)

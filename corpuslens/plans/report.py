@@ -37,7 +37,7 @@ def corpus_report(tokens: DataFrame, k: int = 10, alpha: float = 0.01) -> DataFr
         stats.vocabulary_size(words).select(
             F.lit("vocabulary_size").alias("stat"), "scope", no_key, F.col("vocabulary_size").cast("double").alias("value")
         ),
-        top.select(name.alias("stat"), "scope", F.col("gram").alias("key"), F.col("cnt").cast("double").alias("value")),
+        top.select(name.alias("stat"), "scope", stats.shown("gram").alias("key"), F.col("cnt").cast("double").alias("value")),
         significant.select(
             F.lit("most_significant_words").alias("stat"), "scope", F.col("term").alias("key"), F.col("z").alias("value")
         ),

@@ -32,27 +32,46 @@ def build_session(app: str = "corpuslens", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
+_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a fresh temporary folder.
+    Where the setting is missing, ``use_folder`` must have named one.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _folders.get(spark.sparkContext.applicationId)
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="corpuslens-")
-    return _local_folders[context.applicationId]
+    return folder.rstrip("/")
+
+
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of an application whose ``spark.checkpoint.dir`` is unset."""
+    _folders[spark.sparkContext.applicationId] = folder
+
+
+def ensure_folder(spark: SparkSession) -> None:
+    """For entry points: name a folder of this machine if none is named and the master is local."""
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.applicationId in _folders
+    if not known and context.master.split("[")[0] == "local":
+        use_folder(spark, tempfile.mkdtemp(prefix="corpuslens-"))
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables written so far by this application; call it when no result reads them any more."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions.text import blank_to_null, words_of
+from corpuslens.operators.classify import CountModel
 from corpuslens.operators.ngram import NGramModel
 from corpuslens.schema import EVALUATION, REVIEWS, require_columns
 
@@ -92,14 +93,30 @@ def load_classifier(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def save_count_classifier(model: CountModel, path: str) -> None:
+    model.tokens.write.mode("overwrite").parquet(f"{path}/tokens")
+    totals = model.totals.withColumn("smoothing", F.lit(model.smoothing))
+    totals.write.mode("overwrite").parquet(f"{path}/totals")
+
+
+def load_count_classifier(spark: SparkSession, path: str) -> CountModel:
+    totals = spark.read.parquet(f"{path}/totals")
+    return CountModel(spark.read.parquet(f"{path}/tokens"), totals.drop("smoothing"), totals.first().smoothing)
+
+
+MODEL_SETTINGS = "sizes ARRAY<INT>, laplace BOOLEAN"
+
+
 def save_ngram_model(model: NGramModel, path: str) -> None:
-    """Count tables partitioned by size, so loading one size reads only its folder."""
+    """Count tables partitioned by size, so loading one size reads only its folder, and how they are smoothed."""
     model.counts.write.mode("overwrite").partitionBy("n").parquet(f"{path}/counts")
     model.totals.write.mode("overwrite").partitionBy("n").parquet(f"{path}/totals")
+    settings = model.counts.sparkSession.createDataFrame([(list(model.sizes), model.laplace)], MODEL_SETTINGS)
+    settings.write.mode("overwrite").parquet(f"{path}/settings")
 
 
-def load_ngram_model(spark: SparkSession, path: str, laplace: bool = True) -> NGramModel:
-    counts = spark.read.schema("context STRING, word STRING, cnt BIGINT, n INT").parquet(f"{path}/counts")
-    totals = spark.read.schema("context STRING, total BIGINT, n INT").parquet(f"{path}/totals")
-    sizes = tuple(sorted(r.n for r in totals.select("n").distinct().collect()))  # one row per folder
-    return NGramModel(counts, totals, sizes, laplace)
+def load_ngram_model(spark: SparkSession, path: str) -> NGramModel:
+    counts = spark.read.schema("context ARRAY<STRING>, word STRING, cnt BIGINT, n INT").parquet(f"{path}/counts")
+    totals = spark.read.schema("context ARRAY<STRING>, total BIGINT, n INT").parquet(f"{path}/totals")
+    settings = spark.read.schema(MODEL_SETTINGS).parquet(f"{path}/settings").first()  # one row
+    return NGramModel(counts, totals, tuple(settings.sizes), settings.laplace)

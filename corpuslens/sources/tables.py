@@ -20,36 +20,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, scan: DataFrame, *keys: str) -> DataFrame:
-    """Give text work one partition per core when ``scan`` has too few for that.
-
-    A scan that already has enough partitions leaves ``df`` unchanged, so a large
-    corpus pays no shuffle. ``scan`` must be a plain file scan: counting its
-    partitions then runs no job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def _spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    return df if parts is None else df.repartition(parts, *keys)
 
 
-def _labelled(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    scan = table(spark, folder, "documents")
-    documents = scan.select("doc_id", F.col("text").alias("review"))
+def _labelled(spark: SparkSession, folder: str, how: str, parts: int | None) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", F.col("text").alias("review"))
     labels = table(spark, folder, "labels").select("doc_id", decode_label(F.col("quality")).alias("sentiment"))
-    return spread(documents.join(labels, "doc_id", how), scan, "doc_id")
+    return _spread(documents.join(labels, "doc_id", how), parts, "doc_id")
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents as ``(doc_id, review, sentiment)``."""
-    return _labelled(spark, folder, "inner")
+def reviews(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """Labelled documents as ``(doc_id, review, sentiment)``.
+
+    ``parts`` deals the rows anew, for a table of fewer files than there are cores.
+    """
+    return _labelled(spark, folder, "inner", parts)
 
 
-def reviews_all(spark: SparkSession, folder: str) -> DataFrame:
+def reviews_all(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
     """All documents; unlabelled ones have a NULL sentiment."""
-    return _labelled(spark, folder, "left")
+    return _labelled(spark, folder, "left", parts)
 
 
-def turns(spark: SparkSession, folder: str) -> DataFrame:
+def turns(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
     """Conversation turns as a second corpus; the class is the role."""
     scan = table(spark, folder, "conversations")
     df = scan.select("conv_id", "turn", F.col("text").alias("review"), F.col("role").alias("sentiment"))
-    return spread(df, scan, "conv_id", "turn")
+    return _spread(df, parts, "conv_id", "turn")

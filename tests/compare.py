@@ -6,12 +6,14 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
+import tempfile
 import time
 
 import duckdb
 
-from corpuslens.session import build_session
+from corpuslens.session import build_session, release, ship_code
 from corpuslens.sources.tables import SCHEMAS
 from workload.oracle import all_sql
 from workload.queries import QUERIES
@@ -58,8 +60,9 @@ def main() -> int:
     prefixes = tuple(sys.argv[2:]) or ("",)
     spark = build_session(
         master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir="file://" + tempfile.mkdtemp(prefix="compare-"),
     )
+    ship_code(spark, os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "corpuslens", "workload", "tests")
     spark.sparkContext.setLogLevel("ERROR")
     db, sql, failed = connect(folder), all_sql(), []
     for name, fn in QUERIES.items():
@@ -74,6 +77,7 @@ def main() -> int:
                 problem = None if df.count() else "no rows"
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        release(spark)
         kind = "sql" if name in sql else "rows"
         print(f"{'FAIL' if problem else 'ok  '} {kind:4} {time.time() - start:6.1f}s {name} {problem or ''}", flush=True)
         if problem:

@@ -9,10 +9,10 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('tables')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     ship_code(session, ROOT, "corpuslens", "workload", "tests")

@@ -21,22 +21,24 @@ def ppl(model, df):
 
 def test_events(docs):
     got = ngram.events(docs([["a", "b"], []]), (2, 3), "doc_id").collect()
-    assert {(r.doc_id, r.n, r.context, r.word) for r in got} == {
-        (0, 2, "<s>", "a"), (0, 2, "a", "b"), (0, 2, "b", "</s>"), (1, 2, "<s>", "</s>"),
-        (0, 3, "<s> <s>", "a"), (0, 3, "<s> a", "b"), (0, 3, "a b", "</s>"), (1, 3, "<s> <s>", "</s>"),
+    assert {(r.doc_id, r.n, tuple(r.context), r.word) for r in got} == {
+        (0, 2, ("<s>",), "a"), (0, 2, ("a",), "b"), (0, 2, ("b",), "</s>"), (1, 2, ("<s>",), "</s>"),
+        (0, 3, ("<s>", "<s>"), "a"), (0, 3, ("<s>", "a"), "b"), (0, 3, ("a", "b"), "</s>"), (1, 3, ("<s>", "<s>"), "</s>"),
     }
     one = ngram.events(docs([["a", "b"]]), (1,)).collect()
-    assert [(r.context, r.word) for r in one] == [("", "a"), ("", "b"), ("", "</s>")]
+    assert [(r.context, r.word) for r in one] == [([], "a"), ([], "b"), ([], "</s>")]
 
 
 def test_probabilities(spark, f2):
     model = ngram.fit(f2, (2,))
     assert model.vocabulary.first().v == 4
-    wanted = spark.createDataFrame([(2, "<s>", "a"), (2, "a", "b"), (2, "b", "</s>"), (2, "zz", "a")], "n INT, context STRING, word STRING")
-    got = {(r.context, r.word): r.p for r in ngram.probabilities(model, wanted).collect()}
+    wanted = spark.createDataFrame(
+        [(2, ["<s>"], "a"), (2, ["a"], "b"), (2, ["b"], "</s>"), (2, ["zz"], "a")], "n INT, context ARRAY<STRING>, word STRING"
+    )
+    got = {(r.context[0], r.word): r.p for r in ngram.probabilities(model, wanted).collect()}
     assert got == {("<s>", "a"): 1 / 2, ("a", "b"): 1 / 3, ("b", "</s>"): 2 / 5, ("zz", "a"): 1 / 4}
     plain = ngram.fit(f2, (2,), laplace=False)
-    got = {(r.context, r.word): r.p for r in ngram.probabilities(plain, wanted).collect()}
+    got = {(r.context[0], r.word): r.p for r in ngram.probabilities(plain, wanted).collect()}
     assert got == {("<s>", "a"): 1.0, ("a", "b"): 0.5, ("b", "</s>"): 1.0, ("zz", "a"): 0.0}
 
 
@@ -85,14 +87,14 @@ def test_perplexity_against_brute_force(docs):
 
 def test_successors(docs):
     model = ngram.fit(docs([["a", "b"], ["a", "c"], ["a", "c"]]), (2,))
-    got = ngram.successors(model, k=1).filter("context = 'a'").first()
+    got = ngram.successors(model, k=1).filter("context = array('a')").first()
     assert (got.word, got.cnt) == ("c", 2)
     assert ngram.successors(model).count() == model.counts.count()
 
 
 def test_sharpened(docs):
     model = ngram.fit(docs([["a"], ["a"], ["a"], ["b"]]), (2,))
-    got = {r.word: r.q for r in ngram.sharpened(model, 0.5).filter("context = '<s>'").collect()}
+    got = {r.word: r.q for r in ngram.sharpened(model, 0.5).filter("context = array('<s>')").collect()}
     assert got == {"a": pytest.approx(16 / 20), "b": pytest.approx(4 / 20)}
 
 
@@ -100,10 +102,10 @@ def test_sharpened(docs):
 def test_draw_table_covers_every_weight(docs, temperature):
     model = ngram.fit(docs([[w] for w in "aaaaaaabbbcccdefghijk"]), (2,))
     table = ngram.draw_table(model, 2, temperature)
-    mass = {(r.context): r.mass for r in table.contexts.collect()}
+    mass = {tuple(r.context): r.mass for r in table.contexts.collect()}
     ranges = defaultdict(set)
-    for r in table.steps.collect():
-        ranges[r.context].add((r.lo, r.hi))
+    for r in table.cells.collect():
+        ranges[tuple(r.context)] |= {(s.lo, s.hi) for s in r.steps}
     for context, found in ranges.items():
         at = 0
         for lo, hi in sorted(found):
@@ -114,7 +116,7 @@ def test_draw_table_covers_every_weight(docs, temperature):
 
 def test_draws_follow_the_weights(spark, docs):
     model = ngram.fit(docs([["a"]] * 7 + [["b"]] * 2), (2,))  # weights 8 and 3
-    states = spark.range(4_000).select(F.col("id").alias("sent_id"), F.lit(2).alias("n"), F.lit("<s>").alias("context"))
+    states = spark.range(4_000).select(F.col("id").alias("sent_id"), F.lit(2).alias("n"), F.array(F.lit("<s>")).alias("context"))
     out = ngram.draw(ngram.draw_table(model, 2), states, (F.col("sent_id") + 0.5) / 4_000)
     assert out.count() == 4_000
     share = out.filter("word = 'a'").count() / 4_000
@@ -148,3 +150,44 @@ def test_model_round_trip(spark, f2, docs, tmp_path):
     back = files.load_ngram_model(spark, str(tmp_path / "m"))
     assert back.sizes == (2, 3)
     assert ppl(back, docs([["a", "b"]])) == ppl(model, docs([["a", "b"]]))
+
+
+def test_unsmoothed_model_comes_back_unsmoothed(spark, f2, tmp_path):
+    model = ngram.fit(f2, (2,), laplace=False)
+    files.save_ngram_model(model, str(tmp_path / "m"))
+    back = files.load_ngram_model(spark, str(tmp_path / "m"))
+    assert back.laplace is False and back.sizes == (2,) and ppl(back, f2) == ppl(model, f2)
+
+
+def test_tokens_with_blanks(spark, docs):
+    """Two documents whose contexts read alike when written as text."""
+    df = docs([["a b", "c", "x"], ["a", "b c", "y"]])
+    model = ngram.fit(df, (3,))
+    counted = {(tuple(r.context), r.word): r.cnt for r in model.counts.collect()}
+    assert counted[("a b", "c"), "x"] == 1 and counted[("a", "b c"), "y"] == 1
+    assert {tuple(r.context): r.total for r in model.totals.collect()}[("a b", "c")] == 1
+    wanted = model.counts.select("n", "context", "word")
+    assert {r.total for r in ngram.probabilities(model, wanted).collect()} == {1, 2}
+    seeds = spark.range(50).withColumnRenamed("id", "sent_id")
+    out = ngram.generate(model, seeds, 3).collect()
+    assert len(out) == 50 and {tuple(r.words) for r in out} == {("a b", "c", "x"), ("a", "b c", "y")}
+
+
+def test_sentences_from_a_start_token(spark, docs):
+    model = ngram.fit(docs([["a", "b", "c"], ["b", "d"]]), (2,))
+    seeds = spark.createDataFrame([(i, "b") for i in range(40)], "sent_id LONG, start STRING")
+    out = ngram.generate(model, seeds, 2, max_length=6, start_col="start").collect()
+    assert len(out) == 40 and {tuple(r.words) for r in out} == {("b", "c"), ("b", "d")}
+    lost = spark.createDataFrame([(1, "b"), (2, "never seen")], "sent_id LONG, start STRING")
+    with pytest.raises(ValueError, match="1 sentences"):
+        ngram.generate(model, lost, 2, start_col="start")
+
+
+def test_low_temperature_draws_follow_the_distribution(spark, docs):
+    """Rare successors keep their tiny share instead of a floor."""
+    model = ngram.fit(docs([["a"]] * 99 + [["b"]]), (2,), laplace=False)
+    table = ngram.draw_table(model, 2, 0.1)
+    entries = {s.word: s.hi - s.lo for r in table.cells.filter("context = array('<s>')").collect() for s in r.steps}
+    q = {r.word: r.q for r in ngram.sharpened(model, 0.1).filter("context = array('<s>')").collect()}
+    total = sum(entries.values())
+    assert entries.get("b", 0) / total == pytest.approx(q["b"], abs=2**-52)

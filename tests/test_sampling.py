@@ -86,16 +86,52 @@ def test_dense_ranks(spark, ids):
     assert {r.doc_id: r.rank for r in seeded_rank(ids, "x").collect()} == {i: r for r, i in enumerate(order)}
 
 
-@pytest.mark.parametrize("small_rows", [0, 1_000])
-def test_lookup_paths_agree(spark, small_rows):
-    """A third of the facts share one key; both join paths give the plain left join."""
+@pytest.mark.parametrize("hot_rows", [1, 5, 1_000])
+def test_lookup_is_the_left_join(spark, hot_rows):
+    """Whatever part of the keys is broadcast, the rows are those of the plain left join."""
     facts = spark.range(3_000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("token")
     )
     rows = [("hot", 7, 1_000)] + [(f"k{i}", i, 40) for i in range(45)]
     table = materialise(spark.createDataFrame(rows, "token STRING, id2 INT, cnt LONG"), "lookup-test")
-    got = lookup(facts, table, ["token"], spread=salt_of("id"), hot_rows=5, small_rows=small_rows)
+    got = lookup(facts, table, ["token"], spread=salt_of("id"), hot_rows=hot_rows)
     want = facts.join(table, "token", "left")
     assert sorted(got.select("id", "token", "id2", "cnt").collect(), key=lambda r: r.id) == sorted(
         want.select("id", "token", "id2", "cnt").collect(), key=lambda r: r.id
     )
+
+
+def test_lookup_spreads_heavy_keys(spark):
+    """A missing word and a null hold a third of the rows each; no join key keeps more than its share."""
+    token = F.when(F.col("id") % 3 == 0, "missing").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50))
+    facts = spark.range(3_000).select("id", token.alias("token"))
+    table = materialise(spark.createDataFrame([(f"k{i}", i) for i in range(45)], "token STRING, id2 INT"), "lookup-test")
+    got = lookup(facts, table, ["token"], spread=salt_of("id"), hot_rows=5)
+    want = facts.join(table, "token", "left")
+    assert sorted(map(tuple, got.select("id", "token", "id2").collect())) == sorted(map(tuple, want.select("id", "token", "id2").collect()))
+
+    # the salted keys that reach the last join, read from its left side
+    counts = facts.groupBy("token").count().orderBy(F.desc("count"), "token").limit(5)
+    seen = [r.token for r in counts.collect()]
+    assert "missing" in seen
+    settled = F.col("token").isNull() | F.col("token").isin([t for t in seen if t])
+    shares = facts.groupBy("token", F.when(settled, salt_of("id")).otherwise(0).alias("salt")).count()
+    assert shares.agg(F.max("count")).first()[0] <= 3_000 // 3 // 10
+
+
+def test_lookup_counts_nothing_while_planning(spark, monkeypatch):
+    facts = spark.range(10).select("id", F.lit("a").alias("token"))
+    table = spark.createDataFrame([("a", 1)], "token STRING, id2 INT")
+    monkeypatch.setattr(type(facts), "count", None)
+    monkeypatch.setattr(type(facts), "collect", None)
+    lookup(facts, table, ["token"], spread=salt_of("id"))
+
+
+def test_cuts_in_divided_buckets(spark, ids, monkeypatch):
+    """Buckets above the limit are divided until one task can sort them."""
+    from corpuslens.operators import ordering
+
+    want = ordering.seeded_cuts(ids, "x", lambda n: {"a": n // 3, "b": n - 1, "past": n})
+    monkeypatch.setattr(ordering, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 4)
+    assert ordering.seeded_cuts(ids, "x", lambda n: {"a": n // 3, "b": n - 1, "past": n}) == want and set(want) == {"a", "b"}

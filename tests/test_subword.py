@@ -22,7 +22,8 @@ def test_greedy_takes_the_longest_piece(spark, pieces):
     name = {r.piece: r.id for r in pieces.collect()}
     got = ids(subword.greedy_table(words, pieces))
     assert got["unaffable"] == [name["un"], name["##aff"], name["##able"]]
-    assert got["unx"] == [1] and got["u" * 101] == [1]
+    assert got["unx"] == [1]
+    assert ids(subword.greedy_table(words, pieces, longest_word=5))["unaffable"] == [1]
     assert got["una"] == [name["un"], name["##a"]]
 
 
@@ -78,3 +79,30 @@ def test_length_reports(spark):
     assert d.median == 2.5 and d.p95 == pytest.approx(3 + 0.85 * 297)
     assert subword.length_distribution(lengths, exact=False).first().median in (2.0, 3.0)
     assert math.isfinite(d.p99)
+
+
+def test_merges(spark, docs):
+    """Merges against a plain walk over the words."""
+    df = docs([["banana", "bandana", "ban"], ["banana", "x", "aaaa"]])
+    counted = wordforms.distinct_words(df)
+    table, merges = subword.merge_table(counted, rounds=3, per_round=2)
+    got = {r.token: r.pieces for r in table.collect()}
+
+    def walk(word):
+        symbols = list(word)
+        for pairs in merges:
+            done = symbols[:1]
+            for s in symbols[1:]:
+                if (done[-1], s) in pairs:
+                    done[-1] += s
+                else:
+                    done.append(s)
+            symbols = done
+        return symbols
+
+    assert got == {w: walk(w) for w in ("banana", "bandana", "ban", "x", "aaaa")}
+    assert [len(p) for p in merges] == [2, 2, 2] and merges[0] == [("a", "n"), ("n", "a")]
+    other = spark.createDataFrame([("nana", 1), ("b", 1)], "token STRING, cnt LONG")
+    assert {r.token: r.pieces for r in subword.merged(other, merges).collect()} == {"nana": walk("nana"), "b": ["b"]}
+    lengths = {r.doc_id: r.length for r in subword.lengths(df, table).collect()}
+    assert lengths[1] == 2 + sum(len(walk(w)) for w in ("banana", "x", "aaaa"))

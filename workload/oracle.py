@@ -2,11 +2,44 @@
 
 from __future__ import annotations
 
-from corpuslens.functions import text, wordlists
-from corpuslens.operators.judge import TEMPLATE
-from workload.queries import BATCH, MAX_LENGTH, MAX_PIECE, MIN_FREQ, PIECES, SAMPLE
-
-SELECTED = SAMPLE // 4
+# The rules are written out here once more, so that they check the package's and not repeat them.
+MIN_FREQ = 5
+BATCH = 32
+MAX_LENGTH = 128
+SAMPLE = 100
+SELECTED = 25
+PIECES = 30_000
+MAX_PIECE = 6
+MERGE_ROUNDS = 8
+MERGES = 64
+
+BREAK_TAG = r"<br\s*/?>"
+SPACE = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WORD = r"\p{L}\p{N}_"
+
+FORMS = [
+    ("the", "won't"), ("of", "it's"), ("and", "they've<br />"), ("in", "gonna"), ("to", "dog's"), ("a", "I’m"), ("on", "y'all can't"),
+    ("que", "we'd"), ("de", "o'clock<br>"), ("der", "aren't"), ("die", "she'll"), ("le", "lemme let's"),
+]
+CONTRACTIONS = [
+    (r"\bwon't\b", "will not"), (r"\bcan't\b", "cannot"), (r"\bshan't\b", "shall not"), (r"\bain't\b", "are not"),
+    (r"\blet's\b", "let us"), (r"\by'all\b", "you all"), (r"\bma'am\b", "madam"), (r"\bo'clock\b", "of the clock"),
+    (r"\bgonna\b", "going to"), (r"\bwanna\b", "want to"), (r"\bgotta\b", "got to"), (r"\bgimme\b", "give me"),
+    (r"\blemme\b", "let me"), (r"(\p{L})n't\b", r"\1 not"), (r"(\p{L})'re\b", r"\1 are"), (r"(\p{L})'ve\b", r"\1 have"),
+    (r"(\p{L})'ll\b", r"\1 will"), (r"(\p{L})'d\b", r"\1 would"), (r"(\p{L})'m\b", r"\1 am"),
+    (r"\b(it|that|he|she|what|where|who|there|here|how|when|why)'s\b", r"\1 is"),
+]
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+    itself they them their theirs themselves what which who whom this that these those am is are was were be been being have
+    has had having do does did doing a an the and but if or because as until while of at by for with about against between
+    into through during before after above below to from up down in out on off over under again further then once here there
+    when where why how all any both each few more most other some such no nor not only own same so than too very can will
+    just should now
+"""
+TREEBANK = {"cannot": "can not", "gimme": "gim me", "gonna": "gon na", "gotta": "got ta", "lemme": "lem me", "wanna": "wan na"}
+PROMPT_HEAD = "Decide whether the review below is positive or negative.\nReview:\n"
+PROMPT_TAIL = "\nReply with one lower-case word, positive or negative."
 
 
 def sql_text(value: str) -> str:
@@ -17,18 +50,28 @@ def replaced(column: str, pattern: str, new: str) -> str:
     return f"regexp_replace({column}, {sql_text(pattern)}, {sql_text(new)}, 'g')"
 
 
+def formed(column: str) -> str:
+    for word, form in FORMS:
+        column = f"replace({column}, ' {word} ', {sql_text(f' {form} ')})"
+    return column
+
+
 def expanded(column: str) -> str:
     out = f"replace({column}, '’', '''')"
-    for pattern, new in text.contraction_rules():
-        out = replaced(out, pattern, new.replace("$1", r"\1"))
+    for pattern, new in CONTRACTIONS:
+        out = replaced(out, pattern, new)
     return out
 
 
+def lowered(column: str) -> str:
+    return expanded(f"lower({replaced(column, BREAK_TAG, ' ')})")
+
+
 def split_words(column: str) -> str:
-    return f"list_filter(string_split_regex({column}, {sql_text(text.SPACES)}), lambda x: x <> '')"
+    return f"list_filter(string_split_regex({column}, {sql_text(f'[{SPACE}]+')}), lambda x: x <> '')"
 
 
-STOP_LIST = ", ".join(sql_text(w) for w in wordlists.STOP_WORDS)
+STOP_LIST = ", ".join(sql_text(w) for w in STOP_WORDS.split())
 
 
 def without_stop_words(column: str) -> str:
@@ -36,11 +79,15 @@ def without_stop_words(column: str) -> str:
 
 
 def no_punctuation(column: str) -> str:
-    return replaced(column, text.PUNCTUATION, "")
+    return replaced(column, f"[^{WORD}{SPACE}]", "")
+
+
+def word_or_punctuation(column: str) -> str:
+    return f"regexp_extract_all({column}, {sql_text(f'([{WORD}]+|[^{WORD}{SPACE}])')}, 1)"
 
 
 def cleaned(column: str) -> str:
-    return no_punctuation(expanded(f"lower({replaced(column, text.BREAK_TAG, ' ')})"))
+    return no_punctuation(lowered(column))
 
 
 def label_name(column: str) -> str:
@@ -55,19 +102,131 @@ def uniform(salt: str, column: str) -> str:
     return f"(('0x' || substr(md5('{salt}:' || {column}), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE)"
 
 
-def grown(me: str, cdf: str, sizes: str) -> str:
+def grown(me: str, cdf: str, sizes: str, most: int) -> str:
     """Recursive sentence growth: one seeded draw per step from the cumulative weights."""
-    u = "(('0x' || substr(md5('42:' || (step + 1) || ':' || sent_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE)"
-    draw = f"floor({u} * mass)"
     return f"""
         SELECT n, doc_id AS sent_id, 0 AS step, CASE n WHEN 2 THEN '<s>' ELSE '<s> <s>' END AS context,
                []::VARCHAR[] AS words, false AS done
         FROM test_documents JOIN (SELECT unnest({sizes}) AS n) ON true
-        UNION ALL
+        UNION ALL {onward(me, cdf, most)}"""
+
+
+def onward(me: str, cdf: str, most: int) -> str:
+    u = "(('0x' || substr(md5('42:' || (step + 1) || ':' || sent_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE)"
+    draw = f"floor({u} * mass)"
+    return f"""
         SELECT g.n, sent_id, step + 1, CASE g.n WHEN 2 THEN c.word ELSE split_part(g.context, ' ', 2) || ' ' || c.word END,
                CASE WHEN c.word = '</s>' THEN words ELSE list_append(words, c.word) END, c.word = '</s>'
         FROM {me} g JOIN {cdf} c ON g.n = c.n AND g.context = c.context AND {draw} >= hi - w AND {draw} < hi
-        WHERE NOT done AND step < 10"""
+        WHERE NOT done AND step < {most}"""
+
+
+def merge_parts() -> dict[str, str]:
+    """Rounds of merges over the distinct words: frequent pairs, then a walk over each word from the left."""
+    parts = {"merged_0": "SELECT token, cnt, string_split(token, '') AS syms FROM distinct_words"}
+    for i in range(1, MERGE_ROUNDS + 1):
+        parts[f"pairs_{i}"] = f"""
+            SELECT p[1] || chr(1) || p[2] AS pair FROM (
+                SELECT p, sum(cnt) AS n FROM (
+                    SELECT unnest(list_transform(range(1, len(syms)), lambda k: [syms[k], syms[k + 1]])) AS p, cnt FROM merged_{i - 1})
+                GROUP BY p ORDER BY n DESC, p[1], p[2] LIMIT {MERGES})"""
+        parts[f"merged_{i}"] = f"""
+            SELECT token, cnt, CASE WHEN len(syms) < 2 THEN syms ELSE list_reduce(list_transform(syms, lambda x: [x]), lambda done, x:
+                CASE WHEN list_contains(pairs, done[len(done)] || chr(1) || x[1])
+                     THEN list_append(done[1:len(done) - 1], done[len(done)] || x[1]) ELSE list_concat(done, x) END) END AS syms
+            FROM merged_{i - 1}, (SELECT list(pair) AS pairs FROM pairs_{i})"""
+    return parts
+
+
+# ---- the published stemmer, one part per step ----------------------------------
+
+STEP_2 = """ational ate, tional tion, enci ence, anci ance, izer ize, abli able, alli al, entli ent, eli e, ousli ous, ization ize,
+    ation ate, ator ate, alism al, iveness ive, fulness ful, ousness ous, aliti al, iviti ive, biliti ble"""
+STEP_3 = "icate ic, ative , alize al, iciti ic, ical ic, ful , ness "
+STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+
+
+def shape(word: str) -> str:
+    """The word as v and c; y is a vowel after a consonant."""
+    kind = """CASE WHEN x IN ('a', 'e', 'i', 'o', 'u') OR (x = 'y' AND ends_with(done, 'c')) THEN 'v' ELSE 'c' END"""
+    return f"list_reduce(list_prepend('', string_split({word}, '')), lambda done, x: CASE WHEN x = '' THEN done ELSE done || {kind} END)"
+
+
+def measure(word: str) -> str:
+    return f"len(regexp_extract_all({shape(word)}, 'v+c+'))"
+
+
+def short(word: str) -> str:
+    """Ends in consonant, vowel, consonant, the last not w, x or y."""
+    return f"(ends_with({shape(word)}, 'cvc') AND right({word}, 1) NOT IN ('w', 'x', 'y'))"
+
+
+def suffix_step(source: str, table: str) -> str:
+    """Replace the longest suffix of a table if something is left that holds a vowel and a consonant."""
+    rows = [(x.strip().split(" ") + [""])[:2] for x in table.replace("\n", " ").split(",")]
+    rows = sorted(([a.strip(), b.strip()] for a, b in rows), key=lambda x: -len(x[0]))
+    cut = " ".join(f"WHEN ends_with(w, '{a}') THEN '{a}'" for a, _ in rows)
+    new = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in rows)
+    return f"""
+        SELECT token, CASE WHEN cut IS NOT NULL AND {measure('stem')} > 0 THEN stem || (CASE cut {new} END) ELSE w END AS w
+        FROM (SELECT *, left(w, length(w) - length(cut)) AS stem FROM (SELECT *, CASE {cut} END AS cut FROM {source}))"""
+
+
+def stem_parts() -> dict[str, str]:
+    residue = " ".join(f"WHEN ends_with(w, '{a}') THEN '{a}'" for a in sorted(STEP_4.split(), key=lambda x: -len(x)))
+    return {
+        "stem_1": """
+            SELECT token, CASE WHEN ends_with(token, 'sses') OR ends_with(token, 'ies') THEN left(token, length(token) - 2)
+                WHEN ends_with(token, 'ss') THEN token WHEN ends_with(token, 's') THEN left(token, length(token) - 1) ELSE token END AS w
+            FROM distinct_words WHERE length(token) > 2""",
+        "stem_2a": f"""
+            SELECT token, w, CASE WHEN ends_with(w, 'eed') THEN NULL
+                WHEN ends_with(w, 'ed') AND contains({shape('left(w, length(w) - 2)')}, 'v') THEN left(w, length(w) - 2)
+                WHEN ends_with(w, 'ing') AND contains({shape('left(w, length(w) - 3)')}, 'v') THEN left(w, length(w) - 3) END AS stem FROM stem_1""",
+        "stem_2": f"""
+            SELECT token, CASE
+                WHEN ends_with(w, 'eed') THEN CASE WHEN {measure('left(w, length(w) - 3)')} > 0 THEN left(w, length(w) - 1) ELSE w END
+                WHEN stem IS NULL THEN w
+                WHEN right(stem, 2) IN ('at', 'bl', 'iz') THEN stem || 'e'
+                WHEN length(stem) > 1 AND right(stem, 1) = left(right(stem, 2), 1) AND ends_with({shape('stem')}, 'c')
+                    AND right(stem, 1) NOT IN ('l', 's', 'z') THEN left(stem, length(stem) - 1)
+                WHEN {measure('stem')} = 1 AND {short('stem')} THEN stem || 'e' ELSE stem END AS w FROM stem_2a""",
+        "stem_3": f"""
+            SELECT token, CASE WHEN ends_with(w, 'y') AND contains({shape('left(w, length(w) - 1)')}, 'v')
+                THEN left(w, length(w) - 1) || 'i' ELSE w END AS w FROM stem_2""",
+        "stem_4": suffix_step("stem_3", STEP_2),
+        "stem_5": suffix_step("stem_4", STEP_3),
+        "stem_6": f"""
+            SELECT token, CASE WHEN cut IS NOT NULL AND (cut <> 'ion' OR right(stem, 1) IN ('s', 't')) AND {measure('stem')} > 1
+                THEN stem ELSE w END AS w
+            FROM (SELECT *, left(w, length(w) - length(cut)) AS stem FROM (SELECT *, CASE {residue} END AS cut FROM stem_5))""",
+        "stem_7": f"""
+            SELECT token, CASE WHEN ends_with(w, 'e') AND ({measure('stem')} > 1 OR ({measure('stem')} = 1 AND NOT {short('stem')}))
+                THEN stem ELSE w END AS w FROM (SELECT *, left(w, length(w) - 1) AS stem FROM stem_6)""",
+        "stems": f"""
+            SELECT token, CASE WHEN ends_with(w, 'll') AND {measure('w')} > 1 THEN left(w, length(w) - 1) ELSE w END AS form FROM stem_7
+            UNION ALL SELECT token, token FROM distinct_words WHERE length(token) <= 2""",
+    }
+
+
+def class_counts(source: str) -> dict[str, str]:
+    """Multinomial class model of a token relation ``(doc_id, token)``, smoothed by one."""
+    return {
+        f"{source}_classes": f"""
+            SELECT token, count(*) FILTER (sentiment = 'positive') AS p, count(*) FILTER (sentiment = 'negative') AS q
+            FROM {source} JOIN reviews USING (doc_id) JOIN splits USING (doc_id) WHERE split = 'train' AND sentiment IS NOT NULL GROUP BY token""",
+        f"{source}_totals": f"SELECT sum(p)::DOUBLE AS ps, sum(q)::DOUBLE AS qs, count(*) AS v FROM {source}_classes",
+        f"{source}_scores": f"""
+            SELECT r.doc_id, split, CASE sentiment WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 END::INTEGER AS label,
+                   1 / (1 + exp(-(prior + coalesce(odds, 0)))) AS score
+            FROM reviews r JOIN splits s ON r.doc_id = s.doc_id JOIN (
+                SELECT ln((count(*) FILTER (sentiment = 'positive') + 1)::DOUBLE / (count(*) FILTER (sentiment = 'negative') + 1)) AS prior
+                FROM reviews JOIN splits USING (doc_id) WHERE split = 'train') ON true
+            LEFT JOIN (
+                SELECT t.doc_id, sum(ln((coalesce(p, 0) + 1) / (ps + v)) - ln((coalesce(q, 0) + 1) / (qs + v))) AS odds
+                FROM {source} t LEFT JOIN {source}_classes c ON t.token = c.token JOIN {source}_totals ON true GROUP BY t.doc_id) o
+            ON r.doc_id = o.doc_id""",
+    }
 
 
 # Named parts; each entry may use the ones before it.
@@ -84,6 +243,8 @@ PARTS = {
     "words_all": f"SELECT doc_id, sentiment, review, {split_words('review')} AS words FROM corpus_all",
     "turn_words": f"""
         SELECT conv_id, turn, role AS sentiment, {split_words(cleaned('text'))} AS words FROM conversations""",
+    "formed_turns": f"""
+        SELECT conv_id, turn, {split_words(cleaned(formed('text')))} AS words FROM conversations""",
     "ranked": """
         SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS r, count(*) OVER () AS total
         FROM reviews""",
@@ -155,15 +316,21 @@ PARTS = {
                sum(cnt + 1) OVER (PARTITION BY n, context ORDER BY substr(md5(word), 1, 2), word) AS hi
         FROM counts""",
     "sharp": """
-        SELECT n, context, word, greatest(1, round(pow((cnt + 1)::DOUBLE / top, 1 / 0.8::DOUBLE) * 1000000000))::BIGINT AS w
-        FROM (SELECT *, max(cnt + 1) OVER (PARTITION BY n, context) AS top FROM counts WHERE n = 2)""",
+        SELECT * FROM (
+            SELECT n, context, word, round(pow((cnt + 1)::DOUBLE / top, 1 / 0.8::DOUBLE) * floor(9007199254740992.0::DOUBLE / successors))::BIGINT AS w
+            FROM (SELECT *, max(cnt + 1) OVER (PARTITION BY n, context) AS top, count(*) OVER (PARTITION BY n, context) AS successors
+                  FROM counts WHERE n = 2)) WHERE w > 0""",
     "sharp_mass": """
         SELECT n, context, word, w, sum(w) OVER (PARTITION BY n, context) AS mass,
                sum(w) OVER (PARTITION BY n, context ORDER BY substr(md5(word), 1, 2), word) AS hi
         FROM sharp""",
     "test_documents": "SELECT doc_id FROM splits WHERE split = 'test'",
-    "grown": grown("grown", "mass", "[2, 3]"),
-    "sharp_grown": grown("sharp_grown", "sharp_mass", "[2]"),
+    "grown": grown("grown", "mass", "[2, 3]", 20),
+    "sharp_grown": grown("sharp_grown", "sharp_mass", "[2]", 15),
+    "started_grown": f"""
+        SELECT 2 AS n, doc_id AS sent_id, 0 AS step, words[1] AS context, [words[1]] AS words, false AS done
+        FROM words JOIN splits USING (doc_id) WHERE split = 'train' AND len(words) > 0
+        UNION ALL {onward('started_grown', 'mass', 19)}""",
     "turn_splits": """
         SELECT doc_id, words, CASE WHEN r < trunc(total * 0.8::DOUBLE) THEN 'train'
             WHEN r < trunc(total * 0.8::DOUBLE) + trunc(total * 0.1::DOUBLE) THEN 'val' ELSE 'test' END AS split
@@ -193,10 +360,7 @@ PARTS = {
     "encoded": """
         SELECT doc_id, split, list(coalesce(id, 1) ORDER BY pos) AS ids
         FROM bounded LEFT JOIN vocabulary USING (token) GROUP BY doc_id, split""",
-    "truncated": f"""
-        SELECT doc_id, split, CASE WHEN len(ids) > {MAX_LENGTH} THEN list_concat(ids[1:{MAX_LENGTH - 1}], ids[-1:]) ELSE ids END AS ids
-        FROM encoded""",
-    "pairs": "SELECT doc_id, split, ids[1:len(ids) - 1] AS input_ids, ids[2:] AS target_ids FROM truncated",
+    "pairs": "SELECT doc_id, split, ids[1:len(ids) - 1] AS input_ids, ids[2:] AS target_ids FROM encoded",
     "rated": f"""
         SELECT r.doc_id, r.review, r.sentiment AS gold_label, CASE toxic WHEN 1 THEN 'negative' ELSE 'positive' END AS model_prediction,
             CASE WHEN substr(md5('judge:' || r.doc_id), 1, 1) < 'c' THEN r.sentiment
@@ -277,9 +441,46 @@ PARTS = {
         UNION ALL
         SELECT token, e - ks[e], ks, ids, list_prepend(ids[e], path) FROM backward WHERE e > 0""",
     "best_covers": "SELECT token, path AS ids FROM backward WHERE e = 0",
+    "wordpiece_ids": """
+        SELECT doc_id, coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), []) AS ids
+        FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN segmented s USING (token) GROUP BY doc_id""",
+    "unigram_ids": """
+        SELECT doc_id, coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), []) AS ids
+        FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN best_covers s USING (token) GROUP BY doc_id""",
+    **merge_parts(),
+    "merge_lengths": f"""
+        SELECT doc_id, coalesce(sum(len(syms)), 0) AS size
+        FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN merged_{MERGE_ROUNDS} m USING (token) GROUP BY doc_id""",
     "review_lengths": f"""
         SELECT 'word' AS tokenizer, len({split_words('review')}) AS length FROM reviews
-        UNION ALL SELECT 'word_punct', len(regexp_extract_all(review, {sql_text(text.WORD_OR_PUNCTUATION)}, 1)) FROM reviews""",
+        UNION ALL SELECT 'word_punct', len({word_or_punctuation('review')}) FROM reviews
+        UNION ALL SELECT 'wordpiece', len(ids) + 2 FROM wordpiece_ids
+        UNION ALL SELECT 'unigram', len(ids) + 2 FROM unigram_ids
+        UNION ALL SELECT 'bpe', size + 2 FROM merge_lengths""",
+    **stem_parts(),
+    "word_tokens": "SELECT doc_id, token FROM tokens",
+    "punct_tokens": f"SELECT doc_id, unnest({word_or_punctuation('review')}) AS token FROM words",
+    "piece_tokens": "SELECT doc_id, unnest(list_concat([2], ids, [3]))::VARCHAR AS token FROM wordpiece_ids",
+    "unigram_tokens": "SELECT doc_id, unnest(list_concat([2], ids, [3]))::VARCHAR AS token FROM unigram_ids",
+    **class_counts("word_tokens"),
+    **class_counts("punct_tokens"),
+    **class_counts("piece_tokens"),
+    **class_counts("unigram_tokens"),
+    "full_frame": f"""
+        SELECT s.doc_id, s.review, {label_name('prediction')} AS model_prediction, {label_name('label')} AS gold_label,
+               r.human_rating, v.llm_judge
+        FROM scores s LEFT JOIN rated r ON s.doc_id = r.doc_id LEFT JOIN resolved v ON s.doc_id = v.doc_id WHERE selected""",
+    "blank_rated": """
+        SELECT doc_id, review, gold_label, model_prediction,
+               CASE WHEN substr(md5('blank:' || doc_id), 1, 1) < '6' THEN NULL ELSE llm_judge END AS llm_judge, NULL::VARCHAR AS human_rating
+        FROM rated""",
+    "sentences": f"""
+        SELECT doc_id, list_filter(string_split_regex({lowered('review')}, '\\.\\s*'), lambda x: x <> '') AS ws FROM reviews""",
+    "sentence_rows": """
+        SELECT doc_id, unnest(list_append(ws, '</s>')) AS word, generate_subscripts(list_append(ws, '</s>'), 1) AS pos FROM sentences""",
+    "sentence_lags": """
+        SELECT word, coalesce(lag(word, 1) OVER w, '<s>') AS back1, coalesce(lag(word, 2) OVER w, '<s>') AS back2
+        FROM sentence_rows WINDOW w AS (PARTITION BY doc_id ORDER BY pos)""",
     "cells": f"""
         SELECT batch_id, doc_id, target FROM (
             SELECT batch_id, doc_id, unnest(list_concat(target_ids, list_transform(range(width - len(target_ids)), lambda x: 0))) AS target
@@ -289,7 +490,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown"}
+RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown"}
 
 # What each part reads directly.
 NEEDS = {
@@ -342,18 +543,41 @@ AGREEMENT = [
 ]
 
 
-def agreement(total: str) -> str:
+def agreement(total: str, frame: str = "rated") -> str:
     return " UNION ALL ".join(
         f"""SELECT '{pair}' AS pair, count(*) FILTER ({a} = {b}) AS agree, {total.format(a=a, b=b)} AS total,
-            round(count(*) FILTER ({a} = {b}) * 100.0::DOUBLE / {total.format(a=a, b=b)}, 6) AS percent FROM rated"""
+            round(coalesce(count(*) FILTER ({a} = {b}) * 100.0::DOUBLE / nullif({total.format(a=a, b=b)}, 0), 0), 6) AS percent FROM {frame}
+            HAVING count({a}) > 0 AND count({b}) > 0"""
         for pair, a, b in AGREEMENT
     )
 
 
+def wrong_cases(frame: str, both: bool) -> str:
+    rule = (
+        "model_prediction IS DISTINCT FROM gold_label AND llm_judge IS DISTINCT FROM gold_label"
+        if both
+        else "model_prediction = llm_judge AND model_prediction IS DISTINCT FROM gold_label"
+    )
+    return f"SELECT doc_id, gold_label, model_prediction, llm_judge FROM {frame} WHERE {rule}"
+
+
 F1 = """2.0::DOUBLE * count(*) FILTER (prediction = 1 AND label = 1)
         / (2 * count(*) FILTER (prediction = 1 AND label = 1) + count(*) FILTER (prediction <> label))"""
 GRID = "(SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS g(label, prediction))"
-HEAD, TAIL = TEMPLATE.split("{review}")
+CLASS_METRICS = """count(*) AS samples, round(avg((prediction = label)::INTEGER), 6) AS accuracy,
+    round(coalesce(2.0::DOUBLE * count(*) FILTER (prediction = 1 AND label = 1)
+        / nullif(2 * count(*) FILTER (prediction = 1 AND label = 1) + count(*) FILTER (prediction <> label), 0), 0), 6) AS f1"""
+
+
+def predicted(source: str) -> str:
+    return f"(SELECT *, CASE WHEN score > 1 - score THEN 1 ELSE 0 END::INTEGER AS prediction FROM {source}_scores)"
+
+
+
+UNSMOOTHED = """
+    SELECT n, sum(cnt)::BIGINT AS events, round(exp(-sum(cnt * ln(cnt::DOUBLE / total)) / sum(cnt)), 4) AS perplexity
+    FROM (SELECT n, context, word, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY n, context) AS total
+          FROM events GROUP BY n, context, word) GROUP BY n"""
 
 BODIES = {
     # sources and sinks: files must give back what the tables hold
@@ -366,15 +590,20 @@ BODIES = {
     "s05_rated_annotation_source": "SELECT doc_id, human_rating, llm_judge FROM rated",
     "s06_selected_subsample": "SELECT doc_id, review, sentiment FROM reviews WHERE doc_id IN (SELECT doc_id FROM chosen)",
     "s07_ngram_model_persistence": "SELECT * FROM laplace",
+    "s07_unsmoothed_model_persistence": UNSMOOTHED,
+    "s07_count_classifier_persistence": f"SELECT doc_id, prediction, round(score, 6) AS score FROM {predicted('word_tokens')}",
     # cleaning
-    "p01_remove_break_tags": f"SELECT page_id, {replaced('html', text.BREAK_TAG, ' ')} AS html FROM pages",
+    "p01_remove_break_tags": f"SELECT page_id, {replaced('html', BREAK_TAG, ' ')} AS html FROM pages",
     "p02_lowercase": "SELECT doc_id, lower(text) AS text FROM documents",
-    "p03_expand_contractions": f"SELECT page_id, {expanded('lower(html)')} AS html FROM pages",
+    "p03_expand_contractions": f"SELECT doc_id, {expanded(f'lower({formed("text")})')} AS text FROM documents",
     "p03_full_cleaning": f"""
         SELECT doc_id, {no_punctuation(without_stop_words('t'))} AS review
-        FROM (SELECT doc_id, {expanded(f"lower({replaced('review', text.BREAK_TAG, ' ')})")} AS t FROM reviews)""",
+        FROM (SELECT doc_id, {lowered(formed('review'))} AS t FROM reviews)""",
     "p04_remove_stop_words": f"SELECT doc_id, {without_stop_words('lower(review)')} AS review FROM reviews",
     "p05_strip_punctuation": f"SELECT doc_id, {no_punctuation('lower(text)')} AS text FROM documents",
+    "p06_stem_words": """
+        SELECT w.doc_id, coalesce(string_agg(s.form, ' ' ORDER BY t.pos), '') AS review, count(t.token)::INTEGER AS _word_count
+        FROM words w LEFT JOIN tokens t ON w.doc_id = t.doc_id LEFT JOIN stems s ON t.token = s.token GROUP BY w.doc_id""",
     "p07_lemmatise_words": """
         SELECT w.doc_id, coalesce(string_agg(coalesce(l.lemma, t.token), ' ' ORDER BY t.pos), '') AS review, count(t.token) AS n
         FROM words w LEFT JOIN tokens t ON w.doc_id = t.doc_id
@@ -386,6 +615,10 @@ BODIES = {
     "p10_encode_labels": "SELECT doc_id, CASE sentiment WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 END AS label FROM reviews_all",
     "p11_decode_labels": f"SELECT doc_id, {label_name('quality')} AS quality, {label_name('toxic')} AS toxic FROM labels",
     "p12_class_filter": "SELECT doc_id, review, sentiment FROM reviews WHERE sentiment = 'positive'",
+    "p13_required_columns": """
+        SELECT unnest([{'name': 'doc_id', 'rows': a}, {'name': 'review', 'rows': b}, {'name': 'sentiment', 'rows': c}], recursive := true),
+               'missing column(s) _words, _rating' AS absent
+        FROM (SELECT count(doc_id) AS a, count(review) AS b, count(sentiment) AS c FROM reviews_all)""",
     "p14_text_preview": "SELECT doc_id, substr(text, 1, 100) || '...' AS preview FROM documents",
     "p15_drop_null_tokens": f"SELECT doc_id, {csv('list_filter(words, lambda x: length(x) > 2)')} AS words FROM words",
     # tokenisers
@@ -393,20 +626,22 @@ BODIES = {
     "t01_treebank_tokens": f"""
         SELECT conv_id, turn, len(cut) AS n, {csv('cut')} AS words FROM (
             SELECT conv_id, turn, flatten(list_transform(words, lambda x: CASE x
-                {' '.join(f"WHEN {sql_text(w)} THEN [{sql_text(a)}, {sql_text(b)}]" for w, (a, b) in wordlists.TREEBANK_SPLITS.items())}
-                ELSE [x] END)) AS cut FROM turn_words)""",
+                {' '.join(f"WHEN '{w}' THEN string_split('{cut}', ' ')" for w, cut in TREEBANK.items())}
+                ELSE [x] END)) AS cut FROM formed_turns)""",
     "t02_word_punct_tokens": f"""
         SELECT doc_id, len(ts) AS n, array_to_string(ts, ' ') AS words FROM (
-            SELECT doc_id, regexp_extract_all({expanded(f"lower({replaced('review', text.BREAK_TAG, ' ')})")},
-                {sql_text(text.WORD_OR_PUNCTUATION)}, 1) AS ts FROM reviews)""",
+            SELECT doc_id, {word_or_punctuation(lowered('review'))} AS ts FROM reviews)""",
     "t03_wordpiece_ids": f"""
         SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids, len(ids) AS mask_sum FROM (
-            SELECT doc_id, list_concat([2], coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), [])[1:318], [3]) AS ids
-            FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN segmented s USING (token) GROUP BY doc_id)""",
+            SELECT doc_id, list_concat([2], ids[1:318], [3]) AS ids FROM wordpiece_ids)""",
+    "t03_wordpiece_ids_whole": f"""
+        SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids, len(ids) AS mask_sum FROM (
+            SELECT doc_id, list_concat([2], ids, [3]) AS ids FROM wordpiece_ids)""",
     "t04_unigram_ids": f"""
-        SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (
-            SELECT doc_id, list_concat([2], coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), [])[1:318], [3]) AS ids
-            FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN best_covers s USING (token) GROUP BY doc_id)""",
+        SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (SELECT doc_id, list_concat([2], ids[1:318], [3]) AS ids FROM unigram_ids)""",
+    "t04_unigram_ids_whole": f"""
+        SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (SELECT doc_id, list_concat([2], ids, [3]) AS ids FROM unigram_ids)""",
+    "t05_merged_words": f"SELECT token, array_to_string(syms, ' ') AS pieces, cnt FROM merged_{MERGE_ROUNDS}",
     "t05_subword_vocabulary": "SELECT piece, id, cnt::BIGINT AS cnt FROM pieces",
     "t06_length_coverage": """
         SELECT tokenizer, threshold, round(avg(CASE WHEN length <= threshold THEN 100.0::DOUBLE ELSE 0 END), 6) AS percent
@@ -427,7 +662,9 @@ BODIES = {
         SELECT s.doc_id, split, c.doc_id IS NOT NULL AS selected FROM splits s LEFT JOIN chosen c ON s.doc_id = c.doc_id""",
     "m04_materialised_splits": "SELECT r.doc_id, review, sentiment, split FROM reviews r JOIN splits s ON r.doc_id = s.doc_id",
     "m05_selected_outside_test": """
-        SELECT count(*) AS missing FROM chosen WHERE doc_id NOT IN (SELECT doc_id FROM splits WHERE split = 'test')""",
+        SELECT 'selected' AS subset, count(*) AS missing FROM chosen WHERE doc_id NOT IN (SELECT doc_id FROM splits WHERE split = 'test')
+        UNION ALL SELECT 'sampled', count(*) FROM (SELECT doc_id FROM reviews ORDER BY md5('42:' || doc_id), doc_id LIMIT 100)
+        WHERE doc_id NOT IN (SELECT doc_id FROM splits WHERE split = 'test')""",
     "m06_epoch_shuffle": "SELECT doc_id, row_number() OVER (ORDER BY md5('42:3:' || doc_id), doc_id) - 1 AS position FROM reviews",
     # joins
     "j01_token_to_id": """
@@ -496,18 +733,20 @@ BODIES = {
         SELECT doc_id, n, count(*) AS events, sum(length(context))::BIGINT AS context_chars, min(context) AS first_context, max(word) AS last_word
         FROM events GROUP BY doc_id, n""",
     "l02_ngram_counts": "SELECT n, context, word, cnt FROM counts",
+    "l02_custom_token_ngrams": """
+        SELECT 2 AS n, back1 AS context, word, count(*) AS cnt FROM sentence_lags GROUP BY back1, word
+        UNION ALL SELECT 3, back2 || chr(1) || back1, word, count(*) FROM sentence_lags GROUP BY back2, back1, word""",
     "l03_context_counts": "SELECT n, context, total FROM totals",
     "l04_event_vocabulary": "SELECT n, v FROM v",
     "l05_laplace_probability": "SELECT n, context, word, round((cnt + 1)::DOUBLE / (total + v), 12) AS p FROM scored_events",
     "l06_unsmoothed_probability": """
         SELECT n, context, word, round(CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE cnt::DOUBLE / total END, 12) AS p FROM scored_events""",
     "l07_perplexity_laplace": "SELECT * FROM laplace",
-    "l07_perplexity_unsmoothed_train": """
-        SELECT n, sum(cnt)::BIGINT AS events, round(exp(-sum(cnt * ln(cnt::DOUBLE / total)) / sum(cnt)), 4) AS perplexity
-        FROM (SELECT n, context, word, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY n, context) AS total
-              FROM events GROUP BY n, context, word) GROUP BY n""",
+    "l07_perplexity_unsmoothed_train": UNSMOOTHED,
     "l08_generated_sentences": """
-        SELECT n, sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM grown WHERE done OR step = 10""",
+        SELECT n, sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM grown WHERE done OR step = 20""",
+    "l08_started_sentences": """
+        SELECT sent_id, array_to_string(words, ' ') AS sentence FROM started_grown WHERE done OR step = 19""",
     "l09_compare_sizes": """
         SELECT n, sum(w)::BIGINT AS events, round(exp(-sum(w * ln((coalesce(cnt, 0) + 1)::DOUBLE
             / (coalesce(total, 0) + (SELECT count(DISTINCT word) FROM turn_counts)))) / sum(w)), 4) AS perplexity
@@ -549,8 +788,14 @@ BODIES = {
             SELECT c.n, c.context, c.word, pow((cnt + 1)::DOUBLE / (total + v), 1 / 0.8::DOUBLE) AS pw
             FROM counts c JOIN totals t ON c.n = t.n AND c.context = t.context JOIN v ON c.n = v.n)""",
     "v10_temperature_sentences": """
-        SELECT sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM sharp_grown WHERE done OR step = 10""",
+        SELECT sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM sharp_grown WHERE done OR step = 15""",
     # classification
+    "c01_train_count_classifier": f"SELECT split, {CLASS_METRICS} FROM {predicted('word_tokens')} GROUP BY split",
+    "c02_count_per_tokenisation": " UNION ALL ".join(
+        f"SELECT '{name}' AS tokenizer, split, {CLASS_METRICS} FROM {predicted(source)} GROUP BY split"
+        for name, source in (("word", "word_tokens"), ("word_punct", "punct_tokens"), ("wordpiece", "piece_tokens"), ("unigram", "unigram_tokens"))
+    ),
+    "c03_count_predict": f"SELECT doc_id, label, prediction, round(score, 6) AS score FROM {predicted('word_tokens')}",
     "c03_external_predict": """
         SELECT doc_id, CASE WHEN score > 0.5 THEN 1 ELSE 0 END::INTEGER AS prediction, round(score, 6) AS score FROM (
             SELECT doc_id, len(regexp_extract_all(review, '[aeiou]'))::DOUBLE / greatest(length(review), 1) AS score FROM reviews)""",
@@ -577,6 +822,16 @@ BODIES = {
     "e07_subsample_metrics": f"""
         SELECT 'selected' AS split, count(*) AS samples, round(avg((prediction = label)::INTEGER), 6) AS accuracy, round({F1}, 6) AS f1
         FROM scores WHERE selected""",
+    "e07_evaluation_frame_with_ratings": "SELECT doc_id, review, model_prediction, gold_label, human_rating, llm_judge FROM full_frame",
+    "e07_evaluation_agreement": agreement("count(*)", "full_frame"),
+    "e07_evaluation_both_wrong": wrong_cases("full_frame", both=True),
+    "e07_evaluation_agree_but_wrong": wrong_cases("full_frame", both=False),
+    "g01_blank_ratings": """
+        SELECT 'human_rating' AS rater, count(human_rating) > 0 AS available FROM blank_rated
+        UNION ALL SELECT 'llm_judge', count(llm_judge) > 0 FROM blank_rated""",
+    "g02_agreement_with_blanks": agreement("count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL)", "blank_rated"),
+    "g03_both_wrong_with_blanks": wrong_cases("blank_rated", both=True),
+    "g04_agree_but_wrong_with_blanks": wrong_cases("blank_rated", both=False),
     "g01_rating_availability": """
         SELECT 'human_rating' AS rater, count(human_rating) > 0 AS available FROM rated
         UNION ALL SELECT 'llm_judge', count(llm_judge) > 0 FROM rated""",
@@ -591,7 +846,7 @@ BODIES = {
     "g04_agree_but_wrong": """
         SELECT doc_id, gold_label, model_prediction, llm_judge FROM rated WHERE model_prediction = llm_judge AND model_prediction <> gold_label""",
     # judge labels
-    "k01_prompts": f"SELECT doc_id, {sql_text(HEAD)} || review || {sql_text(TAIL)} AS prompt FROM reviews",
+    "k01_prompts": f"SELECT doc_id, {sql_text(PROMPT_HEAD)} || review || {sql_text(PROMPT_TAIL)} AS prompt FROM reviews",
     "k02_parsed_answers": """
         SELECT doc_id, CASE
             WHEN lower(answer) LIKE '%positive%' THEN 'positive' WHEN lower(answer) LIKE '%negative%' THEN 'negative'
@@ -603,12 +858,13 @@ BODIES = {
         SELECT r.doc_id, r.gold_label, s.llm_judge FROM rated r LEFT JOIN resolved s ON r.doc_id = s.doc_id""",
     # extension points
     "u01_custom_tokenizer": f"""
-        SELECT doc_id, len(list_filter(string_split_regex({expanded(f"lower({replaced('review', text.BREAK_TAG, ' ')})")}, '\\.\\s*'),
+        SELECT doc_id, len(list_filter(string_split_regex({lowered('review')}, '\\.\\s*'),
             lambda x: x <> '')) AS n FROM reviews""",
     "u02_custom_collate": f"""
         SELECT batch_id, count(*) AS rows, max(len(input_ids)) AS width FROM (
             SELECT input_ids, (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS batch_id FROM pairs) GROUP BY batch_id""",
     "u03_custom_judge": "SELECT doc_id, CASE WHEN length(review) > 1000 THEN 'positive' ELSE 'negative' END AS llm_judge FROM reviews",
+    "u04_raw_logit_loss": "SELECT doc_id, round(loss, 6) AS loss, round(loss, 6) AS same FROM losses",
     "u04_custom_loss": "SELECT round(exp(avg(loss * loss / 100)), 6) AS perplexity FROM cell_losses WHERE target <> 0",
 }
 

@@ -30,7 +30,9 @@ from corpuslens.plans.report import corpus_report
 from corpuslens.schema import EVALUATION
 from corpuslens.session import fresh_path, materialise
 from corpuslens.sources import files
-from corpuslens.sources.tables import reviews, reviews_all, table, turns
+from corpuslens.schema import require_columns
+from corpuslens.sources import tables
+from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,9 +41,12 @@ MIN_FREQ = 5
 BATCH = 32
 MAX_LENGTH = 128
 SAMPLE = 100
-PIECES = 2_000
-MAX_PIECE = 4
 ROLES = ("user", "assistant", "system")
+# Words of the tables, and what stands in for them where cleaning is checked.
+FORMS = (
+    ("the", "won't"), ("of", "it's"), ("and", "they've<br />"), ("in", "gonna"), ("to", "dog's"), ("a", "I’m"), ("on", "y'all can't"),
+    ("que", "we'd"), ("de", "o'clock<br>"), ("der", "aren't"), ("die", "she'll"), ("le", "lemme let's"),
+)
 
 
 def query(fn: Query) -> Query:
@@ -61,8 +66,34 @@ def joined(c: Column | str) -> Column:
     return F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """Contexts as text, for results that are compared with SQL."""
+    return df.withColumn("context", F.array_join("context", " "))
+
+
 # ---- inputs shared by the queries ----------------------------------------------
 
+# The driver's tables are single files, so the text is dealt to all cores.
+
+
+def reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.reviews(spark, sf, spark.sparkContext.defaultParallelism)
+
+
+def reviews_all(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.reviews_all(spark, sf, spark.sparkContext.defaultParallelism)
+
+
+def turns(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.turns(spark, sf, spark.sparkContext.defaultParallelism)
+
+
+def with_forms(c: Column) -> Column:
+    """Text with contractions, slang and tags in place of frequent words, which the tables lack."""
+    for word, form in FORMS:
+        c = F.replace(c, F.lit(f" {word} "), F.lit(f" {form} "))
+    return c
+
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
     return tokenise(reviews(spark, sf))
@@ -228,11 +259,30 @@ def s07_ngram_model_persistence(spark, sf):
     return out.select("n", "events", F.round("perplexity", 4).alias("perplexity"))
 
 
+@query
+def s07_unsmoothed_model_persistence(spark, sf):
+    """A model without smoothing must come back as one."""
+    df = words(spark, sf)
+    path = fresh_path(spark, "model")
+    files.save_ngram_model(ngram.fit(df, (2, 3), laplace=False), path)
+    out = ngram.perplexity(files.load_ngram_model(spark, path), df)
+    return out.select("n", "events", F.round("perplexity", 4).alias("perplexity"))
+
+
+@query
+def s07_count_classifier_persistence(spark, sf):
+    df = split_words(spark, sf)
+    path = fresh_path(spark, "classifier")
+    files.save_count_classifier(classify.train_counts(in_split(df, "train")), path)
+    out = classify.predict_counts(files.load_count_classifier(spark, path), df)
+    return out.select("doc_id", "prediction", r6(F.get("probabilities", F.lit(1))).alias("score"))
+
+
 @query
 def s07_classifier_persistence(spark, sf):
     df = split_words(spark, sf)
     path = fresh_path(spark, "classifier")
-    files.save_classifier(classify.train(in_split(df, "train"), features=1 << 14), path)
+    files.save_classifier(classify.train(in_split(df, "train")), path)
     return classify.predict(files.load_classifier(path), df).select("doc_id", "prediction")
 
 
@@ -251,12 +301,13 @@ def p02_lowercase(spark, sf):
 
 @query
 def p03_expand_contractions(spark, sf):
-    return table(spark, sf, "pages").select("page_id", text.expand_contractions(F.lower("html")).alias("html"))
+    return table(spark, sf, "documents").select("doc_id", text.expand_contractions(F.lower(with_forms(F.col("text")))).alias("text"))
 
 
 @query
 def p03_full_cleaning(spark, sf):
-    return reviews(spark, sf).select("doc_id", text.clean(F.col("review"), stop_words=text.wordlists.STOP_WORDS).alias("review"))
+    fed = with_forms(F.col("review"))
+    return reviews(spark, sf).select("doc_id", text.clean(fed, stop_words=text.wordlists.STOP_WORDS).alias("review"))
 
 
 @query
@@ -306,6 +357,20 @@ def p12_class_filter(spark, sf):
     return reviews(spark, sf).filter("sentiment = 'positive'")
 
 
+@query
+def p13_required_columns(spark, sf):
+    """Rows that have a value, for each column that the review schema demands; absent ones end with an error."""
+    df = reviews_all(spark, sf)
+    require_columns(df, "doc_id", "review", "sentiment")
+    try:
+        require_columns(df, "doc_id", "_words", "_rating")
+        absent = ""
+    except ValueError as error:
+        absent = str(error).split(";")[0]
+    counts = [F.struct(F.lit(c).alias("name"), F.count(c).alias("rows")) for c in ("doc_id", "review", "sentiment")]
+    return df.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*", F.lit(absent).alias("absent"))
+
+
 @query
 def p14_text_preview(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.preview(F.col("text")).alias("preview"))
@@ -327,7 +392,7 @@ def t01_word_tokens(spark, sf):
 
 @query
 def t01_treebank_tokens(spark, sf):
-    df = tokenise(turns(spark, sf), treebank=True)
+    df = tokenise(turns(spark, sf).withColumn("review", with_forms(F.col("review"))), treebank=True)
     return df.select("conv_id", "turn", big("_word_count").alias("n"), joined("_words").alias("words"))
 
 
@@ -340,14 +405,18 @@ def t02_word_punct_tokens(spark, sf):
 def _pieces(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Piece table and distinct words of a corpus."""
     counted = materialise(wordforms.distinct_words(df), "words")
-    return subword.learn_pieces(df, PIECES, MAX_PIECE, words=counted), counted
+    return subword.learn_pieces(df, words=counted), counted
 
 
-@query
-def t03_wordpiece_ids(spark, sf):
+def _scored_pieces(pieces: DataFrame) -> DataFrame:
+    # rounded, so that both engines add the same numbers
+    return subword.with_log_probability(pieces).withColumn("logp", F.round("logp", 9))
+
+
+def _wordpiece(spark: SparkSession, sf: str, max_length: int | None) -> DataFrame:
     df = words(spark, sf)
     pieces, counted = _pieces(df)
-    encoded = subword.encode(df, pieces, max_length=320, words=counted)
+    encoded = subword.encode(df, pieces, max_length=max_length, words=counted)
     return encoded.select(
         "doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"), big(F.aggregate(
             "_attention_mask", F.lit(0), lambda a, x: a + x)).alias("mask_sum")
@@ -355,36 +424,71 @@ def t03_wordpiece_ids(spark, sf):
 
 
 @query
-def t04_unigram_ids(spark, sf):
+def t03_wordpiece_ids(spark, sf):
+    return _wordpiece(spark, sf, 320)
+
+
+@query
+def t03_wordpiece_ids_whole(spark, sf):
+    return _wordpiece(spark, sf, None)
+
+
+def _unigram(spark: SparkSession, sf: str, max_length: int | None) -> DataFrame:
     df = words(spark, sf)
-    # rounded, so that both engines add the same numbers
     learned, counted = _pieces(df)
-    pieces = subword.with_log_probability(learned).withColumn("logp", F.round("logp", 9))
-    encoded = subword.encode(df, pieces, kind="unigram", max_length=320, words=counted)
+    encoded = subword.encode(df, _scored_pieces(learned), kind="unigram", max_length=max_length, words=counted)
     return encoded.select("doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"))
 
 
+@query
+def t04_unigram_ids(spark, sf):
+    return _unigram(spark, sf, 320)
+
+
+@query
+def t04_unigram_ids_whole(spark, sf):
+    return _unigram(spark, sf, None)
+
+
 @query
 def t05_subword_vocabulary(spark, sf):
     return _pieces(words(spark, sf))[0].select("piece", "id", "cnt")
 
 
-def _raw_lengths(spark: SparkSession, sf: str) -> DataFrame:
+@query
+def t05_merged_words(spark, sf):
+    """Every distinct word in the pieces that the learned merges leave."""
+    merged, _ = subword.merge_table(materialise(wordforms.distinct_words(words(spark, sf)), "words"))
+    return merged.select("token", F.array_join("pieces", " ").alias("pieces"), "cnt")
+
+
+def _token_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    """``(tokenizer, length)`` of whole documents under five tokenisers."""
     counts = F.array(
         F.struct(F.lit("word").alias("tokenizer"), F.size(text.word_tokens(F.col("review"))).alias("length")),
         F.struct(F.lit("word_punct").alias("tokenizer"), F.size(text.word_punct_tokens(F.col("review"))).alias("length")),
     )
-    return reviews(spark, sf).select(F.explode(counts).alias("c")).select("c.*")
+    out = reviews(spark, sf).select(F.explode(counts).alias("c")).select("c.*")
+    df = words(spark, sf)
+    pieces, counted = _pieces(df)
+    tables = {
+        "wordpiece": materialise(subword.greedy_table(counted, pieces), "wordpiece-table"),
+        "unigram": materialise(subword.unigram_table(counted, _scored_pieces(pieces)), "unigram-table"),
+        "bpe": subword.merge_table(counted)[0],
+    }
+    for name, tokens in tables.items():
+        out = out.unionByName(subword.lengths(df, tokens).select(F.lit(name).alias("tokenizer"), "length"))
+    return materialise(out, "token-lengths")
 
 
 @query
 def t06_length_coverage(spark, sf):
-    return subword.length_coverage(_raw_lengths(spark, sf)).select("tokenizer", "threshold", r6("percent").alias("percent"))
+    return subword.length_coverage(_token_lengths(spark, sf)).select("tokenizer", "threshold", r6("percent").alias("percent"))
 
 
 @query
 def t07_length_distribution(spark, sf):
-    out = subword.length_distribution(_raw_lengths(spark, sf))
+    out = subword.length_distribution(_token_lengths(spark, sf))
     return out.select("tokenizer", *[r6(c).alias(c) for c in ("median", "p95", "p99")])
 
 
@@ -435,9 +539,16 @@ def m04_materialised_splits(spark, sf):
 
 @query
 def m05_selected_outside_test(spark, sf):
+    """Of the selected rows none is outside of the test split; of a sample of all rows most are."""
     df = sampling.select_test(sampling.assign_split(reviews(spark, sf)), SAMPLE // 4)
-    missing = sampling.not_contained(df.filter("selected"), in_split(df, "test"))
-    return missing.agg(F.count(F.lit(1)).alias("missing"))
+    test = in_split(df, "test")
+    sampling.assert_subset(df.filter("selected"), test)
+    checked = {"selected": df.filter("selected"), "sampled": sampling.sample_reviews(df, SAMPLE)}
+    parts = [
+        sampling.not_contained(rows, test).agg(F.lit(name).alias("subset"), F.count(F.lit(1)).alias("missing"))
+        for name, rows in checked.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -471,7 +582,7 @@ def j02_id_to_token(spark, sf):
 def j03_event_lookup(spark, sf):
     model, test = fitted(spark, sf)
     wanted = ngram.event_counts(test, model.sizes).select("n", "context", "word")
-    return ngram.probabilities(model, wanted).select("n", "context", "word", big("cnt").alias("cnt"), big("total").alias("total"))
+    return shown(ngram.probabilities(model, wanted)).select("n", "context", "word", big("cnt").alias("cnt"), big("total").alias("total"))
 
 
 @query
@@ -495,9 +606,9 @@ def j07_weighted_draw(spark, sf):
     df = words(spark, sf)
     model = ngram.fit(df, (2,))
     states = df.filter("_word_count > 0").select(
-        F.col("doc_id").alias("sent_id"), F.lit(2).alias("n"), F.get("_words", F.lit(0)).alias("context")
+        F.col("doc_id").alias("sent_id"), F.lit(2).alias("n"), F.array(F.get("_words", F.lit(0))).alias("context")
     )
-    return ngram.draw(ngram.draw_table(model, 2), states, uniform("draw", F.col("sent_id"))).select("sent_id", "context", "word")
+    return shown(ngram.draw(ngram.draw_table(model, 2), states, uniform("draw", F.col("sent_id")))).select("sent_id", "context", "word")
 
 
 # ---- statistics ----------------------------------------------------------------
@@ -566,12 +677,12 @@ def a08_top_words_first_seen(spark, sf):
 
 @query
 def a09_top_ngrams(spark, sf):
-    return stats.top_ngrams(words(spark, sf))
+    return stats.top_ngrams(words(spark, sf)).withColumn("gram", stats.shown("gram"))
 
 
 @query
 def a09_top_ngrams_first_seen(spark, sf):
-    return stats.top_ngrams(words(spark, sf), ties="first_seen")
+    return stats.top_ngrams(words(spark, sf), ties="first_seen").withColumn("gram", stats.shown("gram"))
 
 
 @query
@@ -621,8 +732,8 @@ def l01_padded_events(spark, sf):
     """Events per document and size, with a digest of the contexts."""
     out = ngram.events(words(spark, sf), (2, 3), "doc_id").groupBy("doc_id", "n").agg(
         F.count(F.lit(1)).alias("events"),
-        F.sum(F.char_length("context")).alias("context_chars"),
-        F.min("context").alias("first_context"),
+        F.sum(F.char_length(F.array_join("context", " "))).alias("context_chars"),
+        F.min(F.array_join("context", " ")).alias("first_context"),
         F.max("word").alias("last_word"),
     )
     return out
@@ -630,12 +741,21 @@ def l01_padded_events(spark, sf):
 
 @query
 def l02_ngram_counts(spark, sf):
-    return ngram.event_counts(in_split(split_words(spark, sf), "train"), (2, 3))
+    return shown(ngram.event_counts(in_split(split_words(spark, sf), "train"), (2, 3)))
+
+
+@query
+def l02_custom_token_ngrams(spark, sf):
+    """N-grams over sentences as tokens, which hold blanks."""
+    df = tokenise(reviews(spark, sf), tokenizer="bpe", custom=lambda c: F.array_remove(F.split(c, r"\.\s*"), ""))
+    counted = ngram.event_counts(df, (2, 3))
+    # the sides are kept apart by a mark that no text holds
+    return counted.withColumn("context", F.array_join("context", "\x01"))
 
 
 @query
 def l03_context_counts(spark, sf):
-    return ngram.context_totals(ngram.event_counts(in_split(split_words(spark, sf), "train"), (2, 3)))
+    return shown(ngram.context_totals(ngram.event_counts(in_split(split_words(spark, sf), "train"), (2, 3))))
 
 
 @query
@@ -647,14 +767,14 @@ def l04_event_vocabulary(spark, sf):
 def l05_laplace_probability(spark, sf):
     model, test = fitted(spark, sf)
     wanted = ngram.event_counts(test, model.sizes).select("n", "context", "word")
-    return ngram.probabilities(model, wanted).select("n", "context", "word", F.round("p", 12).alias("p"))
+    return shown(ngram.probabilities(model, wanted)).select("n", "context", "word", F.round("p", 12).alias("p"))
 
 
 @query
 def l06_unsmoothed_probability(spark, sf):
     model, test = fitted(spark, sf, laplace=False)
     wanted = ngram.event_counts(test, model.sizes).select("n", "context", "word")
-    return ngram.probabilities(model, wanted).select("n", "context", "word", F.round("p", 12).alias("p"))
+    return shown(ngram.probabilities(model, wanted)).select("n", "context", "word", F.round("p", 12).alias("p"))
 
 
 @query
@@ -674,7 +794,15 @@ def l07_perplexity_unsmoothed_train(spark, sf):
 @query
 def l08_generated_sentences(spark, sf):
     model, test = fitted(spark, sf)
-    return sample_sentences(model, test.select(F.col("doc_id").alias("sent_id")), max_length=10)
+    return sample_sentences(model, test.select(F.col("doc_id").alias("sent_id")))
+
+
+@query
+def l08_started_sentences(spark, sf):
+    """Sentences that go on from a given word, the first one of each training document."""
+    df = in_split(split_words(spark, sf), "train").filter("_word_count > 0")
+    seeds = df.select(F.col("doc_id").alias("sent_id"), F.get("_words", F.lit(0)).alias("start"))
+    return ngram.generate(ngram.fit(df, (2,)), seeds, 2, max_length=20, start_col="start").select("sent_id", "sentence")
 
 
 @query
@@ -688,7 +816,7 @@ def l09_compare_sizes(spark, sf):
 def l10_successors(spark, sf):
     model, test = fitted(spark, sf)
     contexts = ngram.event_counts(test, (2,)).select("n", "context").distinct()
-    return ngram.successors(model, contexts, 3).select("n", "context", "rank", "word", "cnt")
+    return shown(ngram.successors(model, contexts, 3)).select("n", "context", "rank", "word", "cnt")
 
 
 # ---- vocabulary and sequences --------------------------------------------------
@@ -720,14 +848,14 @@ def v04_truncate_keep_last(spark, sf):
 @query
 def v05_input_target_pairs(spark, sf):
     vocab, df = vocabulary(spark, sf)
-    pairs = sequence.training_pairs(sequence.encode(df, vocab), MAX_LENGTH)
+    pairs = sequence.training_pairs(sequence.encode(df, vocab))
     return pairs.select("doc_id", joined("input_ids").alias("input_ids"), joined("target_ids").alias("target_ids"))
 
 
 @query
 def v06_padded_batches(spark, sf):
     vocab, df = vocabulary(spark, sf)
-    out = sequence.training_batches(df, vocab, batch_size=BATCH, max_length=MAX_LENGTH)
+    out = sequence.training_batches(df, vocab, batch_size=BATCH)
     return out.select(
         "batch_id", "slot", "doc_id", "label", joined("input_ids").alias("input_ids"), joined("target_ids").alias("target_ids")
     )
@@ -736,7 +864,7 @@ def v06_padded_batches(spark, sf):
 @query
 def v06_shuffled_batches(spark, sf):
     vocab, df = vocabulary(spark, sf)
-    out = sequence.training_batches(df, vocab, batch_size=BATCH, max_length=MAX_LENGTH, shuffle_seed=42, epoch=1)
+    out = sequence.training_batches(df, vocab, batch_size=BATCH, shuffle_seed=42, epoch=1)
     return out.select("batch_id", "slot", "doc_id", "label", big(F.size("input_ids")).alias("width"))
 
 
@@ -749,14 +877,17 @@ def v07_decoded_documents(spark, sf):
 @query
 def v08_batch_count(spark, sf):
     df = sampling.assign_split(reviews(spark, sf))
-    return df.groupBy("split").agg(F.ceil(F.count(F.lit(1)) / F.lit(BATCH)).cast("bigint").alias("batches"))
+    parts = [
+        sequence.batch_count(in_split(df, name), BATCH).withColumn("split", F.lit(name)) for name in ("train", "val", "test")
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _cell_losses(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the test batches with the unigram loss of their target."""
     vocab, df = vocabulary(spark, sf)
     cells = (
-        sequence.training_batches(in_split(df, "test"), vocab, batch_size=BATCH, max_length=MAX_LENGTH)
+        sequence.training_batches(in_split(df, "test"), vocab, batch_size=BATCH)
         .select("batch_id", "doc_id", F.posexplode("target_ids").alias("pos", "target"))
     )
     totals = vocab.agg(F.sum(F.col("cnt") + 1).alias("mass")).scalar()
@@ -780,14 +911,14 @@ def v09_padded_batch_perplexity(spark, sf):
 @query
 def v10_temperature_distribution(spark, sf):
     model, _ = fitted(spark, sf)
-    return ngram.sharpened(model, 0.8).select("n", "context", "word", F.round("q", 9).alias("q"))
+    return shown(ngram.sharpened(model, 0.8)).select("n", "context", "word", F.round("q", 9).alias("q"))
 
 
 @query
 def v10_temperature_sentences(spark, sf):
     model, test = fitted(spark, sf)
     seeds = test.select(F.col("doc_id").alias("sent_id"))
-    return ngram.generate(model, seeds, 2, max_length=10, temperature=0.8).select("sent_id", "sentence")
+    return ngram.generate(model, seeds, 2, temperature=0.8).select("sent_id", "sentence")
 
 
 # ---- classification ------------------------------------------------------------
@@ -796,32 +927,62 @@ def v10_temperature_sentences(spark, sf):
 @query
 def c01_train_classifier(spark, sf):
     df = split_words(spark, sf)
-    model = classify.train(in_split(df, "train"), features=1 << 14)
+    model = classify.train(in_split(df, "train"))
     return metrics.evaluate(classify.predict(model, df), ["split"])
 
 
 @query
-def c02_train_per_tokenisation(spark, sf):
+def c01_train_count_classifier(spark, sf):
+    df = split_words(spark, sf)
+    scored = classify.predict_counts(classify.train_counts(in_split(df, "train")), df)
+    out = metrics.evaluate(scored, ["split"], with_loss=False)
+    return out.select("split", "samples", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
+
+
+def _tokenisations(spark: SparkSession, sf: str) -> DataFrame:
+    """Split reviews with one token column per tokeniser, whole texts."""
     base = sampling.assign_split(reviews(spark, sf))
     df = tokenise(base).withColumn("_punct", text.word_punct_tokens(F.col("review")))
+    df = materialise(df.select("doc_id", "sentiment", "split", "_words", "_punct"), "tokens")
     pieces, counted = _pieces(df)
-    encoded = subword.encode(df, pieces, max_length=320, words=counted)
-    both = materialise(
-        encoded.select("doc_id", "sentiment", "split", "_words", "_punct", F.col("_input_ids").cast("array<string>").alias("_pieces")),
-        "tokenisations",
-    )
-    columns = {"word": "_words", "word_punct": "_punct", "wordpiece": "_pieces"}
-    _, out = classify.compare_tokenisations(in_split(both, "train"), both, columns, features=1 << 14)
+    out = df
+    for name, kind, table_ in (("_pieces", "wordpiece", pieces), ("_unigrams", "unigram", _scored_pieces(pieces))):
+        encoded = subword.encode(df, table_, kind=kind, max_length=None, words=counted)
+        out = out.join(encoded.select("doc_id", F.col("_input_ids").cast("array<string>").alias(name)), "doc_id")
+    return materialise(out, "tokenisations")
+
+
+TOKENISATIONS = {"word": "_words", "word_punct": "_punct", "wordpiece": "_pieces", "unigram": "_unigrams"}
+
+
+@query
+def c02_train_per_tokenisation(spark, sf):
+    df = _tokenisations(spark, sf)
+    _, out = classify.compare_tokenisations(in_split(df, "train"), df, TOKENISATIONS)
     return out
 
 
+@query
+def c02_count_per_tokenisation(spark, sf):
+    df = _tokenisations(spark, sf)
+    out = classify.compare_count_tokenisations(in_split(df, "train"), df, TOKENISATIONS)
+    return out.select("tokenizer", "split", "samples", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
+
+
 @query
 def c03_batch_predict(spark, sf):
     df = split_words(spark, sf)
-    model = classify.train(in_split(df, "train"), features=1 << 14)
+    model = classify.train(in_split(df, "train"))
     return classify.predict(model, df).select("doc_id", "label", "prediction")
 
 
+@query
+def c03_count_predict(spark, sf):
+    df = split_words(spark, sf)
+    out = classify.predict_counts(classify.train_counts(in_split(df, "train")), df)
+    return out.select("doc_id", "label", "prediction", r6(F.get("probabilities", F.lit(1))).alias("score"))
+
+
 def _vowel_share_model():
     """Stand-in external model: share of vowels as the positive score."""
 
@@ -893,6 +1054,67 @@ def e07_subsample_metrics(spark, sf):
     return out.select("split", "samples", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
 
 
+def _full_evaluation(spark: SparkSession, sf: str):
+    """The whole evaluation with human ratings and the judge's resolved responses."""
+    human = rated(spark, sf).filter("human_rating IS NOT NULL").select("doc_id", "human_rating")
+    verdicts = judge.resolve_responses(response_log(spark, sf)).select("doc_id", "llm_judge")
+    return evaluate_classifier(with_loss(scored(spark, sf)), human, verdicts)
+
+
+@query
+def e07_evaluation_frame_with_ratings(spark, sf):
+    return _full_evaluation(spark, sf).frame
+
+
+@query
+def e07_evaluation_agreement(spark, sf):
+    out = _full_evaluation(spark, sf).agreement
+    return out.select("pair", "agree", "total", r6("percent").alias("percent"))
+
+
+@query
+def e07_evaluation_both_wrong(spark, sf):
+    return _full_evaluation(spark, sf).both_wrong.select("doc_id", "gold_label", "model_prediction", "llm_judge")
+
+
+@query
+def e07_evaluation_agree_but_wrong(spark, sf):
+    return _full_evaluation(spark, sf).agree_but_wrong.select("doc_id", "gold_label", "model_prediction", "llm_judge")
+
+
+def blank_rated(spark: SparkSession, sf: str) -> DataFrame:
+    """Rated reviews; some judge labels and ratings are blank, in several ways."""
+    d = digit("blank")
+    blank = F.when(d < "2", "").when(d < "4", " ").when(d < "6", "\t\n")
+    df = rated(spark, sf)
+    return df.withColumns({
+        "llm_judge": F.when(d < "6", blank).otherwise(F.col("llm_judge")),
+        "human_rating": F.when(d < "6", blank).otherwise(F.lit(None)).cast("string"),
+    })
+
+
+@query
+def g01_blank_ratings(spark, sf):
+    """Blank ratings are none: the human has rated nothing here."""
+    return agreement.rating_availability(blank_rated(spark, sf))
+
+
+@query
+def g02_agreement_with_blanks(spark, sf):
+    out = agreement.pairwise_agreement(blank_rated(spark, sf), denominator="rated")
+    return out.select("pair", "agree", "total", r6("percent").alias("percent"))
+
+
+@query
+def g03_both_wrong_with_blanks(spark, sf):
+    return agreement.both_wrong(blank_rated(spark, sf)).select("doc_id", "gold_label", "model_prediction", "llm_judge")
+
+
+@query
+def g04_agree_but_wrong_with_blanks(spark, sf):
+    return agreement.agree_but_wrong(blank_rated(spark, sf)).select("doc_id", "gold_label", "model_prediction", "llm_judge")
+
+
 @query
 def g01_rating_availability(spark, sf):
     return agreement.rating_availability(rated(spark, sf))
@@ -975,7 +1197,7 @@ def _batch_shape(batch: pd.DataFrame) -> pd.DataFrame:
 @query
 def u02_custom_collate(spark, sf):
     vocab, df = vocabulary(spark, sf)
-    out = sequence.training_batches(df, vocab, batch_size=BATCH, max_length=MAX_LENGTH)
+    out = sequence.training_batches(df, vocab, batch_size=BATCH)
     return sequence.collate(out, _batch_shape, "batch_id bigint, rows bigint, width bigint")
 
 
@@ -993,3 +1215,15 @@ def u04_custom_loss(spark, sf):
     """Squared loss in place of cross entropy."""
     out = sequence.sequence_perplexity(_cell_losses(spark, sf), loss=F.col("loss") * F.col("loss") / 100)
     return out.select(r6("perplexity").alias("perplexity"))
+
+
+@query
+def u04_raw_logit_loss(spark, sf):
+    """Loss from unnormalised scores, and from the log probabilities they stand for."""
+    df = scored(spark, sf)
+    logs = F.transform("probabilities", lambda p: F.ln(p))
+    logits = F.transform(logs, lambda x: x + F.pmod("doc_id", F.lit(7)))
+    return df.select(
+        "doc_id", r6(labels.token_loss(logits, F.col("label"))).alias("loss"),
+        r6(labels.token_loss(logs, F.col("label"), "log_probabilities")).alias("same"),
+    )
