@@ -32,17 +32,18 @@ from pyspark.sql import functions as F
 from corpuslens.llm.words import LOWERED, SPACE, mix, placed_words, slices, utf8
 from corpuslens.session import materialise
 
-CONTEXT = 3
+CONTEXT = 2
 WIDTH = 24
 OWN_OUTPUTS = 128
 OWN_INPUTS = 2048
-ENDINGS = 128
+ENDINGS = 64  # a power of two
 FREQUENT = 1 << 18  # words whose counts are broadcast
 BATCH = 4096
-NOISE = 64
+NOISE = 32
 RATE = 0.15
-SCORED_AT_ONCE = 1 << 15
-END = 1  # hash that stands for the end of a text
+SCORED_AT_ONCE = 1 << 10
+END = 0  # hash that stands for the end of a text
+BUCKET_BITS = 20  # of the index over the frequent words
 START = OWN_INPUTS + ENDINGS
 OUTPUTS = OWN_OUTPUTS + ENDINGS
 
@@ -55,14 +56,18 @@ def ending(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     for k in range(1, 4):
         letters = LOWERED[data[np.maximum(first + size - k, first)]]
         code = code * np.uint64(3) + np.where(size >= k, letters, np.uint64(0))
-    return (mix(code, 31) % np.uint64(ENDINGS)).astype(np.int64)
+    return mix(code, 31) % np.uint64(ENDINGS)
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and endings of the words of all rows, and the rows' offsets; ends are left out."""
+def ending_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(ENDINGS - 1)).astype(np.int64)
+
+
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all rows, with their ending in the low bits, and the rows' offsets; ends are left out."""
     data, starts = utf8(column)
     hashes, offsets, first, size = placed_words(data, starts, lower=True, separators=SPACE)
-    return hashes, ending(data, first, size), offsets
+    return (hashes & ~np.uint64(ENDINGS - 1)) | ending(data, first, size), offsets
 
 
 def in_training() -> Column:
@@ -70,24 +75,18 @@ def in_training() -> Column:
 
 
 def counts(texts: DataFrame) -> DataFrame:
-    """``(hash, ending, cnt)`` of every token of the texts; the end of a text has ending -1."""
+    """``(hash, cnt)`` of every token of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 16 << 20):
-                hashes, endings, _ = tokens(batch.column("text"))
-                found, at, n = np.unique(hashes, return_index=True, return_counts=True)
+                found, n = np.unique(tokens(batch.column("text"))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.append(found.view(np.int64), END)),
-                        pa.array(np.append(endings[at], -1)),
-                        pa.array(np.append(n, batch.num_rows)),
-                    ],
-                    names=["hash", "ending", "cnt"],
+                    [pa.array(np.append(found.view(np.int64), END)), pa.array(np.append(n, batch.num_rows))], names=["hash", "cnt"]
                 )
 
-    made = texts.select("text").mapInArrow(run, "hash long, ending long, cnt long")
-    return made.groupBy("hash").agg(F.first("ending").alias("ending"), F.sum("cnt").alias("cnt"))
+    made = texts.select("text").mapInArrow(run, "hash long, cnt long")
+    return made.groupBy("hash").agg(F.sum("cnt").alias("cnt"))
 
 
 @dataclass
@@ -103,29 +102,37 @@ class Lexicon:
     mass: np.ndarray  # by ending: sum of count + 1 over words without an output of their own, plus one
     noise: np.ndarray  # share of each output
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each word in the table, -1 if it is not frequent."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+    def __post_init__(self):
+        edges = np.arange(1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
+        self.starts = np.searchsorted(self.hashes, edges).astype(np.int32)
+        self.ended = np.append(self.hashes, np.uint64((1 << 64) - 1))
 
-    def numbers(self, hashes: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word in the table, -1 if it is not frequent; a few steps from its bucket's start."""
+        at = self.starts[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)]
+        found = np.full(len(hashes), -1)
+        held = self.ended[at]
+        same = held == hashes
+        found[same] = at[same]
+        rest = np.flatnonzero(held < hashes)
+        while len(rest):
+            at[rest] += 1
+            held, wanted = self.ended[at[rest]], hashes[rest]
+            same = held == wanted
+            found[rest[same]] = at[rest[same]]
+            rest = rest[held < wanted]
+        return np.where(found < len(self.hashes), found, -1)
+
+    def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place in the table, input and output number of each word."""
-        at = self.find(hashes)
-        if not len(self.hashes):
-            return at, OWN_INPUTS + endings, OWN_OUTPUTS + endings
-        into, out = self.input[at], self.output[at]
-        return (
-            at,
-            np.where((at >= 0) & (into >= 0), into, OWN_INPUTS + endings),
-            np.where((at >= 0) & (out >= 0), out, OWN_OUTPUTS + endings),
-        )
+        at, endings = self.find(hashes), ending_of(hashes)
+        into, out = np.append(self.input, -1)[at], np.append(self.output, -1)[at]
+        return at, np.where(into >= 0, into, OWN_INPUTS + endings), np.where(out >= 0, out, OWN_OUTPUTS + endings)
 
 
 def lexicon(counted: DataFrame) -> Lexicon:
     """The bounded part of the counts that tasks need at hand."""
-    words = counted.filter("ending >= 0")
+    words = counted.filter(F.col("hash") != END)
     top = words.orderBy(F.desc("cnt"), "hash").limit(FREQUENT).toArrow()
     ranked, cnt = top.column("hash").to_numpy().view(np.uint64), top.column("cnt").to_numpy()
     rank = np.arange(len(ranked))
@@ -134,11 +141,12 @@ def lexicon(counted: DataFrame) -> Lexicon:
     own = [int(h) for h in ranked[: OWN_OUTPUTS - 1].view(np.int64)]
     alone = F.col("hash").isin(own) if own else F.lit(False)
     mass = np.ones(ENDINGS)
-    for r in words.filter(~alone).groupBy("ending").agg(F.sum(F.col("cnt") + 1).alias("mass")).collect():
+    group = F.col("hash").bitwiseAND(ENDINGS - 1).alias("ending")
+    for r in words.filter(~alone).groupBy(group).agg(F.sum(F.col("cnt") + 1).alias("mass")).collect():
         mass[r.ending] += r.mass
     whole = counted.agg(
         F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"), F.count("*").alias("v"),
-        F.coalesce(F.sum(F.when(F.col("ending") < 0, F.col("cnt"))), F.lit(0)).alias("ends"),
+        F.coalesce(F.sum(F.when(F.col("hash") == END, F.col("cnt"))), F.lit(0)).alias("ends"),
     ).first()
     share = np.ones(OUTPUTS)
     share[0] += whole.ends
@@ -185,28 +193,43 @@ def predicted(w: Weights, context: np.ndarray) -> np.ndarray:
     return sum(w["input"][context[:, k]] * w["place"][k] for k in range(CONTEXT))
 
 
+def add_rows(table: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the row of the table that its index names; an index may repeat."""
+    index = index.astype(np.uint16)  # tables are small; a radix sort then applies
+    order = np.argsort(index, kind="stable")
+    sorted_index = index[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_index[1:] != sorted_index[:-1]]))
+    table[sorted_index[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 def train_batch(w: Weights, grad: Weights, context: np.ndarray, target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> None:
     """One step of noise contrast: each target against the batch's noise outputs."""
     n, k = len(target), len(noise)
     vectors = [w["input"][context[:, j]] for j in range(CONTEXT)]
     q = sum(v * w["place"][j] for j, v in enumerate(vectors))
-    seen = (q * w["output"][target]).sum(1) + w["bias"][target] - log_noise[target] - math.log(k)
-    fake = q @ w["output"][noise].T + w["bias"][noise] - log_noise[noise] - math.log(k)
+    own = w["output"][target]
+    shift = w["bias"] - log_noise - w["bias"].dtype.type(math.log(k))
+    seen = np.einsum("ij,ij->i", q, own) + shift[target]
+    fake = q @ w["output"][noise].T
+    fake += shift[noise]
     up = 1 / (1 + np.exp(np.clip(seen, -30, 30)))  # gradient of log sigmoid(seen)
-    down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))  # of log sigmoid(-fake)
-    dq = up[:, None] * w["output"][target] + down @ w["output"][noise]
+    np.clip(fake, -30, 30, out=fake)
+    np.negative(fake, out=fake)
+    np.exp(fake, out=fake)
+    fake += 1
+    down = np.divide(-1, fake, out=fake)  # of log sigmoid(-fake)
+    dq = up[:, None] * own
+    dq += down @ w["output"][noise]
     step = {name: np.zeros_like(x) for name, x in w.items()}
-    np.add.at(step["output"], target, up[:, None] * q)
-    np.add.at(step["output"], noise, down.T @ q)
-    np.add.at(step["bias"], target, up)
-    np.add.at(step["bias"], noise, down.sum(0))
+    add_rows(step["output"], np.concatenate([target, noise]), np.concatenate([up[:, None] * q, down.T @ q]))
+    step["bias"] += np.bincount(target, up, len(step["bias"])) + np.bincount(noise, down.sum(0), len(step["bias"]))
     for j, v in enumerate(vectors):
-        step["place"][j] = (dq * v).sum(0)
-        np.add.at(step["input"], context[:, j], dq * w["place"][j])
+        step["place"][j] = np.einsum("ij,ij->j", dq, v)
+    add_rows(step["input"], context.T.ravel(), np.concatenate([dq * w["place"][j] for j in range(CONTEXT)]))
     for name, g in step.items():
         g /= n
         grad[name] += g * g
-        w[name] += RATE * g / np.sqrt(grad[name] + 1e-8)
+        w[name] += RATE * g / np.sqrt(grad[name] + g.dtype.type(1e-8))
 
 
 def train(texts: DataFrame, known: Lexicon) -> Weights:
@@ -223,8 +246,8 @@ def train(texts: DataFrame, known: Lexicon) -> Weights:
         total = 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                hashes, endings, offsets = tokens(batch.column("text"))
-                _, into, out = lex.numbers(hashes, endings)
+                hashes, offsets = tokens(batch.column("text"))
+                _, into, out = lex.numbers(hashes)
                 context, target, _ = examples(into, out, offsets)
                 order = rng.permutation(len(target))
                 for lo in range(0, len(order), BATCH):
@@ -254,12 +277,16 @@ def train(texts: DataFrame, known: Lexicon) -> Weights:
 def log_probabilities(w: Weights, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log10 of the softmax over all outputs at the targets."""
     out = np.empty(len(target))
+    # The bias is one more dimension; a batch and its scores stay within a core's cache.
+    outputs = np.concatenate([w["output"], w["bias"][:, None]], axis=1).T.copy()
     for lo in range(0, len(target), SCORED_AT_ONCE):
         part = slice(lo, lo + SCORED_AT_ONCE)
-        scores = predicted(w, context[part]) @ w["output"].T + w["bias"]
-        top = scores.max(1)
+        q = predicted(w, context[part])
+        scores = np.concatenate([q, np.ones((len(q), 1), q.dtype)], axis=1) @ outputs
+        scores -= scores.max(1)[:, None]
         own = scores[np.arange(len(scores)), target[part]]
-        out[part] = own - top - np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64))
+        np.exp(scores, out=scores)
+        out[part] = own - np.log(scores.sum(1))
     return out / math.log(10)
 
 
@@ -280,8 +307,8 @@ def parts(docs: DataFrame, known: Lexicon, w: Weights, ends: int) -> DataFrame:
         log_mass = np.log10(lex.mass)
         for whole in batches:
             for batch in slices(whole, "text"):
-                hashes, endings, offsets = tokens(batch.column("text"))
-                at, into, out = lex.numbers(hashes, endings)
+                hashes, offsets = tokens(batch.column("text"))
+                at, into, out = lex.numbers(hashes)
                 context, target, bounds = examples(into, out, offsets)
                 model = log_probabilities(weights, context, target)
                 grouped = target >= OWN_OUTPUTS
@@ -324,7 +351,7 @@ def scores(docs: DataFrame) -> DataFrame:
     texts = given.filter("training")
     counted = materialise(counts(texts), "token-counts")
     known = lexicon(counted)
-    ends = counted.filter("ending < 0").agg(F.sum("cnt")).first()[0] or 0
+    ends = counted.filter(F.col("hash") == END).agg(F.sum("cnt")).first()[0] or 0
     weights = train(texts, known)
     made = parts(given, known, weights, ends).withColumn("row", F.monotonically_increasing_id())
     held = materialise(made, "scored")  # freezes the row numbers
