@@ -7,12 +7,14 @@
    texts, come last. A tile holds the sets of one size band that have such a shingle.
 3. In each tile every set meets the tile's least key. The most frequent partner of a set
    is verified first; the links found join most copies, however large their group.
-4. What then lies in one tile but in different components is paired. Bitmaps of hashed
-   shingles bound the overlap from above by their bit counts; pairs that pass are
-   verified by the intersection of sorted arrays.
+4. In tiles that still hold different components, every set that shares as many tiles with
+   another component as a link must is held against that component's sets, block by block:
+   bitmaps of hashed shingles bound the overlap from above by their bit counts, and sorted
+   arrays are intersected where the bound allows. The largest components come first and
+   take in what is linked to them; then all are probed.
 
 Links that join what is joined already need no check, so no link between components is
-lost and a group of n near copies costs n checks and not n squared.
+lost, and a group of n near copies costs about n checks and not n squared.
 
 Defined cases: texts without words have an empty set and no link; a text of fewer words
 than a shingle has one shingle, its whole sequence; rows that repeat are one class; a row
@@ -26,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm.components import components
+from corpuslens.llm.components import components, composed, shortened
 from corpuslens.llm.words import PLACES, hash_words, mix, slices, utf8, windows
 from corpuslens.session import materialise
 
@@ -42,9 +45,11 @@ CHUNK = 1 << 20  # shingles
 BAND_BITS = 2  # sizes of a band lie between neighbouring powers of 4
 BLOOM_BITS = 27
 BITMAP_WORDS = 32  # 2,048 bits
+LARGEST_FIRST = 1  # rounds against the largest component of each tile
+BLOCK = 256  # sets that a task holds at once
 SEEN = 1 << 17  # sets a task remembers, to send copies once
 
-FACTS = "doc_id long, n long, key long, twin long, hash long, cnt long"
+FACTS = "doc_id long, text_key long, n long, key long, twin long, hash long, cnt long"
 
 
 def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -67,11 +72,11 @@ def set_key(own: np.ndarray, seed: int) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(np.array([b]).view(np.int64)[0])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for whole in batches:
         for batch in slices(whole, "text"):
             hashes, offsets = hash_words(*utf8(batch.column("text")), lower=True)
-            yield batch.column("doc_id").to_pylist(), list(shingles(hashes, offsets))
+            yield batch, list(shingles(hashes, offsets))
 
 
 def _facts(texts: DataFrame, seed: int) -> DataFrame:
@@ -84,19 +89,19 @@ def _facts(texts: DataFrame, seed: int) -> DataFrame:
             top = top[np.argpartition(counts[top], -COMMON_PER_CHUNK)[-COMMON_PER_CHUNK:]]
         none = pa.nulls(len(top), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(found[top].view(np.int64)), pa.array(counts[top])], names=names
+            [none, none, none, none, none, pa.array(found[top].view(np.int64)), pa.array(counts[top])], names=names
         )
 
     names = [x.split()[0] for x in FACTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for ids, sets in _sets(batches):
+        for batch, sets in _sets(batches):
             keys = [set_key(s, seed) for s in sets]
-            none = pa.nulls(len(ids), pa.int64())
+            none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([k for k, _ in keys], pa.int64()), pa.array([t for _, t in keys], pa.int64()), none, none,
                 ],
                 names=names,
@@ -237,6 +242,16 @@ def _compatible(a: str, b: str) -> Column:
     return (100 * F.least(a, b)) >= PERCENT * F.greatest(a, b)
 
 
+def _least_shared(a: str, b: str) -> Column:
+    """Tiles that two sets of these sizes share at least, if they are a link.
+
+    They have ``ceil(p (a + b) / (1 + p))`` shingles in common. Those that are rarest among
+    these stand in both lists of rarest shingles as long as the lists allow.
+    """
+    common = F.floor((PERCENT * (F.col(a) + F.col(b)) + 99 + PERCENT) / F.lit(100 + PERCENT))
+    return common - F.floor((PERCENT * F.greatest(a, b) + 99) / F.lit(100)) + 1
+
+
 def _bloom(keys: DataFrame, spark: SparkSession) -> Broadcast:
     """Bitmap of hashed keys, ``2 ** BLOOM_BITS`` bits at most; it only spares work."""
     bits = max(20, min(BLOOM_BITS, (10 * max(1, keys.count())).bit_length()))
@@ -301,40 +316,33 @@ def linked(common: int, a: int, b: int) -> bool:
     return 100 * common >= PERCENT * (a + b - common)
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs whose bitmaps allow enough overlap: ``(n_a + n_b - differing bits) / 2`` bounds it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bits = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                for c in ("bits_a", "bits_b")
-            ]
-            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
-            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            most = (total - differ) // 2
-            keep = pa.array(100 * most >= PERCENT * (total - most))
-            yield batch.select(["a", "b"]).filter(keep)
-
-    return pairs.mapInArrow(run, "a long, b long")
+def within_bound(bits_a: pa.Array, bits_b: pa.Array, n_a: np.ndarray, n_b: np.ndarray) -> pa.Array:
+    """Whether bitmaps allow enough overlap: ``(n_a + n_b - differing bits) / 2`` bounds it from above."""
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(len(x), -1) for x in (bits_a, bits_b))
+    total = n_a + n_b
+    most = (total - np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)) // 2
+    return pa.array(100 * most >= PERCENT * (total - most))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` that are links, by intersection of their arrays."""
-    one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("set_a"))
-    two = sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b"))
+    """The pairs ``(a, b)`` that are links: bitmaps first, then the intersection of sorted arrays."""
+    one = sets.select(F.col("key").alias("a"), F.col("bitmap").alias("bits_a"), F.col("shingles").alias("set_a"))
+    two = sets.select(F.col("key").alias("b"), F.col("bitmap").alias("bits_b"), F.col("shingles").alias("set_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = [pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) // 8 for c in ("set_a", "set_b")]
+            batch = batch.filter(within_bound(batch.column("bits_a"), batch.column("bits_b"), *sizes))
             keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 keep.append(linked(overlap(a, b), len(a), len(b)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    joined = pairs.join(one, "a").join(two, "b")
+    return joined.select("a", "b", "bits_a", "bits_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def _rooted(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -343,25 +351,163 @@ def _rooted(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
-def _cross_pairs(tiles: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs of one tile whose components differ and whose sizes are compatible."""
+def _mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(tile, key, n, root)`` of the tiles that hold sets of different components."""
     rooted = _rooted(tiles.select("tile", "key", "n"), labels)
     mixed = rooted.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    rows = materialise(rooted.join(mixed.select("tile"), "tile", "left_semi").distinct(), "mixed-tiles")
-    a = rows.select("tile", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    b = rows.select("tile", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    pairs = a.join(b, "tile").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _compatible("n_a", "n_b"))
-    return pairs.select("a", "b", "n_a", "n_b").distinct()
+    return materialise(rooted.join(mixed.select("tile"), "tile", "left_semi").distinct(), "mixed-tiles")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (``doc_id``, ``text``)."""
+def _probes(mixed: DataFrame, largest: bool) -> DataFrame:
+    """``(key, target)``: sets that may have a link into another component, at least as large as their own.
+
+    Two sets of different components that are a link share tiles; so the one of the
+    smaller component shares as many tiles with the other component as a whole. Tiles
+    list their components, not their pairs of sets. ``largest`` looks only at the largest
+    component of each tile.
+    """
+    parts = mixed.groupBy("root").agg(F.count_distinct("key").alias("size"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    parts = materialise(parts, "components")
+    part = F.struct("size", F.col("root").alias("target"), "lo", "hi")
+    others = mixed.select("tile", "root").distinct().join(parts, "root").select("tile", part.alias("other"))
+    if largest:
+        others = others.groupBy("tile").agg(F.max("other").alias("other"))
+    own = mixed.join(parts.select("root", "size"), "root")
+    met = own.join(others, "tile").filter(
+        (F.struct("other.size", "other.target") > F.struct("size", "root"))
+        & (100 * F.col("other.hi") >= PERCENT * F.col("n"))
+        & (PERCENT * F.col("other.lo") <= 100 * F.col("n"))
+    )
+    shared = met.groupBy("key", "n", "other.target", "other.lo", "other.hi").agg(F.count("*").alias("times"))
+    # A link needs most shared tiles at equal sizes, so the least and largest partner bound it from below.
+    ends = shared.withColumn("m_lo", F.greatest("lo", F.ceil(PERCENT * F.col("n") / 100))).withColumn(
+        "m_hi", F.least("hi", F.floor(100 * F.col("n") / PERCENT))
+    )
+    needed = F.least(_least_shared("n", "m_lo"), _least_shared("n", "m_hi")) - 1
+    return materialise(ends.filter(F.col("times") >= needed).select("key", "target"), "probes")
+
+
+def _probed(probes: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of the probes into their targets, one for each block of a target at most.
+
+    The sets of a target are cut into blocks; a probe meets every block. A task holds one
+    block: bit counts of all its bitmaps bound the overlaps at once, then sorted arrays are
+    intersected until a link is found.
+    """
+    members = mixed.select("key", F.col("root").alias("target")).distinct().join(
+        probes.select("target").distinct(), "target", "left_semi"
+    )
+    blocks = members.groupBy("target").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(blocks, "target").select(
+        "target", F.pmod(F.hash("key"), F.col("blocks")).alias("block"), F.lit(0).alias("kind"), "key"
+    )
+    spread = probes.join(blocks, "target").select(
+        "target", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), "key"
+    )
+    rows = placed.unionByName(spread).join(sets, "key").repartition("target", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, bits, arrays = None, [], [], []
+        matrix = sizes = None
+        for batch in batches:
+            found = []
+            for target, block, kind, key, bitmap, shingles in zip(*(batch.column(c) for c in names)):
+                place = (target.as_py(), block.as_py())
+                if place != at:
+                    at, keys, bits, arrays, matrix = place, [], [], [], None
+                own = np.frombuffer(shingles.as_buffer(), np.uint64).copy()
+                if kind.as_py() == 0:
+                    keys.append(key.as_py())
+                    bits.append(bitmap.as_py())
+                    arrays.append(own)
+                    continue
+                if matrix is None:
+                    matrix = np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1)
+                    sizes = np.array([len(x) for x in arrays], np.int64)
+                differ = np.bitwise_count(matrix ^ np.frombuffer(bitmap.as_py(), np.uint64)).sum(axis=1, dtype=np.int64)
+                total = sizes + len(own)
+                most = (total - differ) // 2
+                for i in np.flatnonzero(100 * most >= PERCENT * (total - most)):
+                    if linked(overlap(own, arrays[i]), len(own), len(arrays[i])):
+                        found.append((key.as_py(), keys[i]))
+                        break
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"]
+            )
+
+    names = ["target", "block", "kind", "key", "bitmap", "shingles"]
+    ordered = rows.sortWithinPartitions("target", "block", "kind").select(*names)
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def _first_links(texts: DataFrame, tiles: DataFrame, seed: int) -> DataFrame:
+    """Components that show when each set is held against the partner it meets most often.
+
+    A partner is the least key of a tile, so the links found point downwards and form trees.
+    """
+    meets = tiles.filter((F.col("key") != F.col("lead")) & _compatible("n", "lead_n"))
+    shared = meets.groupBy("key", "lead", "n", "lead_n").agg(F.count("*").alias("times"))
+    shared = shared.filter(F.col("times") >= _least_shared("n", "lead_n"))
+    partner = shared.groupBy("key").agg(F.max_by("lead", F.struct("times", "lead")).alias("b"))
+    partner = materialise(partner.select(F.col("key").alias("a"), "b"), "partners")
+    links = _verified(partner, _members(texts, _keys(partner), seed))
+    hooks = shortened(links.select(F.col("a").alias("node"), F.col("b").alias("up")))
+    return hooks.select("node", F.col("up").alias("root"))
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(a, b, root_a, root_b)`` of the pairs whose components differ."""
+    one = _rooted(pairs.select(F.col("a").alias("key"), "b"), labels)
+    one = one.select(F.col("key").alias("a"), F.col("root").alias("root_a"), F.col("b").alias("key"))
+    both = _rooted(one, labels).select("a", F.col("key").alias("b"), "root_a", F.col("root").alias("root_b"))
+    return both.filter("root_a <> root_b")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after the components of ``links(a, b)`` are joined."""
+    roots = _apart(links, labels).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+    roots = materialise(roots, "root-links")
+    if roots.isEmpty():
+        return labels
+    hooks = components(roots, "a", "b").select("node", F.col("root").alias("up"))
+    # Roots that no link has pointed to so far have no label yet.
+    fresh = hooks.join(labels.select("node"), "node", "left_anti").select("node", F.col("up").alias("root"))
+    return materialise(composed(labels, hooks).unionByName(fresh), "labels")
+
+
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+
+
+def _other_links(texts: DataFrame, tiles: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """``labels`` after all sets of different components that can be links are held against each other.
+
+    First the largest components take in what is linked to them, so that a group whose sets
+    are not all near one leader falls to few components; then all that share tiles are
+    probed.
+    """
+    rows, sets = tiles, None
+    for largest in [True] * LARGEST_FIRST + [False]:
+        rows = _mixed(rows, labels)
+        probes = _probes(rows, largest)
+        targets = rows.join(probes.select(F.col("target").alias("root")).distinct(), "root", "left_semi")
+        keys = materialise(probes.select("key").union(targets.select("key")).distinct(), "probe-keys")
+        if sets is None or not keys.join(sets.select("key"), "key", "left_anti").isEmpty():
+            sets = _members(texts, keys, seed)
+        labels = _joined(labels, materialise(_probed(probes, rows, sets), "links"))
+    return labels
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``(doc_id, text_key, n, key, root, component_id)``."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    )
     seed = 0
     while True:
         facts = materialise(_facts(texts, seed), "sets-of-texts")
-        rows = facts.filter("key is not null")
+        rows = facts.filter("key is not null").select("doc_id", "text_key", "n", "key", "twin")
         clash = rows.groupBy("key").agg(
             (F.min(F.struct("n", "twin")) != F.max(F.struct("n", "twin"))).alias("clash")
         ).filter("clash")
@@ -371,33 +517,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
     common = spark.sparkContext.broadcast(_common(facts))
     tiles = materialise(_tiles(_postings(texts, common, seed)), "tiles")
-
-    # Round 1: each set against the partner it meets most often.
-    meets = tiles.filter((F.col("key") != F.col("lead")) & _compatible("n", "lead_n"))
-    partner = meets.groupBy("key", "lead").agg(F.count("*").alias("times")).groupBy("key").agg(
-        F.max_by("lead", F.struct("times", "lead")).alias("b")
-    )
-    partner = materialise(partner.select(F.col("key").alias("a"), "b"), "partners")
-    near = partner.select(F.col("a").alias("key")).union(partner.select("b")).distinct()
-    sets = _members(texts, near, seed)
-    links = materialise(_verified(partner, sets), "links")
-    labels = components(links, "a", "b")
-
-    # Round 2: pairs of different components that share a tile.
-    pairs = materialise(_cross_pairs(tiles, labels), "pairs")
-    more = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = _members(texts, more, seed)
-    bits_a = sets.select(F.col("key").alias("a"), F.col("bitmap").alias("bits_a"))
-    bits_b = sets.select(F.col("key").alias("b"), F.col("bitmap").alias("bits_b"))
-    close = materialise(_bounded(pairs.join(bits_a, "a").join(bits_b, "b")), "close-pairs")
-    links = links.union(_verified(close, sets))
-    labels = components(materialise(links, "links"), "a", "b")
+    labels = _other_links(texts, tiles, _first_links(texts, tiles, seed), seed)
 
     named = _rooted(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), labels)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("key", F.col("component_id"))
-    named = materialise(named, "classes")
-    return _spread_join(rows, named)
+    return _spread_join(rows.drop("twin"), named.join(least, "root").select("key", "root", "component_id"))
 
 
 def _spread_join(rows: DataFrame, named: DataFrame, salts: int = 64, wide: int = 64) -> DataFrame:
@@ -412,8 +536,42 @@ def _spread_join(rows: DataFrame, named: DataFrame, salts: int = 64, wide: int =
     salt = 1 + F.pmod(F.hash("doc_id"), F.lit(salts))
     marked = rows.withColumn("salt", salt).join(hot.withColumn("hot", F.lit(True)), ["key", "salt"], "left")
     marked = marked.withColumn("salt", F.when((F.col("n") == 0) | F.col("hot"), F.col("salt")).otherwise(0))
-    copied = hot.join(named, "key").select("key", "salt", "component_id")
-    all_named = named.select("key", F.lit(0).alias("salt"), "component_id").unionByName(copied)
+    copied = hot.join(named, "key").select("key", "salt", "root", "component_id")
+    all_named = named.select("key", F.lit(0).alias("salt"), "root", "component_id").unionByName(copied)
     found = marked.join(materialise(all_named, "classes"), ["key", "salt"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return found.select("doc_id", "text_key", "n", "key", "root", component.alias("component_id"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (``doc_id``, ``text``)."""
+    return _labelled(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without near copies: of every component the row of the least id stays, and every empty set.
+
+    Of rows alike in id and text one stays.
+    """
+    found = materialise(_labelled(docs).select("doc_id", "text_key", "n", "root"), "labelled")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    chosen = found.filter("n > 0").groupBy("root").agg(F.min(own).alias("own"))
+    chosen = chosen.select(
+        F.col("root").alias("_j_root"), F.col("own.doc_id").alias("_j_id"), F.col("own.text_key").alias("_j_text")
+    )
+    copies = found.filter("n > 0").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("_j_id")) & (F.col("text_key") == F.col("_j_text")) & (F.col("root") == F.col("_j_root"))
+    stay = copies.join(chosen, same, "left").select(
+        "doc_id", "text_key", "copies", F.col("_j_root").isNotNull().alias("stays")
+    )
+    stay = materialise(stay.filter("not stays or copies > 1"), "copies")
+    gone = stay.filter("not stays").select(F.col("doc_id").alias("_j_id"), F.col("text_key").alias("_j_text"))
+    keyed = docs.withColumn("_j_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    on = keyed.doc_id.eqNullSafe(gone["_j_id"]) & (keyed["_j_key"] == gone["_j_text"])
+    left = keyed.join(gone, on, "left_anti")
+    repeated = stay.filter("stays").select(F.col("doc_id").alias("_j_id"), F.col("text_key").alias("_j_text"))
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    on = left.doc_id.eqNullSafe(repeated["_j_id"]) & (left["_j_key"] == repeated["_j_text"])
+    once = left.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_j_key"])
+    return left.join(repeated, on, "left_anti").unionByName(once).select(*docs.columns)

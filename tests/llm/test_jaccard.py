@@ -106,3 +106,18 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 105), (105, 103), (200, 200)]
     out = {r.node: r.root for r in components(spark.createDataFrame(links, "a LONG, b LONG"), "a", "b").collect()}
     assert {out[i] for i in range(1, 61)} == {1} and {out[i] for i in (100, 103, 105)} == {100}
+
+
+def test_one_of_each(spark):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, noisy(rng, base, 1)) for i in range(20)] + [(50 + i, "copy of five words here") for i in range(5)]
+    rows += [(7, rows[7][1]), (100, None), (101, ""), (100, None), (None, "copy of five words here"), (None, "an own text of a row without id"), (3, "alone under a used id of another")]
+    df = spark.createDataFrame([(k, t, 1, "x") for k, t in rows], "doc_id LONG, text STRING, n INT, root STRING")
+    out = jaccard.one_of_each(df)
+    assert out.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    left = [(0, rows[0][1]), (50, rows[20][1]), (100, None), (100, None), (101, ""), (None, "an own text of a row without id"), (3, "alone under a used id of another")]
+    assert kept == sorted(left, key=str)
+    again = jaccard.one_of_each(spark.createDataFrame([(1, "a b c d e f")] * 3, "doc_id LONG, text STRING"))
+    assert [tuple(r) for r in again.collect()] == [(1, "a b c d e f")]
