@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm import bpe, decontamination, jaccard, pii, quality
+from corpuslens.llm.settings import small_batches
 from corpuslens.session import ensure_folder, materialise, ship_code
 from corpuslens.sources.tables import table
 
@@ -23,6 +24,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def _ready(spark: SparkSession) -> None:
     ensure_folder(spark)
+    small_batches(spark)
     ship_code(spark, HERE, "corpuslens")
 
 

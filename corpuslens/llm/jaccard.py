@@ -57,7 +57,8 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> It
     runs = windows(hashes, size)
     for lo, hi in zip(offsets[:-1], offsets[1:]):
         if hi - lo >= size:
-            yield np.unique(runs[lo : hi - size + 1])
+            own = np.sort(runs[lo : hi - size + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif hi > lo:
             whole = (hashes[lo:hi] * PLACES[: hi - lo]).sum(dtype=np.uint64) + np.uint64(hi - lo)
             yield mix(np.array([whole]), 5)
@@ -65,11 +66,18 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> It
             yield np.zeros(0, np.uint64)
 
 
-def set_key(own: np.ndarray, seed: int) -> tuple[int, int]:
-    """Two independent 64-bit hashes of a set."""
-    a = mix(np.array([mix(own, 2 * seed + 10).sum(dtype=np.uint64)]), len(own))
-    b = mix(own, 2 * seed + 11).sum(dtype=np.uint64)
-    return int(a.view(np.int64)[0]), int(np.array([b]).view(np.int64)[0])
+def set_key(own: np.ndarray, seed: int) -> int:
+    """64-bit hash of a set."""
+    return _signed(mix(np.array([mix(own, 2 * seed + 10).sum(dtype=np.uint64)]), len(own))[0])
+
+
+def set_twin(own: np.ndarray, seed: int) -> int:
+    """Another 64-bit hash of a set, to find clashes of the first."""
+    return _signed(mix(own, 2 * seed + 11).sum(dtype=np.uint64))
+
+
+def _signed(x: np.uint64) -> int:
+    return int(x) - (1 << 64) if int(x) >> 63 else int(x)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -97,12 +105,11 @@ def _facts(texts: DataFrame, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch, sets in _sets(batches):
-            keys = [set_key(s, seed) for s in sets]
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([k for k, _ in keys], pa.int64()), pa.array([t for _, t in keys], pa.int64()), none, none,
+                    pa.array([set_key(s, seed) for s in sets], pa.int64()), pa.array([set_twin(s, seed) for s in sets], pa.int64()), none, none,
                 ],
                 names=names,
             )
@@ -160,7 +167,7 @@ def _postings(texts: DataFrame, common: Broadcast, seed: int) -> DataFrame:
             for own in sets:
                 if not len(own):
                     continue
-                key, _ = set_key(own, seed)
+                key = set_key(own, seed)
                 if key in seen:
                     continue
                 if len(seen) >= SEEN:
@@ -283,7 +290,7 @@ def _members(texts: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
         for _, sets in _sets(batches):
             rows = []
             for own in sets:
-                key, _ = set_key(own, seed) if len(own) else (0, 0)
+                key = set_key(own, seed) if len(own) else 0
                 place = key % (64 * len(bitmap))
                 if not len(own) or key in seen or not (int(bitmap[place >> 6]) >> (place & 63)) & 1:
                     continue

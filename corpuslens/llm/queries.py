@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm import bpe, decontamination, jaccard, licenses, lm, pii, quality, sharding, site_style, warc
+from corpuslens.llm.settings import small_batches
 from corpuslens.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +18,11 @@ SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -85,11 +85,13 @@ def placed_words(
         where = np.flatnonzero(begins)
         if not len(where):
             continue
-        letters = np.flatnonzero(inside)
-        at = np.searchsorted(letters, where)
-        sizes = np.diff(at, append=len(letters))
+        ends = inside.copy()
+        ends[:-1] &= begins[1:] | ~inside[1:]
+        sizes = np.flatnonzero(ends) - where + 1
+        at = np.cumsum(sizes) - sizes
+        letters = data[lo:hi][inside]
         place = np.arange(len(letters)) - np.repeat(at, sizes)
-        sums = np.add.reduceat(table[data[lo:hi][letters]] * _place(place), at)
+        sums = np.add.reduceat(table[letters] * _place(place), at)
         hashes.append(mix(sums + sizes.astype(np.uint64), 3))
         firsts.append(where + lo)
         lengths.append(sizes)
