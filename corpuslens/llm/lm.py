@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 from corpuslens.llm.words import LOWERED, SPACE, mix, placed_words, slices, utf8
 from corpuslens.session import materialise
 
-CONTEXT = 2
+CONTEXT = 3
 WIDTH = 24
 OWN_OUTPUTS = 128
 OWN_INPUTS = 2048
-ENDINGS = 64  # a power of two
+ENDINGS = 128  # a power of two
 FREQUENT = 1 << 18  # words whose counts are broadcast
 BATCH = 4096
-NOISE = 32
+NOISE = 64
 RATE = 0.15
 SCORED_AT_ONCE = 1 << 10
 END = 0  # hash that stands for the end of a text
@@ -169,8 +169,8 @@ def begin(lexicon: Lexicon, seed: int = 5) -> Weights:
     }
 
 
-def examples(into: np.ndarray, out: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts (nearest first) and outputs of all tokens with ends, and the rows' offsets among these."""
+def examples(into: np.ndarray, out: np.ndarray, offsets: np.ndarray, reach: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of ``reach`` tokens (nearest first) and outputs of all tokens with ends, and the rows' offsets among these."""
     n = len(offsets) - 1
     sizes = np.diff(offsets)
     ends = np.cumsum(sizes + 1)
@@ -182,15 +182,15 @@ def examples(into: np.ndarray, out: np.ndarray, offsets: np.ndarray) -> tuple[np
     inputs = np.full(len(targets), START, np.int64)
     inputs[at] = into
     place = np.arange(len(targets)) - np.repeat(begins, sizes + 1)
-    context = np.full((len(targets), CONTEXT), START, np.int64)
-    for k in range(CONTEXT):
+    context = np.full((len(targets), reach), START, np.int64)
+    for k in range(reach):
         have = np.flatnonzero(place > k)
         context[have, k] = inputs[have - k - 1]
     return context, targets, np.concatenate([[0], ends])
 
 
 def predicted(w: Weights, context: np.ndarray) -> np.ndarray:
-    return sum(w["input"][context[:, k]] * w["place"][k] for k in range(CONTEXT))
+    return sum(w["input"][context[:, k]] * w["place"][k] for k in range(context.shape[1]))
 
 
 def add_rows(table: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
@@ -248,7 +248,7 @@ def train(texts: DataFrame, known: Lexicon) -> Weights:
             for batch in slices(whole, "text"):
                 hashes, offsets = tokens(batch.column("text"))
                 _, into, out = lex.numbers(hashes)
-                context, target, _ = examples(into, out, offsets)
+                context, target, _ = examples(into, out, offsets, CONTEXT)
                 order = rng.permutation(len(target))
                 for lo in range(0, len(order), BATCH):
                     own = order[lo : lo + BATCH]
@@ -309,7 +309,7 @@ def parts(docs: DataFrame, known: Lexicon, w: Weights, ends: int) -> DataFrame:
             for batch in slices(whole, "text"):
                 hashes, offsets = tokens(batch.column("text"))
                 at, into, out = lex.numbers(hashes)
-                context, target, bounds = examples(into, out, offsets)
+                context, target, bounds = examples(into, out, offsets, CONTEXT)
                 model = log_probabilities(weights, context, target)
                 grouped = target >= OWN_OUTPUTS
                 model[grouped] -= log_mass[target[grouped] - OWN_OUTPUTS]

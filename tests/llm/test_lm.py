@@ -124,3 +124,14 @@ def test_find():
     assert (known.find(hashes) == rank).all()
     other = np.setdiff1d(rng.integers(0, 1 << 63, 5_000).astype(np.uint64), hashes)
     assert (known.find(other) == -1).all()
+
+
+def test_size_of_the_model(spark):
+    """Training and scoring see contexts of three tokens, against 64 noise outputs, with 128 groups by ending."""
+    known = lm.lexicon(lm.counts(spark.createDataFrame([(0, "a b c d")], "doc_id LONG, text STRING")))
+    w = lm.begin(known)
+    assert w["place"].shape == (3, lm.WIDTH) and len(w["output"]) == len(w["bias"]) == lm.OWN_OUTPUTS + 128 and lm.NOISE == 64
+    context, _, _ = lm.examples(np.array([7, 8, 9]), np.array([1, 2, 3]), np.array([0, 3]), lm.CONTEXT)
+    assert context[3].tolist() == [9, 8, 7]
+    other = np.array([[9, 8, 6]])
+    assert lm.log_probabilities(w, context[3:], np.array([1])) != lm.log_probabilities(w, other, np.array([1]))
