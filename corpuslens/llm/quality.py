@@ -26,7 +26,7 @@ from corpuslens.session import materialise
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-LEAST_DOCS = 50  # a line in this many documents of a host is never removed
+LEAST_DOCS = 3  # a line in this many documents of a host is never removed
 MAX_SHARE = 0.02  # of the documents of a host
 MIN_LEFT = 0.3  # of a document's words, after the removal of lines
 

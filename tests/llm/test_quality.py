@@ -82,3 +82,19 @@ def test_common_lines_go_and_copies_count_once(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert quality.judge(df, "source", "doc_id").collect() == [] and quality.clean(df).collect() == []
+
+
+def test_limit_by_share_at_every_host_size(spark):
+    """Of hosts of 20, 50 and 500 documents, the lines in more than 3, 3 and 10 documents go."""
+    rows, wanted = [], {}
+    for size, at_limit in ((20, 3), (50, 3), (500, 10)):
+        for i in range(size):
+            own = " ".join(name(i, k) for k in range(60))
+            kept, gone = i < at_limit, at_limit < i < 2 * at_limit + 2
+            line = "\nthis line stays" if kept else "\nthis line goes" if gone else ""
+            rows.append((1000 * size + i, own + line, "en", f"host{size}", 1, "h"))
+            wanted[1000 * size + i] = 3 * gone
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: r.removed_words for r in quality.judge(df, "source", "doc_id").collect()}
+    assert out == wanted
+    assert not any("goes" in r.text for r in quality.clean(df).collect())
