@@ -3,9 +3,9 @@
 A line is normalised (lower case, digits as 0, one space for white space) and hashed.
 For each host the distinct documents that hold a line are counted; a line above the
 limit of its host is removed from its documents, and a document that loses most of its
-words is rejected. Exact and most near copies of one document share its sketch (the
-least hash of its three-word windows) and count once, so a copied document is not taken
-for a text of common lines.
+words is rejected. Documents are told apart by the 64-bit hash of their whole text: exact
+copies count once, so a copied document is not taken for a text of common lines; texts that
+differ count each, however much they share.
 
 Defined cases: a null or empty text has no words and fails the base rules; documents of
 a null host form one host; repeated rows are copies; further columns are kept as they are.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.words import hash_words, mix, rows_of, slices, utf8, windows
+from corpuslens.llm.words import hash_words, rows_of, slices, utf8, windows
 from corpuslens.session import materialise
 
 MIN_WORDS = 50
@@ -36,7 +36,7 @@ _SPACES = " \t\n\v\f\r"
 
 FACTS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "sketch long, lines array<struct<hash: long, words: long>>"
+    "lines array<struct<hash: long, words: long>>"
 )
 
 
@@ -54,18 +54,16 @@ def line_hashes(lines: list[str]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def repeated_words(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per row: words inside three-word windows that occur twice or more, and the sketch."""
+def repeated_words(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per row: words inside three-word windows that occur twice or more."""
     n = len(offsets) - 1
-    counts, sketch = np.zeros(n, np.int64), np.zeros(n, np.uint64)
+    counts = np.zeros(n, np.int64)
     threes = windows(hashes, 3)
     for i in range(n):
         lo, hi = offsets[i], offsets[i + 1]
         if hi - lo < 3:
-            sketch[i] = mix(hashes[lo:hi], 9).sum() if hi > lo else 0
             continue
         own = threes[lo : hi - 2]
-        sketch[i] = mix(own, 9).min()
         order = np.argsort(own, kind="stable")
         same = own[order][1:] == own[order][:-1]
         if same.any():
@@ -77,12 +75,12 @@ def repeated_words(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
             for k in range(3):
                 covered[starts + k] = True
             counts[i] = covered.sum()
-    return counts, sketch.view(np.int64)
+    return counts
 
 
 def _measure(texts: pa.Array) -> dict[str, pa.Array]:
     hashes, offsets = hash_words(*utf8(texts), lower=False)
-    repeats, sketch = repeated_words(hashes, offsets)
+    repeats = repeated_words(hashes, offsets)
     chars, symbols, dups, lines, numbers = [], [], [], [], []
     at = [0]
     for text in texts.to_pylist():
@@ -112,15 +110,14 @@ def _measure(texts: pa.Array) -> dict[str, pa.Array]:
         "n_symbols": pa.array(symbols, pa.int64()),
         "n_dup_lines": pa.array(dups, pa.int64()),
         "n_repeat_words": pa.array(repeats),
-        "sketch": pa.array(sketch),
         "lines": pa.ListArray.from_arrays(pa.array(at, pa.int32()), found),
     }
 
 
 def measure(docs: DataFrame, *carry: str) -> DataFrame:
-    """``carry`` columns, the base counts, the sketch and the distinct normalised lines of each text."""
-    kept = list(carry)
-    given = docs.select(*kept, F.col("text").alias("_q_text"))
+    """``carry`` columns, the hash of each text, its base counts and its distinct normalised lines."""
+    kept = [*carry, "text_hash"]
+    given = docs.select(*carry, F.xxhash64("text").alias("text_hash"), F.col("text").alias("_q_text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "_q_text"), FACTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,14 +138,14 @@ def base_failed() -> Column:
 def common_lines(measured: DataFrame, host: str, least_docs: int = LEAST_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """``(host, hash)`` of the lines above their host's limit.
 
-    Rows are ``(host, line, sketch)``; duplicates go before the shuffle, then sketches are
-    counted per line, so a line that a third of all documents hold is spread by sketch first.
+    Rows are ``(host, line, text hash)``; duplicates go before the shuffle, then text hashes are
+    counted per line, so a line that a third of all documents hold is spread by text first.
     """
-    sketches = measured.select(F.col(host).alias("host"), "sketch").distinct()
-    limits = sketches.groupBy("host").agg(
+    texts = measured.select(F.col(host).alias("host"), "text_hash").distinct()
+    limits = texts.groupBy("host").agg(
         F.greatest(F.lit(least_docs), F.floor(F.count("*") * max_share)).alias("limit")
     )
-    pairs = measured.select(F.col(host).alias("host"), "sketch", F.explode("lines.hash").alias("hash")).distinct()
+    pairs = measured.select(F.col(host).alias("host"), "text_hash", F.explode("lines.hash").alias("hash")).distinct()
     counted = pairs.groupBy("host", "hash").agg(F.count("*").alias("docs")).filter(F.col("docs") > least_docs)
     same = counted.host.eqNullSafe(limits.host)
     return counted.join(limits, same).filter("docs > limit").select(counted.host.alias("host"), "hash")
@@ -167,7 +164,7 @@ def _packed(common: DataFrame) -> DataFrame:
 def _with_common(df: DataFrame, common: DataFrame, host: str, salts: int = 16) -> DataFrame:
     """Attach the host's common lines; a host is split into ``salts`` join keys."""
     packed = _packed(common).withColumn("_q_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = df.withColumn("_q_salt", F.pmod(F.hash("sketch"), F.lit(salts)).cast("int"))
+    spread = df.withColumn("_q_salt", F.pmod(F.hash("text_hash"), F.lit(salts)).cast("int"))
     joined = spread.join(packed, spread[host].eqNullSafe(packed.host) & (spread["_q_salt"] == packed["_q_salt"]), "left")
     return joined.select(*df.columns, F.coalesce("_q_common", F.array().cast("array<bigint>")).alias("_q_common"))
 
@@ -185,7 +182,7 @@ def _judge(measured: DataFrame, host: str, **limits: float) -> DataFrame:
         seen.withColumn("removed_words", removed)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", kept)
-        .drop("lines", "_q_common", "sketch")
+        .drop("lines", "_q_common", "text_hash")
     )
 
 
@@ -216,7 +213,7 @@ def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
 
 def _cleaned(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:
     hashes, offsets = hash_words(*utf8(batch.column("text")), lower=False)
-    repeats, _ = repeated_words(hashes, offsets)
+    repeats = repeated_words(hashes, offsets)
     n_words = np.diff(offsets)
     keep = (n_words >= MIN_WORDS) & (100 * repeats <= MAX_REPEAT_PERCENT * n_words)
     texts = batch.column("text").to_pylist()

@@ -98,3 +98,15 @@ def test_limit_by_share_at_every_host_size(spark):
     out = {r.doc_id: r.removed_words for r in quality.judge(df, "source", "doc_id").collect()}
     assert out == wanted
     assert not any("goes" in r.text for r in quality.clean(df).collect())
+
+
+def test_texts_that_share_a_passage_count_each(spark):
+    common = " ".join(f"menu{k}" for k in range(60))
+    rows = [(i, f"{common}\nown {name(i, 1)} {name(i, 2)} {name(i, 3)}", "en", "a", 1, "h") for i in range(300)]
+    rows += [(1000 + i, " ".join(f"copy{k}" for k in range(80)), "en", "a", 1, "h") for i in range(50)]
+    rows += [(2000 + i, " ".join(name(i, k) for k in range(70)), "en", "a", 1, "h") for i in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: r for r in quality.judge(df, "source", "doc_id").collect()}
+    assert all(out[i].removed_words == 60 and not out[i].kept for i in range(300))
+    assert all(r.kept and r.removed_words == 0 for i, r in out.items() if i >= 1000)
+    assert {r.doc_id for r in quality.clean(df).collect()} == {i for i in out if i >= 1000}
