@@ -43,6 +43,8 @@ class Element:
     node: int
     names: tuple[str, ...]  # parts of class and id, and role
     hidden: bool
+    whole: frozenset[str] = frozenset()  # classes and id as they stand
+    role: frozenset[str] = frozenset()
     children: list[str] = field(default_factory=list)
 
 
@@ -114,8 +116,10 @@ class Page:
         parent = self.open[-1]
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         label = f"{tag}.{found.get('class', '')}#{found.get('role', '')}" if found else tag
+        whole = frozenset(f"{found.get('class', '')} {found.get('id', '')}".lower().replace("_", "-").split()) if names else frozenset()
+        role = frozenset(found.get("role", "").lower().split()) if names else frozenset()
         elements.append(
-            Element(tag, parent, node_of(elements[parent].node, label), tuple(re.findall("[a-z0-9]+", names)), hidden)
+            Element(tag, parent, node_of(elements[parent].node, label), tuple(re.findall("[a-z0-9]+", names)), hidden, whole, role)
         )
         elements[parent].children.append(tag)
         if tag not in VOID and not rest.endswith("/>"):

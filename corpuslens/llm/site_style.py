@@ -8,7 +8,7 @@ what each page has for itself weighs one. A branch's importance is the mean over
 weighted by pages and falling with depth; branches below ``LEAST`` are cut from each page.
 
 What a page marks as its article is the frame in which branches are cut; elements that by
-their tag, role or class are no article text are left out as well. A branch stays if it
+their tag, role or whole class names are no article text are left out as well. A branch stays if it
 holds most of a page's article text, and so do paragraphs and headings that stand directly
 in the article: pages that quote or copy each other keep their text.
 
@@ -40,12 +40,15 @@ SALTS = 32
 # What is no article text by its kind or name.
 NO_TEXT = set("nav footer aside form button select input label fieldset dialog menu object embed canvas audio video head option".split())
 NO_ROLE = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split())
+# Whole class names or ids; a name that only holds such a word, as "has-sidebar" or "post-header", tells nothing.
 NO_NAME = set(
-    "nav navbar navigation menu submenu header masthead topbar footer sidebar aside ad ads advert adverts advertisement "
-    "advertising adsense adslot adbox banner sponsor sponsored sponsors promo promotion cookie cookies consent gdpr notice notices "
-    "notification alert popup modal overlay newsletter subscribe subscription signup signin login register share sharing social "
-    "comment comments disqus discussion respond replies reply related recommended recommendations breadcrumb breadcrumbs "
-    "pagination pager toolbar widget widgets copyright legal skip search searchform form hidden".split()
+    "nav navbar navigation menu submenu masthead topbar footer site-footer site-header site-nav main-menu sidebar site-sidebar aside "
+    "ad ads advert adverts advertisement advertising adsense adslot adbox ad-box ad-slot ad-banner ad-container ad-wrapper "
+    "banner sponsor sponsored sponsors promo cookie cookies cookie-notice cookie-banner cookie-consent consent gdpr "
+    "popup modal newsletter newsletter-signup subscribe subscription signup signin login share sharing share-buttons social-share "
+    "comment comments comment-body comment-list comments-area disqus disqus-thread respond replies reply "
+    "related related-posts related-articles recommended recommendations breadcrumb breadcrumbs "
+    "pagination pager post-navigation toolbar widget widgets skip-link search-form searchform hidden".split()
 )
 ROOTS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -60,30 +63,35 @@ def _hash(text: str) -> int:
 
 
 def _out_of_place(page: Page, i: int) -> bool:
-    """Whether an element is no article text by its tag, role, class or visibility."""
+    """Whether an element is no article text by its tag, role, whole class names or visibility."""
     e = page.elements[i]
-    if e.tag in ("html", "body", "#root"):
-        return False
-    return e.tag in NO_TEXT or e.hidden or not NO_NAME.isdisjoint(e.names) or not NO_ROLE.isdisjoint(e.names)
+    return _no_text(page, i) or e.tag not in ("html", "body", "#root") and not NO_NAME.isdisjoint(e.whole)
+
+
+def _no_text(page: Page, i: int) -> bool:
+    """The same by tag, role or visibility alone."""
+    e = page.elements[i]
+    return e.tag not in ("html", "body", "#root") and (e.tag in NO_TEXT or e.hidden or not NO_ROLE.isdisjoint(e.role))
 
 
 def _roots(page: Page) -> list[int]:
-    """The outermost article of a page, or what stands for it; the body if nothing is marked."""
-    marked = [i for i, e in enumerate(page.elements) if e.tag in ROOTS or "main" in e.names and e.tag in ("div", "section")]
-    good = [i for i in marked if not any(_out_of_place(page, k) or page.elements[k].tag == "header" for k in page.above(i)[1:])]
-    good = [i for i in good if not _out_of_place(page, i) or page.elements[i].tag in ROOTS]
-    articles = [i for i in good if page.elements[i].tag == "article"] or good
+    """The outermost articles of a page, or what stands for them; the body if nothing is marked.
+
+    No class or id around an article speaks against it; one of its own does if other articles are left.
+    """
+    elements = page.elements
+    marked = [i for i, e in enumerate(elements) if e.tag in ROOTS or "main" in e.names and e.tag in ("div", "section")]
+
+    def stands(i: int) -> bool:
+        named = elements[i].tag not in ROOTS
+        refused = _out_of_place if named else _no_text
+        return not any(refused(page, k) or elements[k].tag == "header" for k in page.above(i)[1:]) and not (named and refused(page, i))
+
+    good = [i for i in marked if stands(i)]
+    articles = [i for i in good if elements[i].tag == "article"] or good
     found = set(articles)
     outer = [i for i in articles if not any(k in found for k in page.above(i)[1:])]
-    if len(outer) < 2:
-        return outer or [0]
-    sizes = Counter()
-    for element, text in page.blocks:
-        for k in page.above(element):
-            if k in outer:
-                sizes[k] += len(text)
-    most = max(sizes.values(), default=0)
-    return [i for i in outer if 4 * sizes[i] >= most]
+    return [i for i in outer if not _out_of_place(page, i)] or outer or [0]
 
 
 def _article_blocks(page: Page) -> tuple[list[tuple[int, str]], list[bool]]:
@@ -101,7 +109,7 @@ def _article_blocks(page: Page) -> tuple[list[tuple[int, str]], list[bool]]:
         if up in roots or below[up]:
             below[i] = True
             bad[i] = bad[up] or _out_of_place(page, i)
-            header[i] = header[up] or e.tag == "header"
+            header[i] = header[up] or e.tag == "header" or "header" in e.whole
             heading[i] = heading[up] or e.tag in HEADINGS
     out = []
     for element, text in page.blocks:

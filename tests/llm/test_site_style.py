@@ -86,3 +86,23 @@ def test_query_against_a_pattern(spark, sf):
 
 def test_empty_table(spark):
     assert site_style.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("wrapper", ["class='content-sidebar-wrap'", "class='layout has-sidebar'", "class='search widget'", "id='comments'"])
+def test_wrapper_does_not_cost_the_article(wrapper):
+    article = "<article><h1>Title</h1><p>Text</p></article>"
+    assert site_style.extract(f"<body><div {wrapper}>{article}<div class='sidebar'>Side</div></div></body>") == "Title\nText"
+
+
+def test_only_whole_names_on_the_element_drop_it():
+    names = ("post-header", "legal", "register", "menu-item-text", "header", "my_menu", "menu")
+    source = "".join(f"<div class='{c}'><h2>{c}</h2></div>" for c in names)
+    assert site_style.extract(f"<article>{source}</article>").split() == list(names[:-1])
+
+
+def test_every_outer_article_stays():
+    long = "<article><p>" + "long text " * 50 + "</p></article>"
+    assert site_style.extract(f"<main>{long}<article><p>short</p></article><aside><article>no</article></aside></main>").endswith("\nshort")
+    both = "<article class='comment'><p>I agree</p></article><article><p>Text</p></article>"
+    assert site_style.extract(both) == "Text"
+    assert site_style.extract("<article class='widget'><p>Text</p></article>") == "Text"
