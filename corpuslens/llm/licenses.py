@@ -11,6 +11,10 @@ shingles that the window holds.
 A band's value is the hash of one shingle of the window, so a window without any shingle
 of a template cannot collide; it gets no signature.
 
+The templates are notices, whole license texts (``license_texts``), and clauses by which
+texts that are almost the same are told apart: a place of the text takes the name of the
+clause that stands in it, unless it is so long that it may hold both texts.
+
 Defined cases: null or empty texts hold no license; a text that holds a template twice has
 a row for each place, places that meet are one; templates of fewer words than a shingle
 are refused; repeated documents have rows each; further columns are not read.
@@ -21,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +58,7 @@ TEMPLATES = [
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -65,6 +70,30 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+# Clauses that only one of several similar texts has; their names replace the text's.
+CLAUSES = [
+    ("BSD-3-Clause", "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("AGPL-3.0", "if you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network (if your version supports such interaction) an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge"),
+    *(
+        (f"CC-BY{short}-4.0", f"terms and conditions of this Creative Commons Attribution{long} 4.0 International Public License")
+        for short, long in (
+            ("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"),
+            ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"),
+        )
+    ),
+]
+TOLD_BY = {
+    "BSD-2-Clause": {"BSD-3-Clause"},
+    "GPL-3.0": {"AGPL-3.0"},
+    "CC-BY-SA-4.0": {name for name, _ in CLAUSES if name.startswith("CC-")},
+}
+LONGEST = 1.5  # times a text's words: a longer place may hold two of the similar texts
+
+TEMPLATES += CLAUSES
+TEMPLATES += sorted(
+    (f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in resources.files(__package__).joinpath("license_texts").iterdir()
+)
+
 
 def bands(words: int, template_shingles: int) -> int:
     """Bands of one hash each that make a collision certain to ``CERTAIN``."""
@@ -118,7 +147,15 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def places(classes: list[SizeClass], runs: np.ndarray) -> Iterator[tuple[str, float, int, int]]:
-    """``(license, containment, first word, end word)`` of the templates in one text's shingles, in order of words."""
+    """``(license, containment, first word, end word)`` of the licenses in one text's shingles."""
+    found = list(template_places(classes, runs))
+    for name, share, a, b, size in found:
+        told = [other for other, _, c, d, _ in found if other in TOLD_BY.get(name, ()) and c < b and a < d]
+        yield told[0] if told and b - a <= LONGEST * size else name, share, a, b
+
+
+def template_places(classes: list[SizeClass], runs: np.ndarray) -> Iterator[tuple[str, float, int, int, int]]:
+    """``(license, containment, first word, end word, words of the template)`` of the templates, in order of words."""
     for group in classes:
         hits = np.flatnonzero(_among(runs, group.all_shingles))
         if not len(hits):
@@ -141,7 +178,7 @@ def places(classes: list[SizeClass], runs: np.ndarray) -> Iterator[tuple[str, fl
                     found.setdefault((template.license, number), []).append(
                         [lo + int(at[0]), lo + int(at[-1]) + SHINGLE, share]
                     )
-        for (name, _), spans in found.items():
+        for (name, number), spans in found.items():
             joined: list[list] = []
             for a, b, share in sorted(spans):
                 if joined and a < joined[-1][1]:
@@ -149,7 +186,7 @@ def places(classes: list[SizeClass], runs: np.ndarray) -> Iterator[tuple[str, fl
                 else:
                     joined.append([a, b, share])
             for a, b, share in joined:
-                yield name, share, a, b
+                yield name, share, a, b, len(group.templates[number].shingles) + SHINGLE - 1
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:

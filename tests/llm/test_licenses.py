@@ -74,3 +74,32 @@ def test_bands_reach_the_wanted_certainty():
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+BSD = """Copyright (c) 2020, Somebody. All rights reserved.
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = "3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+def test_whole_texts(spark):
+    whole = {n: t for n, t in licenses.TEMPLATES if len(t.split()) > 100}
+    assert whole.keys() >= {"Apache-2.0", "BSD-2-Clause", "BSL-1.0", "CC-BY-SA-4.0", "EPL-1.0", "GPL-3.0", "ISC", "MIT", "Zlib"}
+    by_sa = whole["CC-BY-SA-4.0"]
+    made = dict(whole)
+    made["BSD-2-Clause"], made["BSD-3-Clause"] = BSD.format(third=""), BSD.format(third=THIRD)
+    made["CC-BY-4.0"] = by_sa.replace("Attribution-ShareAlike", "Attribution")
+    made["both"] = BSD.format(third="") + "\n" + BSD.format(third=THIRD)
+    names = sorted(made)
+    df = spark.createDataFrame([(i, f"first\n{made[n]}\nlast", None) for i, n in enumerate(names)], SCHEMA)
+    found = {n: set() for n in names}
+    for r in licenses.scan(df).collect():
+        if r.end - r.start > len(made[names[r.doc_id]]) * 0.6:
+            found[names[r.doc_id]].add(r.license)
+    assert found.pop("both") == {"BSD-2-Clause"}
+    assert found == {n: {n} for n in found}
+    rows = licenses.scan(df.filter(df.doc_id == names.index("both"))).collect()
+    assert {r.license for r in rows} == {"BSD", "BSD-2-Clause", "BSD-3-Clause"}
