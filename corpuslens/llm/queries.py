@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import bpe, decontamination, jaccard, licenses, lm, pii, quality, sharding, site_style, warc
+from corpuslens.llm import alignment, bpe, decontamination, jaccard, licenses, lm, pii, quality, sharding, site_style, warc
 from corpuslens.llm.settings import small_batches
 from corpuslens.sources.tables import table
 
@@ -149,3 +149,9 @@ def op4_site_style_text(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_log_bilinear_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm.scores(documents(spark, sf))
+
+
+@query
+def op11_pair_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment(documents(spark, sf), *paths).withColumnRenamed("id", "doc_id")
