@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import alignment, bpe, decontamination, jaccard, licenses, lm, pii, quality, sharding, site_style, warc
+from corpuslens.llm import (
+    alignment, bpe, conversations, decontamination, jaccard, licenses, lm, mixing, pii, quality, sharding, site_style, warc,
+)
 from corpuslens.llm.settings import small_batches
 from corpuslens.sources.tables import table
 
@@ -155,3 +157,14 @@ def op10_log_bilinear_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op11_pair_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.alignment(documents(spark, sf), *paths).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_entropy_balanced_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query
+def op13_suffix_automaton_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.report(table(spark, sf, "conversations"))
