@@ -51,6 +51,7 @@ DENSE_BYTES = CHUNK_DOCS // 8
 CACHED_UNITS, CACHED_BYTES = 200_000, 16 << 20  # of a task
 ROWS_AT_ONCE = 100_000
 TEXT_BYTES = 2 << 20
+BLOB = 1 << 16  # characters of new units that are encoded at once
 
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 SPACE_BEFORE_SPACE = re.compile(r"\s ")
@@ -69,11 +70,18 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         letters = {c: byte for byte, c in enumerate(byte_letters())}
         vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(letters[c] for c in piece) for piece, i in vocabulary.items()}
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for piece, i in vocabulary.items():
+            self.a_bytes[i] = bytes(letters[c] for c in piece)
         self.b_bytes = [self._of_piece(i) for i in range(self.b.get_piece_size())]
         self.width = len(self.b_bytes)
         self.lone_space = self.b.piece_to_id("▁")
         self.joins_words = any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.width))
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        # What a token adds to the written groups: its id and the mark after it, by id, side, and whether it ends its part.
+        self.written = [f"{i}{mark}".encode() for i in range(len(self.a_bytes)) for mark in ",|"]
+        self.written += [f"{i}{mark}".encode() for i in range(self.width) for mark in ",;"]
+        self.written_sizes = np.array(list(map(len, self.written)))
 
     def _of_piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -87,29 +95,39 @@ class Pair:
             return [u[1:] for u in BEFORE_SPACE.split(" " + text)]
         return text.split(" ")
 
-    def encode(self, keys: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B for units; the empty key is a space that ends a text."""
-        coded = self.a.encode_batch([" " + k for k in keys], add_special_tokens=False)
-        for key, x, y in zip(keys, coded, self.b.encode(keys, num_threads=1), strict=True):
-            yield x.ids, y if key else [self.lone_space]
-
-
-def aligned(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[list[tuple[int, int]], str]:
-    """Links, as pairs of positions, and the groups' ids written out; both sides have the same number of bytes."""
-    links, groups = [], []
-    i = j = a_from = b_from = a_end = b_end = 0
-    while i < len(a) or j < len(b):
-        if a_end <= b_end:
-            a_end += a_sizes[i]
-            i += 1
-        else:
-            b_end += b_sizes[j]
-            j += 1
-        if a_end == b_end:
-            links.append((i - 1, j - 1))
-            groups.append(",".join(map(str, a[a_from:i])) + "|" + ",".join(map(str, b[b_from:j])))
-            a_from, b_from = i, j
-    return links, ";".join(groups)
+    def alone(self, key: str) -> tuple[list[int], list[int]]:
+        """Ids of A and B for one unit; the empty key is a space that ends a text."""
+        a = self.a.encode(" " + key, add_special_tokens=False).ids
+        return a, self.b.encode(key) if key else [self.lone_space]
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> Aligned | None:
+        """Ids of both sides of some units, end to end, that close at the bytes ``ends``; None if one does not."""
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        groups = np.searchsorted(cuts, ends) + 1
+        if len(cuts) < groups[-1] or (cuts[groups - 1] != ends).any():
+            return None
+        a_upto, b_upto = np.searchsorted(a_ends, cuts) + 1, np.searchsorted(b_ends, cuts) + 1
+        # Each group's tokens of A, then its tokens of B.
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        codes = np.empty(len(a) + len(b), np.int64)
+        ahead = np.concatenate([[0], b_upto])
+        codes[np.arange(len(a)) + ahead[a_group]] = 2 * a + (a_ends == cuts[a_group])
+        codes[np.arange(len(b)) + a_upto[b_group]] = 2 * (len(self.a_bytes) + b) + (b_ends == cuts[b_group])
+        text = b"".join(map(self.written.__getitem__, codes.tolist()))
+        upto = np.cumsum(self.written_sizes[codes])[(a_upto + b_upto)[groups - 1] - 1].tolist()
+        texts = [text[lo : hi - 1] for lo, hi in zip([0, *upto], upto)]
+        sizes = np.diff(np.stack([a_upto[groups - 1], b_upto[groups - 1], groups]), axis=1, prepend=0)
+        return Aligned(texts, sizes.T, a[a_upto - 1].astype(np.int64) * self.width + b[b_upto - 1])
+
+
+@dataclass
+class Aligned:
+    """Units' groups written out, their numbers of tokens of A and B and of links, and the links as id pairs."""
+
+    groups: list[bytes]
+    sizes: np.ndarray
+    links: np.ndarray
 
 
 class Units:
@@ -131,19 +149,52 @@ class Units:
         if len(self.place) > CACHED_UNITS or self.held > CACHED_BYTES:
             self.clear()
         missing = [k for k in dict.fromkeys(keys) if k not in self.place]
-        for at in range(0, len(missing), 2000):
-            part = missing[at : at + 2000]
-            for key, (a, b) in zip(part, self.pair.encode(part), strict=True):
-                a_bytes = [self.pair.a_bytes.get(i, b"") for i in a]
-                b_bytes = [self.pair.b_bytes[i] for i in b]
-                whole = b" " + key.encode()
-                lost = b"".join(a_bytes) != whole or b"".join(b_bytes) != whole
-                links, groups = ([], "") if lost else aligned(a, b, list(map(len, a_bytes)), list(map(len, b_bytes)))
-                self.place[key] = len(self.groups)
-                self.groups.append(groups.encode())
-                self.sizes.extend((len(a), len(b), len(links), int(lost)))
-                self.links.extend(a[i] * self.pair.width + b[j] for i, j in links)
-                self.held += len(whole) + len(groups) + 8 * len(links)
+        plain = [k for k in missing if k and " " not in k and not k[-1].isspace()]
+        for key in set(missing).difference(plain):
+            self._learn_alone(key)
+        at = 0
+        while at < len(plain):
+            to, held = at, 0
+            while to < len(plain) and held < BLOB:
+                held += len(plain[to]) + 1
+                to += 1
+            self._learn_joined(plain[at:to])
+            at = to
+
+    def _learn_joined(self, keys: list[str]) -> None:
+        """Learn units from one text of all of them: either side cuts it where a unit ends."""
+        blob = " " + " ".join(keys)
+        whole = blob.encode()
+        a = np.array(self.pair.a.encode(blob, add_special_tokens=False).ids)
+        b = np.array(self.pair.b.encode(blob[1:]))
+        same = all(b"".join(map(t.__getitem__, x.tolist())) == whole for t, x in ((self.pair.a_bytes, a), (self.pair.b_bytes, b)))
+        ends = np.append(np.flatnonzero(np.frombuffer(whole, np.uint8)[1:] == 32) + 1, len(whole))
+        found = self.pair.aligned(a, b, ends) if same else None
+        if found is None:
+            for key in keys:
+                self._learn_alone(key)
+            return
+        self._add(keys, found.groups, found.sizes, found.links)
+        self.held += len(whole)
+
+    def _learn_alone(self, key: str) -> None:
+        whole = b" " + key.encode()
+        a, b = self.pair.alone(key)
+        lost = any(b"".join(map(t.__getitem__, x)) != whole for t, x in ((self.pair.a_bytes, a), (self.pair.b_bytes, b)))
+        if lost:
+            self._add([key], [b""], np.array([[len(a), len(b), 0]]), np.zeros(0, np.int64), 1)
+        else:
+            found = self.pair.aligned(np.array(a), np.array(b), np.array([len(whole)]))
+            self._add([key], found.groups, found.sizes, found.links)
+        self.held += len(whole)
+
+    def _add(self, keys: list[str], groups: list[bytes], sizes: np.ndarray, links: np.ndarray, lost: int = 0) -> None:
+        first = len(self.groups)
+        self.place.update(zip(keys, range(first, first + len(keys))))
+        self.groups += groups
+        self.sizes.frombytes(np.insert(sizes, 3, lost, axis=1).astype(np.int64).tobytes())
+        self.links.frombytes(links.tobytes())
+        self.held += sum(map(len, groups)) + 8 * len(links)
 
 
 @dataclass
