@@ -107,7 +107,8 @@ def train_counts(df: DataFrame, tokens_col: str = "_words", smoothing: float = 1
     """Count tokens by class in one pass; rows without a class are left out."""
     require_columns(df, tokens_col, "sentiment")
     known = df.filter(F.col("sentiment").isin(*CLASSES))
-    exploded = known.select("sentiment", F.explode(tokens_col).alias("token"))
+    # outer, and NULL tokens dropped after it: plain explode would infer a filter that evaluates the tokens again
+    exploded = known.select("sentiment", F.explode_outer(tokens_col).alias("token")).filter("token IS NOT NULL")
     by_class = [F.count_if(F.col("sentiment") == c).alias(c) for c in CLASSES]
     tokens = materialise(exploded.groupBy("token").agg(*by_class), "class-tokens")
     documents = known.agg(*[F.count_if(F.col("sentiment") == c).alias(f"{c}_documents") for c in CLASSES])
@@ -127,7 +128,8 @@ def predict_counts(model: CountModel, df: DataFrame, tokens_col: str = "_words",
     room = [t[f"{c}_tokens"] + a * max(t.vocabulary, 1) for c in CLASSES]
     odds = F.ln((F.coalesce("positive", F.lit(0)) + a) / room[0]) - F.ln((F.coalesce("negative", F.lit(0)) + a) / room[1])
     prior = F.ln(F.lit((t.positive_documents + a) / (t.negative_documents + a)))
-    counted = df.select(id_col, F.explode(tokens_col).alias("token")).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
+    exploded = df.select(id_col, F.explode_outer(tokens_col).alias("token")).filter("token IS NOT NULL")
+    counted = exploded.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
     found = lookup(counted, model.tokens, ["token"], spread=salt_of(id_col))
     scores = found.groupBy(id_col).agg(F.sum(F.col("n") * odds).alias("_odds"))
     others = [c for c in df.columns if c not in (id_col, tokens_col)]

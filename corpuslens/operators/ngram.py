@@ -104,7 +104,8 @@ def probabilities(model: NGramModel, wanted: DataFrame) -> DataFrame:
 
     Unseen counts are 0. With Laplace smoothing an unseen context gives ``1 / v``,
     without it 0. Both sides of the first join have unique keys; in the second a
-    context may head many rows.
+    context may head many rows. What the first join finds is written, so ``wanted`` is
+    computed once.
     """
     found = wanted.join(model.counts, ["n", "context", "word"], "left")
     found = lookup(found, model.totals, ["n", "context"], spread=salt_of("context", "word"))
@@ -180,10 +181,10 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
     """
     plus = 1 if model.laplace else 0
     raised = F.pow((F.col("cnt") + plus).cast("double"), F.lit(1.0 / temperature))
-    sums = model.counts.groupBy("n", "context").agg(F.sum(raised).alias("mass"), F.count(F.lit(1)).alias("successors"))
+    sums = model.counts.groupBy("n", "context").agg(F.sum(raised).alias("mass"), F.count(F.lit(1)).alias("cnt"))
+    sums = materialise(sums, "ngram-masses")
     found = lookup(
-        model.counts, materialise(sums, "ngram-masses"), ["n", "context"],
-        spread=salt_of("context", "word"),
+        model.counts, sums.drop("cnt"), ["n", "context"], spread=salt_of("context", "word"), counts=sums.drop("mass")
     )
     return found.select("n", "context", "word", "cnt", (raised / F.col("mass")).alias("q"))
 
@@ -228,7 +229,7 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
         )
         relative = F.pow(F.col("weight") / F.col("top"), F.lit(1.0 / temperature))
         unit = F.floor(F.lit(TOTAL_WEIGHT) / F.col("cnt"))
-        rows = lookup(rows, top, ["n", "context"], spread=salt_of("context", "word")).select(
+        rows = lookup(rows, top, ["n", "context"], spread=salt_of("context", "word"), counts=top.drop("top")).select(
             "n", "context", "word", F.round(relative * unit).cast("bigint").alias("weight"), "sub"
         ).filter("weight > 0")
     subs = rows.groupBy("n", "context", "sub").agg(F.sum("weight").alias("mass"), F.count(F.lit(1)).alias("cnt"))
@@ -252,9 +253,11 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
     )
     spread = salt_of("context", "word")
     placed = lookup(
-        rows.withColumn("running", F.sum("weight").over(within)), offsets, ["n", "context", "sub"], spread=spread
+        rows.withColumn("running", F.sum("weight").over(within)), offsets.drop("cnt"), ["n", "context", "sub"],
+        spread=spread, counts=offsets.select("n", "context", "sub", "cnt"),
     )
     following = F.slice(F.concat("context", F.array("word")), 2, n - 1)
+    led_to = model.counts.filter(F.col("n") == n).groupBy("n", following.alias("next_context")).agg(F.count(F.lit(1)).alias("cnt"))
     placed = placed.select(
         "n", "context", "word", "successors", F.col("context_mass").alias("mass"),
         (F.col("offset") + F.col("running") - F.col("weight")).alias("lo"),
@@ -264,7 +267,7 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
     ahead = contexts.select(
         "n", F.col("context").alias("next_context"), F.col("successors").alias("next_successors"), F.col("mass").alias("next_mass")
     )
-    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread)
+    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread, counts=led_to)
     touched = F.explode(F.sequence(_cell(F.col("lo")), _cell(F.col("hi") - 1)))
     entry = F.struct("lo", "hi", *CHOSEN)
     listed = linked.select("n", "context", touched.alias("cell"), entry.alias("step"))
@@ -278,30 +281,28 @@ def _cell(at: Column) -> Column:
 
 
 def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id") -> DataFrame:
-    """Add the drawn ``word`` to rows that have ``n`` and ``context``.
+    """Add the drawn ``word`` to rows that have ``n`` and ``context``; ``id_col`` tells them apart.
 
     ``u`` is a uniform number per row. A row whose context was never seen gets NULL.
     """
-    located = lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col))
-    return _step(table, located, u, "left").select(*states.columns, "word")
+    located = materialise(lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col)), "draw-states")
+    drawn = _step(table, located.filter("mass IS NOT NULL"), u).select(id_col, "word")
+    return located.join(drawn, id_col, "left").select(*states.columns, "word")
 
 
-def _step(table: DrawTable, located: DataFrame, u: Column, how: str) -> DataFrame:
+def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
     """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step.
 
-    Many rows may stand in one cell of one context, so the cells are met by ``lookup``,
-    which spreads the rows of heavy cells. Of the table only the cells aimed at move.
+    Few rows are broadcast to the cells, by the size of their written table, and the draw table
+    stays where it is; many meet it in a shuffle, where a cell that very many rows aim at is split.
     """
     mass = F.col("mass")
     aimed = located.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1)).withColumn(
         "cell", _cell(F.col("_r"))
     )
-    keys = ["n", "context", "cell"]
-    wanted = table.cells.join(aimed.select(*keys).distinct(), keys, "left_semi")
-    met = lookup(aimed, wanted, keys, spread=salt_of("_r", "mass"))
+    met = aimed.join(table.cells, ["n", "context", "cell"])
     hit = F.get(F.filter("steps", lambda t: (F.col("_r") >= t["lo"]) & (F.col("_r") < t["hi"])), F.lit(0))
-    out = met.withColumn("_hit", hit).select(*located.columns, *[F.col("_hit")[c].alias(c) for c in CHOSEN])
-    return out if how == "left" else out.filter("word IS NOT NULL")
+    return met.withColumn("_hit", hit).select(*located.columns, *[F.col("_hit")[c].alias(c) for c in CHOSEN])
 
 
 def generate(
@@ -343,14 +344,16 @@ def generate(
         begun = lookup(opened, table.contexts, ["n", "context"], spread=salt_of(id_col))
         parts = [seeds.select(id_col, F.lit(0).alias("step"), F.col(start_col).alias("word"))]
     state = materialise(begun, "sentences")
+    standing = state.count()
     for step in range(1, max_length + 1 - len(parts)):
-        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)), "left")
+        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)))
         moved = [F.col(f"next_{c}").alias(c) for c in ("context", "successors", "mass")]
         state = materialise(drawn.select(id_col, "n", *moved, "word", F.lit(step).alias("step")), "sentences")
         ends = F.col("word") == EOS
-        seen = state.agg(F.count_if(F.col("word").isNull()).alias("lost"), F.count_if(~ends).alias("open")).first()
-        if seen.lost:
-            raise ValueError(f"{seen.lost} sentences stand in a context without a successor")
+        seen = state.agg(F.count("word").alias("drawn"), F.count_if(~ends).alias("open")).first()
+        if seen.drawn < standing:
+            raise ValueError(f"{standing - seen.drawn} sentences stand in a context without a successor")
+        standing = seen.open
         parts.append(state.filter(~ends).select(id_col, "step", "word"))
         if not seen.open:
             break

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.labels import encode_label
-from corpuslens.operators.lookup import lookup, salt_of
+from corpuslens.operators.lookup import translate
 from corpuslens.operators.ordering import dense_rank_rows, seeded_rank
 from corpuslens.operators.stats import at_position
 from corpuslens.schema import BOS, EOS, PAD, SPECIAL_IDS, UNK, require_columns
@@ -45,7 +45,7 @@ def vocabulary_count(vocabulary: DataFrame) -> DataFrame:
 def with_boundaries(words: Column, start: str | None = BOS, end: str | None = EOS) -> Column:
     """Optional start and end token around a word array."""
     parts = [F.array(F.lit(start))] if start else []
-    parts.append(words)
+    parts.append(F.coalesce(words, F.array().cast("array<string>")))
     parts += [F.array(F.lit(end))] if end else []
     return F.concat(*parts)
 
@@ -83,30 +83,18 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, ids)``; unknown words become the unknown id, empty documents stay."""
     require_columns(df, words_col, id_col, hint=NEEDS_WORDS)
-    exploded = df.select(id_col, F.posexplode_outer(with_boundaries(F.col(words_col), start, end)).alias("pos", "token"))
-    found = lookup(exploded, vocabulary.select("token", "id"), ["token"], spread=salt_of(id_col, "pos"))
-    entry = F.when(
-        F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
-    )  # collect_list skips the NULL of an empty document
-    return (
-        found.groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(id_col, F.transform("entries", lambda e: e["id"]).alias("ids"))
-    )
+    bounded = df.select(id_col, with_boundaries(F.col(words_col), start, end).alias("words"))
+    table = vocabulary.select(F.col("token").alias("key"), F.col("id").alias("value"))
+    return translate(bounded, table, array="words", out="ids", default=F.lit(UNK_ID), id_col=id_col)
 
 
 def decode(df: DataFrame, vocabulary: DataFrame, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, text)``; unknown ids read as the unknown token."""
     if vocabulary is None:
         raise ValueError("vocabulary not built: call build_vocabulary first")
-    exploded = df.select(id_col, F.posexplode_outer(ids_col).alias("pos", "id"))
-    found = lookup(exploded, vocabulary, ["id"], spread=salt_of(id_col, "pos"))
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(UNK)).alias("token")))
-    return (
-        found.groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(id_col, F.array_join(F.transform("entries", lambda e: e["token"]), " ").alias("text"))
-    )
+    table = vocabulary.select(F.col("id").alias("key"), F.col("token").alias("value"))
+    words = translate(df, table, array=ids_col, out="words", default=F.lit(UNK), id_col=id_col)
+    return words.select(id_col, F.array_join("words", " ").alias("text"))
 
 
 def training_pairs(encoded: DataFrame, max_length: int | None = None) -> DataFrame:

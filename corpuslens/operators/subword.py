@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslens.operators.lookup import lookup, salt_of
+from corpuslens.operators.lookup import lookup, salt_of, translate
 from corpuslens.operators.wordforms import distinct_words
 from corpuslens.session import materialise
 
@@ -71,8 +71,9 @@ def with_log_probability(pieces: DataFrame) -> DataFrame:
 def _matches(words: DataFrame, pieces: DataFrame, max_piece: int) -> DataFrame:
     """``(token, start, length, ...)`` for every piece found in a word.
 
-    A word meets at most ``max_piece`` pieces per position; frequent pieces are
-    resolved by a broadcast in the lookup.
+    A word has at most ``max_piece`` candidates a position. They stay where their word is: the
+    piece table is as small as the vocabulary asked for, so its statistics make the join a
+    broadcast, and the words' partitioning serves the grouping that follows.
     """
     starts = F.explode_outer(F.sequence(F.lit(1), F.char_length("token")))
     sizes = F.explode(F.array(*[F.lit(k) for k in range(1, max_piece + 1)]))
@@ -84,8 +85,7 @@ def _matches(words: DataFrame, pieces: DataFrame, max_piece: int) -> DataFrame:
         .filter(F.col("start") + F.col("length") <= F.char_length("token") + 1)
         .withColumn("piece", F.concat(mark, F.substring(F.col("token"), F.col("start"), F.col("length"))))
     )
-    found = lookup(exploded, pieces, ["piece"], spread=salt_of("token", "start", "length"))
-    return found.filter("id IS NOT NULL")
+    return exploded.join(pieces.filter("id IS NOT NULL"), "piece")
 
 
 def _piece_limit(pieces: DataFrame) -> int:
@@ -245,14 +245,13 @@ def encode(
     if words is None:
         words = materialise(distinct_words(df, words_col), "subword-words")
     segmented = materialise(tables[kind](words, pieces), "subword-table")
-    exploded = df.select(id_col, F.posexplode_outer(words_col).alias("pos", "token"))
-    table = segmented.select("token", "pieces")
-    found = lookup(exploded, table, ["token"], spread=salt_of(id_col, "pos"), counts=segmented.select("token", "cnt"))
-    entry = F.when(F.col("pieces").isNotNull(), F.struct("pos", "pieces"))
-    body = F.flatten(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["pieces"]))
+    table = segmented.select(F.col("token").alias("key"), F.col("pieces").alias("value"))
+    nothing = F.array().cast("array<int>")
+    found = translate(df, table, array=words_col, out="parts", default=nothing, id_col=id_col)
+    body = F.flatten("parts")
     inner = body if max_length is None else F.slice(body, 1, max(max_length - 2, 0))
     ids = F.concat(F.array(F.lit(SPECIAL_PIECES["[CLS]"])), inner, F.array(F.lit(SPECIAL_PIECES["[SEP]"])))
-    encoded = found.groupBy(id_col).agg(ids.alias("_input_ids"))
+    encoded = found.select(id_col, ids.alias("_input_ids"))
     size = F.size("_input_ids")
     return encoded.withColumns({"_attention_mask": F.array_repeat(F.lit(1), size), "_word_count": size})
 

@@ -24,6 +24,7 @@ from corpuslens.operators import (
     wordforms,
 )
 from corpuslens.operators.corpus import length_summary, load_corpus, tokenise
+from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.plans.evaluation import evaluate_classifier
 from corpuslens.plans.language_models import compare_sizes, sample_sentences
 from corpuslens.plans.report import corpus_report
@@ -565,7 +566,7 @@ def j01_token_to_id(spark, sf):
     vocab, _ = vocabulary(spark, sf)
     tokens = tokenise(turns(spark, sf)).select(F.explode_outer("_words").alias("token")).filter("token IS NOT NULL")
     counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return sequence.lookup(counted, vocab, ["token"], spread=ngram.salt_of("token")).select(
+    return lookup(counted, vocab, ["token"], spread=salt_of("token")).select(
         "token", "n", F.coalesce("id", F.lit(sequence.UNK_ID)).alias("id")
     )
 
@@ -892,7 +893,7 @@ def _cell_losses(spark: SparkSession, sf: str) -> DataFrame:
     )
     totals = vocab.agg(F.sum(F.col("cnt") + 1).alias("mass")).scalar()
     known = vocab.select(F.col("id").alias("target"), "cnt")
-    found = sequence.lookup(cells, known, ["target"], spread=ngram.salt_of("doc_id", "pos"))
+    found = lookup(cells, known, ["target"], spread=salt_of("doc_id", "pos"))
     return found.withColumn("mass", totals).select(
         "batch_id", "target", (F.ln("mass") - F.ln(F.col("cnt") + 1)).alias("loss")
     )
