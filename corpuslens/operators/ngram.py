@@ -205,8 +205,12 @@ class DrawTable:
     contexts: DataFrame  # (n, context, successors, mass)
 
 
-def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable:
-    """Weights are ``cnt + 1`` (or ``cnt`` unsmoothed); other temperatures give
+def _sizes(n: int | Sequence[int]) -> list[int]:
+    return [n] if isinstance(n, int) else list(n)
+
+
+def draw_table(model: NGramModel, n: int | Sequence[int], temperature: float = 1.0) -> DrawTable:
+    """Draw table of one or several sizes of the model. Weights are ``cnt + 1`` (or ``cnt`` unsmoothed); other temperatures give
     weights relative to the largest, as finely as a uniform double can tell them
     apart. A successor below that, 2 ** -53 of its context, cannot be drawn.
 
@@ -216,10 +220,12 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
     """
     plus = 1 if model.laplace else 0
     digits = SUB_DIGITS
-    words = model.counts.filter(F.col("n") == n).agg(F.approx_count_distinct("word")).first()[0]
+    sizes = _sizes(n)
+    counted = model.counts.filter(F.col("n").isin(sizes))
+    words = counted.filter(F.col("n") == min(sizes)).agg(F.approx_count_distinct("word")).first()[0]
     while 16**digits * WORDS_PER_SUB < words:
         digits += 1
-    rows = model.counts.filter(F.col("n") == n).select(
+    rows = counted.select(
         "n", "context", "word", (F.col("cnt") + plus).alias("weight"),
         F.substring(F.md5("word"), 1, digits).alias("sub"),
     )
@@ -256,8 +262,8 @@ def draw_table(model: NGramModel, n: int, temperature: float = 1.0) -> DrawTable
         rows.withColumn("running", F.sum("weight").over(within)), offsets.drop("cnt"), ["n", "context", "sub"],
         spread=spread, counts=offsets.select("n", "context", "sub", "cnt"),
     )
-    following = F.slice(F.concat("context", F.array("word")), 2, n - 1)
-    led_to = model.counts.filter(F.col("n") == n).groupBy("n", following.alias("next_context")).agg(F.count(F.lit(1)).alias("cnt"))
+    following = F.slice(F.concat("context", F.array("word")), F.lit(2), F.col("n") - 1)
+    led_to = counted.groupBy("n", following.alias("next_context")).agg(F.count(F.lit(1)).alias("cnt"))
     placed = placed.select(
         "n", "context", "word", "successors", F.col("context_mass").alias("mass"),
         (F.col("offset") + F.col("running") - F.col("weight")).alias("lo"),
@@ -308,7 +314,7 @@ def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
 def generate(
     model: NGramModel,
     seeds: DataFrame,
-    n: int,
+    n: int | Sequence[int],
     *,
     max_length: int = 15,
     temperature: float = 1.0,
@@ -316,33 +322,35 @@ def generate(
     id_col: str = "sent_id",
     start_col: str | None = None,
 ) -> DataFrame:
-    """One sentence ``(sent_id, words, sentence)`` per row of ``seeds``, all grown together.
+    """One sentence ``(n, sent_id, words, sentence)`` per row of ``seeds`` and size, all grown together.
 
     Sentences begin like documents do, or with the token in ``start_col``; the token is
     then the first word and must have been seen at a document's start for ``n > 2``, or
-    anywhere for ``n = 2``. Each step is one draw for every open sentence. What a step
-    adds is written, ``(sent_id, step, word)`` and the state to go on from; the words
+    anywhere for ``n = 2``. Each step is one draw for every open sentence of every size. What
+    a step adds is written, ``(n, sent_id, step, word)`` and the state to go on from; the words
     are gathered by sentence at the end. As many sentences come out as seeds go in: a
     sentence without a next word is an error.
     """
-    table = draw_table(model, n, temperature)
-    begin = F.array_repeat(F.lit(BOS), n - 1).cast("array<string>")
+    sizes = _sizes(n)
+    table = draw_table(model, sizes, temperature)
+    begins = {size: F.array_repeat(F.lit(BOS), size - 1).cast("array<string>") for size in sizes}
+    every = F.explode(F.array(*[F.struct(F.lit(size).alias("n"), begins[size].alias("context")) for size in sizes]))
+    opened = seeds.select(F.col(id_col), *([F.col(start_col).alias("_start")] if start_col else []), every.alias("s"))
     if start_col is None:
-        first = table.contexts.filter(F.col("context") == begin).first()  # at most one row
-        if first is None:
+        is_first = F.col("context") == F.array_repeat(F.lit(BOS), F.col("n") - 1).cast("array<string>")
+        first = table.contexts.filter(is_first).collect()  # a row per size at most
+        if len(first) < len(sizes):
             raise ValueError("the model has seen no document")
-        begun = seeds.select(
-            F.col(id_col), F.lit(n).alias("n"), begin.alias("context"),
-            F.lit(first.successors).alias("successors"), F.lit(first.mass).alias("mass"),
+        widths = F.create_map(*[F.lit(x) for r in first for x in (r.n, r.successors)])
+        masses = F.create_map(*[F.lit(x) for r in first for x in (r.n, r.mass)])
+        begun = opened.select(
+            id_col, "s.*", widths[F.col("s.n")].cast("bigint").alias("successors"), masses[F.col("s.n")].cast("bigint").alias("mass")
         )
         parts = []
     else:
-        opened = seeds.select(
-            F.col(id_col), F.lit(n).alias("n"),
-            F.slice(F.concat(begin, F.array(start_col)), -(n - 1), n - 1).alias("context") if n > 1 else begin.alias("context"),
-        )
-        begun = lookup(opened, table.contexts, ["n", "context"], spread=salt_of(id_col))
-        parts = [seeds.select(id_col, F.lit(0).alias("step"), F.col(start_col).alias("word"))]
+        led = F.slice(F.concat("s.context", F.array("_start")), F.lit(2), F.col("s.n") - 1).alias("context")
+        begun = lookup(opened.select(id_col, "s.n", led), table.contexts, ["n", "context"], spread=salt_of(id_col))
+        parts = [opened.select("s.n", id_col, F.lit(0).alias("step"), F.col("_start").alias("word"))]
     state = materialise(begun, "sentences")
     standing = state.count()
     for step in range(1, max_length + 1 - len(parts)):
@@ -354,13 +362,13 @@ def generate(
         if seen.drawn < standing:
             raise ValueError(f"{standing - seen.drawn} sentences stand in a context without a successor")
         standing = seen.open
-        parts.append(state.filter(~ends).select(id_col, "step", "word"))
+        parts.append(state.filter(~ends).select("n", id_col, "step", "word"))
         if not seen.open:
             break
         state = state.filter(~ends).drop("word", "step")
-    grown = reduce(DataFrame.unionByName, parts).groupBy(id_col).agg(
+    grown = reduce(DataFrame.unionByName, parts).groupBy("n", id_col).agg(
         F.array_sort(F.collect_list(F.struct("step", "word"))).alias("entries")
     )
     words = F.coalesce(F.transform("entries", lambda e: e["word"]), F.array().cast("array<string>"))
-    out = seeds.select(id_col).join(grown, id_col, "left").select(id_col, words.alias("words"))
+    out = opened.select("s.n", id_col).join(grown, ["n", id_col], "left").select("n", id_col, words.alias("words"))
     return out.withColumn("sentence", F.array_join("words", " "))

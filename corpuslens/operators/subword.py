@@ -231,15 +231,17 @@ def encode(
     words_col: str = "_words",
     id_col: str = "doc_id",
     words: DataFrame | None = None,
+    merges: Sequence[tuple[str, str, int]] | None = None,
 ) -> DataFrame:
     """``(doc_id, _input_ids, _attention_mask, _word_count)``, ids per document.
 
     Ids are wrapped in the class and separator pieces and cut to ``max_length``
     including both (``None``: whole); nothing is padded. Only ids and words are read and
     moved; join the result where other columns are wanted. ``words`` may pass in the
-    distinct words of ``df`` where they are already counted.
+    distinct words of ``df`` where they are already counted. ``kind="bpe"`` needs ``merges``
+    and their pieces, see ``operators.merges``.
     """
-    tables = {"wordpiece": greedy_table, "unigram": unigram_table}
+    tables = {"wordpiece": greedy_table, "unigram": unigram_table, "bpe": _merge_table(merges)}
     if kind not in tables:
         raise ValueError(f"kind must be one of {', '.join(tables)}, got {kind!r}")
     if words is None:
@@ -256,6 +258,17 @@ def encode(
     return encoded.withColumns({"_attention_mask": F.array_repeat(F.lit(1), size), "_word_count": size})
 
 
+def _merge_table(merges: Sequence[tuple[str, str, int]] | None):
+    def table(words: DataFrame, pieces: DataFrame) -> DataFrame:
+        if merges is None:
+            raise ValueError("bpe tokenisation needs merges: call operators.merges.learn_merges first")
+        from corpuslens.operators.merges import merge_table
+
+        return merge_table(words, merges, pieces)
+
+    return table
+
+
 def length_coverage(lengths: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
     """``(tokenizer, threshold, percent)`` of documents whose ``length`` fits."""
     shares = [F.avg(F.when(F.col("length") <= t, 100.0).otherwise(0.0)).alias(str(t)) for t in thresholds]

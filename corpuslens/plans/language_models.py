@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from corpuslens.operators import ngram
 
@@ -18,11 +17,4 @@ def compare_sizes(tokens: DataFrame, sizes: Sequence[int] = (2, 3), laplace: boo
 
 def sample_sentences(model: ngram.NGramModel, seeds: DataFrame, max_length: int = 20) -> DataFrame:
     """``(n, sent_id, sentence)`` for every seed row and every size of the model."""
-    parts = [
-        ngram.generate(model, seeds, n, max_length=max_length).select(F.lit(n).alias("n"), "sent_id", "sentence")
-        for n in model.sizes
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return ngram.generate(model, seeds, model.sizes, max_length=max_length).select("n", "sent_id", "sentence")

@@ -11,6 +11,7 @@ SELECTED = 25
 PIECES = 30_000
 MAX_PIECE = 6
 MERGE_ROUNDS = 8
+LEARNED = 100
 MERGES = 64
 
 BREAK_TAG = r"<br\s*/?>"
@@ -448,6 +449,34 @@ PARTS = {
         SELECT doc_id, coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), []) AS ids
         FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN best_covers s USING (token) GROUP BY doc_id""",
     **merge_parts(),
+    # One merge a step: all pieces stand between two marks, so a merge is a replacement from the left.
+    "merge_steps": f"""
+        SELECT 0 AS step, token, chr(2) || array_to_string(string_split(token, ''), chr(3) || chr(2)) || chr(3) AS spelt, cnt,
+               '' AS a, '' AS b, 0::HUGEINT AS n
+        FROM distinct_words
+        UNION ALL
+        SELECT step + 1, token, replace(spelt, chr(2) || p.a || chr(3) || chr(2) || p.b || chr(3), chr(2) || p.a || p.b || chr(3)),
+               cnt, p.a, p.b, p.n
+        FROM merge_steps, (
+            SELECT p[1] AS a, p[2] AS b, sum(cnt) AS n FROM (
+                SELECT unnest(list_transform(range(1, len(s)), lambda k: [s[k], s[k + 1]])) AS p, cnt
+                FROM (SELECT string_split(spelt[2:-2], chr(3) || chr(2)) AS s, cnt FROM merge_steps))
+            GROUP BY p ORDER BY n DESC, a, b LIMIT 1) p
+        WHERE step < {LEARNED}""",
+    "learned_merges": "SELECT DISTINCT step, a, b, n FROM merge_steps WHERE step > 0",
+    "learned_words": "SELECT token, string_split(spelt[2:-2], chr(3) || chr(2)) AS syms FROM merge_steps WHERE step = (SELECT max(step) FROM learned_merges)",
+    "merge_characters": """
+        SELECT piece, row_number() OVER (ORDER BY piece) + 3 AS id
+        FROM (SELECT DISTINCT unnest(string_split(token, '')) AS piece FROM distinct_words)""",
+    "merge_vocabulary": """
+        SELECT piece, id FROM merge_characters
+        UNION ALL SELECT piece, (SELECT count(*) FROM merge_characters) + 3 + row_number() OVER (ORDER BY step)
+        FROM (SELECT a || b AS piece, min(step) AS step FROM learned_merges GROUP BY a || b)
+        UNION ALL VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3)""",
+    "learned_ids": """
+        SELECT token, list(id ORDER BY place) AS ids
+        FROM (SELECT token, unnest(syms) AS piece, generate_subscripts(syms, 1) AS place FROM learned_words) JOIN merge_vocabulary USING (piece)
+        GROUP BY token""",
     "merge_lengths": f"""
         SELECT doc_id, coalesce(sum(len(syms)), 0) AS size
         FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN merged_{MERGE_ROUNDS} m USING (token) GROUP BY doc_id""",
@@ -490,7 +519,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown"}
+RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown", "merge_steps"}
 
 # What each part reads directly.
 NEEDS = {
@@ -642,6 +671,12 @@ BODIES = {
     "t04_unigram_ids_whole": f"""
         SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (SELECT doc_id, list_concat([2], ids, [3]) AS ids FROM unigram_ids)""",
     "t05_merged_words": f"SELECT token, array_to_string(syms, ' ') AS pieces, cnt FROM merged_{MERGE_ROUNDS}",
+    "t05_learned_merges": "SELECT (step - 1)::INTEGER AS rank, a AS left_piece, b AS right_piece, n::BIGINT AS cnt FROM learned_merges",
+    "t05_merge_vocabulary": "SELECT piece, id::INTEGER AS id FROM merge_vocabulary",
+    "t03_merge_ids": """
+        SELECT doc_id, 2 + coalesce(sum(len(ids)), 0)::BIGINT AS n,
+               concat_ws(',', '2', string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '3') AS ids
+        FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN learned_ids USING (token) GROUP BY doc_id""",
     "t05_subword_vocabulary": "SELECT piece, id, cnt::BIGINT AS cnt FROM pieces",
     "t06_length_coverage": """
         SELECT tokenizer, threshold, round(avg(CASE WHEN length <= threshold THEN 100.0::DOUBLE ELSE 0 END), 6) AS percent

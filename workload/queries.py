@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import labels, text
 from corpuslens.functions.seeded import order_key, uniform
 from corpuslens.operators import (
+    merges,
     agreement,
     classify,
     judge,
@@ -463,6 +464,45 @@ def t05_merged_words(spark, sf):
     return merged.select("token", F.array_join("pieces", " ").alias("pieces"), "cnt")
 
 
+def _learned(spark: SparkSession, sf: str, size: int) -> tuple[DataFrame, DataFrame, list]:
+    """Tokenised reviews, their distinct words, and the merges these teach."""
+    df = words(spark, sf)
+    counted = materialise(wordforms.distinct_words(df), "words")
+    return df, counted, merges.learn_merges(counted, size)
+
+
+@query
+def t05_learned_merges(spark, sf):
+    """The first merges of the corpus, one after the other."""
+    _, _, found = _learned(spark, sf, 100)
+    rows = [(rank, *merge) for rank, merge in enumerate(found)]
+    return spark.createDataFrame(rows, "rank INT, left_piece STRING, right_piece STRING, cnt BIGINT")
+
+
+@query
+def t05_merge_vocabulary(spark, sf):
+    _, counted, found = _learned(spark, sf, 100)
+    return merges.merge_pieces(counted, found)
+
+
+@query
+def t03_merge_ids(spark, sf):
+    """Whole documents as ids of the pieces that learned merges make."""
+    df, counted, found = _learned(spark, sf, 100)
+    pieces = merges.merge_pieces(counted, found)
+    encoded = subword.encode(df, pieces, kind="bpe", merges=found, max_length=None, words=counted)
+    return encoded.select("doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"))
+
+
+@query
+def t06_learned_bpe_coverage(spark, sf):
+    """Share of documents within each length under 30,000 merges, or all that the corpus allows."""
+    df, counted, found = _learned(spark, sf, 30_000)
+    table_ = materialise(merges.segment(counted, found), "merge-segments")
+    lengths = subword.lengths(df, table_).select(F.lit("learned_bpe").alias("tokenizer"), "length")
+    return subword.length_coverage(lengths).select("tokenizer", "threshold", r6("percent").alias("percent"))
+
+
 def _token_lengths(spark: SparkSession, sf: str) -> DataFrame:
     """``(tokenizer, length)`` of whole documents under five tokenisers."""
     counts = F.array(
