@@ -441,6 +441,23 @@ PARTS = {
         SELECT token, e, ks, ids, []::INTEGER[] AS path FROM forward WHERE e = len(token)
         UNION ALL
         SELECT token, e - ks[e], ks, ids, list_prepend(ids[e], path) FROM backward WHERE e > 0""",
+    # Probability of the letters up to each end, and from each start on, over all covers.
+    "lattice": """
+        SELECT token, 0::BIGINT AS e, [1.0::DOUBLE] AS alphas FROM distinct_words
+        UNION ALL
+        SELECT f.token, u.e, list_append(alphas, list_sum(list_transform(spans, lambda x: alphas[x.i] * exp(x.logp))))
+        FROM lattice f JOIN unigram_spans u ON f.token = u.token AND u.e = f.e + 1""",
+    "flat_spans": "SELECT token, x.i AS i, x.k AS k, x.logp AS logp, x.id AS id FROM (SELECT token, unnest(spans) AS x FROM unigram_spans)",
+    "starting_spans": "SELECT token, i, list({'k': k, 'logp': logp}) AS spans FROM flat_spans GROUP BY token, i",
+    "lattice_back": """
+        SELECT token, len(token)::BIGINT AS s, [1.0::DOUBLE] AS betas FROM distinct_words
+        UNION ALL
+        SELECT b.token, s - 1, list_prepend(list_sum(list_transform(spans, lambda x: betas[x.k] * exp(x.logp))), betas)
+        FROM lattice_back b JOIN starting_spans u ON b.token = u.token AND u.i = b.s""",
+    "lattices": """
+        SELECT d.token, d.cnt, alphas, betas, alphas[len(d.token) + 1] AS whole
+        FROM distinct_words d JOIN lattice f ON f.token = d.token AND f.e = len(d.token)
+        JOIN lattice_back b ON b.token = d.token AND b.s = 0""",
     "best_covers": "SELECT token, path AS ids FROM backward WHERE e = 0",
     "wordpiece_ids": """
         SELECT doc_id, coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), []) AS ids
@@ -519,7 +536,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown", "merge_steps"}
+RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown", "merge_steps", "lattice", "lattice_back"}
 
 # What each part reads directly.
 NEEDS = {
@@ -671,6 +688,10 @@ BODIES = {
     "t04_unigram_ids_whole": f"""
         SELECT doc_id, len(ids) AS n, {csv('ids')} AS ids FROM (SELECT doc_id, list_concat([2], ids, [3]) AS ids FROM unigram_ids)""",
     "t05_merged_words": f"SELECT token, array_to_string(syms, ' ') AS pieces, cnt FROM merged_{MERGE_ROUNDS}",
+    "t04_unigram_expectation": """
+        SELECT id::INTEGER AS id, round(sum(cnt * alphas[i] * exp(logp) * betas[i + k] / whole), 3) AS expected
+        FROM flat_spans JOIN lattices USING (token) GROUP BY id
+        UNION ALL SELECT -1, round(sum(cnt * ln(whole)), 3) FROM lattices""",
     "t05_learned_merges": "SELECT (step - 1)::INTEGER AS rank, a AS left_piece, b AS right_piece, n::BIGINT AS cnt FROM learned_merges",
     "t05_merge_vocabulary": "SELECT piece, id::INTEGER AS id FROM merge_vocabulary",
     "t03_merge_ids": """

@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from corpuslens.functions import labels, text
 from corpuslens.functions.seeded import order_key, uniform
 from corpuslens.operators import (
-    merges,
     agreement,
     classify,
     judge,
+    merges,
     metrics,
     ngram,
     sampling,
     sequence,
     stats,
     subword,
+    unigram,
     wordforms,
 )
 from corpuslens.operators.corpus import length_summary, load_corpus, tokenise
@@ -452,6 +453,24 @@ def t04_unigram_ids_whole(spark, sf):
     return _unigram(spark, sf, None)
 
 
+@query
+def t04_unigram_expectation(spark, sf):
+    """How often covers of the corpus are expected to hold each piece, the step that training repeats."""
+    pieces, counted = _pieces(words(spark, sf))
+    table_ = {r.piece: (r.id, r.logp) for r in _scored_pieces(pieces).collect()}  # as many as the vocabulary asks for
+    return unigram.expected_counts(counted, table_).select("id", F.round("expected", 3).alias("expected"))
+
+
+@query
+def t04_trained_unigram_ids(spark, sf):
+    """Whole documents under pieces fitted by two rounds for each pruning, from 30,000 to 10,000."""
+    df = words(spark, sf)
+    learned, counted = _pieces(df)
+    trained = unigram.train_unigram(counted, learned, 10_000)
+    encoded = subword.encode(df, trained.pieces, kind="unigram", max_length=None, words=counted)
+    return encoded.select("doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"))
+
+
 @query
 def t05_subword_vocabulary(spark, sf):
     return _pieces(words(spark, sf))[0].select("piece", "id", "cnt")
