@@ -54,3 +54,27 @@ TREEBANK_SPLITS = {
     "lemme": ("lem", "me"),
     "wanna": ("wan", "na"),
 }
+
+# Endings that inflection adds and what they replace, by part of speech, in this order.
+DETACHED_ENDINGS = {
+    "noun": (("s", ""), ("ses", "s"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")),
+    "verb": (("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")),
+    "adjective": (("er", ""), ("est", ""), ("er", "e"), ("est", "e")),
+}
+
+# Irregular forms and their lemmas.
+IRREGULAR_LEMMAS = {
+    "noun": {
+        "children": "child", "feet": "foot", "geese": "goose", "halves": "half", "knives": "knife", "leaves": "leaf",
+        "lives": "life", "loaves": "loaf", "men": "man", "mice": "mouse", "oxen": "ox", "shelves": "shelf",
+        "teeth": "tooth", "thieves": "thief", "wives": "wife", "wolves": "wolf", "women": "woman",
+    },
+    "verb": {
+        "am": "be", "are": "be", "been": "be", "began": "begin", "came": "come", "did": "do", "does": "do", "done": "do",
+        "fell": "fall", "felt": "feel", "found": "find", "gave": "give", "gone": "go", "got": "get", "had": "have",
+        "has": "have", "is": "be", "kept": "keep", "knew": "know", "left": "leave", "lost": "lose", "made": "make",
+        "met": "meet", "ran": "run", "said": "say", "saw": "see", "seen": "see", "shown": "show", "stood": "stand",
+        "taken": "take", "thought": "think", "told": "tell", "took": "take", "was": "be", "went": "go", "were": "be",
+    },
+    "adjective": {"best": "good", "better": "good", "further": "far", "less": "little", "worse": "bad", "worst": "bad"},
+}

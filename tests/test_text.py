@@ -112,3 +112,18 @@ def test_stem_and_lemma_rewrite(spark, docs):
     assert stemmed[0].review == "run poni ran" and stemmed[0]._char_len == 12
     lemmas = spark.createDataFrame([("ran", "run"), ("ponies", "pony")], "form STRING, lemma STRING")
     assert [r._words for r in wordforms.lemmatise(df, lemmas).orderBy("doc_id").collect()] == [["running", "pony", "run"], []]
+
+
+def test_lemmas_by_rules(spark, docs):
+    words = ["cats", "cat", "churches", "church", "ponies", "pony", "running", "run", "runn", "hoped", "hope", "hop", "bus", "women", "s",
+             "taller", "tall", "was", "glasses", "glass", "class"]
+    counted = spark.createDataFrame([(w, 1) for w in words], "token STRING, cnt LONG")
+    nouns = {r.form: r.lemma for r in wordforms.lemmas_by_rules(counted).collect()}
+    assert nouns == {"cats": "cat", "churches": "church", "ponies": "pony", "women": "woman", "glasses": "glass"}
+    every = {r.form: r.lemma for r in wordforms.lemmas_by_rules(counted, ("noun", "verb", "adjective")).collect()}
+    assert every == nouns | {"running": "runn", "hoped": "hop", "taller": "tall", "was": "be"}
+    lexicon = spark.createDataFrame([("hope",), ("bu",)], "token STRING")
+    some = {r.form: r.lemma for r in wordforms.lemmas_by_rules(counted, ("verb",), lexicon).collect()}
+    assert some == {"hoped": "hope", "bus": "bu", "was": "be"}
+    df = wordforms.lemmatise(docs([["cats", "cat", "was"], []]), parts=("noun",))
+    assert [r._words for r in df.orderBy("doc_id").collect()] == [["cat", "cat", "was"], []]

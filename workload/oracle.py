@@ -43,6 +43,26 @@ PROMPT_HEAD = "Decide whether the review below is positive or negative.\nReview:
 PROMPT_TAIL = "\nReply with one lower-case word, positive or negative."
 
 
+# Endings of nouns, verbs and adjectives, and irregular forms by part of speech.
+ENDINGS = """
+s: ses:s xes:x zes:z ches:ch shes:sh men:man ies:y
+s: ies:y es:e es: ed:e ed: ing:e ing:
+er: est: er:e est:e"""
+IRREGULAR = """
+children:child feet:foot geese:goose halves:half knives:knife leaves:leaf lives:life loaves:loaf men:man mice:mouse oxen:ox
+shelves:shelf teeth:tooth thieves:thief wives:wife wolves:wolf women:woman
+am:be are:be been:be began:begin came:come did:do does:do done:do fell:fall felt:feel found:find gave:give gone:go got:get
+had:have has:have is:be kept:keep knew:know left:leave lost:lose made:make met:meet ran:run said:say saw:see seen:see
+shown:show stood:stand taken:take thought:think told:tell took:take was:be went:go were:be
+best:good better:good further:far less:little worse:bad worst:bad"""
+
+
+def listed_pairs(text: str, numbered: bool) -> str:
+    pairs = [entry.split(":") for entry in text.split()]
+    rows = [f"({i}, {sql_text(a)}, {sql_text(b)})" if numbered else f"({sql_text(a)}, {sql_text(b)})" for i, (a, b) in enumerate(pairs)]
+    return ", ".join(rows)
+
+
 def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -650,6 +670,19 @@ BODIES = {
     "p06_stem_words": """
         SELECT w.doc_id, coalesce(string_agg(s.form, ' ' ORDER BY t.pos), '') AS review, count(t.token)::INTEGER AS _word_count
         FROM words w LEFT JOIN tokens t ON w.doc_id = t.doc_id LEFT JOIN stems s ON t.token = s.token GROUP BY w.doc_id""",
+    "p07_lemmatise_by_rules": f"""
+        SELECT w.doc_id, coalesce(string_agg(coalesce(l.lemma, t.token), ' ' ORDER BY t.pos), '') AS review, count(t.token) AS n
+        FROM words w LEFT JOIN tokens t USING (doc_id) LEFT JOIN (
+            SELECT * FROM (VALUES {listed_pairs(IRREGULAR, False)}) i(token, lemma)
+            UNION ALL
+            SELECT token, lemma FROM (
+                SELECT d.token, substr(d.token, 1, len(d.token) - len(ending)) || new AS lemma, rule
+                FROM distinct_words d JOIN (VALUES {listed_pairs(ENDINGS, True)}) r(rule, ending, new)
+                ON ends_with(d.token, ending) AND len(d.token) > len(ending)
+                WHERE d.token NOT IN (SELECT token FROM (VALUES {listed_pairs(IRREGULAR, False)}) i(token, lemma)))
+            WHERE lemma IN (SELECT token FROM distinct_words)
+            QUALIFY row_number() OVER (PARTITION BY token ORDER BY len(lemma), rule, lemma) = 1) l ON l.token = t.token
+        GROUP BY w.doc_id""",
     "p07_lemmatise_words": """
         SELECT w.doc_id, coalesce(string_agg(coalesce(l.lemma, t.token), ' ' ORDER BY t.pos), '') AS review, count(t.token) AS n
         FROM words w LEFT JOIN tokens t ON w.doc_id = t.doc_id

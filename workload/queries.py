@@ -334,6 +334,13 @@ def p07_lemmatise_words(spark, sf):
     return wordforms.lemmatise(df, lemmas_of(df)).select("doc_id", "review", big("_word_count").alias("n"))
 
 
+@query
+def p07_lemmatise_by_rules(spark, sf):
+    """Every word in the shortest known form that a noun, verb or adjective ending leaves."""
+    df = wordforms.lemmatise(words(spark, sf), parts=("noun", "verb", "adjective"))
+    return df.select("doc_id", "review", big("_word_count").alias("n"))
+
+
 @query
 def p08_char_length(spark, sf):
     return words(spark, sf).select("doc_id", big("_char_len").alias("char_len"))
