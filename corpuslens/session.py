@@ -66,12 +66,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables written so far by this application; call it when no result reads them any more."""
+def written(spark: SparkSession) -> int:
+    """Number of tables this application has written and not deleted, for ``release``."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Delete the tables this application has written; call it when no result reads them any more.
+
+    ``since`` spares the first tables, ``keep`` those whose name begins so.
+    """
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written.pop(spark.sparkContext.applicationId, []):
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in paths[since:] if keep is None or not p.rsplit("/", 1)[-1].startswith(keep)]
+    for path in gone:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(configuration).delete(place, True)
+    _written[spark.sparkContext.applicationId] = [p for p in paths if p not in set(gone)]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
