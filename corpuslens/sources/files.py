@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,7 @@ from corpuslens.functions.text import blank_to_null, words_of
 from corpuslens.operators.classify import CountModel
 from corpuslens.operators.ngram import NGramModel
 from corpuslens.schema import EVALUATION, REVIEWS, require_columns
+from corpuslens.session import materialise
 
 # Texts hold commas, quotes and line breaks: inner quotes are doubled, outer blanks
 # kept. A quoted empty field is an empty text, an unquoted one is NULL.
@@ -32,10 +35,64 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**CSV).csv(path)
 
 
-def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEWS) -> DataFrame:
-    """Review CSV. Quoted line breaks keep one file from being split, so a large
-    corpus should come in many files, or be saved with ``save_corpus`` once."""
-    return read_csv(spark, path, schema)
+def read_csv_in_splits(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """As ``read_csv``, but a large file with line breaks inside of quotes is read by many tasks.
+
+    Lines are read split by split. A record begins at a line that an even number of quotes
+    precedes in its file. Each split's quotes and beginnings are counted, one row a split, and
+    summed over the splits before it; with that every line knows its record. Records are put
+    together split by split; only the parts of those that a cut runs through are brought
+    together by a second shuffle.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"),  # follows the lines of a split
+    )
+    lines = lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
+    split, inside = ["file", "split"], Window.partitionBy("file", "split").orderBy("at")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = lines.withColumn("before", before)
+    # Of either parity at the split's start: how many records begin in it.
+    begins = [F.count_if(F.pmod("before", F.lit(2)) == parity).cast("long").alias(f"begin_{parity}") for parity in (0, 1)]
+    splits = counted.groupBy(*split).agg(F.sum("quotes").alias("quotes"), *begins)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    odd = F.pmod(F.coalesce(F.sum("quotes").over(earlier), F.lit(0)), F.lit(2))
+    splits = splits.withColumn("odd", odd)
+    begun = F.when(F.col("odd") == 0, F.col("begin_0")).otherwise(F.col("begin_1"))
+    splits = splits.withColumn("begun", begun).select(
+        *split, "odd", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("ahead"),
+        F.lead("odd", 1, 0).over(Window.partitionBy("file").orderBy("split")).alias("next_odd"),
+    )
+    splits = materialise(splits, "csv-splits")
+    known = counted.join(F.broadcast(splits), split)  # a row per split of the files
+    begin = F.pmod(F.col("before") + F.col("odd"), F.lit(2)) == 0
+    upto = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = known.withColumn("record", F.col("ahead") + F.sum(begin.cast("long")).over(upto))
+    parts = placed.groupBy(*split, "record").agg(
+        F.array_sort(F.collect_list(F.struct("at", "line"))).alias("lines"),
+        F.first("odd").alias("odd"), F.first("ahead").alias("ahead"), F.first("next_odd").alias("next_odd"),
+    )
+    last = F.col("record") == F.max("record").over(Window.partitionBy(*split))
+    parts = parts.select(
+        *split, "record", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"),
+        ((F.col("record") == F.col("ahead")) | (last & (F.col("next_odd") == 1))).alias("cut"),
+    )
+    stitched = parts.filter("cut").groupBy("file", "record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "text"))), lambda x: x["text"]), "\n").alias("text")
+    )
+    records = parts.filter("NOT cut").select("file", "record", "text").unionByName(stitched)
+    text = F.regexp_replace("text", "\r$", "")
+    options = {k: str(v) for k, v in {**CSV, "header": False, "nullValue": "\u0000"}.items()}
+    names = schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    parsed = records.filter("record > 1").withColumn("text", text).filter("text <> ''")  # the first one is the header
+    return parsed.select(F.from_csv("text", names, options).alias("r")).select("r.*")
+
+
+def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEWS, *, in_splits: bool = False) -> DataFrame:
+    """Review CSV; ``in_splits`` reads large files by many tasks although quoted line breaks may stand at any place."""
+    return read_csv_in_splits(spark, path, schema) if in_splits else read_csv(spark, path, schema)
 
 
 def write_reviews(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -62,6 +119,34 @@ def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def save_bucketed(df: DataFrame, path: str, buckets: int, key: str = "doc_id") -> DataFrame:
+    """Save a table cut into ``buckets`` by the hash of ``key``, sorted by it, and read it back.
+
+    Tables with the same number of buckets meet by ``key`` without an exchange: documents, labels,
+    ratings and encodings can be joined, and grouped by ``key``, while texts stay where they are.
+    Rows are dealt to one task a bucket first, so that a bucket is one file.
+    """
+    name = _bucket_table()
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay
+    return load_bucketed(df.sparkSession, path, df.schema, buckets, key)
+
+
+def load_bucketed(spark: SparkSession, path: str, schema: T.StructType, buckets: int, key: str = "doc_id") -> DataFrame:
+    """A table that ``save_bucketed`` wrote, also by another application."""
+    name = _bucket_table()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+def _bucket_table() -> str:
+    return f"bucketed_{uuid.uuid4().hex}"
+
+
 def write_annotation_sheet(df: DataFrame, path: str) -> None:
     """Evaluation frame for raters. An existing sheet is never overwritten."""
     write_csv(df.select(EVALUATION.fieldNames()), path)

@@ -26,6 +26,25 @@ def test_plain_csv(spark, tmp_path):
     assert [tuple(r) for r in got] == [('two\nlines, "quoted"', "positive"), ("plain", "negative")]
 
 
+@pytest.mark.parametrize("size", [40, 97, 1 << 20])
+def test_one_file_read_in_splits(spark, tmp_path, size):
+    """Cuts fall inside of quotes, of multi-line records, and between records."""
+    rows = [(10 * k + i, None if text is None else text * (1 + k % 3), label) for k in range(40) for i, text, label in TRICKY]
+    rows += [(9000, '"\n\n"\n' * 60, "negative"), (9001, "\n" * 90 + "x", "positive"), (9002, '""', None)]
+    files.write_reviews(spark.createDataFrame(rows, REVIEWS).coalesce(1), str(tmp_path / "r"))
+    files.write_reviews(spark.createDataFrame(rows[:7], REVIEWS).coalesce(1), str(tmp_path / "r"), mode="append")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        parts = spark.read.option("lineSep", "\n").text(str(tmp_path / "r")).rdd.getNumPartitions()
+        got = files.read_reviews(spark, str(tmp_path / "r"), in_splits=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts > 20 or size > 1000
+    assert sorted(map(tuple, got), key=repr) == sorted([*rows, *rows[:7]], key=repr)
+
+
 @pytest.mark.parametrize("as_text", [True, False])
 def test_processed_corpus_round_trip(spark, f1, tmp_path, as_text):
     df = tokenise(f1)

@@ -80,3 +80,32 @@ def test_perplexity_joins_have_unique_keys(spark, sf):
     model = ngram.fit(df, (2,))
     for table, keys in ((model.counts, ["n", "context", "word"]), (model.totals, ["n", "context"])):
         assert table.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark, sf):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = q.s02_bucketed_corpus_join(spark, sf)
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert joined.count() == spark.read.parquet(f"{sf}/labels.parquet").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("name", ["v02_encoded_documents", "v07_decoded_documents", "l05_laplace_probability", "j07_weighted_draw"])
+def test_every_input_is_cleaned_once_for_what_it_feeds(spark, sf, monkeypatch, name):
+    """Of all plans that a query runs, tables written on the way included, one cleans texts for the model and one what is looked up."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def spied(self, path, *args, **kwargs):
+        plans.append(plan(self._df))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    plans.append(plan(q.QUERIES[name](spark, sf)))
+    cleaned = sum(text.count("<br") for text in plans)
+    assert cleaned <= 2 and all(text.count("<br") <= 1 for text in plans)

@@ -648,9 +648,12 @@ UNSMOOTHED = """
 BODIES = {
     # sources and sinks: files must give back what the tables hold
     "s01_review_csv_round_trip": "SELECT doc_id, review, sentiment FROM reviews",
+    "s01_review_csv_in_splits": "SELECT doc_id, review, sentiment FROM reviews",
     "s02_save_processed_corpus": """
         SELECT doc_id, review, sentiment, length(review)::INTEGER AS _char_len, len(words)::INTEGER AS _word_count,
                array_to_string(words, ' ') AS _words_str FROM words""",
+    "s02_bucketed_corpus_join": """
+        SELECT doc_id, quality, toxic, len(words)::BIGINT AS n FROM words JOIN labels USING (doc_id)""",
     "s03_load_processed_corpus": f"SELECT doc_id, len(words) AS n, {csv('words')} AS words FROM words",
     "s04_annotation_sheet": "SELECT doc_id, review, model_prediction, gold_label FROM rated",
     "s05_rated_annotation_source": "SELECT doc_id, human_rating, llm_judge FROM rated",

@@ -215,6 +215,14 @@ def s01_review_csv_round_trip(spark, sf):
     return files.read_reviews(spark, path)
 
 
+@query
+def s01_review_csv_in_splits(spark, sf):
+    """The same round trip, read line by line and put together by the parity of quotes."""
+    path = fresh_path(spark, "reviews-csv")
+    files.write_reviews(reviews(spark, sf), path)
+    return files.read_reviews(spark, path, in_splits=True)
+
+
 @query
 def s02_save_processed_corpus(spark, sf):
     path = fresh_path(spark, "processed")
@@ -222,6 +230,22 @@ def s02_save_processed_corpus(spark, sf):
     return spark.read.parquet(path)
 
 
+def _bucketed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Processed reviews and a gold label for each, in tables of equal buckets."""
+    df = words(spark, sf).select("doc_id", "review", "sentiment", "_char_len", "_word_count", "_words")
+    corpus = files.save_bucketed(df, fresh_path(spark, "bucketed-corpus"), 8)
+    gold = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    return corpus, files.save_bucketed(gold, fresh_path(spark, "bucketed-labels"), 8)
+
+
+@query
+def s02_bucketed_corpus_join(spark, sf):
+    """Words and labels of a document met in their buckets, then counted by document; no exchange."""
+    corpus, gold = _bucketed(spark, sf)
+    joined = corpus.join(gold, "doc_id").groupBy("doc_id", "quality", "toxic").agg(F.sum("_word_count").alias("n"))
+    return joined.select("doc_id", "quality", "toxic", "n")
+
+
 @query
 def s03_load_processed_corpus(spark, sf):
     path = fresh_path(spark, "processed")
@@ -672,9 +696,9 @@ def j07_weighted_draw(spark, sf):
     """One draw per review, from the successors of its first word."""
     df = words(spark, sf)
     model = ngram.fit(df, (2,))
-    states = df.filter("_word_count > 0").select(
-        F.col("doc_id").alias("sent_id"), F.lit(2).alias("n"), F.array(F.get("_words", F.lit(0))).alias("context")
-    )
+    # generated and then filtered: a condition on the words themselves would be evaluated below the projection once more
+    first = df.select("doc_id", F.explode_outer(F.slice("_words", 1, 1)).alias("first")).filter("first IS NOT NULL")
+    states = first.select(F.col("doc_id").alias("sent_id"), F.lit(2).alias("n"), F.array("first").alias("context"))
     return shown(ngram.draw(ngram.draw_table(model, 2), states, uniform("draw", F.col("sent_id")))).select("sent_id", "context", "word")
 
 
