@@ -27,11 +27,13 @@ def train(
     features: int = 1 << 18,
     iterations: int = 20,
     regularisation: float = 0.01,
+    tolerance: float = 1e-6,
 ) -> PipelineModel:
     """Two-class logistic regression on hashed, idf-weighted token counts.
 
     ``features`` bounds the model and what the executors send each iteration,
-    whatever the size of the vocabulary.
+    whatever the size of the vocabulary. The regularised loss has one optimum; enough
+    ``iterations`` and a small ``tolerance`` reach it.
     """
     require_columns(df, tokens_col, "sentiment")
     labelled = df.select(tokens_col, encode_label(F.col("sentiment")).cast("double").alias("label")).filter(
@@ -40,7 +42,7 @@ def train(
     stages = [
         HashingTF(inputCol=tokens_col, outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(maxIter=iterations, regParam=regularisation, aggregationDepth=3),
+        LogisticRegression(maxIter=iterations, regParam=regularisation, tol=tolerance, aggregationDepth=3),
     ]
     return Pipeline(stages=stages).fit(labelled)
 

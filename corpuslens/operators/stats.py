@@ -151,6 +151,20 @@ def vocabulary_size(table: DataFrame, classes: Sequence[str] = CLASSES) -> DataF
     return one.unpivot([], [*classes, OVERALL], "scope", "vocabulary_size")
 
 
+def approximate_vocabulary_size(
+    df: DataFrame, error: float = 0.02, classes: Sequence[str] = CLASSES, words_col: str = "_words"
+) -> DataFrame:
+    """``(scope, vocabulary_size)`` by sketches with the relative standard ``error``.
+
+    One pass without a shuffle of words: each task sends a sketch per scope, and these are merged.
+    """
+    require_columns(df, words_col, "sentiment", hint=NEEDS_WORDS)
+    rows = df.select("sentiment", F.explode_outer(words_col).alias("token")).filter("token IS NOT NULL")
+    sketches = [F.approx_count_distinct(F.when(F.col("sentiment") == c, F.col("token")), error).alias(c) for c in classes]
+    one = rows.agg(*sketches, F.approx_count_distinct("token", error).alias(OVERALL))
+    return one.unpivot([], [*classes, OVERALL], "scope", "vocabulary_size")
+
+
 def top_grams(scoped: DataFrame, k: int = 10, ties: str = "alphabetical") -> DataFrame:
     """The ``k`` most frequent grams of every ``(n, scope)``, with their rank.
 

@@ -230,6 +230,51 @@ def stem_parts() -> dict[str, str]:
     }
 
 
+def regression_parts(name: str, first: str, second: str) -> dict[str, str]:
+    """Newton's steps to the optimum of a regularised logistic regression on the idf-weighted counts of two words.
+
+    Features are divided by their deviation in training; the penalty is on the coefficients of these.
+    """
+    counts = f"""
+        SELECT w.doc_id, split, CASE sentiment WHEN 'positive' THEN 1 ELSE 0 END AS label,
+               len(list_filter(words, lambda x: x = {sql_text(first)}))::DOUBLE AS n1,
+               len(list_filter(words, lambda x: x = {sql_text(second)}))::DOUBLE AS n2
+        FROM words w JOIN splits USING (doc_id)"""
+    scale = f"""
+        SELECT ln((count(*) + 1.0::DOUBLE) / (count(*) FILTER (n1 > 0) + 1)) / stddev_samp(n1 * ln((m + 1.0::DOUBLE) / (d1 + 1))) AS s1,
+               ln((count(*) + 1.0::DOUBLE) / (count(*) FILTER (n2 > 0) + 1)) / stddev_samp(n2 * ln((m + 1.0::DOUBLE) / (d2 + 1))) AS s2
+        FROM {name}_counts, (SELECT count(*) AS m, count(*) FILTER (n1 > 0) AS d1, count(*) FILTER (n2 > 0) AS d2
+                             FROM {name}_counts WHERE split = 'train')
+        WHERE split = 'train'"""
+    features = f"SELECT doc_id, split, label, n1 * s1 AS z1, n2 * s2 AS z2 FROM {name}_counts, {name}_scale"
+    # Determinants of the three normal equations; d is the whole one.
+    steps = f"""
+        SELECT 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
+        UNION ALL
+        SELECT step + 1,
+               b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d,
+               b1 - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
+               b2 - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
+        FROM (
+            SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d
+            FROM (
+                SELECT step, b0, b1, b2, avg(p - label) AS g0, avg((p - label) * z1) + 0.01 * b1 AS g1, avg((p - label) * z2) + 0.01 * b2 AS g2,
+                       avg(v) AS h00, avg(v * z1) AS h01, avg(v * z2) AS h02, avg(v * z1 * z1) + 0.01 AS h11, avg(v * z1 * z2) AS h12,
+                       avg(v * z2 * z2) + 0.01 AS h22
+                FROM (SELECT *, p * (1 - p) AS v FROM (
+                    SELECT step, b0, b1, b2, label, z1, z2, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS p
+                    FROM {name}_steps, {name}_features WHERE split = 'train' AND step < 25))
+                GROUP BY step, b0, b1, b2))"""
+    scores = f"""
+        SELECT doc_id, split, label, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS score
+        FROM {name}_features, (SELECT * FROM {name}_steps WHERE step = 25)"""
+    parts = {"counts": counts, "scale": scale, "features": features, "steps": steps, "scores": scores}
+    return {f"{name}_{part}": body for part, body in parts.items()}
+
+
+REGRESSION_METRICS = "round(exp(avg(-ln(CASE label WHEN 1 THEN score ELSE 1 - score END))), 3) AS perplexity"
+
+
 def class_counts(source: str) -> dict[str, str]:
     """Multinomial class model of a token relation ``(doc_id, token)``, smoothed by one."""
     return {
@@ -486,6 +531,8 @@ PARTS = {
         SELECT doc_id, coalesce(flatten(list(s.ids ORDER BY pos) FILTER (s.ids IS NOT NULL)), []) AS ids
         FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN best_covers s USING (token) GROUP BY doc_id""",
     **merge_parts(),
+    **regression_parts("articles", "the", "of"),
+    **regression_parts("links", "and", "to"),
     # One merge a step: all pieces stand between two marks, so a merge is a replacement from the left.
     "merge_steps": f"""
         SELECT 0 AS step, token, chr(2) || array_to_string(string_split(token, ''), chr(3) || chr(2)) || chr(3) AS spelt, cnt,
@@ -510,6 +557,9 @@ PARTS = {
         UNION ALL SELECT piece, (SELECT count(*) FROM merge_characters) + 3 + row_number() OVER (ORDER BY step)
         FROM (SELECT a || b AS piece, min(step) AS step FROM learned_merges GROUP BY a || b)
         UNION ALL VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3)""",
+    "learned_lengths": """
+        SELECT doc_id, 2 + coalesce(sum(len(syms)), 0)::DOUBLE AS length
+        FROM words LEFT JOIN tokens USING (doc_id) LEFT JOIN learned_words USING (token) GROUP BY doc_id""",
     "learned_ids": """
         SELECT token, list(id ORDER BY place) AS ids
         FROM (SELECT token, unnest(syms) AS piece, generate_subscripts(syms, 1) AS place FROM learned_words) JOIN merge_vocabulary USING (piece)
@@ -556,7 +606,7 @@ PARTS = {
         SELECT batch_id, target, ln((SELECT sum(cnt + 1) FROM vocabulary)::DOUBLE) - ln((cnt + 1)::DOUBLE) AS loss
         FROM cells JOIN vocabulary ON target = id""",
 }
-RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown", "merge_steps", "lattice", "lattice_back"}
+RECURSIVE = {"walk", "forward", "backward", "grown", "sharp_grown", "started_grown", "merge_steps", "lattice", "lattice_back", "articles_steps", "links_steps"}
 
 # What each part reads directly.
 NEEDS = {
@@ -728,6 +778,12 @@ BODIES = {
         SELECT id::INTEGER AS id, round(sum(cnt * alphas[i] * exp(logp) * betas[i + k] / whole), 3) AS expected
         FROM flat_spans JOIN lattices USING (token) GROUP BY id
         UNION ALL SELECT -1, round(sum(cnt * ln(whole)), 3) FROM lattices""",
+    "t06_merge_coverage": """
+        SELECT 'learned_bpe' AS tokenizer, threshold, round(avg(CASE WHEN length <= threshold THEN 100.0::DOUBLE ELSE 0.0 END), 6) AS percent
+        FROM learned_lengths, (SELECT unnest([256, 320, 384, 448, 512])::INTEGER AS threshold) GROUP BY threshold""",
+    "t07_merge_distribution": """
+        SELECT 'learned_bpe' AS tokenizer, round(quantile_cont(length, 0.5), 6) AS median, round(quantile_cont(length, 0.95), 6) AS p95,
+               round(quantile_cont(length, 0.99), 6) AS p99 FROM learned_lengths""",
     "t05_learned_merges": "SELECT (step - 1)::INTEGER AS rank, a AS left_piece, b AS right_piece, n::BIGINT AS cnt FROM learned_merges",
     "t05_merge_vocabulary": "SELECT piece, id::INTEGER AS id FROM merge_vocabulary",
     "t03_merge_ids": """
@@ -787,6 +843,7 @@ BODIES = {
     "a06_word_frequency_by_role": """
         SELECT 'overall' AS scope, token, count(*) AS cnt FROM turn_tokens GROUP BY token
         UNION ALL SELECT sentiment, token, count(*) FROM turn_tokens GROUP BY sentiment, token""",
+    "a07_approximate_vocabulary_size": "SELECT scope, count(DISTINCT token) AS vocabulary_size, TRUE AS near FROM frequency GROUP BY scope",
     "a07_vocabulary_size": "SELECT scope, count(DISTINCT token) AS vocabulary_size FROM frequency GROUP BY scope",
     "a08_top_words": top("scope", "frequency", "cnt DESC, token", 10, "scope, rank::INTEGER AS rank, token, cnt"),
     "a08_top_words_first_seen": top(
@@ -883,6 +940,13 @@ BODIES = {
         SELECT sent_id, coalesce(array_to_string(words, ' '), '') AS sentence FROM sharp_grown WHERE done OR step = 15""",
     # classification
     "c01_train_count_classifier": f"SELECT split, {CLASS_METRICS} FROM {predicted('word_tokens')} GROUP BY split",
+    "c01_regression_optimum": f"SELECT split, {CLASS_METRICS}, {REGRESSION_METRICS} FROM {predicted('articles')} GROUP BY split",
+    "c02_regression_per_token_column": " UNION ALL ".join(
+        f"SELECT '{name}' AS tokenizer, split, {CLASS_METRICS}, {REGRESSION_METRICS} FROM {predicted(name)} GROUP BY split"
+        for name in ("articles", "links")
+    ),
+    "c03_regression_predict": f"SELECT doc_id, label::INTEGER AS label, prediction, round(score, 3) AS score FROM {predicted('articles')}",
+    "s07_regression_persistence": f"SELECT doc_id, label::INTEGER AS label, prediction, round(score, 3) AS score FROM {predicted('links')}",
     "c02_count_per_tokenisation": " UNION ALL ".join(
         f"SELECT '{name}' AS tokenizer, split, {CLASS_METRICS} FROM {predicted(source)} GROUP BY split"
         for name, source in (("word", "word_tokens"), ("word_punct", "punct_tokens"), ("wordpiece", "piece_tokens"), ("unigram", "unigram_tokens"))

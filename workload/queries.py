@@ -544,13 +544,30 @@ def t03_merge_ids(spark, sf):
     return encoded.select("doc_id", big("_word_count").alias("n"), joined("_input_ids").alias("ids"))
 
 
+def _merge_lengths(spark: SparkSession, sf: str, size: int) -> DataFrame:
+    df, counted, found = _learned(spark, sf, size)
+    table_ = materialise(merges.segment(counted, found), "merge-segments")
+    return subword.lengths(df, table_).select(F.lit("learned_bpe").alias("tokenizer"), "length")
+
+
+@query
+def t06_merge_coverage(spark, sf):
+    """Share of documents within each length under the first merges of the corpus."""
+    out = subword.length_coverage(_merge_lengths(spark, sf, 100))
+    return out.select("tokenizer", "threshold", r6("percent").alias("percent"))
+
+
+@query
+def t07_merge_distribution(spark, sf):
+    out = subword.length_distribution(_merge_lengths(spark, sf, 100))
+    return out.select("tokenizer", *[r6(c).alias(c) for c in ("median", "p95", "p99")])
+
+
 @query
 def t06_learned_bpe_coverage(spark, sf):
     """Share of documents within each length under 30,000 merges, or all that the corpus allows."""
-    df, counted, found = _learned(spark, sf, 30_000)
-    table_ = materialise(merges.segment(counted, found), "merge-segments")
-    lengths = subword.lengths(df, table_).select(F.lit("learned_bpe").alias("tokenizer"), "length")
-    return subword.length_coverage(lengths).select("tokenizer", "threshold", r6("percent").alias("percent"))
+    out = subword.length_coverage(_merge_lengths(spark, sf, 30_000))
+    return out.select("tokenizer", "threshold", r6("percent").alias("percent"))
 
 
 def _token_lengths(spark: SparkSession, sf: str) -> DataFrame:
@@ -756,6 +773,16 @@ def a07_vocabulary_size(spark, sf):
     return stats.vocabulary_size(stats.gram_table(words(spark, sf)))
 
 
+@query
+def a07_approximate_vocabulary_size(spark, sf):
+    """Whether sketches of the vocabulary come within five of their standard errors of the exact sizes."""
+    df = split_words(spark, sf)
+    sketched = stats.approximate_vocabulary_size(df, 0.01).withColumnRenamed("vocabulary_size", "sketched")
+    exact = stats.vocabulary_size(stats.gram_table(df))
+    near = F.abs(F.col("sketched") - F.col("vocabulary_size")) <= 0.05 * F.col("vocabulary_size")
+    return exact.join(sketched, "scope").select("scope", big("vocabulary_size").alias("vocabulary_size"), near.alias("near"))
+
+
 @query
 def a08_top_words(spark, sf):
     return stats.top_words(words(spark, sf))
@@ -1067,6 +1094,52 @@ def c03_batch_predict(spark, sf):
     return classify.predict(model, df).select("doc_id", "label", "prediction")
 
 
+# The optimum of a regression on two kinds of words is a point that SQL can find by itself.
+MARKERS = {"articles": ("the", "of"), "links": ("and", "to")}
+OPTIMUM = {"iterations": 200, "tolerance": 1e-12}
+
+
+def _marked(spark: SparkSession, sf: str) -> DataFrame:
+    """Split reviews with the marker words among their words, one column per set."""
+    df = split_words(spark, sf)
+    kept = [F.expr(f"filter(_words, w -> w IN {pair})").alias(name) for name, pair in MARKERS.items()]
+    return materialise(df.select("doc_id", "sentiment", "split", *kept), "marked")
+
+
+def _regression_scores(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", "label", "prediction", F.round(F.get("probabilities", F.lit(1)), 3).alias("score"))
+
+
+@query
+def c01_regression_optimum(spark, sf):
+    df = _marked(spark, sf)
+    out = metrics.evaluate(classify.predict(classify.train(in_split(df, "train"), "articles", **OPTIMUM), df), ["split"])
+    return out.select("split", "samples", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"), F.round("perplexity", 3).alias("perplexity"))
+
+
+@query
+def c02_regression_per_token_column(spark, sf):
+    df = _marked(spark, sf)
+    _, out = classify.compare_tokenisations(in_split(df, "train"), df, {name: name for name in MARKERS}, **OPTIMUM)
+    return out.select(
+        "tokenizer", "split", "samples", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"), F.round("perplexity", 3).alias("perplexity")
+    )
+
+
+@query
+def c03_regression_predict(spark, sf):
+    df = _marked(spark, sf)
+    return _regression_scores(classify.predict(classify.train(in_split(df, "train"), "articles", **OPTIMUM), df))
+
+
+@query
+def s07_regression_persistence(spark, sf):
+    df = _marked(spark, sf)
+    path = fresh_path(spark, "regression")
+    files.save_classifier(classify.train(in_split(df, "train"), "links", **OPTIMUM), path)
+    return _regression_scores(classify.predict(files.load_classifier(path), df))
+
+
 @query
 def c03_count_predict(spark, sf):
     df = split_words(spark, sf)
