@@ -109,3 +109,11 @@ def test_every_input_is_cleaned_once_for_what_it_feeds(spark, sf, monkeypatch, n
     plans.append(plan(q.QUERIES[name](spark, sf)))
     cleaned = sum(text.count("<br") for text in plans)
     assert cleaned <= 2 and all(text.count("<br") <= 1 for text in plans)
+
+
+def test_a_step_of_few_sentences_moves_no_draw_table(spark, sf):
+    model = ngram.fit(tokenise(reviews(spark, sf)), (2,))
+    table = ngram.draw_table(model, 2)
+    state = q.materialise(table.contexts.limit(50).withColumn("sent_id", F.monotonically_increasing_id()), "few-sentences")
+    text = plan(ngram._step(table, state, F.lit(0.5)))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "hashpartitioning" not in text
