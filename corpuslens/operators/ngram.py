@@ -258,10 +258,8 @@ def draw_table(model: NGramModel, n: int | Sequence[int], temperature: float = 1
         Window.unboundedPreceding, Window.currentRow
     )
     spread = salt_of("context", "word")
-    placed = lookup(
-        rows.withColumn("running", F.sum("weight").over(within)), offsets.drop("cnt"), ["n", "context", "sub"],
-        spread=spread, counts=offsets.select("n", "context", "sub", "cnt"),
-    )
+    # sub-buckets are small by design: a plain join, whose partitioning also serves the running sums
+    placed = rows.join(offsets.drop("cnt"), ["n", "context", "sub"]).withColumn("running", F.sum("weight").over(within))
     following = F.slice(F.concat("context", F.array("word")), F.lit(2), F.col("n") - 1)
     led_to = counted.groupBy("n", following.alias("next_context")).agg(F.count(F.lit(1)).alias("cnt"))
     placed = placed.select(
