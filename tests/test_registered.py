@@ -11,6 +11,8 @@ SOME = [
     "m02_ratio_split", "m03_selected_test", "j07_weighted_draw", "a02_mean_text_length", "a06_word_frequency_all_documents",
     "a08_top_words_first_seen", "a09_top_ngrams", "a12_significant_words", "a14_term_scatter", "a15_corpus_report",
     "l05_laplace_probability", "l07_perplexity_laplace", "v01_vocabulary", "v06_padded_batches", "v09_padded_batch_perplexity",
+    "s01_review_csv_in_splits", "s02_bucketed_corpus_join", "p07_lemmatise_by_rules", "t03_merge_ids", "t04_unigram_expectation",
+    "t05_learned_merges", "t07_merge_distribution", "c01_regression_optimum", "s07_regression_persistence",
     "e05_metrics_per_split", "g02_pairwise_agreement", "k04_resolved_responses", "u02_custom_collate",
 ]
 
