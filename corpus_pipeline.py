@@ -3,6 +3,12 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept;
 all but the last return the columns of ``documents``. The last adds ``ids`` (packed
 little-endian 32-bit), ``n_tokens`` and ``round_trip``, whether the ids decode to the text.
+
+Defined cases: a null or empty text has no words and goes with the first stage; repeated rows
+are exact copies, of which the second stage keeps one; very long texts are read whole; an empty
+table stays empty through all stages; further columns come along unchanged, and one that has
+the name of a column that the last stage adds comes along as ``given_`` and its name. The tables
+that stages write on the way are deleted once the next stage's table is there.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.llm import bpe, decontamination, jaccard, pii, quality
 from corpuslens.llm.settings import small_batches
-from corpuslens.session import ensure_folder, materialise, ship_code
+from corpuslens.session import ensure_folder, materialise, release, ship_code, written
 from corpuslens.sources.tables import table
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -56,7 +62,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, decoded again to see that nothing is lost."""
     _ready(spark)
-    coded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    docs = docs.withColumnsRenamed({c: f"given_{c}" for c in ("ids", "decoded", "n_tokens", "round_trip") if c in docs.columns})
+    coded = bpe.round_trip(docs, TOKENIZER)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.withColumn("n_tokens", bpe.n_ids()).withColumn("round_trip", same).drop("decoded")
 
@@ -76,7 +83,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, begun = table(spark, sf_dir, "documents"), written(spark)
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, begun, keep=f"stage-{name}-")
     return docs

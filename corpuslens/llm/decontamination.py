@@ -17,7 +17,6 @@ rows each; further columns are left as they are.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,6 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.settings import frugal
+
+
 RATE = 0.08
 BLOCK_BYTES = 4 << 20
 
@@ -148,41 +150,26 @@ def blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]
         yield [(r.item_id, r.text) for r in dealt.filter(F.col("block") == i).collect()]
 
 
-_ready: dict[str, Block] = {}
-
-
-def _shared(docs: DataFrame, items: list[tuple[int, str]], rate: float):
-    """A function for tasks that gives the block, built once per worker."""
-    name, held = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(items)
-
-    def block() -> Block:
-        if name not in _ready:
-            _ready.clear()
-            _ready[name] = Block(held.value, rate)
-        return _ready[name]
-
-    return block
-
-
 def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each document and item it holds, with the best place."""
     names = [x.split()[0] for x in MATCHES.split(", ")]
     out = None
     for own in blocks(items, block_bytes):
-        block = _shared(docs, own, rate)
+        held = docs.sparkSession.sparkContext.broadcast(own)
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            block = Block(held.value, rate)
             for batch in batches:
                 rows = [
                     (doc_id, *m)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for m in block().matches(text.as_py())
+                    for m in block.matches(text.as_py())
                 ]
                 columns = list(zip(*rows)) or [()] * len(names)
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-        found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, MATCHES)
+        found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), MATCHES)
         out = found if out is None else out.union(found)
     return out
 
@@ -191,12 +178,13 @@ def remove(docs: DataFrame, items: DataFrame, rate: float = RATE, block_bytes: i
     """``docs`` without those that hold an item."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     for own in blocks(items, block_bytes):
-        block = _shared(docs, own, rate)
+        held = docs.sparkSession.sparkContext.broadcast(own)
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            block = Block(held.value, rate)
             for batch in batches:
-                clean = [next(block().matches(t.as_py()), None) is None for t in batch.column("text")]
+                clean = [next(block.matches(t.as_py()), None) is None for t in batch.column("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = docs.mapInArrow(frugal(run), schema)
     return docs

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm.components import components, composed, shortened
+from corpuslens.llm.settings import frugal
 from corpuslens.llm.words import PLACES, hash_words, mix, slices, utf8, windows
 from corpuslens.session import materialise
 
@@ -121,7 +122,7 @@ def _facts(texts: DataFrame, seed: int) -> DataFrame:
         if size:
             yield frequent(held)
 
-    return texts.mapInArrow(run, FACTS)
+    return texts.mapInArrow(frugal(run), FACTS)
 
 
 def _common(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +189,7 @@ def _postings(texts: DataFrame, common: Broadcast, seed: int) -> DataFrame:
                 names=["tile", "key", "n"],
             )
 
-    return texts.mapInArrow(run, "tile long, key long, n int")
+    return texts.mapInArrow(frugal(run), "tile long, key long, n int")
 
 
 def _tiles(postings: DataFrame) -> DataFrame:
@@ -242,7 +243,7 @@ def _tiles(postings: DataFrame) -> DataFrame:
             yield cut(len(tile), last=True)
 
     dealt = postings.repartition("tile").sortWithinPartitions("tile", "key")
-    return dealt.mapInArrow(run, "tile long, key long, n int, lead long, lead_n int")
+    return dealt.mapInArrow(frugal(run), "tile long, key long, n int, lead long, lead_n int")
 
 
 def _compatible(a: str, b: str) -> Column:
@@ -306,7 +307,7 @@ def _members(texts: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
                 names=["key", "bitmap", "shingles"],
             )
 
-    made = texts.mapInArrow(run, "key long, bitmap binary, shingles binary")
+    made = texts.mapInArrow(frugal(run), "key long, bitmap binary, shingles binary")
     return materialise(made.join(keys.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
 
 
@@ -349,7 +350,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(one, "a").join(two, "b")
-    return joined.select("a", "b", "bits_a", "bits_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "bits_a", "bits_b", "set_a", "set_b").mapInArrow(frugal(run), "a long, b long")
 
 
 def _rooted(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -444,7 +445,7 @@ def _probed(probes: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFrame:
 
     names = ["target", "block", "kind", "key", "bitmap", "shingles"]
     ordered = rows.sortWithinPartitions("target", "block", "kind").select(*names)
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(frugal(run), "a long, b long")
 
 
 def _first_links(texts: DataFrame, tiles: DataFrame, seed: int) -> DataFrame:

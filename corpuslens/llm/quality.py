@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.settings import frugal
 from corpuslens.llm.words import hash_words, rows_of, slices, utf8, windows
 from corpuslens.session import materialise
 
@@ -128,7 +129,7 @@ def measure(docs: DataFrame, *carry: str) -> DataFrame:
                     [*(batch.column(c) for c in kept), *made.values()], names=[*kept, *made]
                 )
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(frugal(run), schema)
 
 
 def base_failed() -> Column:
@@ -208,7 +209,7 @@ def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
             for batch in slices(whole, "text"):
                 yield _cleaned(batch, columns)
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(frugal(run), schema)
 
 
 def _cleaned(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:

@@ -78,7 +78,7 @@ def op7_cross_document_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(documents(spark, sf).select("doc_id", "text"), path).drop("text"), path)
+    coded = bpe.round_trip(documents(spark, sf).select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         bpe.n_ids().alias("n_tokens"),

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -37,6 +38,7 @@ def test_same_ids_and_text_as_the_library(spark, library):
     texts = odd_texts()
     df = spark.createDataFrame([(i, t, "n", "z") for i, t in enumerate(texts)], "k LONG, text STRING, n STRING, decoded STRING")
     out = bpe.decode(bpe.encode(df, PATH), PATH).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, bpe.round_trip(df, PATH).select(*out[0].__fields__).collect()), key=repr)
     assert len(out) == len(texts) and out[0].asDict().keys() == {"k", "text", "n", "ids", "decoded"}
     for r in out:
         ids, text = expected(library, texts[r.k])
@@ -77,8 +79,26 @@ def test_merges_against_a_plain_search():
         assert bpe.merge_piece(word, merges) == plain(word)
 
 
-def test_cache_generations(library):
-    encoder = bpe.Encoder(bpe.Vocabulary.read(PATH), most=5)
-    words = [f" word{i % 9}" for i in range(60)] + ["<|endoftext|>"]
-    for w in words:
-        assert np.frombuffer(encoder.piece(w), "<u4").tolist() == library.encode(w, add_special_tokens=False).ids
+def test_trees_side_by_side_give_what_one_tree_gives():
+    """Also with few cells at a time, ties in the merges of a piece, and pieces at the limit of the lanes."""
+    vocabulary = bpe.Vocabulary.read(PATH)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abehinorst é日 .", k=rng.choice([1, 2, 3, 4, 5, 7, 8, 9, 16, 17, 31, 33]))) for _ in range(2000)]
+    words += ["a" * n for n in range(1, 70)] + ["é" * 32, "é" * 33, "<|endoftext|>", "aa" * 500]
+    flat, counts = bpe.encode_pieces(pa.array(words), vocabulary)
+    ends = np.cumsum(counts)
+    for word, lo, hi in zip(words, ends - counts, ends):
+        want = [vocabulary.added[word]] if word in vocabulary.added else bpe.merge_piece(
+            [vocabulary.of_byte[b] for b in word.encode()], vocabulary.merges
+        )
+        assert flat[lo:hi].tolist() == want, word
+
+
+def test_batches_cut_into_parts(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TOKENS_AT_ONCE", 7)
+    monkeypatch.setattr(bpe, "LANE_CELLS", 64)
+    rows = [[f" word{i % 9}" for i in range(n)] for n in (0, 3, 20, 1, 0, 8)] + [["<|endoftext|>"]]
+    vocabulary = bpe.Vocabulary.read(PATH)
+    got = list(bpe.encode_rows(pa.array(rows, pa.list_(pa.string())), vocabulary))
+    for row, ids in zip(rows, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == [i for w in row for i in library.encode(w, add_special_tokens=False).ids]

@@ -73,3 +73,27 @@ def test_empty_table(spark, sf):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.materialise(stage(spark, docs, sf), name)
         assert docs.count() == 0
+
+
+def test_nulls_long_texts_repeated_rows_and_clashing_columns(spark, sf):
+    words = " ".join(f"wort{i}" for i in range(60))
+    long_text = " ".join(f"w{i}x{i % 97}" for i in range(60_000))
+    rows = [
+        (1, None, "a"), (2, "", "a"), (3, words, "a"), (3, words, "a"), (4, words + " tail", None), (None, words.replace("wort", "mot"), "b"),
+        (5, long_text, "b"), (6, "too short", "b"),
+    ]
+    given = [(*r[:2], "en", r[2], None, i, "kept", "x", 7, "y") for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(
+        given,
+        "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, ids INT, decoded STRING, n_tokens STRING, round_trip INT, word STRING",
+    )
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialise(stage(spark, docs, sf), name)
+        assert docs.columns == names, name
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert {r.doc_id for r in out} in ({3, None, 5}, {4, None, 5}) and len(out) == 3
+    for r in out:
+        assert r.round_trip is True and r.n_tokens == len(r.ids) // 4 > 0
+        assert r.given_decoded == "kept" and r.given_ids in range(8) and r.given_round_trip == 7 and r.word == "y"
+    assert next(r for r in out if r.doc_id == 5).text == long_text
