@@ -109,3 +109,53 @@ def test_no_words(spark):
     assert m.learn_merges(empty, 5) == []
     one = spark.createDataFrame([("a", 3), ("", 1)], "token STRING, cnt LONG")
     assert m.learn_merges(one, 5) == []
+
+
+def _cut(pieces, known):
+    out, begin = [], 0
+    for k in range(1, len(pieces) + 1):
+        if k == len(pieces) or (pieces[k - 1], pieces[k]) not in known:
+            out, begin = [*out, pieces[begin:k]], k
+    return [p for p in out if len(p) > 1]
+
+
+def test_rounds_over_segments_without_spark():
+    """Segments know nothing of what merges create across a cut; what they decide is still exact."""
+    longest = 0
+    for seed in range(150):
+        words = corpus(seed, 120, "abc" if seed % 2 else "abcdefgh")
+        want, _ = plain(words, 80)
+        state, got = {w: (list(w), n) for w, n in words.items()}, []
+        rng = random.Random(seed)
+        while len(got) < 80:
+            counts = Counter()
+            for pieces, n in state.values():
+                for pair in zip(pieces, pieces[1:]):
+                    counts[pair] += n
+            if not counts:
+                break
+            ranked = sorted((-n, *pair) for pair, n in counts.items())
+            fetch = rng.randint(1, 40)
+            known, sums = {pair[1:] for pair in ranked[:fetch]}, Counter()
+            for pieces, n in state.values():
+                for part in _cut(pieces, known):
+                    sums[tuple(part)] += n
+            limit = ranked[fetch] if fetch < len(ranked) else None
+            found = m._of_segments(m.Fetched(list(sums.items())), known, limit, {a + b for a, b, _ in got}, 80 - len(got))
+            assert found
+            longest = max(longest, len(found))
+            got += found
+            for left, right, _ in found:
+                state = {w: (m._merged(p, left, right), n) for w, (p, n) in state.items()}
+        assert got == want, seed
+    assert longest > 5
+
+
+def test_pairs_in_too_many_words_take_few_rounds(spark, monkeypatch):
+    """The best pairs stand in more words than may be fetched; segments decide many merges a round."""
+    words = corpus(8, 400, "abcdefgh")
+    rounds, plainly = [], m.materialise
+    monkeypatch.setattr(m, "materialise", lambda df, name: rounds.append(name) or plainly(df, name))
+    got = m.learn_merges(frame(spark, words), 40, words_at_once=200)
+    assert got == plain(words, 40)[0]
+    assert len(rounds) <= 12
