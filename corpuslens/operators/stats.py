@@ -1,7 +1,8 @@
 """Corpus statistics as tables.
 
 All word and n-gram statistics roll up from one table with a row per gram and a
-count column per class, so the corpus is exploded and shuffled once. Counts are
+count column per class, so the corpus is exploded and shuffled once. The most frequent
+n-grams need few rows of it: ``frequent_grams`` finds and counts these. Counts are
 combined before the shuffle; a gram that makes up a third of the corpus sends one
 row per task.
 """
@@ -16,7 +17,11 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import text, wordlists
 from corpuslens.schema import CLASSES, OVERALL, require_columns
+from corpuslens.session import materialise
 
+GRAM_BUCKETS = 1 << 20  # of a size of grams
+FULLEST_BUCKETS = 2_000  # of a size and scope, whose grams are counted first
+MOST_BUCKETS = 1 << 17  # that are worth a selection of grams
 NEEDS_WORDS = "Corpus statistics need word tokens: run operators.corpus.tokenise first."
 
 
@@ -70,21 +75,10 @@ def length_stats(df: DataFrame) -> DataFrame:
 # ---- words and n-grams ---------------------------------------------------------
 
 
-def gram_table(
-    df: DataFrame,
-    sizes: Sequence[int] = (1,),
-    classes: Sequence[str] = CLASSES,
-    *,
-    first_seen: bool = False,
-    words_col: str = "_words",
-) -> DataFrame:
-    """``(n, gram, <count per class>, overall)``; a NULL class counts in ``overall`` only.
-
-    ``first_seen`` adds ``first_<scope>``, the corpus position of the first occurrence.
-    """
+def _grams(df: DataFrame, sizes: Sequence[int], keep: Sequence[str], words_col: str) -> DataFrame:
+    """``(*keep, pos, n, gram)``, one row per occurrence."""
     require_columns(df, words_col, hint=NEEDS_WORDS)
     longest = max(sizes)
-    keep = ["sentiment", *(["doc_id"] if first_seen else [])]
     # Word i next to words i+1, i+2, ...: one zip and one explode serve every size,
     # without a lambda per position.
     whole = df.select(*keep, text.drop_nulls(F.col(words_col)).alias("s0"))
@@ -108,17 +102,81 @@ def gram_table(
     else:
         entries = F.array(*[F.struct(F.lit(n).alias("n"), gram(n).alias("gram")) for n in sizes])
         rows = rows.select(*keep, "pos", F.inline(entries))
-    rows = rows.filter("gram IS NOT NULL")
+    return rows.filter("gram IS NOT NULL")
+
+
+def _counts(classes: Sequence[str]) -> list[Column]:
+    return [*[F.count_if(F.col("sentiment") == c).alias(c) for c in classes], F.count(F.lit(1)).alias(OVERALL)]
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("gram"), F.lit(GRAM_BUCKETS)).cast("int")
+
+
+def gram_table(
+    df: DataFrame,
+    sizes: Sequence[int] = (1,),
+    classes: Sequence[str] = CLASSES,
+    *,
+    first_seen: bool = False,
+    words_col: str = "_words",
+    buckets: DataFrame | None = None,
+) -> DataFrame:
+    """``(n, gram, <count per class>, overall)``; a NULL class counts in ``overall`` only.
+
+    ``first_seen`` adds ``first_<scope>``, the corpus position of the first occurrence. ``buckets(n, bucket)``, a
+    bounded table, keeps the grams of these hash buckets only.
+    """
+    rows = _grams(df, sizes, ["sentiment", *(["doc_id"] if first_seen else [])], words_col)
+    if buckets is not None:
+        rows = rows.withColumn("bucket", _bucket()).join(F.broadcast(buckets), ["n", "bucket"], "left_semi")
+    columns = _counts(classes)
     if first_seen:
         rows = rows.withColumn("at", at_position("doc_id", "pos"))
-    columns = [F.count_if(F.col("sentiment") == c).alias(c) for c in classes]
-    columns.append(F.count(F.lit(1)).alias(OVERALL))
-    if first_seen:
         columns += [F.min(F.when(F.col("sentiment") == c, F.col("at"))).alias(f"first_{c}") for c in classes]
         columns.append(F.min("at").alias(f"first_{OVERALL}"))
     return rows.groupBy("n", "gram").agg(*columns)
 
 
+def frequent_grams(
+    df: DataFrame,
+    sizes: Sequence[int],
+    k: int = 10,
+    classes: Sequence[str] = CLASSES,
+    *,
+    first_seen: bool = False,
+    words_col: str = "_words",
+) -> DataFrame:
+    """The rows of ``gram_table`` that can be among the ``k`` most frequent of a size and scope, and some others.
+
+    All occurrences are counted by hash bucket first, so what is shuffled does not grow with the
+    number of different grams. The grams of the fullest buckets are then counted exactly; the ``k``-th
+    count of these is no larger than that of the corpus, and a gram is no more frequent than its
+    bucket. So every gram of a bucket that reaches that count is counted, ties included, and the
+    rest cannot matter. If too many buckets reach it, all grams are counted. ``df`` is read up to three times.
+    """
+    occurrences = _grams(df, sizes, ["sentiment"], words_col).withColumn("bucket", _bucket())
+    filled = materialise(occurrences.groupBy("n", "bucket").agg(*_counts(classes)), "gram-buckets")
+    entries = F.explode(F.array(*[F.struct(F.lit(s).alias("scope"), F.col(s).alias("cnt")) for s in (*classes, OVERALL)]))
+    scoped = filled.select("n", "bucket", entries.alias("s")).select("n", "bucket", "s.*").filter("cnt > 0")
+    fullest = Window.partitionBy("n", "scope").orderBy(F.desc("cnt"), "bucket")
+    first = scoped.withColumn("place", F.row_number().over(fullest)).filter(F.col("place") <= FULLEST_BUCKETS)
+    chosen = materialise(first.select("n", "bucket").distinct(), "gram-buckets-chosen")
+    counted = gram_table(df, sizes, classes, first_seen=first_seen, words_col=words_col, buckets=chosen)
+    counted = materialise(counted, "gram-counts")
+    kth = top_grams(by_scope(counted, classes), k, "first_seen" if first_seen else "alphabetical")
+    least = {(r.n, r.scope): r.cnt for r in kth.filter(F.col("rank") == k).collect()}  # a row per size and scope
+    reaches = [
+        (F.col("n") == n) & (F.col(s) >= max(least.get((n, s), 1), 1)) for n in sizes for s in (*classes, OVERALL)
+    ]
+    needed = filled.filter(reduce(Column.__or__, reaches)).select("n", "bucket")
+    missing = needed.join(chosen, ["n", "bucket"], "left_anti").limit(MOST_BUCKETS + 1).count()
+    if not missing:
+        return counted
+    few = materialise(needed, "gram-buckets-needed") if missing <= MOST_BUCKETS else None
+    return gram_table(df, sizes, classes, first_seen=first_seen, words_col=words_col, buckets=few)
+
+
 def shown(gram: str) -> Column:
     """A gram as text, for display only: grams of different tokens may read alike."""
     return F.array_join(gram, " ")
@@ -196,9 +254,11 @@ def top_ngrams(
     classes: Sequence[str] = CLASSES,
     ties: str = "alphabetical",
 ) -> DataFrame:
-    """``(n, scope, rank, gram, cnt)`` for all sizes in one pass."""
-    scoped = by_scope(gram_table(df, sizes, classes, first_seen=ties == "first_seen"), classes)
-    return top_grams(scoped, k, ties)
+    """``(n, scope, rank, gram, cnt)`` for all sizes; the words are written once and read from there."""
+    require_columns(df, "_words", hint=NEEDS_WORDS)
+    first_seen = ties == "first_seen"
+    kept = materialise(df.select(*(["doc_id"] if first_seen else []), "sentiment", "_words"), "gram-words")
+    return top_grams(by_scope(frequent_grams(kept, sizes, k, classes, first_seen=first_seen), classes), k, ties)
 
 
 # ---- terms by class ------------------------------------------------------------

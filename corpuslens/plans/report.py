@@ -17,11 +17,12 @@ def corpus_report(tokens: DataFrame, k: int = 10, alpha: float = 0.01) -> DataFr
     """``(stat, scope, key, value)`` for class balance, lengths, vocabulary, top words,
     top n-grams and the most significant words.
 
-    The text is read twice: once for the lengths, once for the grams of all sizes,
-    whose table is written once and feeds everything else.
+    The tokens are written once and read from there. The table of words is written too and feeds
+    everything on words; of longer grams only those that can be among the top ones are counted by gram.
     """
-    grams = materialise(stats.gram_table(tokens, (1, *SIZES)), "report-grams")
-    words = grams.filter("n = 1")
+    tokens = materialise(tokens.select("sentiment", "_words", "_word_count", "_char_len"), "report-tokens")
+    words = materialise(stats.gram_table(tokens, (1,)), "report-words")
+    grams = words.unionByName(stats.frequent_grams(tokens, SIZES, k))
     no_key = F.lit(None).cast("string").alias("key")
     top = stats.top_grams(stats.by_scope(grams), k)
     name = F.when(F.col("n") == 1, "most_frequent_words").otherwise(
