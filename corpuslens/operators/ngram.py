@@ -21,33 +21,54 @@ from corpuslens.schema import BOS, EOS, require_columns
 from corpuslens.session import materialise
 
 
-def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
-    """``(*keep, n, context, word)``, one row per predicted word.
-
-    A document is padded with start marks and one end mark, so it has ``len + 1``
-    events per size, also when it is empty. The predicted word is zipped with the
-    words before it once, up to the largest size; contexts are cut from that row.
-    """
+def _windows(df: DataFrame, sizes: Sequence[int], keep: Sequence[str], words_col: str) -> DataFrame:
+    """``(*keep, e)``: per document the array of predicted words ``b0`` with those before them, ``b1, b2, ...``."""
     require_columns(df, words_col)
     back = max(sizes) - 1
     padded = F.concat(F.array_repeat(F.lit(BOS), back), F.col("_w"), F.array(F.lit(EOS)))
     # b0 is the predicted word, b1 the one before it, and so on
     shifts = [F.slice("_p", back - j + 1, F.size("_p") - back).alias(f"b{j}") for j in range(back + 1)]
-    rows = (
+    return (
         df.select(*keep, text.drop_nulls(F.col(words_col)).alias("_w"))
         .select(*keep, padded.alias("_p"))
         .select(*keep, *shifts)
-        # never empty: outer only avoids a second evaluation in an inferred filter
-        .select(*keep, F.explode_outer(F.arrays_zip(*[f"b{j}" for j in range(back + 1)])).alias("e"))
+        .select(*keep, F.arrays_zip(*[f"b{j}" for j in range(back + 1)]).alias("e"))
     )
 
-    def entry(n: int) -> list[Column]:
-        context = F.array(*[F.col(f"e.b{j}") for j in range(n - 1, 0, -1)]).cast("array<string>")
-        return [F.lit(n).alias("n"), context.alias("context"), F.col("e.b0").alias("word")]
 
+def _event(e: Column, n: int) -> list[Column]:
+    context = F.array(*[e[f"b{j}"] for j in range(n - 1, 0, -1)]).cast("array<string>")
+    return [context.alias("context"), e["b0"].alias("word")]
+
+
+def events(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
+    """``(*keep, n, context, word)``, one row per predicted word.
+
+    A document is padded with start marks and one end mark, so it has ``len + 1``
+    events per size, also when it is empty. The predicted word is zipped with the
+    words before it once, up to the largest size; contexts are cut from that row.
+    """
+    # never empty: outer only avoids a second evaluation in an inferred filter
+    rows = _windows(df, sizes, keep, words_col).select(*keep, F.explode_outer("e").alias("e"))
+    entries = {n: [F.lit(n).alias("n"), *_event(F.col("e"), n)] for n in sizes}
     if len(sizes) == 1:
-        return rows.select(*keep, *entry(sizes[0]))
-    return rows.select(*keep, F.inline(F.array(*[F.struct(*entry(n)) for n in sizes])))
+        return rows.select(*keep, *entries[sizes[0]])
+    return rows.select(*keep, F.inline(F.array(*[F.struct(*entries[n]) for n in sizes])))
+
+
+def event_arrays(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str = "_words") -> DataFrame:
+    """``(*keep, n, events)``: the ``events`` of a row of ``df`` as one array of ``(context, word)`` per size.
+
+    For what is worked out per document: nothing is exploded, sorted or shuffled.
+    """
+    rows = _windows(df, sizes, keep, words_col)
+    nothing = F.array(F.lit(None).cast(rows.schema["e"].dataType.elementType))  # as events has it where there is no array of words
+    rows = rows.select(*keep, F.coalesce("e", nothing).alias("e"))
+
+    def of_size(n: int) -> Column:
+        return F.struct(F.lit(n).alias("n"), F.transform("e", lambda e: F.struct(*_event(e, n))).alias("events"))
+
+    return rows.select(*keep, F.inline(F.array(*[of_size(n) for n in sizes])))
 
 
 def event_counts(df: DataFrame, sizes: Sequence[int], words_col: str = "_words") -> DataFrame:
