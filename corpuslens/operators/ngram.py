@@ -138,32 +138,40 @@ def probabilities(model: NGramModel, wanted: DataFrame) -> DataFrame:
     return found.withColumn("p", F.coalesce(F.try_divide(F.col("cnt").cast("double"), F.col("total")), F.lit(0.0)))
 
 
-def perplexity(model: NGramModel, df: DataFrame, words_col: str = "_words") -> DataFrame:
-    """``(n, events, perplexity)`` of ``df``.
+def perplexity(model: NGramModel, df: DataFrame, words_col: str = "_words", *, scored: DataFrame | None = None) -> DataFrame:
+    """``(n, events, perplexity)`` of ``df``; ``scored`` may pass in its event counts, where they are already there.
 
     The log probability of an event splits into a word part and a context part,
-    ``ln(cnt + 1) - ln(total + v)``. So the scored events, counted once, meet the
-    counts by event and the totals by context; in both joins the keys are unique on
-    either side, and a context that dominates the corpus is one row. What finds no
-    partner adds ``ln(1)`` and ``ln(v)``, so inner joins are enough.
+    ``ln(cnt + 1) - ln(total + v)``. The counted events of model and text are put together
+    and dealt once, by context: there they add up by event, which gives the word part, and
+    then by context, whose total is the sum of its counts. Nothing is sorted or joined, and
+    as both sides are counted, a task holds a context's different words at most once each.
+    What has no partner adds ``ln(1)`` and ``ln(v)``.
     """
     plus = 1 if model.laplace else 0
-    # written once: three reads follow, and its size then decides between broadcast and shuffle
-    scored = materialise(event_counts(df, model.sizes, words_col).withColumnRenamed("cnt", "w"), "scored-events")
-    contexts = scored.groupBy("n", "context").agg(F.sum("w").alias("w"))
-    by_word = scored.join(model.counts, ["n", "context", "word"]).groupBy("n").agg(
-        F.sum("w").alias("seen"), F.sum(F.col("w") * F.ln(F.col("cnt") + plus)).alias("word_part")
+    asked = event_counts(df, model.sizes, words_col) if scored is None else scored
+    none = F.lit(0).cast("bigint")
+    both = model.counts.select("n", "context", "word", "cnt", none.alias("w")).unionByName(
+        asked.select("n", "context", "word", none.alias("cnt"), F.col("cnt").alias("w"))
     )
-    met = contexts.join(model.totals, ["n", "context"]).withColumn("_v", _v(model) if model.laplace else F.lit(0))
-    by_context = met.groupBy("n").agg(
-        F.sum("w").alias("met"), F.sum(F.col("w") * F.ln(F.col("total") + F.col("_v"))).alias("context_part")
+    each = both.repartition("n", "context").groupBy("n", "context", "word").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
+    hit = (F.col("cnt") > 0) & (F.col("w") > 0) & F.col("word").isNotNull()
+    per_context = each.groupBy("n", "context").agg(
+        F.sum("w").alias("w"), F.sum("cnt").alias("total"),
+        F.sum(F.when(hit, F.col("w"))).alias("seen"),
+        F.sum(F.when(hit, F.col("w") * F.ln(F.col("cnt") + plus))).alias("word_part"),
+    )
+    known = (F.col("total") > 0) & (F.col("w") > 0)
+    met = per_context.withColumn("_v", _v(model) if model.laplace else F.lit(0))
+    everything = met.groupBy("n").agg(
+        F.sum("w").alias("events"), F.sum("seen").alias("seen"), F.sum("word_part").alias("word_part"),
+        F.sum(F.when(known, F.col("w"))).alias("met"),
+        F.sum(F.when(known, F.col("w") * F.ln(F.col("total") + F.col("_v")))).alias("context_part"),
     )
-    everything = scored.groupBy("n").agg(F.sum("w").alias("events"))
     # one row per size also for an empty corpus, which reports infinity
     parts = df.sparkSession.createDataFrame([(n,) for n in model.sizes], "n INT")
-    for part in (everything, by_word, by_context):
-        parts = parts.unionByName(part, allowMissingColumns=True)
     columns = ("events", "seen", "word_part", "met", "context_part")
+    parts = parts.unionByName(everything, allowMissingColumns=True)
     summed = parts.groupBy("n").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
     if model.laplace:
         unmet = (F.col("events") - F.col("met")) * F.ln("_v")

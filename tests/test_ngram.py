@@ -191,3 +191,27 @@ def test_low_temperature_draws_follow_the_distribution(spark, docs):
     q = {r.word: r.q for r in ngram.sharpened(model, 0.1).filter("context = array('<s>')").collect()}
     total = sum(entries.values())
     assert entries.get("b", 0) / total == pytest.approx(q["b"], abs=2**-52)
+
+
+@pytest.mark.parametrize("laplace", [True, False])
+def test_perplexity_of_counted_events(docs, laplace):
+    df = docs([["a", "b", "a"], ["a", "c"], []])
+    model = ngram.fit(df, (2, 3), laplace=laplace)
+    given = {r.n: (r.events, r.perplexity) for r in ngram.perplexity(model, df, scored=model.counts).collect()}
+    assert given == {n: (events, pytest.approx(value)) for n, (events, value) in ppl(model, df).items()}
+
+
+def test_perplexity_without_word_arrays(spark, docs):
+    """A NULL array is one event without a word, which no model gives a probability."""
+    df = docs([["a"], ["b"]]).unionByName(spark.createDataFrame([(9, None, "positive")], "doc_id LONG, _words ARRAY<STRING>, sentiment STRING"))
+    got = ppl(ngram.fit(df, (2,), laplace=False), df)
+    assert got[2] == (5, math.inf)
+
+
+def test_perplexity_meets_the_counts_in_one_exchange_without_sorts(docs):
+    df = docs([["a", "b"]])
+    model = ngram.fit(df, (2, 3), laplace=False)
+    text = ngram.perplexity(model, df, scored=model.counts)._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan =="):]
+    assert "Join" not in physical and "Sort" not in physical
+    assert len([line for line in physical.splitlines() if "hashpartitioning(" in line and "context#" in line]) == 1
