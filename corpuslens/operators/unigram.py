@@ -26,6 +26,8 @@ from corpuslens.session import materialise
 
 LIKELIHOOD = -1  # id of the row that holds the log likelihood of all words
 LEAST = 1e-9  # share of a single character that training did not need
+FAINT = 1e-100  # words less probable than this are added up in logarithms
+TASKS_A_CORE = 2
 
 
 def _plain(piece: str) -> str:
@@ -76,20 +78,67 @@ def word_expectation(word: str, pieces: Mapping[str, tuple[int, float]], longest
     return whole, counts
 
 
+def _split(pieces: Mapping[str, tuple[int, float]]) -> tuple[dict[str, tuple[int, float]], dict[str, tuple[int, float]]]:
+    """``{letters: (id, probability)}`` of the pieces that begin a word, and of those inside one."""
+    first, inner = {}, {}
+    for piece, (number, logp) in pieces.items():
+        first[piece] = (number, math.exp(logp))
+        if piece.startswith(INNER):
+            inner[piece.removeprefix(INNER)] = (number, math.exp(logp))
+    return first, inner
+
+
+def _short_expectation(
+    word: str, first: Mapping[str, tuple[int, float]], inner: Mapping[str, tuple[int, float]], longest: int
+) -> tuple[float, list[tuple[int, float]]] | None:
+    """``word_expectation`` in plain probabilities; None where these become too small to be exact."""
+    size = len(word)
+    forward = [1.0] + [0.0] * size
+    found = []
+    for end in range(1, size + 1):
+        reached = 0.0
+        for start in range(end - longest if end > longest else 0, end):
+            piece = inner.get(word[start:end]) if start else first.get(word[:end])
+            if piece:
+                share = forward[start] * piece[1]
+                reached += share
+                found.append((start, end, piece[0], piece[1], share))
+        forward[end] = reached
+    whole = forward[size]
+    if not whole > FAINT:
+        return None
+    backward = [0.0] * size + [1.0 / whole]
+    counts = []
+    for start, end, number, p, share in reversed(found):
+        # by falling end: everything that leaves ``end`` has been added
+        behind = backward[end]
+        if behind and share:
+            backward[start] += p * behind
+            counts.append((number, share * behind))
+    return math.log(whole), counts
+
+
 def expected_counts(words: DataFrame, pieces: Mapping[str, tuple[int, float]]) -> DataFrame:
     """``(id, expected)`` over ``(token, cnt)``; the row ``LIKELIHOOD`` is the log likelihood."""
-    shared = words.sparkSession.sparkContext.broadcast((dict(pieces), max((len(_plain(p)) for p in pieces), default=1)))
+    longest = max((len(_plain(p)) for p in pieces), default=1)
+    shared = words.sparkSession.sparkContext.broadcast((dict(pieces), *_split(pieces), longest))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, longest = shared.value
+        table, first, inner, longest = shared.value
+        sums: dict[int, float] = defaultdict(float)  # as many as there are pieces
         for batch in batches:
-            sums: dict[int, float] = defaultdict(float)
             for word, cnt in zip(batch["token"], batch["cnt"]):
-                if (found := word_expectation(word, table, longest)) is not None:
-                    sums[LIKELIHOOD] += cnt * found[0]
-                    for piece, n in found[1].items():
-                        sums[piece] += cnt * n
-            yield pd.DataFrame({"id": list(sums), "expected": list(sums.values())}, columns=["id", "expected"])
+                found = _short_expectation(word, first, inner, longest)
+                if found is None:
+                    if (exact := word_expectation(word, table, longest)) is None:
+                        continue
+                    found = exact[0], exact[1].items()
+                elif not word:
+                    continue
+                sums[LIKELIHOOD] += cnt * found[0]
+                for piece, n in found[1]:
+                    sums[piece] += cnt * n
+        yield pd.DataFrame({"id": list(sums), "expected": list(sums.values())}, columns=["id", "expected"])
 
     partial = words.select("token", "cnt").mapInPandas(run, "id INT, expected DOUBLE")
     return partial.groupBy("id").agg(F.sum("expected").alias("expected"))
@@ -134,7 +183,9 @@ def train_unigram(words: DataFrame, seeds: DataFrame, size: int = 30_000, *, rou
     of two and more characters are left; the seeds' counts give the first probabilities. The
     driver holds the piece table, which the number of seeds bounds.
     """
-    words = materialise(words.select("token", "cnt"), "unigram-words")
+    # the words are few bytes but much work: dealt to all cores, whatever the size of their files
+    parts = TASKS_A_CORE * words.sparkSession.sparkContext.defaultParallelism
+    words = materialise(words.select("token", "cnt"), "unigram-words").repartition(parts, "token")
     given = seeds.filter(F.col("id") >= len(SPECIAL_PIECES)).select("piece", "id", "cnt").collect()
     total = sum(r.cnt for r in given) or 1
     table = {r.piece: (r.id, math.log(r.cnt / total)) for r in given if r.cnt > 0}

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import pytest
 
@@ -86,3 +87,37 @@ def test_empty(spark):
     none = spark.createDataFrame([], "token STRING, cnt LONG")
     seeds = spark.createDataFrame([("a", 4, 1)], "piece STRING, id INT, cnt LONG")
     assert unigram.train_unigram(none, seeds).pieces.count() == 1
+
+
+def test_plain_probabilities_give_what_logarithms_give():
+    pieces = {"a": (4, -2.0), "##a": (5, -1.5), "##b": (6, -2.5), "ab": (7, -3.0), "##ba": (8, -2.2), "b": (9, -math.inf), "##": (10, -4.0)}
+    first, inner = unigram._split(pieces)
+    for word in ("a", "ab", "abab", "aba", "abbaab"):
+        whole, counts = unigram.word_expectation(word, pieces, 2)
+        got = unigram._short_expectation(word, first, inner, 2)
+        sums = Counter()
+        for number, share in got[1]:
+            sums[number] += share
+        assert got[0] == pytest.approx(whole) and dict(sums) == pytest.approx(counts)
+    for word in ("z", "az", "a" * 400):  # no cover, or too faint a one
+        assert unigram._short_expectation(word, first, inner, 2) is None
+
+
+def test_faint_words_are_counted_too(spark):
+    words = spark.createDataFrame([("a" * 400, 2), ("a", 3), ("", 5), ("z", 7)], "token STRING, cnt BIGINT")
+    got = {r.id: r.expected for r in unigram.expected_counts(words, {"a": (4, -2.0), "##a": (5, -1.5)}).collect()}
+    assert got == pytest.approx({unigram.LIKELIHOOD: 2 * (-2 - 399 * 1.5) - 6, 4: 5, 5: 798})
+
+
+def test_words_of_one_file_are_dealt_to_all_cores(spark, monkeypatch):
+    seen, whole = [], unigram.expected_counts
+
+    def counted(words, pieces):
+        seen.append(words.rdd.getNumPartitions())
+        return whole(words, pieces)
+
+    monkeypatch.setattr(unigram, "expected_counts", counted)
+    words = spark.createDataFrame([("ab", 3), ("a", 2)], "token STRING, cnt BIGINT").coalesce(1)
+    seeds = spark.createDataFrame([("a", 4, 5), ("##b", 5, 3), ("ab", 6, 3)], "piece STRING, id INT, cnt BIGINT")
+    unigram.train_unigram(words, seeds, 10)
+    assert min(seen) >= spark.sparkContext.defaultParallelism
