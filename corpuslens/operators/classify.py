@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.labels import argmax, cross_entropy, encode_label
@@ -19,6 +20,8 @@ from corpuslens.operators.metrics import evaluate
 from corpuslens.schema import CLASSES, require_columns
 from corpuslens.session import materialise
 
+FREQUENT = 50_000  # tokens whose odds every task has
+
 
 def train(
     df: DataFrame,
@@ -123,7 +126,8 @@ def predict_counts(model: CountModel, df: DataFrame, tokens_col: str = "_words",
     """``(doc_id, label, probabilities, prediction, loss, *others)`` without the token column.
 
     A token adds the log odds of its smoothed counts; one that training has not seen
-    counts as zero in both classes. Tokens are counted per document before the lookup.
+    counts as zero in both classes. The ``FREQUENT`` tokens of the training text are broadcast
+    and added up where the document is; only the others are counted per document and looked up.
     """
     t = model.totals.first()  # one row
     a = model.smoothing
@@ -131,9 +135,15 @@ def predict_counts(model: CountModel, df: DataFrame, tokens_col: str = "_words",
     odds = F.ln((F.coalesce("positive", F.lit(0)) + a) / room[0]) - F.ln((F.coalesce("negative", F.lit(0)) + a) / room[1])
     prior = F.ln(F.lit((t.positive_documents + a) / (t.negative_documents + a)))
     exploded = df.select(id_col, F.explode_outer(tokens_col).alias("token")).filter("token IS NOT NULL")
-    counted = exploded.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
+    heavy = model.tokens.orderBy(F.desc(reduce(Column.__add__, [F.col(c) for c in CLASSES])), "token").limit(FREQUENT)
+    known = exploded.join(F.broadcast(heavy.select("token", odds.alias("_known"))), "token", "left")
+    # a document's frequent words are one row
+    counted = known.groupBy(id_col, F.when(F.col("_known").isNull(), F.col("token")).alias("token")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_known").alias("_sum")
+    )
     found = lookup(counted, model.tokens, ["token"], spread=salt_of(id_col))
-    scores = found.groupBy(id_col).agg(F.sum(F.col("n") * odds).alias("_odds"))
+    part = F.when(F.col("token").isNull(), F.col("_sum")).otherwise(F.col("n") * odds)
+    scores = found.groupBy(id_col).agg(F.sum(part).alias("_odds"))
     others = [c for c in df.columns if c not in (id_col, tokens_col)]
     joined = df.select(id_col, *others).join(scores, id_col, "left")
     positive = 1 / (1 + F.exp(-(prior + F.coalesce("_odds", F.lit(0.0)))))
