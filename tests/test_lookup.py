@@ -50,3 +50,13 @@ def test_translate_shuffles_no_row_per_position(spark):
     assert all(r.parts == [[1, 2]] * 1000 for r in out.collect())
     text = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
     assert "array_distinct" in text and "posexplode" not in text
+
+
+def test_translate_searches_a_drawer_of_the_dictionary(spark):
+    words = [f"w{i}" for i in range(900)]
+    df = spark.createDataFrame([(1, words), (2, [None, "lost"])], "doc_id LONG, words ARRAY<STRING>")
+    table = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "key STRING, value INT")
+    out = lk.translate(df, table, array="words", out="ids", default=F.lit(-1))
+    assert {r.doc_id: r.ids for r in out.collect()} == {1: list(range(900)), 2: [-1, -1]}
+    text = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "pmod(hash(" in text
