@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from corpuslens.functions import text
 from corpuslens.functions.seeded import uniform
 from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.schema import BOS, EOS, require_columns
-from corpuslens.session import materialise
+from corpuslens.session import materialise, materialise_bucketed
 
 
 def _windows(df: DataFrame, sizes: Sequence[int], keep: Sequence[str], words_col: str) -> DataFrame:
@@ -71,12 +72,40 @@ def event_arrays(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str
     return rows.select(*keep, F.inline(F.array(*[of_size(n) for n in sizes])))
 
 
+BETWEEN, ESCAPE = "\x01", "\x02"  # words of a key
+
+
+def _key(most: int) -> Column:
+    """``context`` of up to ``most`` words as text, another one for every array: shorter to move and faster to compare."""
+
+    def word(k: int) -> Column:
+        w = F.get("context", F.lit(k))
+        plain = F.replace(F.replace(w, F.lit(ESCAPE), F.lit(ESCAPE + "b")), F.lit(BETWEEN), F.lit(ESCAPE + "a"))
+        return F.when(F.size("context") > k, F.coalesce(plain, F.lit(ESCAPE + "n")))
+
+    return F.concat_ws(BETWEEN, *[word(k) for k in range(most)]) if most else F.lit("")
+
+
+def _context_of() -> Column:
+    """The array of which ``key`` is the text."""
+
+    def word(w: Column) -> Column:
+        plain = F.replace(F.replace(w, F.lit(ESCAPE + "a"), F.lit(BETWEEN)), F.lit(ESCAPE + "b"), F.lit(ESCAPE))
+        return F.when(w != ESCAPE + "n", plain)
+
+    words = F.split("key", BETWEEN)
+    words = F.when(F.contains("key", F.lit(ESCAPE)), F.transform(words, word)).otherwise(words)
+    return F.when(F.col("n") == 1, F.array().cast("array<string>")).otherwise(words)
+
+
 def event_counts(df: DataFrame, sizes: Sequence[int], words_col: str = "_words") -> DataFrame:
-    """``(n, context, word, cnt)``, combined before the shuffle."""
+    """``(n, context, word, cnt)``, combined before the shuffle, which moves contexts as text."""
     return (
         events(df, sizes, words_col=words_col)
-        .groupBy("n", "context", "word")
+        .select("n", _key(max(sizes) - 1).alias("key"), "word")
+        .groupBy("n", "key", "word")
         .agg(F.count(F.lit(1)).alias("cnt"))
+        .select("n", _context_of().alias("context"), "word", "cnt")
     )
 
 
@@ -92,12 +121,18 @@ def event_vocabulary(counts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class NGramModel:
-    """Fitted count tables, kept in the shared folder."""
+    """Fitted count tables, kept in the shared folder. Totals are added up and written when they are first asked for."""
 
     counts: DataFrame
-    totals: DataFrame
     sizes: tuple[int, ...]
     laplace: bool = True
+    stored_totals: DataFrame | None = None
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        if self.stored_totals is not None:
+            return self.stored_totals
+        return materialise(context_totals(self.counts), "ngram-totals")
 
     @property
     def vocabulary(self) -> DataFrame:
@@ -106,9 +141,8 @@ class NGramModel:
 
 def fit(df: DataFrame, sizes: Sequence[int] = (2, 3), *, laplace: bool = True, words_col: str = "_words") -> NGramModel:
     """Count once, write once; everything after reads the written tables."""
-    counts = materialise(event_counts(df, sizes, words_col), "ngram-counts")
-    totals = materialise(context_totals(counts), "ngram-totals")
-    return NGramModel(counts, totals, tuple(sizes), laplace)
+    counts = materialise(event_counts(df, sizes, words_col), "ngram-counts", "zstd")
+    return NGramModel(counts, tuple(sizes), laplace)
 
 
 def _v(model: NGramModel) -> Column:
@@ -198,9 +232,10 @@ def successors(model: NGramModel, contexts: DataFrame | None = None, k: int | No
 # ---- drawing words -------------------------------------------------------------
 
 TOTAL_WEIGHT = 1 << 53  # of one context: exact as a double
-SUB_DIGITS = 2  # 256 sub-buckets of a context's successors at least
-WORDS_PER_SUB = 1 << 12
-CHOSEN = ("word", "next_context", "next_successors", "next_mass")
+SUB_DIGITS = 2  # 256 parts of a large context at least
+SUCCESSORS_HELD = 1 << 12  # of a context that is not cut into parts, and of a part
+ROWS_PER_BUCKET = 1 << 20
+DRAWS_BROADCAST = 500_000
 
 
 def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
@@ -220,18 +255,39 @@ def sharpened(model: NGramModel, temperature: float = 0.8) -> DataFrame:
 
 @dataclass(frozen=True)
 class DrawTable:
-    """Cumulative integer weights of the seen successors of every context.
-
-    ``cells(n, context, cell, steps)`` with ``steps`` an array of ``(lo, hi, word, ...)``: a
-    draw ``r`` picks the entry with ``lo <= r < hi``. The range of a context is cut into
-    as many equal cells as it has successors and an entry is listed under each cell it
-    touches, so a uniform draw meets two entries on average, however many successors
-    there are. Each entry also holds the context its word leads to, with that context's
-    range (``next_context, next_mass, next_successors``), so a walk needs one join a step.
+    """Cumulative integer weights of the seen successors of every context, an entry per successor.
+
+    ``entries(place, n, key, part, word, lo, hi, part_mass)``: a draw ``r`` inside a part picks the entry with
+    ``lo <= r < hi``. ``key`` is the context as text. A context is one part, the empty one, unless it has more
+    than ``SUCCESSORS_HELD`` successors: those lie in parts by the hash of their word, and ``parts(n, key, part,
+    start, part_mass, whole_mass)`` tells where in the context a part begins. The entries are bucketed by
+    ``place``, a short hash of context and part, so draws come to them and they stay where they are.
     """
 
-    cells: DataFrame
-    contexts: DataFrame  # (n, context, successors, mass)
+    entries: DataFrame
+    parts: DataFrame  # of large contexts only
+    most: int  # words of a context
+
+    @property
+    def contexts(self) -> DataFrame:
+        """``(n, context, successors, mass)``."""
+        sums = self.entries.groupBy("n", "key").agg(
+            F.count(F.lit(1)).alias("successors"), F.sum(F.col("hi") - F.col("lo")).alias("mass")
+        )
+        return sums.select("n", _context_of().alias("context"), "successors", "mass")
+
+    @property
+    def cells(self) -> DataFrame:
+        """``(n, context, part, steps)`` with ``(lo, hi, word)`` as places in the whole context."""
+        start = F.coalesce("start", F.lit(0))
+        placed = self.entries.join(self.parts.select("n", "key", "part", "start"), ["n", "key", "part"], "left")
+        step = F.struct((F.col("lo") + start).alias("lo"), (F.col("hi") + start).alias("hi"), "word")
+        steps = placed.groupBy("n", "key", "part").agg(F.collect_list(step).alias("steps"))
+        return steps.select("n", _context_of().alias("context"), "part", "steps")
+
+
+def _place() -> Column:
+    return F.hash("n", "key", "part")
 
 
 def _sizes(n: int | Sequence[int]) -> list[int]:
@@ -243,74 +299,63 @@ def draw_table(model: NGramModel, n: int | Sequence[int], temperature: float = 1
     weights relative to the largest, as finely as a uniform double can tell them
     apart. A successor below that, 2 ** -53 of its context, cannot be drawn.
 
-    Running sums are built per sub-bucket of a context, on top of the sums of the
-    sub-buckets before it: no task sees all successors of a hot context. Their number
-    follows the number of words.
+    The counts are exchanged once, by context and part; there they are weighed, added up and
+    written. Large contexts are found beforehand, so no task sees all successors of a hot one;
+    the number of their parts follows the number of words.
     """
     plus = 1 if model.laplace else 0
-    digits = SUB_DIGITS
     sizes = _sizes(n)
     counted = model.counts.filter(F.col("n").isin(sizes))
     words = counted.filter(F.col("n") == min(sizes)).agg(F.approx_count_distinct("word")).first()[0]
-    while 16**digits * WORDS_PER_SUB < words:
+    digits = SUB_DIGITS
+    while 16**digits * SUCCESSORS_HELD < words:
         digits += 1
-    rows = counted.select(
-        "n", "context", "word", (F.col("cnt") + plus).alias("weight"),
-        F.substring(F.md5("word"), 1, digits).alias("sub"),
-    )
+    spark, rows = counted.sparkSession, counted.count()
+    keyed = counted.select("n", _key(max(sizes) - 1).alias("key"), "word", (F.col("cnt") + plus).alias("weight"))
+    large = _large_contexts(keyed, rows)
+    sub = F.substring(F.md5("word"), 1, digits)
+    given = ["top", "successors"] if temperature != 1.0 else []
+    keys = ["n", "key", "part"]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / ROWS_PER_BUCKET))
+    marked = keyed.join(F.broadcast(large), ["n", "key"], "left")
+    own = F.when(F.col("successors").isNull(), "").otherwise(sub).alias("part")
+    # the place is worked out anew behind the exchange: it would not compress
+    dealt = marked.select("n", "key", "word", "weight", *given, own).repartition(buckets, _place()).withColumn("place", _place())
+    part = Window.partitionBy("place", *keys)
     if temperature != 1.0:
-        top = materialise(
-            rows.groupBy("n", "context").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("cnt")), "ngram-top"
-        )
-        relative = F.pow(F.col("weight") / F.col("top"), F.lit(1.0 / temperature))
-        unit = F.floor(F.lit(TOTAL_WEIGHT) / F.col("cnt"))
-        rows = lookup(rows, top, ["n", "context"], spread=salt_of("context", "word"), counts=top.drop("top")).select(
-            "n", "context", "word", F.round(relative * unit).cast("bigint").alias("weight"), "sub"
-        ).filter("weight > 0")
-    subs = rows.groupBy("n", "context", "sub").agg(F.sum("weight").alias("mass"), F.count(F.lit(1)).alias("cnt"))
-    per_context = Window.partitionBy("n", "context")  # at most 256 sub-buckets each
-    running = per_context.orderBy("sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = materialise(
-        subs.select(
-            "n", "context", "sub", "cnt",
-            (F.sum("mass").over(running) - F.col("mass")).alias("offset"),
-            F.sum("mass").over(per_context).alias("context_mass"),
-            F.sum("cnt").over(per_context).alias("successors"),
-        ),
-        "ngram-offsets",
-    )
-    contexts = materialise(
-        offsets.groupBy("n", "context").agg(F.max("successors").alias("successors"), F.max("context_mass").alias("mass")),
-        "ngram-draw-contexts",
-    )
-    within = Window.partitionBy("n", "context", "sub").orderBy("word").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+        top, number = F.coalesce("top", F.max("weight").over(part)), F.coalesce("successors", F.count(F.lit(1)).over(part))
+        weighed = dealt.withColumn("_top", top).withColumn("_number", number)
+        relative = F.pow(F.col("weight") / F.col("_top"), F.lit(1.0 / temperature))
+        unit = F.floor(F.lit(TOTAL_WEIGHT) / F.col("_number"))
+        dealt = weighed.select("place", *keys, "word", F.round(relative * unit).cast("bigint").alias("weight")).filter("weight > 0")
+    running = part.orderBy(sub, "word").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = dealt.withColumn("hi", F.sum("weight").over(running)).withColumn("part_mass", F.sum("weight").over(part))
+    entries = materialise_bucketed(
+        summed.select("place", *keys, "word", (F.col("hi") - F.col("weight")).alias("lo"), "hi", "part_mass"),
+        "ngram-draws", buckets, "place",
     )
-    spread = salt_of("context", "word")
-    # sub-buckets are small by design: a plain join, whose partitioning also serves the running sums
-    placed = rows.join(offsets.drop("cnt"), ["n", "context", "sub"]).withColumn("running", F.sum("weight").over(within))
-    following = F.slice(F.concat("context", F.array("word")), F.lit(2), F.col("n") - 1)
-    led_to = counted.groupBy("n", following.alias("next_context")).agg(F.count(F.lit(1)).alias("cnt"))
-    placed = placed.select(
-        "n", "context", "word", "successors", F.col("context_mass").alias("mass"),
-        (F.col("offset") + F.col("running") - F.col("weight")).alias("lo"),
-        (F.col("offset") + F.col("running")).alias("hi"),
-        following.alias("next_context"),
+    before = Window.partitionBy("n", "key").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    masses = entries.filter("part <> ''").groupBy(*keys).agg(F.max("part_mass").alias("part_mass"))
+    parts = masses.select(
+        *keys, (F.sum("part_mass").over(before) - F.col("part_mass")).alias("start"), "part_mass",
+        F.sum("part_mass").over(Window.partitionBy("n", "key")).alias("whole_mass"),
     )
-    ahead = contexts.select(
-        "n", F.col("context").alias("next_context"), F.col("successors").alias("next_successors"), F.col("mass").alias("next_mass")
-    )
-    linked = lookup(placed, ahead, ["n", "next_context"], spread=spread, counts=led_to)
-    touched = F.explode(F.sequence(_cell(F.col("lo")), _cell(F.col("hi") - 1)))
-    entry = F.struct("lo", "hi", *CHOSEN)
-    listed = linked.select("n", "context", touched.alias("cell"), entry.alias("step"))
-    cells = listed.groupBy("n", "context", "cell").agg(F.collect_list("step").alias("steps"))
-    return DrawTable(materialise(cells, "ngram-draws"), contexts)
+    return DrawTable(entries, materialise(parts, "ngram-draw-parts"), max(sizes) - 1)
+
 
+def _large_contexts(keyed: DataFrame, rows: int) -> DataFrame:
+    """``(n, key, successors, top)`` of the contexts with more than ``SUCCESSORS_HELD`` successors, ``top`` their largest weight.
 
-def _cell(at: Column) -> Column:
-    """Cell of a weight position; rounding is monotone, so a row and a draw inside it agree."""
-    return F.floor(at.cast("double") * F.col("successors") / F.col("mass")).cast("bigint")
+    Successors are counted by a hash of the context first, which shuffles little; only what is
+    in a bucket that is full enough is counted by context.
+    """
+    buckets = max(1 << 12, rows // (SUCCESSORS_HELD // 4))
+    hashed = keyed.withColumn("_b", F.pmod(F.xxhash64("n", "key"), F.lit(buckets)).cast("int"))
+    full = hashed.groupBy("_b").count().filter(F.col("count") > SUCCESSORS_HELD).select("_b")
+    per_context = hashed.join(F.broadcast(full), "_b", "left_semi").groupBy("n", "key").agg(
+        F.count(F.lit(1)).alias("successors"), F.max("weight").alias("top")
+    )
+    return materialise(per_context.filter(F.col("successors") > SUCCESSORS_HELD), "ngram-large-contexts")
 
 
 def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id") -> DataFrame:
@@ -318,24 +363,40 @@ def draw(table: DrawTable, states: DataFrame, u: Column, id_col: str = "sent_id"
 
     ``u`` is a uniform number per row. A row whose context was never seen gets NULL.
     """
-    located = materialise(lookup(states, table.contexts, ["n", "context"], spread=salt_of(id_col)), "draw-states")
-    drawn = _step(table, located.filter("mass IS NOT NULL"), u).select(id_col, "word")
+    located = materialise(states, "draw-states")
+    drawn = _step(table, located, u, located.count()).select(id_col, "word")
     return located.join(drawn, id_col, "left").select(*states.columns, "word")
 
 
-def _step(table: DrawTable, located: DataFrame, u: Column) -> DataFrame:
-    """One draw for rows ``(n, context, successors, mass, ...)``; adds the columns of the chosen step.
+def _at(u: Column, mass: Column) -> Column:
+    return F.least(F.floor(u * mass).cast("bigint"), mass - 1)
 
-    Few rows are broadcast to the cells, by the size of their written table, and the draw table
-    stays where it is; many meet it in a shuffle, where a cell that very many rows aim at is split.
+
+def _step(table: DrawTable, states: DataFrame, u: Column, rows: int | None = None) -> DataFrame:
+    """One draw for rows ``(n, context, ...)``; adds the drawn ``word``, rows in a context without a successor are gone.
+
+    A draw from a large context picks its part first. Few draws are broadcast to the entries; many
+    are dealt like these, which stay in their buckets either way. ``rows`` may tell how many there are.
     """
-    mass = F.col("mass")
-    aimed = located.withColumn("_r", F.least(F.floor(u * mass).cast("bigint"), mass - 1)).withColumn(
-        "cell", _cell(F.col("_r"))
-    )
-    met = aimed.join(table.cells, ["n", "context", "cell"])
-    hit = F.get(F.filter("steps", lambda t: (F.col("_r") >= t["lo"]) & (F.col("_r") < t["hi"])), F.lit(0))
-    return met.withColumn("_hit", hit).select(*located.columns, *[F.col("_hit")[c].alias(c) for c in CHOSEN])
+    own = [c for c in states.columns if c != "word"]
+    drawing = states.select(*own, _key(table.most).alias("_key"), u.alias("_u"))
+    cut = table.parts.select(F.col("n").alias("_n"), F.col("key").alias("_k"), "part", "start", "part_mass", "whole_mass")
+    at = drawing.join(cut, (F.col("n") == F.col("_n")) & (F.col("_key") == F.col("_k"))).withColumn("_r", _at(F.col("_u"), F.col("whole_mass")))
+    inside = at.filter((F.col("_r") >= F.col("start")) & (F.col("_r") < F.col("start") + F.col("part_mass")))
+    # a large context has no empty part, so of the two probes of its rows only one can meet entries
+    probes = inside.select(*own, "_key", "_u", F.col("part").alias("_part"), (F.col("_r") - F.col("start")).alias("_r")).unionByName(
+        drawing.withColumn("_part", F.lit("")).withColumn("_r", F.lit(None).cast("bigint"))
+    ).withColumn("_place", F.hash("n", "_key", "_part"))
+    if rows is not None:
+        probes = F.broadcast(probes) if rows <= DRAWS_BROADCAST else probes.hint("shuffle_hash")
+    e = table.entries.select(*[F.col(c).alias(f"_e_{c}") for c in table.entries.columns])
+    # equal places are met by one number; that context and part are the same is told by order, so as not to be a key of the join
+    same = F.col("_place") == F.col("_e_place")
+    for mine, theirs in (("n", "_e_n"), ("_key", "_e_key"), ("_part", "_e_part")):
+        same = same & (F.col(mine) <= F.col(theirs)) & (F.col(mine) >= F.col(theirs))
+    r = F.coalesce("_r", _at(F.col("_u"), F.col("_e_part_mass")))
+    met = probes.join(e, same & (r >= F.col("_e_lo")) & (r < F.col("_e_hi")))
+    return met.select(*own, F.col("_e_word").alias("word"))
 
 
 def generate(
@@ -363,27 +424,23 @@ def generate(
     begins = {size: F.array_repeat(F.lit(BOS), size - 1).cast("array<string>") for size in sizes}
     every = F.explode(F.array(*[F.struct(F.lit(size).alias("n"), begins[size].alias("context")) for size in sizes]))
     opened = seeds.select(F.col(id_col), *([F.col(start_col).alias("_start")] if start_col else []), every.alias("s"))
+    opened = materialise(opened, "sentence-seeds")  # read again at the end; what they are made of is computed once
     if start_col is None:
-        is_first = F.col("context") == F.array_repeat(F.lit(BOS), F.col("n") - 1).cast("array<string>")
-        first = table.contexts.filter(is_first).collect()  # a row per size at most
-        if len(first) < len(sizes):
+        is_first = F.col("key") == F.array_join(F.array_repeat(F.lit(BOS), F.col("n") - 1), BETWEEN)
+        if table.entries.filter(is_first).select("n").distinct().count() < len(sizes):
             raise ValueError("the model has seen no document")
-        widths = F.create_map(*[F.lit(x) for r in first for x in (r.n, r.successors)])
-        masses = F.create_map(*[F.lit(x) for r in first for x in (r.n, r.mass)])
-        begun = opened.select(
-            id_col, "s.*", widths[F.col("s.n")].cast("bigint").alias("successors"), masses[F.col("s.n")].cast("bigint").alias("mass")
-        )
+        begun = opened.select(id_col, "s.*")
         parts = []
     else:
         led = F.slice(F.concat("s.context", F.array("_start")), F.lit(2), F.col("s.n") - 1).alias("context")
-        begun = lookup(opened.select(id_col, "s.n", led), table.contexts, ["n", "context"], spread=salt_of(id_col))
+        begun = opened.select(id_col, "s.n", led)
         parts = [opened.select("s.n", id_col, F.lit(0).alias("step"), F.col("_start").alias("word"))]
     state = materialise(begun, "sentences")
     standing = state.count()
+    moved = F.slice(F.concat("context", F.array("word")), F.lit(2), F.col("n") - 1).alias("context")
     for step in range(1, max_length + 1 - len(parts)):
-        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)))
-        moved = [F.col(f"next_{c}").alias(c) for c in ("context", "successors", "mass")]
-        state = materialise(drawn.select(id_col, "n", *moved, "word", F.lit(step).alias("step")), "sentences")
+        drawn = _step(table, state, uniform(f"{seed}:{step}", F.col(id_col)), standing)
+        state = materialise(drawn.select(id_col, "n", moved, "word", F.lit(step).alias("step")), "sentences")
         ends = F.col("word") == EOS
         seen = state.agg(F.count("word").alias("drawn"), F.count_if(~ends).alias("open")).first()
         if seen.drawn < standing:

@@ -204,4 +204,4 @@ def load_ngram_model(spark: SparkSession, path: str) -> NGramModel:
     counts = spark.read.schema("context ARRAY<STRING>, word STRING, cnt BIGINT, n INT").parquet(f"{path}/counts")
     totals = spark.read.schema("context ARRAY<STRING>, total BIGINT, n INT").parquet(f"{path}/totals")
     settings = spark.read.schema(MODEL_SETTINGS).parquet(f"{path}/settings").first()  # one row
-    return NGramModel(counts, totals, tuple(settings.sizes), settings.laplace)
+    return NGramModel(counts, tuple(settings.sizes), settings.laplace, totals)

@@ -215,3 +215,49 @@ def test_perplexity_meets_the_counts_in_one_exchange_without_sorts(docs):
     physical = text[text.index("== Physical Plan =="):]
     assert "Join" not in physical and "Sort" not in physical
     assert len([line for line in physical.splitlines() if "hashpartitioning(" in line and "context#" in line]) == 1
+
+
+def sentences(model, seeds, sizes, **more):
+    return {(r.n, r.sent_id, r.sentence) for r in ngram.generate(model, seeds, sizes, max_length=8, **more).collect()}
+
+
+@pytest.mark.parametrize("temperature", [1.0, 0.8])
+def test_sentences_are_the_same_however_contexts_are_cut_and_draws_are_dealt(spark, docs, monkeypatch, temperature):
+    rng = random.Random(3)
+    model = ngram.fit(docs([[rng.choice("abcdefghijklmn") for _ in range(rng.randrange(1, 9))] for _ in range(60)]), (2, 3))
+    seeds = spark.range(80).withColumnRenamed("id", "sent_id")
+    expected = sentences(model, seeds, (2, 3), temperature=temperature)
+    assert len(expected) == 160
+    monkeypatch.setattr(ngram, "SUCCESSORS_HELD", 4)
+    table = ngram.draw_table(model, 2, temperature)
+    assert table.parts.count() > 10
+    for r in table.contexts.collect():
+        steps = [s for c in table.cells.filter(F.col("context") == F.array(*map(F.lit, r.context))).collect() for s in c.steps]
+        assert sum(s.hi - s.lo for s in steps) == r.mass == max(s.hi for s in steps)
+    assert sentences(model, seeds, (2, 3), temperature=temperature) == expected
+    monkeypatch.setattr(ngram, "DRAWS_BROADCAST", 0)
+    assert sentences(model, seeds, (2, 3), temperature=temperature) == expected
+
+
+def physical(df):
+    text = df._jdf.queryExecution().toString()
+    return text[text.index("== Physical Plan =="):]
+
+
+def test_a_draw_table_exchanges_the_counts_once_and_stays_where_it_is(spark, docs, monkeypatch):
+    model = ngram.fit(docs([["a", "b", "c"], ["b", "d"]]), (2, 3))
+    seen, write = [], ngram.materialise_bucketed
+    monkeypatch.setattr(ngram, "materialise_bucketed", lambda df, *more: seen.append(physical(df)) or write(df, *more))
+    table = ngram.draw_table(model, (2, 3))
+    assert seen[0].count("hashpartitioning(") == 1
+    states = ngram.materialise(spark.range(40).selectExpr("id AS sent_id", "2 AS n", "array('b') AS context"), "some-states")
+    many = physical(ngram._step(table, states, F.lit(0.5), ngram.DRAWS_BROADCAST + 1))
+    assert "ShuffledHashJoin" in many
+    assert all("_place" in line for line in many.splitlines() if "hashpartitioning(" in line)
+
+
+def test_keys_tell_contexts_apart(spark):
+    contexts = [["a\x01b", "c"], ["a", "b\x01c"], ["\x02a", ""], ["\x01", ""], ["\x02n", "x"], [None, "x"], ["", "x"], ["\x02", "\x02b"], ["a b", "c"]]
+    df = spark.createDataFrame([(3, c) for c in contexts], "n INT, context ARRAY<STRING>").withColumn("key", ngram._key(2))
+    assert df.select("key").distinct().count() == len(contexts)
+    assert df.filter(~F.col("context").eqNullSafe(ngram._context_of())).isEmpty()
