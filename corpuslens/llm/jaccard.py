@@ -30,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm.components import components, composed, shortened
+from corpuslens.llm.narrowing import parted
 from corpuslens.llm.settings import frugal
 from corpuslens.llm.words import PLACES, hash_words, mix, slices, utf8, windows
 from corpuslens.session import materialise
@@ -44,7 +45,6 @@ COMMON = 1 << 17  # shingles whose frequency is known to the order; the bound of
 COMMON_PER_CHUNK = 4096
 CHUNK = 1 << 20  # shingles
 BAND_BITS = 2  # sizes of a band lie between neighbouring powers of 4
-BLOOM_BITS = 27
 BITMAP_WORDS = 32  # 2,048 bits
 LARGEST_FIRST = 1  # rounds against the largest component of each tile
 BLOCK = 256  # sets that a task holds at once
@@ -260,19 +260,6 @@ def _least_shared(a: str, b: str) -> Column:
     return common - F.floor((PERCENT * F.greatest(a, b) + 99) / F.lit(100)) + 1
 
 
-def _bloom(keys: DataFrame, spark: SparkSession) -> Broadcast:
-    """Bitmap of hashed keys, ``2 ** BLOOM_BITS`` bits at most; it only spares work."""
-    bits = max(20, min(BLOOM_BITS, (10 * max(1, keys.count())).bit_length()))
-    place = F.pmod(F.col("key"), F.lit(1 << bits))
-    words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits")
-    )
-    found = words.toArrow()
-    bitmap = np.zeros(1 << (bits - 6), np.int64)
-    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return spark.sparkContext.broadcast(bitmap)
-
-
 def bitmap_of(own: np.ndarray) -> bytes:
     """Signature of a set: one bit per hashed shingle."""
     places = mix(own, 77) % np.uint64(64 * BITMAP_WORDS)
@@ -281,24 +268,14 @@ def bitmap_of(own: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def _members(texts: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
-    """``(key, bitmap, sorted)`` of the sets with the given keys."""
-    bloom = _bloom(keys, texts.sparkSession)
+def _members(texts: DataFrame, keys: DataFrame, firsts: DataFrame, seed: int) -> DataFrame:
+    """``(key, bitmap, shingles)`` of the sets with the given keys, made from one text each: ``firsts(key, doc_id, text_key)``."""
+    wanted = materialise(keys.select("key").join(firsts, "key"), "wanted-texts")
+    _, held = parted(texts, [F.col("doc_id"), F.col("text_key")], wanted, ["doc_id", "text_key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = bloom.value
-        seen: set[int] = set()
         for _, sets in _sets(batches):
-            rows = []
-            for own in sets:
-                key = set_key(own, seed) if len(own) else 0
-                place = key % (64 * len(bitmap))
-                if not len(own) or key in seen or not (int(bitmap[place >> 6]) >> (place & 63)) & 1:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(key)
-                rows.append((key, bitmap_of(own), own.tobytes()))
+            rows = [(set_key(own, seed), bitmap_of(own), own.tobytes()) for own in sets if len(own)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
@@ -307,7 +284,7 @@ def _members(texts: DataFrame, keys: DataFrame, seed: int) -> DataFrame:
                 names=["key", "bitmap", "shingles"],
             )
 
-    made = texts.mapInArrow(frugal(run), "key long, bitmap binary, shingles binary")
+    made = held.mapInArrow(frugal(run), "key long, bitmap binary, shingles binary")
     return materialise(made.join(keys.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
 
 
@@ -377,11 +354,14 @@ def _probes(mixed: DataFrame, largest: bool) -> DataFrame:
     parts = mixed.groupBy("root").agg(F.count_distinct("key").alias("size"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     parts = materialise(parts, "components")
     part = F.struct("size", F.col("root").alias("target"), "lo", "hi")
-    others = mixed.select("tile", "root").distinct().join(parts, "root").select("tile", part.alias("other"))
+    sized = mixed.join(parts, "root")
     if largest:
-        others = others.groupBy("tile").agg(F.max("other").alias("other"))
-    own = mixed.join(parts.select("root", "size"), "root")
-    met = own.join(others, "tile").filter(
+        paired = sized.withColumn("other", F.max(part).over(Window.partitionBy("tile")))
+    else:
+        sized = materialise(sized, "sized-tiles")
+        others = sized.select("tile", part.alias("other")).repartition("tile").distinct()
+        paired = sized.select("tile", "key", "n", "root", "size").join(others, "tile")
+    met = paired.filter(
         (F.struct("other.size", "other.target") > F.struct("size", "root"))
         & (100 * F.col("other.hi") >= PERCENT * F.col("n"))
         & (PERCENT * F.col("other.lo") <= 100 * F.col("n"))
@@ -448,7 +428,7 @@ def _probed(probes: DataFrame, mixed: DataFrame, sets: DataFrame) -> DataFrame:
     return ordered.mapInArrow(frugal(run), "a long, b long")
 
 
-def _first_links(texts: DataFrame, tiles: DataFrame, seed: int) -> DataFrame:
+def _first_links(texts: DataFrame, tiles: DataFrame, firsts: DataFrame, seed: int) -> DataFrame:
     """Components that show when each set is held against the partner it meets most often.
 
     A partner is the least key of a tile, so the links found point downwards and form trees.
@@ -458,7 +438,7 @@ def _first_links(texts: DataFrame, tiles: DataFrame, seed: int) -> DataFrame:
     shared = shared.filter(F.col("times") >= _least_shared("n", "lead_n"))
     partner = shared.groupBy("key").agg(F.max_by("lead", F.struct("times", "lead")).alias("b"))
     partner = materialise(partner.select(F.col("key").alias("a"), "b"), "partners")
-    links = _verified(partner, _members(texts, _keys(partner), seed))
+    links = _verified(partner, _members(texts, _keys(partner), firsts, seed))
     hooks = shortened(links.select(F.col("a").alias("node"), F.col("b").alias("up")))
     return hooks.select("node", F.col("up").alias("root"))
 
@@ -487,7 +467,7 @@ def _keys(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
 
 
-def _other_links(texts: DataFrame, tiles: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+def _other_links(texts: DataFrame, tiles: DataFrame, labels: DataFrame, firsts: DataFrame, seed: int) -> DataFrame:
     """``labels`` after all sets of different components that can be links are held against each other.
 
     First the largest components take in what is linked to them, so that a group whose sets
@@ -501,7 +481,7 @@ def _other_links(texts: DataFrame, tiles: DataFrame, labels: DataFrame, seed: in
         targets = rows.join(probes.select(F.col("target").alias("root")).distinct(), "root", "left_semi")
         keys = materialise(probes.select("key").union(targets.select("key")).distinct(), "probe-keys")
         if sets is None or not keys.join(sets.select("key"), "key", "left_anti").isEmpty():
-            sets = _members(texts, keys, seed)
+            sets = _members(texts, keys, firsts, seed)
         labels = _joined(labels, materialise(_probed(probes, rows, sets), "links"))
     return labels
 
@@ -525,7 +505,10 @@ def _labelled(docs: DataFrame) -> DataFrame:
 
     common = spark.sparkContext.broadcast(_common(facts))
     tiles = materialise(_tiles(_postings(texts, common, seed)), "tiles")
-    labels = _other_links(texts, tiles, _first_links(texts, tiles, seed), seed)
+    # copies share a set, so it is made from the text of one of them
+    first = rows.filter("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    firsts = materialise(first.select("key", "first.doc_id", "first.text_key"), "first-texts")
+    labels = _other_links(texts, tiles, _first_links(texts, tiles, firsts, seed), firsts, seed)
 
     named = _rooted(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), labels)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -573,13 +556,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         "doc_id", "text_key", "copies", F.col("_j_root").isNotNull().alias("stays")
     )
     stay = materialise(stay.filter("not stays or copies > 1"), "copies")
-    gone = stay.filter("not stays").select(F.col("doc_id").alias("_j_id"), F.col("text_key").alias("_j_text"))
     keyed = docs.withColumn("_j_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # Only texts that may be a copy, or may be repeated, are exchanged.
+    single, keyed = parted(keyed, [F.col("doc_id").cast("long"), F.col("_j_key")], stay, ["doc_id", "text_key"])
+    gone = stay.filter("not stays").select(F.col("doc_id").alias("_j_id"), F.col("text_key").alias("_j_text"))
     on = keyed.doc_id.eqNullSafe(gone["_j_id"]) & (keyed["_j_key"] == gone["_j_text"])
     left = keyed.join(gone, on, "left_anti")
     repeated = stay.filter("stays").select(F.col("doc_id").alias("_j_id"), F.col("text_key").alias("_j_text"))
-    if repeated.isEmpty():
-        return left.select(*docs.columns)
-    on = left.doc_id.eqNullSafe(repeated["_j_id"]) & (left["_j_key"] == repeated["_j_text"])
-    once = left.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_j_key"])
-    return left.join(repeated, on, "left_anti").unionByName(once).select(*docs.columns)
+    if not repeated.isEmpty():
+        on = left.doc_id.eqNullSafe(repeated["_j_id"]) & (left["_j_key"] == repeated["_j_text"])
+        once = left.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_j_key"])
+        left = left.join(repeated, on, "left_anti").unionByName(once)
+    return single.unionByName(left).select(*docs.columns)

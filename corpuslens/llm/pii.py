@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.llm.narrowing import parted
 from corpuslens.session import materialise
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -311,9 +312,12 @@ def redact(docs: DataFrame) -> DataFrame:
         ).otherwise(s),
         lambda s: s["kept"],
     )
-    marks = materialise(by_key.select("doc_id", "text_key", disjoint.alias("_p_spans")), "pii-spans")
+    marks = by_key.select("doc_id", "text_key", disjoint.alias("_p_spans"))
+    marks = materialise(marks.filter(F.size("_p_spans") > 0), "pii-spans")
     marks = marks.withColumnsRenamed({"doc_id": "_p_doc", "text_key": "_p_text"})
     key = F.xxhash64(F.coalesce(docs.text, F.lit("")))
+    # Texts that hold no span stay where they are.
+    clean, docs = parted(docs, [docs.doc_id, key], marks, ["_p_doc", "_p_text"])
     joined = docs.join(marks, docs.doc_id.eqNullSafe(marks["_p_doc"]) & (key == marks["_p_text"]), "left")
     text = docs.text
     before = F.transform(
@@ -329,8 +333,9 @@ def redact(docs: DataFrame) -> DataFrame:
     )
     last = F.element_at("_p_spans", -1)["end"]
     rebuilt = F.concat(F.array_join(before, ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
-    marked = F.col("_p_spans").isNotNull() & (F.size("_p_spans") > 0)
-    clean = F.when(marked, rebuilt).otherwise(text)
-    out = [docs[c] for c in docs.columns if c not in ("text", "n_chars")]
-    made = joined.select(*out, clean.alias("text"), *([F.when(marked, F.length(clean)).otherwise(docs.n_chars).cast(docs.schema["n_chars"].dataType).alias("n_chars")] if "n_chars" in docs.columns else []))
-    return made.select(*docs.columns)
+    marked = F.col("_p_spans").isNotNull()
+    out = {c: docs[c] for c in docs.columns} | {"text": F.when(marked, rebuilt).otherwise(text)}
+    if "n_chars" in out:
+        size = F.when(marked, F.length(rebuilt)).otherwise(docs.n_chars)
+        out["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return clean.unionByName(joined.select(*[value.alias(c) for c, value in out.items()]))
