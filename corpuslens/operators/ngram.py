@@ -7,19 +7,20 @@ number of different predicted words. Several sizes live in one model, keyed by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import text
 from corpuslens.functions.seeded import uniform
 from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.schema import BOS, EOS, require_columns
-from corpuslens.session import materialise, materialise_bucketed
+from corpuslens.session import fresh_path, materialise, materialise_bucketed, stored_bytes
 
 
 def _windows(df: DataFrame, sizes: Sequence[int], keep: Sequence[str], words_col: str) -> DataFrame:
@@ -75,27 +76,34 @@ def event_arrays(df: DataFrame, sizes: Sequence[int], *keep: str, words_col: str
 BETWEEN, ESCAPE = "\x01", "\x02"  # words of a key
 
 
+def _escaped(w: Column) -> Column:
+    return F.replace(F.replace(w, F.lit(ESCAPE), F.lit(ESCAPE + "b")), F.lit(BETWEEN), F.lit(ESCAPE + "a"))
+
+
+def _words_of(text_col: str) -> Column:
+    """The words of a text that escaped words were joined to."""
+
+    def word(w: Column) -> Column:
+        plain = F.replace(F.replace(w, F.lit(ESCAPE + "a"), F.lit(BETWEEN)), F.lit(ESCAPE + "b"), F.lit(ESCAPE))
+        return F.when(w != ESCAPE + "n", plain)
+
+    words = F.split(text_col, BETWEEN)
+    return F.when(F.contains(text_col, F.lit(ESCAPE)), F.transform(words, word)).otherwise(words)
+
+
 def _key(most: int) -> Column:
     """``context`` of up to ``most`` words as text, another one for every array: shorter to move and faster to compare."""
 
     def word(k: int) -> Column:
         w = F.get("context", F.lit(k))
-        plain = F.replace(F.replace(w, F.lit(ESCAPE), F.lit(ESCAPE + "b")), F.lit(BETWEEN), F.lit(ESCAPE + "a"))
-        return F.when(F.size("context") > k, F.coalesce(plain, F.lit(ESCAPE + "n")))
+        return F.when(F.size("context") > k, F.coalesce(_escaped(w), F.lit(ESCAPE + "n")))
 
     return F.concat_ws(BETWEEN, *[word(k) for k in range(most)]) if most else F.lit("")
 
 
 def _context_of() -> Column:
     """The array of which ``key`` is the text."""
-
-    def word(w: Column) -> Column:
-        plain = F.replace(F.replace(w, F.lit(ESCAPE + "a"), F.lit(BETWEEN)), F.lit(ESCAPE + "b"), F.lit(ESCAPE))
-        return F.when(w != ESCAPE + "n", plain)
-
-    words = F.split("key", BETWEEN)
-    words = F.when(F.contains("key", F.lit(ESCAPE)), F.transform(words, word)).otherwise(words)
-    return F.when(F.col("n") == 1, F.array().cast("array<string>")).otherwise(words)
+    return F.when(F.col("n") == 1, F.array().cast("array<string>")).otherwise(_words_of("key"))
 
 
 def event_counts(df: DataFrame, sizes: Sequence[int], words_col: str = "_words") -> DataFrame:
@@ -119,20 +127,132 @@ def event_vocabulary(counts: DataFrame) -> DataFrame:
     return counts.groupBy("n").agg(F.count_distinct("word").alias("v"))
 
 
+# ---- counts in files -----------------------------------------------------------
+
+PARTS = 32  # of a context of fewer than two words, by what follows it
+SHORT = 2  # size up to which a context has parts
+BUCKET_BYTES = 8 << 20  # of stored text whose events make a bucket
+DEALT = ("context", "part")
+
+
+def part_of_context() -> Column:
+    return F.when(F.size("context") < SHORT, F.pmod(F.hash("word"), F.lit(PARTS))).otherwise(0).cast("int")
+
+
+@dataclass(frozen=True)
+class Dealt:
+    """Counts ``(context, part, word, cnt)`` under ``path``, a folder ``n=`` per size, bucketed by context and part.
+
+    A context of two words or more is one part, the others are ``PARTS`` parts by the word that follows,
+    so no task has all that follows a frequent word. What is asked by context is answered where the
+    counts lie; only the parts of short contexts are added up elsewhere.
+    """
+
+    path: str
+    sizes: tuple[int, ...]
+    buckets: int
+
+
+def write_dealt(rows: DataFrame, path: str, sizes: Sequence[int], buckets: int) -> Dealt:
+    """Write ``(n, context, part, word, cnt)``, in place of what the folder held."""
+    at = f"{path.rstrip('/')}/"
+    if any(at.split(":", 1)[-1].replace("//", "/") in file.replace("//", "/") for file in rows.inputFiles()):
+        raise ValueError(f"cannot overwrite {path}, which is also being read from")
+    entry = f"dealt_{uuid.uuid4().hex}"
+    writer = rows.select(*DEALT, "word", "cnt", "n").write.format("parquet").mode("overwrite").option("compression", "zstd")
+    writer.partitionBy("n").bucketBy(buckets, *DEALT).option("path", path).saveAsTable(entry)
+    rows.sparkSession.sql(f"DROP TABLE {entry}")  # the catalog's entry; the files stay
+    return Dealt(path, tuple(sizes), buckets)
+
+
+def read_dealt(spark: SparkSession, *tables: Dealt) -> DataFrame:
+    """``(side, n, context, part, word, cnt)`` of one or more tables of as many buckets; ``side`` is a table's place.
+
+    They are folders of one bucketed table, so equal contexts of all of them meet without an exchange.
+    """
+    entry = f"dealt_{uuid.uuid4().hex}"
+    columns = "context ARRAY<STRING>, part INT, word STRING, cnt BIGINT, side INT, n INT"
+    spark.sql(
+        f"CREATE TABLE {entry} ({columns}) USING parquet PARTITIONED BY (side, n) "
+        f"CLUSTERED BY (context, part) INTO {tables[0].buckets} BUCKETS LOCATION '{tables[0].path}'"
+    )
+    for side, table in enumerate(tables):
+        for n in table.sizes:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table.path}/n={n}")
+            if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):  # a size without events has none
+                spark.sql(f"ALTER TABLE {entry} ADD PARTITION (side={side}, n={n}) LOCATION '{table.path}/n={n}'")
+    return spark.table(entry).select("side", "n", *DEALT, "word", "cnt")
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(n, context, word, cnt)`` of files that ``write_dealt`` wrote."""
+    files = spark.read.schema("context ARRAY<STRING>, word STRING, cnt BIGINT, n INT").parquet(path)
+    return files.select("n", "context", "word", "cnt")
+
+
+def _counted(df: DataFrame, sizes: Sequence[int], buckets: int, words_col: str) -> DataFrame:
+    """``(n, context, part, word, cnt)``: events are dealt as one short text each, and counted where their bucket is.
+
+    Combining them before would move as many bytes, since most are rare and equal neighbours
+    compress. Single words repeat most: they are counted as ``event_counts`` does.
+    """
+    require_columns(df, words_col)
+    long = [n for n in sizes if n > 1]
+    parts = []
+    if long:
+        # the texts of several words: escaped once, before they are put together
+        rows = _windows(df.select(F.transform(words_col, _escaped).alias("_words")), long, (), "_words")
+        rows = rows.select(F.explode_outer("e").alias("e"))
+        word = [F.coalesce(F.col("e")[f"b{j}"], F.lit(ESCAPE + "n")) for j in range(max(long))]
+        grams = rows.select(F.explode(F.array(*[F.concat_ws(BETWEEN, *word[n - 1 :: -1]) for n in long])).alias("gram"))
+        words = _words_of("gram")
+        last, rest = F.element_at(words, -1), F.slice(words, 1, F.size(words) - 1)
+        part = F.when(F.size(words) <= SHORT, F.pmod(F.hash(last), F.lit(PARTS))).otherwise(0).cast("int")
+        there = grams.repartition(buckets, rest, part).select(
+            F.size(words).alias("n"), rest.alias("context"), part.alias("part"), last.alias("word")
+        )
+        parts.append(there.groupBy("n", *DEALT, "word").agg(F.count(F.lit(1)).alias("cnt")))
+    if len(long) < len(sizes):
+        parts.append(event_counts(df, (1,), words_col).withColumn("part", part_of_context()))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _per_context(per_part: DataFrame, sizes: Sequence[int], sums: Sequence[str]) -> DataFrame:
+    """``(n, context, *sums)`` from the sums per part: those of short contexts are added up, the others are whole."""
+    whole = per_part.filter(F.col("n") > SHORT).select("n", "context", *sums)
+    short = per_part.filter(F.col("n") <= SHORT).groupBy("n", "context").agg(*[F.sum(c).alias(c) for c in sums])
+    kept = ([whole] if max(sizes) > SHORT else []) + ([short] if min(sizes) <= SHORT else [])
+    return reduce(DataFrame.unionByName, kept)
+
+
 @dataclass(frozen=True)
 class NGramModel:
-    """Fitted count tables, kept in the shared folder. Totals are added up and written when they are first asked for."""
+    """Fitted count tables, kept in the shared folder. Totals are added up and written when they are first asked for.
+
+    ``dealt`` names the files of the counts where these are bucketed.
+    """
 
     counts: DataFrame
     sizes: tuple[int, ...]
     laplace: bool = True
     stored_totals: DataFrame | None = None
+    dealt: Dealt | None = None
+
+    def summed(self) -> DataFrame:
+        """``(n, context, total)``, from the written totals if there are any."""
+        if self.stored_totals is not None or "totals" in self.__dict__:
+            return self.totals
+        if self.dealt is None:
+            return context_totals(self.counts)
+        table = read_dealt(self.counts.sparkSession, self.dealt)
+        per_part = table.groupBy("n", *DEALT).agg(F.sum("cnt").alias("total"))
+        return _per_context(per_part, self.sizes, ["total"])
 
     @cached_property
     def totals(self) -> DataFrame:
         if self.stored_totals is not None:
             return self.stored_totals
-        return materialise(context_totals(self.counts), "ngram-totals")
+        return materialise(self.summed(), "ngram-totals", "zstd")
 
     @property
     def vocabulary(self) -> DataFrame:
@@ -141,8 +261,10 @@ class NGramModel:
 
 def fit(df: DataFrame, sizes: Sequence[int] = (2, 3), *, laplace: bool = True, words_col: str = "_words") -> NGramModel:
     """Count once, write once; everything after reads the written tables."""
-    counts = materialise(event_counts(df, sizes, words_col), "ngram-counts", "zstd")
-    return NGramModel(counts, tuple(sizes), laplace)
+    spark = df.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(stored_bytes(df) / BUCKET_BYTES))
+    dealt = write_dealt(_counted(df, sizes, buckets, words_col), fresh_path(spark, "ngram-counts"), sizes, buckets)
+    return NGramModel(read_counts(spark, dealt.path), tuple(sizes), laplace, dealt=dealt)
 
 
 def _v(model: NGramModel) -> Column:
@@ -172,29 +294,46 @@ def probabilities(model: NGramModel, wanted: DataFrame) -> DataFrame:
     return found.withColumn("p", F.coalesce(F.try_divide(F.col("cnt").cast("double"), F.col("total")), F.lit(0.0)))
 
 
-def perplexity(model: NGramModel, df: DataFrame, words_col: str = "_words", *, scored: DataFrame | None = None) -> DataFrame:
-    """``(n, events, perplexity)`` of ``df``; ``scored`` may pass in its event counts, where they are already there.
+def perplexity(
+    model: NGramModel, df: DataFrame, words_col: str = "_words", *, scored: DataFrame | NGramModel | None = None
+) -> DataFrame:
+    """``(n, events, perplexity)`` of ``df``; ``scored`` may pass in its event counts, or the model that was fitted
+    to it, where they are already there.
 
     The log probability of an event splits into a word part and a context part,
     ``ln(cnt + 1) - ln(total + v)``. The counted events of model and text are put together
     and dealt once, by context: there they add up by event, which gives the word part, and
     then by context, whose total is the sum of its counts. Nothing is sorted or joined, and
     as both sides are counted, a task holds a context's different words at most once each.
+    Counts that lie in buckets are not dealt again: the sums of a long context are whole there.
     What has no partner adds ``ln(1)`` and ``ln(v)``.
     """
     plus = 1 if model.laplace else 0
-    asked = event_counts(df, model.sizes, words_col) if scored is None else scored
-    none = F.lit(0).cast("bigint")
-    both = model.counts.select("n", "context", "word", "cnt", none.alias("w")).unionByName(
-        asked.select("n", "context", "word", none.alias("cnt"), F.col("cnt").alias("w"))
-    )
-    each = both.repartition("n", "context").groupBy("n", "context", "word").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
+    spark, none = df.sparkSession, F.lit(0).cast("bigint")
+    asked = model.dealt if scored is model.counts else scored.dealt if isinstance(scored, NGramModel) else None
+    bucketed = asked is not None and model.dealt is not None and model.dealt.buckets == asked.buckets
+    if bucketed and asked == model.dealt:
+        each, keys = read_dealt(spark, asked).withColumn("w", F.col("cnt")), ["n", *DEALT]
+    elif bucketed:
+        mine = [F.sum(F.when(F.col("side") == side, F.col("cnt")).otherwise(none)).alias(c) for side, c in enumerate(("cnt", "w"))]
+        each, keys = read_dealt(spark, model.dealt, asked).groupBy("n", *DEALT, "word").agg(*mine), ["n", *DEALT]
+    else:
+        if isinstance(scored, NGramModel):
+            scored = scored.counts
+        text_counts = event_counts(df, model.sizes, words_col) if scored is None else scored
+        both = model.counts.select("n", "context", "word", "cnt", none.alias("w")).unionByName(
+            text_counts.select("n", "context", "word", none.alias("cnt"), F.col("cnt").alias("w"))
+        )
+        each = both.repartition("n", "context").groupBy("n", "context", "word").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
+        keys = ["n", "context"]
     hit = (F.col("cnt") > 0) & (F.col("w") > 0) & F.col("word").isNotNull()
-    per_context = each.groupBy("n", "context").agg(
+    per_context = each.groupBy(*keys).agg(
         F.sum("w").alias("w"), F.sum("cnt").alias("total"),
         F.sum(F.when(hit, F.col("w"))).alias("seen"),
         F.sum(F.when(hit, F.col("w") * F.ln(F.col("cnt") + plus))).alias("word_part"),
     )
+    if bucketed:
+        per_context = _per_context(per_context, {*model.sizes, *asked.sizes}, ["w", "total", "seen", "word_part"])
     known = (F.col("total") > 0) & (F.col("w") > 0)
     met = per_context.withColumn("_v", _v(model) if model.laplace else F.lit(0))
     everything = met.groupBy("n").agg(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from corpuslens.functions.text import blank_to_null, words_of
 from corpuslens.operators.classify import CountModel
-from corpuslens.operators.ngram import NGramModel
+from corpuslens.operators.ngram import DEALT, Dealt, NGramModel, part_of_context, read_counts, read_dealt, write_dealt
 from corpuslens.schema import EVALUATION, REVIEWS, require_columns
 from corpuslens.session import materialise
 
@@ -189,19 +189,29 @@ def load_count_classifier(spark: SparkSession, path: str) -> CountModel:
     return CountModel(spark.read.parquet(f"{path}/tokens"), totals.drop("smoothing"), totals.first().smoothing)
 
 
-MODEL_SETTINGS = "sizes ARRAY<INT>, laplace BOOLEAN"
+MODEL_SETTINGS = "sizes ARRAY<INT>, laplace BOOLEAN, buckets INT"
 
 
 def save_ngram_model(model: NGramModel, path: str) -> None:
-    """Count tables partitioned by size, so loading one size reads only its folder, and how they are smoothed."""
-    model.counts.write.mode("overwrite").partitionBy("n").parquet(f"{path}/counts")
-    model.totals.write.mode("overwrite").partitionBy("n").parquet(f"{path}/totals")
-    settings = model.counts.sparkSession.createDataFrame([(list(model.sizes), model.laplace)], MODEL_SETTINGS)
+    """Count tables in a folder per size, so loading one size reads only its folder, and how they are smoothed.
+
+    The counts keep their buckets. Totals that nobody asked for yet are added up into the model's files only.
+    """
+    spark, rows, dealt = model.counts.sparkSession, model.counts, model.dealt
+    if dealt is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.withColumn("part", part_of_context()).repartition(buckets, *DEALT)
+    else:
+        buckets, rows = dealt.buckets, read_dealt(spark, dealt)
+    write_dealt(rows, f"{path}/counts", model.sizes, buckets)
+    model.summed().write.mode("overwrite").option("compression", "zstd").partitionBy("n").parquet(f"{path}/totals")
+    settings = spark.createDataFrame([(list(model.sizes), model.laplace, buckets)], MODEL_SETTINGS)
     settings.write.mode("overwrite").parquet(f"{path}/settings")
 
 
 def load_ngram_model(spark: SparkSession, path: str) -> NGramModel:
-    counts = spark.read.schema("context ARRAY<STRING>, word STRING, cnt BIGINT, n INT").parquet(f"{path}/counts")
     totals = spark.read.schema("context ARRAY<STRING>, total BIGINT, n INT").parquet(f"{path}/totals")
     settings = spark.read.schema(MODEL_SETTINGS).parquet(f"{path}/settings").first()  # one row
-    return NGramModel(counts, tuple(settings.sizes), settings.laplace, totals)
+    sizes = tuple(settings.sizes)
+    dealt = settings.buckets and Dealt(f"{path}/counts", sizes, settings.buckets)  # older models have no buckets
+    return NGramModel(read_counts(spark, f"{path}/counts"), sizes, settings.laplace, totals, dealt)

@@ -261,3 +261,64 @@ def test_keys_tell_contexts_apart(spark):
     df = spark.createDataFrame([(3, c) for c in contexts], "n INT, context ARRAY<STRING>").withColumn("key", ngram._key(2))
     assert df.select("key").distinct().count() == len(contexts)
     assert df.filter(~F.col("context").eqNullSafe(ngram._context_of())).isEmpty()
+
+
+def moved_by(df, column):
+    text = df._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan =="):]
+    return [line for line in physical.splitlines() if "Exchange" in line and f"{column}#" in line]
+
+
+def test_counts_of_the_text_and_of_a_saved_model_stay_in_their_buckets(spark, docs, tmp_path):
+    rng = random.Random(7)
+    df = docs([[rng.choice("abcde") for _ in range(rng.randrange(9))] for _ in range(50)])
+    for laplace in (True, False):
+        model = ngram.fit(df, (2, 3), laplace=laplace)
+        files.save_ngram_model(model, str(tmp_path / f"m{laplace}"))
+        back = files.load_ngram_model(spark, str(tmp_path / f"m{laplace}"))
+        want = {n: (events, pytest.approx(value)) for n, (events, value) in ppl(model, df).items()}
+        for known, scored in ((model, model), (model, model.counts), (back, model), (back, back)):
+            out = ngram.perplexity(known, df, scored=scored)
+            if not laplace:  # what moves are the sums of the parts of short contexts
+                assert not moved_by(out, "word") and len(moved_by(out, "context")) == 1
+            assert {r.n: (r.events, r.perplexity) for r in out.collect()} == want
+        for table, keys in (("counts", ["n", "context", "word"]), ("totals", ["n", "context"])):
+            pairs = zip(*[getattr(m, table).orderBy(*keys).collect() for m in (model, back)], strict=True)
+            assert all(a.asDict() == b.asDict() for a, b in pairs)
+    long = ngram.fit(df, (3,), laplace=False)
+    assert not moved_by(ngram.perplexity(long, df, scored=long.counts), "context")
+
+
+def test_counts_are_those_of_any_words(spark, monkeypatch):
+    """Words of control characters, empty ones and none at all, and contexts of many parts."""
+    monkeypatch.setattr(ngram, "PARTS", 3)
+    rng = random.Random(3)
+    words = ["a", "\x01", "\x02", "\x02n", "a\x01b", "", "é", None]
+    rows = [(i, [rng.choice(words) for _ in range(rng.randrange(7))]) for i in range(40)] + [(40, None), (41, [])]
+    df = spark.createDataFrame(rows, "doc_id LONG, _words ARRAY<STRING>")
+    model = ngram.fit(df, (1, 2, 3))
+
+    def table(counts):
+        return Counter({(r.n, tuple(r.context), r.word): r.cnt for r in counts.collect()})
+
+    assert table(model.counts) == table(ngram.event_counts(df, (1, 2, 3)))
+    per_context = Counter()
+    for (n, context, _), cnt in table(model.counts).items():
+        per_context[n, context] += cnt
+    assert {(r.n, tuple(r.context)): r.total for r in model.totals.collect()} == per_context
+
+
+def test_a_model_saved_without_buckets_is_read(spark, f2, tmp_path):
+    model, path = ngram.fit(f2, (2,), laplace=False), str(tmp_path / "old")
+    model.counts.write.partitionBy("n").parquet(f"{path}/counts")
+    model.totals.write.partitionBy("n").parquet(f"{path}/totals")
+    spark.createDataFrame([([2], False)], "sizes ARRAY<INT>, laplace BOOLEAN").write.parquet(f"{path}/settings")
+    back = files.load_ngram_model(spark, path)
+    assert back.dealt is None and ppl(back, f2) == ppl(model, f2)
+    scored = {r.n: r.perplexity for r in ngram.perplexity(back, f2, scored=model).collect()}
+    assert scored == {2: pytest.approx(ppl(model, f2)[2][1])}
+    files.save_ngram_model(back, str(tmp_path / "new"))
+    again = files.load_ngram_model(spark, str(tmp_path / "new"))
+    assert again.dealt and ppl(again, f2) == ppl(model, f2)
+    with pytest.raises(Exception, match="read"):
+        files.save_ngram_model(again, str(tmp_path / "new"))
