@@ -1,7 +1,9 @@
 import itertools
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpuslens.operators import subword, wordforms
 
@@ -106,3 +108,38 @@ def test_merges(spark, docs):
     assert {r.token: r.pieces for r in subword.merged(other, merges).collect()} == {"nana": walk("nana"), "b": ["b"]}
     lengths = {r.doc_id: r.length for r in subword.lengths(df, table).collect()}
     assert lengths[1] == 2 + sum(len(walk(w)) for w in ("banana", "x", "aaaa"))
+
+
+def test_documents_are_encoded_where_they_are(spark, pieces, monkeypatch):
+    """As the tables by distinct word say, whatever words, arrays and ids a table holds; no row moves."""
+    monkeypatch.setattr(subword, "ROWS_AT_ONCE", 3)
+    monkeypatch.setattr(subword, "WORDS_HELD", 5)
+    rng = random.Random(11)
+    more = spark.createDataFrame(
+        [("##a", 90, 6), ("é", 91, 3), ("##é", 92, 2), ("[P", 93, 4), (None, 94, 1), ("zz", None, 1)], "piece STRING, id INT, cnt LONG"
+    )
+    pieces = pieces.unionByName(more)
+    known = ["", "u", "un", "una", "##a", "[PAD]", "zz", "é", "uéa", "\U0001f600", None]
+    words = known + ["".join(rng.choice("unaffblé") for _ in range(rng.randrange(1, 9))) for _ in range(40)]
+    rows = [(i % 15 if i else None, [rng.choice(words) for _ in range(rng.randrange(12))], f"x{i}") for i in range(20)] + [(99, None, "none")]
+    df = spark.createDataFrame(rows, "doc_id LONG, _words ARRAY<STRING>, other STRING").repartition(3)
+    counted = spark.createDataFrame([(w, 1) for w in set(words) - {None}], "token STRING, cnt LONG")
+    ordinary = pieces.filter("id > 3 AND piece IS NOT NULL")
+    scored = subword.with_log_probability(ordinary)
+    for kind, table, found in (
+        ("wordpiece", pieces, subword.greedy_table(counted, pieces)), ("unigram", scored, subword.unigram_table(counted, scored))
+    ):
+        by_word = ids(found)
+        out = subword.encode(df, table, kind=kind, max_length=None, keep=["other", "_words"])
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange") == 1 and "Join" not in text  # the one of df
+        got = {r.other: r for r in out.collect()}
+        assert len(got) == len(rows)
+        for doc_id, given, other in rows:
+            whole = [2, *itertools.chain.from_iterable(by_word[w] for w in given or [] if w is not None), 3]
+            assert (got[other].doc_id, got[other]._words, got[other]._input_ids) == (doc_id, given, whole)
+            assert got[other]._word_count == len(whole)
+        cut = subword.encode(df, table, kind=kind, max_length=5).agg(F.max("_word_count")).first()[0]
+        assert cut == 5
+    with pytest.raises(ValueError, match="piece table"):
+        subword.encode(df, None, kind="unigram")
