@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,9 +19,10 @@ from corpuslens.functions.labels import argmax, cross_entropy, encode_label
 from corpuslens.operators.lookup import lookup, salt_of
 from corpuslens.operators.metrics import evaluate
 from corpuslens.schema import CLASSES, require_columns
-from corpuslens.session import materialise
+from corpuslens.session import materialise, stored_bytes
 
 FREQUENT = 50_000  # tokens whose odds every task has
+TRAIN_BYTES = 128 << 20  # of stored text: a training task's share
 
 
 def train(
@@ -35,8 +37,9 @@ def train(
     """Two-class logistic regression on hashed, idf-weighted token counts.
 
     ``features`` bounds the model and what the executors send each iteration,
-    whatever the size of the vocabulary. The regularised loss has one optimum; enough
-    ``iterations`` and a small ``tolerance`` reach it.
+    whatever the size of the vocabulary. Every task sends its gradient each iteration, so
+    there are no more tasks than cores or shares of ``TRAIN_BYTES``. The regularised loss has
+    one optimum; enough ``iterations`` and a small ``tolerance`` reach it.
     """
     require_columns(df, tokens_col, "sentiment")
     labelled = df.select(tokens_col, encode_label(F.col("sentiment")).cast("double").alias("label")).filter(
@@ -47,7 +50,8 @@ def train(
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(maxIter=iterations, regParam=regularisation, tol=tolerance, aggregationDepth=3),
     ]
-    return Pipeline(stages=stages).fit(labelled)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, ceil(stored_bytes(df) / TRAIN_BYTES))
+    return Pipeline(stages=stages).fit(labelled.coalesce(tasks))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -36,3 +36,12 @@ def test_a_documents_frequent_tokens_are_one_row_of_the_lookup(spark, monkeypatc
     df = spark.createDataFrame([(i, [f"w{k}" for k in range(50)], "positive") for i in range(4)], "doc_id LONG, _words ARRAY<STRING>, sentiment STRING")
     classify.predict_counts(classify.train_counts(df), df).count()
     assert seen == [4]
+
+
+def test_training_sends_as_many_gradients_as_there_are_cores(spark, monkeypatch):
+    parts, fit = [], classify.Pipeline.fit
+    monkeypatch.setattr(classify.Pipeline, "fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    rows = [(i, ["good" if i % 2 else "bad"], "positive" if i % 2 else "negative") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id LONG, _words ARRAY<STRING>, sentiment STRING").repartition(30)
+    out = classify.predict(classify.train(df), df).collect()
+    assert parts == [spark.sparkContext.defaultParallelism] and all(r.prediction == r.label for r in out)
