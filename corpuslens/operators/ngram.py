@@ -8,11 +8,12 @@ number of different predicted words. Several sizes live in one model, keyed by
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -132,6 +133,7 @@ def event_vocabulary(counts: DataFrame) -> DataFrame:
 PARTS = 32  # of a context of fewer than two words, by what follows it
 SHORT = 2  # size up to which a context has parts
 BUCKET_BYTES = 8 << 20  # of stored text whose events make a bucket
+EVENTS_HELD, BYTES_HELD = 1 << 20, 64 << 20  # by a task that combines equal events
 DEALT = ("context", "part")
 
 
@@ -190,11 +192,28 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     return files.select("n", "context", "word", "cnt")
 
 
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(gram)`` to ``(gram, cnt)``, equal ones among ``EVENTS_HELD`` added up, so a frequent one is few rows of a task."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> list[pa.RecordBatch]:
+        counts = pa.Table.from_batches(held).group_by("gram", use_threads=False).aggregate([([], "count_all")])
+        held.clear()
+        return counts.select(["gram", "count_all"]).rename_columns(["gram", "cnt"]).to_batches(max_chunksize=1 << 16)
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= EVENTS_HELD or sum(b.nbytes for b in held) >= BYTES_HELD:
+            yield from flush()
+    if held:
+        yield from flush()
+
+
 def _counted(df: DataFrame, sizes: Sequence[int], buckets: int, words_col: str) -> DataFrame:
     """``(n, context, part, word, cnt)``: events are dealt as one short text each, and counted where their bucket is.
 
-    Combining them before would move as many bytes, since most are rare and equal neighbours
-    compress. Single words repeat most: they are counted as ``event_counts`` does.
+    A task combines what it can beforehand without an exchange of its own. Single words repeat
+    most: they are counted as ``event_counts`` does.
     """
     require_columns(df, words_col)
     long = [n for n in sizes if n > 1]
@@ -205,13 +224,14 @@ def _counted(df: DataFrame, sizes: Sequence[int], buckets: int, words_col: str)
         rows = rows.select(F.explode_outer("e").alias("e"))
         word = [F.coalesce(F.col("e")[f"b{j}"], F.lit(ESCAPE + "n")) for j in range(max(long))]
         grams = rows.select(F.explode(F.array(*[F.concat_ws(BETWEEN, *word[n - 1 :: -1]) for n in long])).alias("gram"))
+        grams = grams.mapInArrow(_combined, "gram STRING, cnt BIGINT")
         words = _words_of("gram")
         last, rest = F.element_at(words, -1), F.slice(words, 1, F.size(words) - 1)
         part = F.when(F.size(words) <= SHORT, F.pmod(F.hash(last), F.lit(PARTS))).otherwise(0).cast("int")
         there = grams.repartition(buckets, rest, part).select(
-            F.size(words).alias("n"), rest.alias("context"), part.alias("part"), last.alias("word")
+            F.size(words).alias("n"), rest.alias("context"), part.alias("part"), last.alias("word"), "cnt"
         )
-        parts.append(there.groupBy("n", *DEALT, "word").agg(F.count(F.lit(1)).alias("cnt")))
+        parts.append(there.groupBy("n", *DEALT, "word").agg(F.sum("cnt").alias("cnt")))
     if len(long) < len(sizes):
         parts.append(event_counts(df, (1,), words_col).withColumn("part", part_of_context()))
     return reduce(DataFrame.unionByName, parts)

@@ -290,8 +290,12 @@ def test_counts_of_the_text_and_of_a_saved_model_stay_in_their_buckets(spark, do
 
 
 def test_counts_are_those_of_any_words(spark, monkeypatch):
-    """Words of control characters, empty ones and none at all, and contexts of many parts."""
+    """Words of control characters, empty ones and none at all, and contexts of many parts; a task combines equal events."""
     monkeypatch.setattr(ngram, "PARTS", 3)
+    schema = ngram.pa.schema({"gram": ngram.pa.string()})
+    batches = [ngram.pa.RecordBatch.from_pydict({"gram": grams}, schema) for grams in (["a", "b", "a"], [], ["a"])]
+    combined = [dict(zip(*b.to_pydict().values(), strict=True)) for b in ngram._combined(iter(batches))]
+    assert combined == [{"a": 3, "b": 1}] and list(ngram._combined(iter([]))) == []
     rng = random.Random(3)
     words = ["a", "\x01", "\x02", "\x02n", "a\x01b", "", "é", None]
     rows = [(i, [rng.choice(words) for _ in range(rng.randrange(7))]) for i in range(40)] + [(40, None), (41, [])]
