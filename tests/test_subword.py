@@ -139,7 +139,10 @@ def test_documents_are_encoded_where_they_are(spark, pieces, monkeypatch):
             whole = [2, *itertools.chain.from_iterable(by_word[w] for w in given or [] if w is not None), 3]
             assert (got[other].doc_id, got[other]._words, got[other]._input_ids) == (doc_id, given, whole)
             assert got[other]._word_count == len(whole)
-        cut = subword.encode(df, table, kind=kind, max_length=5).agg(F.max("_word_count")).first()[0]
+        cut = subword.encode(df, table, kind=kind, max_length=5, keep=[]).agg(F.max("_word_count")).first()[0]
         assert cut == 5
+        one = df.filter("doc_id = 99 OR other IN ('x1', 'x2', 'x3')")  # looked up by distinct word, as without other columns
+        looked = {r.doc_id: r._input_ids for r in subword.encode(one, table, kind=kind, max_length=None).collect()}
+        assert looked == {r.doc_id: r._input_ids for r in got.values() if r.other in ("none", "x1", "x2", "x3")}
     with pytest.raises(ValueError, match="piece table"):
-        subword.encode(df, None, kind="unigram")
+        subword.encode(df, None, kind="unigram", keep=[])
